@@ -1,26 +1,29 @@
 """Toxicity: class-conditional Kneser-Ney models.
 
-Two bigram models, one of toxic and one of ordinary texts, with absolute
-discounting; each class's word level backs off to one continuation model
-shared by both, so a rare expression is judged by what both classes have seen.
-A text's evidence is the log-likelihood ratio by word, normalised by length:
-the mean over the whole text, and the largest mean over any window of a
-few words, so that a short insult in a long text counts. A logistic
-curve fitted on cross-validated evidence, weighed to the classes' true
-proportions, turns both into a probability.
+Two letter models of order four, one of toxic and one of ordinary texts. Both
+discount their own counts and back off to one continuation model shared by
+both classes, so an expression that is rare, or an unseen form of a known one,
+is judged by letter groups whose counts do not come from a single text. Counts
+are of texts, not of occurrences, and copies in the sample count once.
+
+A word's evidence is the log-likelihood ratio of its letters, normalised by
+its length; a text's evidence is that of its strongest words (the largest, and
+the largest mean over a few neighbouring words) and the mean over all of it,
+so that a short insult in a long text counts. A logistic curve fitted on
+cross-validated evidence, weighed to the classes' true proportions, turns
+these into a probability.
 
 Models are fitted on a bounded sample (``PER_CLASS`` rows of either label);
-words and bigrams seen once in it are left to the backoff. Scoring is a narrow
-pass over whole texts.
+scoring is a narrow pass over whole texts with one table of ``40**4`` ratios.
 
-Defined results: null and empty texts have no evidence and score the curve's
-value at 0; with labels of one class or none, every score is that class's (or
-0.5); a null doc_id is not held out.
+Defined results: null and empty texts, and texts without letters, have no
+evidence and score the curve's value at 0; with labels of one class or none,
+every score is that class's (or 0.5); a null doc_id is not held out.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -30,102 +33,124 @@ from pyspark.sql import functions as F
 from .common import alnum_words, annotate, binaries, field
 from .labelled import balance, logistic, remainder, sample, sigmoid
 
-PER_CLASS = 1500
-#: Absolute discounts and window lengths that cross-validation chooses from.
-DISCOUNTS = (0.75, 2.0, 5.0)
-WINDOWS = (2, 8)
+PER_CLASS = 2000
+#: Absolute discounts and powers of the word length that cross-validation chooses from.
+DISCOUNTS = (1.0, 3.0)
+POWERS = (0.5, 1.0)
+NEIGHBOURS = 4
 FOLDS = 2
 THRESHOLD = 0.7
 MODULUS, KEPT_OUT = 3, 1
+#: Symbols: 0 word boundary, 1-26 letters, 27 any digit, 28-39 bytes of other characters.
+BASE = 40
+_SYMBOL = bytes(
+    b - 0x60 if 0x61 <= b <= 0x7A else 27 if 0x30 <= b <= 0x39 else 28 + b % 12 if b >= 0x80 else 0 for b in range(256)
+)
+#: Words that are worked through at a time.
+PIECE = 1 << 16
+
+
+def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(four-symbol numbers ending at each symbol, word starts, word lengths with their end).
+
+    Words stand between three boundaries each, so no context reaches into
+    another word.
+    """
+    s = np.frombuffer((b"\0\0\0" + b"\0\0\0".join(words) + b"\0").translate(_SYMBOL), np.uint8).astype(np.int32)
+    key = ((s[:-3] * BASE + s[1:-2]) * BASE + s[2:-1]) * BASE + s[3:]
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    return key, np.concatenate([[0], np.cumsum(sizes[:-1] + 2)]), sizes
 
 
 class Counts:
-    """In how many texts of each class words and bigrams stand; word 0 stands for all rare ones."""
+    """In how many texts of each class each four-symbol group stands."""
 
     def __init__(self, texts: list[list[bytes]], y: np.ndarray):
-        seen: Counter[bytes] = Counter()
-        for words in texts:
-            seen.update(set(words))
-        self.ids = {w: i for i, w in enumerate(sorted(w for w, n in seen.items() if n > 1), 1)}
-        size = self.size = len(self.ids) + 1
-        self.words = np.zeros((2, size))
-        keys: list[list[np.ndarray]] = [[], []]
+        self.n = np.zeros((2, BASE**4), np.float32)
         for words, label in zip(texts, y, strict=True):
-            at = self.numbers(words)
-            self.words[label, np.unique(at)] += 1
-            keys[label].append(np.unique(at[:-1] * size + at[1:]))
-        first = sum(map(len, keys[0]))
-        self.pairs, where = np.unique(np.concatenate(keys[0] + keys[1]), return_inverse=True)
-        each = [np.bincount(where[:first], minlength=len(self.pairs)), np.bincount(where[first:], minlength=len(self.pairs))]
-        self.counts = np.stack(each).astype(float)
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        get = self.ids.get
-        return np.array([get(w, 0) for w in words], np.int64)
-
-
-class Model:
-    """Log-likelihood ratios of words and bigrams at a given discount."""
-
-    def __init__(self, seen: Counts, discount: float, window: int):
-        d, size = discount, seen.size
-        self.numbers, self.size, self.window = seen.numbers, size, window
-        # Shared backoff: in how many contexts of either class a word stands.
-        follows = np.bincount(seen.pairs % size, minlength=size) + 0.5
-        shared = follows / follows.sum()
-        total = seen.words.sum(axis=1, keepdims=True) + 1e-9
-        left = np.maximum(seen.words - d, 0)
-        word = left / total + (1 - left.sum(axis=1, keepdims=True) / total) * shared
-        self.word = np.log(word[1]) - np.log(word[0])
-        # Bigrams that no class has more often than the discount tell nothing.
-        kept = seen.counts.max(axis=0) > d
-        pairs, counts = seen.pairs[kept], seen.counts[:, kept]
-        before, after = pairs // size, pairs % size
-        context = np.stack([np.bincount(seen.pairs // size, weights=c, minlength=size) for c in seen.counts]) + 2 * d
-        high = np.maximum(counts - d, 0)
-        back = 1 - np.stack([np.bincount(before, weights=h, minlength=size) for h in high]) / context
-        both = high / context[:, before] + back[:, before] * word[:, after]
-        self.back = np.log(back[1]) - np.log(back[0])
-        self.pairs, self.pair = pairs, np.log(both[1]) - np.log(both[0])
-
-    def evidence(self, words: list[bytes]) -> tuple[float, float]:
-        """(largest window mean, mean) of the ratios, normalised by length."""
-        at = self.numbers(words)
-        if not len(at):
-            return 0.0, 0.0
-        llr = self.word[at]
-        if len(at) > 1 and len(self.pairs):
-            key = at[:-1] * self.size + at[1:]
-            found = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-            llr[1:] = np.where(self.pairs[found] == key, self.pair[found], llr[1:] + self.back[at[:-1]])
-        sums = np.concatenate([[0.0], np.cumsum(llr)])
-        n = min(self.window, len(at))
-        return float((sums[n:] - sums[:-n]).max()) / self.window, float(sums[-1]) / len(at)
-
-
-def fit(rows: list[tuple[int, list[bytes]]], totals: dict[int, int]) -> tuple[Model | None, np.ndarray | float]:
-    """The model and its curve; discount and window are those of least cross-validated log loss."""
+            for at in range(0, len(words), PIECE):
+                self.n[label, np.unique(grams(words[at : at + PIECE])[0])] += 1
+
+
+def shared_model(kept: np.ndarray) -> np.ndarray:
+    """P(x | two symbols) from continuation counts over both classes, down to the uniform."""
+    three = (kept.reshape(BASE, BASE, BASE, BASE) > 0).sum(axis=0).astype(np.float32)
+    two = (three > 0).sum(axis=0).astype(np.float32)
+    one = (two > 0).sum(axis=0).astype(np.float32)
+    p = np.full(BASE, 1 / BASE, np.float32)
+    for counts in (one, two, three):
+        left = np.maximum(counts - 0.75, 0)
+        total = counts.sum(axis=-1, keepdims=True)
+        p = left / np.maximum(total, 1) + (1 - left.sum(axis=-1, keepdims=True) / np.maximum(total, 1)) * p
+    return p
+
+
+def ratios(seen: Counts, discount: float) -> np.ndarray:
+    """log P_toxic / P_ordinary of a symbol after three, for all groups."""
+    back = shared_model(seen.n.sum(axis=0))
+    logs = []
+    for n in seen.n.reshape(2, BASE**3, BASE):
+        total = np.maximum(n.sum(axis=1, keepdims=True), 1)
+        left = np.maximum(n - discount, 0)
+        p = left / total + (1 - left.sum(axis=1, keepdims=True) / total) * np.tile(back.reshape(BASE**2, BASE), (BASE, 1))
+        logs.append(np.log(np.maximum(p, 1e-12)))
+    table = (logs[1] - logs[0]).reshape(BASE, BASE, BASE, BASE)
+    table[:, :, 0, 0] = 0  # only the first boundary ends a word
+    return table.reshape(-1)
+
+
+def evidence(words: list[bytes], table: np.ndarray, power: float) -> tuple[float, float, float]:
+    """(strongest word, strongest neighbours, mean over all symbols)."""
+    most, near, total, length = -np.inf, -np.inf, 0.0, 0
+    for at in range(0, len(words), PIECE):
+        key, starts, sizes = grams(words[at : at + PIECE])
+        sums = np.concatenate([[0.0], np.cumsum(table[key], dtype=np.float64)])
+        each = sums[starts + sizes] - sums[starts]
+        score = each / sizes**power
+        most = max(most, float(score.max()))
+        run = np.concatenate([[0.0], np.cumsum(score)])
+        k = min(NEIGHBOURS, len(score))
+        near = max(near, float((run[k:] - run[:-k]).max()) / NEIGHBOURS)
+        total, length = total + float(each.sum()), length + int(sizes.sum())
+    return (most, near, total / length) if length else (0.0, 0.0, 0.0)
+
+
+def without_copies(texts: list[list[bytes]], y: np.ndarray) -> np.ndarray:
+    """Numbers of the texts of which at most half of the eight-word runs stood in an earlier one."""
+    seen: set[int] = set()
+    kept = []
+    for i, words in enumerate(texts):
+        runs = {h for j in range(max(1, len(words) - 7)) if (h := zlib.crc32(b" ".join((b"%d" % y[i], *words[j : j + 8])))) % 4 == 0}
+        if not runs or 2 * len(runs & seen) <= len(runs):
+            kept.append(i)
+        seen |= runs
+    return np.array(kept, int)
+
+
+def fit(rows: list[tuple[int, list[bytes]]], totals: dict[int, int]):
+    """(table, power, curve); discount and power are those of least cross-validated log loss."""
     y = np.array([r[0] for r in rows], int)
     if len(set(y)) < 2:
-        return None, float(y[0]) if len(y) else 0.5
-    texts, weight = [r[1] for r in rows], balance(y, totals)
+        return None, 0.0, float(y[0]) if len(y) else 0.5
+    own = without_copies([r[1] for r in rows], y)
+    weight, y, texts = balance(y, totals)[own], y[own], [rows[i][1] for i in own]
     fold = np.arange(len(y)) % FOLDS
-    choices = [(d, w) for d in DISCOUNTS for w in WINDOWS]
-    out = {c: np.zeros((len(y), 2)) for c in choices}
+    out = {(d, p): np.zeros((len(y), 3)) for d in DISCOUNTS for p in POWERS}
     for f in range(FOLDS):
         train, test = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
         seen = Counts([texts[i] for i in train], y[train])
-        for c in choices:
-            model = Model(seen, *c)
-            out[c][test] = [model.evidence(texts[i]) for i in test]
-    curves = {c: logistic(out[c], y, weight) for c in choices}
+        for d in DISCOUNTS:
+            table = ratios(seen, d)
+            for p in POWERS:
+                out[d, p][test] = [evidence(texts[i], table, p) for i in test]
+    curves = {c: logistic(x, y, weight) for c, x in out.items()}
 
     def loss(c) -> float:
-        p = np.clip(sigmoid(out[c] @ curves[c][:2] + curves[c][2]), 1e-6, 1 - 1e-6)
+        p = np.clip(sigmoid(out[c] @ curves[c][:-1] + curves[c][-1]), 1e-6, 1 - 1e-6)
         return -float((weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).mean())
 
-    best = min(choices, key=loss)
-    return Model(Counts(texts, y), *best), curves[best]
+    best = min(out, key=loss)
+    return ratios(Counts(texts, y), best[0]), best[1], curves[best]
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS, modulus: int = MODULUS, kept_out: int = KEPT_OUT):
@@ -136,14 +161,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
 
 def with_scores(docs: DataFrame, fitted, text: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with the probability of label 1."""
-    model, curve = fitted
+    table, power, curve = fitted
 
     def start():
-        if model is None:
+        if table is None:
             return lambda batch: [pa.array([curve] * batch.num_rows, pa.float64())]
 
         def one(x: bytes | None) -> float:
-            return float(sigmoid(float(np.dot(curve, (*model.evidence(alnum_words(x)), 1.0)))))
+            return float(sigmoid(float(np.dot(curve, (*evidence(alnum_words(x), table, power), 1.0)))))
 
         return lambda batch: [pa.array([one(x) for x in binaries(batch, text)], pa.float64())]
 
