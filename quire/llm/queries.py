@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, mixing, quality, simhash, topk, toxicity, url_filters, warc
+from . import decontamination, lm_scoring, mixing, pii, quality, simhash, topk, toxicity, url_filters, warc
 from .common import table
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.report(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -39,12 +43,17 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.query(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_lm_scoring": op1_lm_scoring,
         "op2_simhash": op2_simhash,
         "op3_decontamination": op3_decontamination,
         "op4_toxicity": op4_toxicity,
@@ -52,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_warc": op6_warc,
         "op7_top_k": op7_top_k,
         "op8_quality": op8_quality,
+        "op9_pii": op9_pii,
         "op10_mixing": op10_mixing,
     }
 
