@@ -39,6 +39,8 @@ from .common import annotate, binaries, cut, field, space_words
 CHUNK = 2048
 #: Shingle hashes whose bits are counted at a time.
 SLICE = 1 << 15
+#: Pairs of a query and a word of 64 fingerprints that are compared at a time.
+PAIRS = 1 << 15
 _U64 = np.uint64
 
 
@@ -91,109 +93,122 @@ def with_fingerprints(docs: DataFrame, width: int = 4, lanes: int = 1, text: str
 # Bit-sliced comparison ------------------------------------------------------
 
 
-def planes_of(prints: np.ndarray) -> np.ndarray:
-    """Bit planes (bits x words) of fingerprints given as rows of bytes; padding rows are zero."""
-    n = len(prints)
-    bits = np.unpackbits(prints, axis=1)
-    wide = np.zeros((bits.shape[1], -(-n // 64) * 64), np.uint8)
-    wide[:, :n] = bits.T
-    return np.packbits(wide, axis=1, bitorder="little").view("<u8")
+def bit_rows(prints: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(prints), np.uint8).reshape(len(prints), -1)
+
+
+def _above(counters: list[np.ndarray], radius: int) -> np.ndarray:
+    """Lanes whose count exceeds ``radius``, compared from the highest bit down."""
+    more, same = np.zeros_like(counters[0]), ~np.zeros_like(counters[0])
+    for j in range(len(counters) - 1, -1, -1):
+        if radius >> j & 1:
+            same &= counters[j]
+        else:
+            more |= same & counters[j]
+            same &= ~counters[j]
+    return more
 
 
-def within(planes: np.ndarray, query: np.ndarray, radius: int) -> np.ndarray:
-    """A word mask of the fingerprints within ``radius`` of ``query`` (its 0/1 bits).
+def near_lanes(planes: np.ndarray, masks: np.ndarray, query: np.ndarray, word: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """For pairs (query, word of 64 fingerprints): the pairs left, and a mask of the lanes within ``radius``.
 
-    Distances are kept in vertical counters: plane j holds bit j of 64
-    distances. Four difference planes at a time are summed carry-save into
-    (ones, twos, fours), which ripple into the counters. Counters that pass the
-    radius stay marked, and words all of whose lanes are marked are dropped.
+    ``planes[i]`` holds bit i of all fingerprints, 64 in a word; ``masks[i]``
+    is all ones where bit i of a query is set. Distances are kept in vertical
+    counters: counter j holds bit j of 64 distances. Four difference planes at
+    a time are summed carry-save into (ones, twos, fours), which ripple into
+    the counters. A pair is abandoned once all of its 64 distances exceed the
+    radius; the pairs left are then compacted.
     """
-    depth = int(planes.shape[0]).bit_length()
-    alive = np.arange(planes.shape[1])
-    counters = [np.zeros(len(alive), _U64) for _ in range(depth)]
+    bits = planes.shape[0]
+    alive = np.arange(len(query))
+    counters = [np.zeros(len(query), _U64) for _ in range(bits.bit_length())]
     full = ~_U64(0)
-    over = np.zeros(len(alive), _U64)
-    for at in range(0, planes.shape[0], 4):
-        rows = planes[at : at + 4][:, alive] if len(alive) < planes.shape[1] else planes[at : at + 4]
-        diff = [rows[i] ^ (full if query[at + i] else _U64(0)) for i in range(len(rows))]
-        diff += [np.zeros(len(alive), _U64)] * (4 - len(diff))
+    for at in range(0, bits, 4):
+        diff = [planes[i][word] ^ masks[i][query] for i in range(at, min(at + 4, bits))]
+        diff += [np.zeros(len(query), _U64)] * (4 - len(diff))
         a, b = diff[0] ^ diff[1], diff[0] & diff[1]
         c, d = diff[2] ^ diff[3], diff[2] & diff[3]
         ones, carry = a ^ c, a & c
         twos = b ^ d ^ carry
         fours = (b & d) | (carry & (b ^ d))
         for value, j in ((ones, 0), (twos, 1), (fours, 2)):
-            while j < depth:
+            while j < len(counters):
                 counters[j], value = counters[j] ^ value, counters[j] & value
                 j += 1
-                if not value.any():
+                if j > 3 and not value.any():
                     break
-        if at + 4 > radius:
-            over = _above(counters, radius)
-            kept = np.flatnonzero(over != full)
-            if not len(kept):
-                return np.zeros(planes.shape[1], _U64)
-            if len(kept) < 0.75 * len(alive):
-                alive, over, counters = alive[kept], over[kept], [x[kept] for x in counters]
-    out = np.zeros(planes.shape[1], _U64)
-    out[alive] = ~_above(counters, radius)
-    return out
-
+        if at + 4 > radius and at // 4 % 2:
+            kept = np.flatnonzero(_above(counters, radius) != full)
+            if len(kept) < 0.8 * len(alive):
+                alive, query, word, counters = alive[kept], query[kept], word[kept], [x[kept] for x in counters]
+                if not len(kept):
+                    break
+    return alive, ~_above(counters, radius)
 
-def _above(counters: list[np.ndarray], radius: int) -> np.ndarray:
-    """Lanes whose count exceeds ``radius``, compared from the highest bit down."""
-    more, same = np.zeros_like(counters[0]), ~np.zeros_like(counters[0])
-    for j in range(len(counters) - 1, -1, -1):
-        if radius >> j & 1:
-            same &= counters[j]
-        else:
-            more |= same & counters[j]
-            same &= ~counters[j]
-    return more
 
+def links(cells: list[tuple[np.ndarray, np.ndarray | None]], radius: int) -> list[list[tuple[int, int]]]:
+    """For each cell, a spanning forest of its links.
 
-def members(mask: np.ndarray, n: int) -> np.ndarray:
-    return np.flatnonzero(np.unpackbits(np.ascontiguousarray(mask).view(np.uint8), bitorder="little")[:n])
-
-
-class Forest:
-    """Union by smallest index."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
-
-    def join(self, i: int, j: int) -> bool:
-        i, j = self.root(i), self.root(j)
-        if i == j:
-            return False
-        self.up[max(i, j)] = min(i, j)
-        return True
-
-
-def links(left: np.ndarray, right: np.ndarray | None, radius: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among ``left`` (and from it to ``right``, numbered after it)."""
-    both = left if right is None else np.concatenate([left, right])
-    base = 0 if right is None else len(left)
-    other = left if right is None else right
-    out: list[tuple[int, int]] = []
-    forest = Forest(len(both))
-    if len(other) <= 24:  # too few to fill a word: the same distances, row by row
-        bits, theirs = np.unpackbits(left, axis=1), np.unpackbits(other, axis=1)
-        near = (bits[:, None, :] != theirs[None, :, :]).sum(axis=2) <= radius
-        found = ((i, base + j) for i, j in zip(*np.nonzero(near), strict=True) if right is not None or j > i)
-    else:
-        planes, bits = planes_of(other), np.unpackbits(left, axis=1)
-        found = ((i, base + j) for i in range(len(left)) for j in members(within(planes, bits[i], radius), len(other)) if right is not None or j > i)
-    for i, j in found:
-        if forest.join(int(i), int(j)):
-            out.append((int(i), int(j)))
-    return out
+    A cell is fingerprints as rows of bytes, compared among themselves, or two
+    sets compared with each other (the second numbered after the first). Many
+    small cells are compared in one go.
+    """
+    q_parts, t_parts, q_at, w_at = [], [], 0, 0
+    bounds = []
+    query, word = [], []
+    for left, right in cells:
+        target = left if right is None else right
+        words = -(-len(target) // 64)
+        bounds.append((q_at, w_at * 64, len(left)))
+        q_parts.append(np.unpackbits(left, axis=1))
+        wide = np.zeros((words * 64, target.shape[1] * 8), np.uint8)
+        wide[: len(target)] = np.unpackbits(target, axis=1)
+        t_parts.append(wide)
+        query.append(np.repeat(np.arange(q_at, q_at + len(left)), words))
+        word.append(np.tile(np.arange(w_at, w_at + words), len(left)))
+        q_at, w_at = q_at + len(left), w_at + words
+    planes = np.ascontiguousarray(np.packbits(np.concatenate(t_parts).T, axis=1, bitorder="little")).view("<u8")
+    masks = np.where(np.ascontiguousarray(np.concatenate(q_parts).T) == 1, ~_U64(0), _U64(0))
+    cell = np.repeat(np.arange(len(cells)), [len(q) for q in query])
+    query, word = np.concatenate(query), np.concatenate(word)
+    edges: list[list[tuple[int, int]]] = [[] for _ in cells]
+    labels: dict[int, np.ndarray] = {}
+    for at in range(0, len(query), PAIRS):
+        part = slice(at, at + PAIRS)
+        q, w, k = query[part], word[part], cell[part]
+        alive, lanes = near_lanes(planes, masks, q, w, radius)
+        some = np.flatnonzero(lanes)
+        if not len(some):
+            continue
+        alive = alive[some]
+        row, lane = np.nonzero(np.unpackbits(np.ascontiguousarray(lanes[some]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+        row = alive[row]
+        k, source, target = k[row], q[row], w[row] * 64 + lane
+        q0, t0, n = (np.array([b[i] for b in bounds])[k] for i in range(3))
+        own = np.array([right is None for _, right in cells])[k]
+        size = np.array([len(left) if right is None else len(right) for left, right in cells])[k]
+        source, target = source - q0, target - t0
+        real = (target < size) & (~own | (target > source))
+        k, source, target = k[real], source[real], np.where(own, target, target + n)[real]
+        if not len(k):
+            continue
+        turns = np.flatnonzero(np.diff(k * (1 << 32) + source, prepend=-1))
+        for a, b in zip(turns, np.append(turns[1:], len(k)), strict=True):
+            c, i = int(k[a]), int(source[a])
+            if c not in labels:
+                left, right = cells[c]
+                labels[c] = np.arange(len(left) + (0 if right is None else len(right)))
+            _hook(labels[c], i, target[a:b], edges[c])
+    return edges
+
+
+def _hook(label: np.ndarray, i: int, near: np.ndarray, edges: list[tuple[int, int]]) -> None:
+    """Join ``i`` with the classes of ``near``: one edge for each class that it did not belong to."""
+    found, first = np.unique(label[near], return_index=True)
+    for other, j in zip(found, near[first], strict=True):
+        if other != label[i]:
+            edges.append((i, int(j)))
+            label[label == other] = label[i]
 
 
 # Buckets and cells ----------------------------------------------------------
@@ -238,34 +253,38 @@ def pair_links(prints: DataFrame, radius: int, bands: int, size: int = 1) -> Dat
     dealt = placed.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "c", "fp")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, list] = {}
         current: tuple | None = None
+        left: list[bytes] = []
+        right: list[bytes] = []
+        waiting: list[tuple[list[bytes], list[bytes]]] = []
+        load = 0
+
+        def close() -> int:
+            """Queue the cell just read, and return the pairs of a query and a word that it adds."""
+            if current is None or (len(left) < 2 if current[1] == current[2] else not (left and right)):
+                return 0
+            waiting.append((left, right))
+            return len(left) * -(-len(right or left) // 64)
+
+        def work() -> pa.RecordBatch | None:
+            cells = [(bit_rows(a), bit_rows(b) if b else None) for a, b in waiting]
+            made = [(both[i], both[j]) for (a, b), found in zip(waiting, links(cells, radius) if cells else [], strict=True) if found for both in [a + b] for i, j in found]
+            waiting.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*made, strict=True)], names=["a", "b"]) if made else None
 
-        def flush() -> list[tuple[bytes, bytes]]:
-            if current is None:
-                return []
-            (_, i, j), left, right = current, held.get("l", []), held.get("r", [])
-            rows = lambda x: np.frombuffer(b"".join(x), np.uint8).reshape(len(x), -1)
-            if i == j:
-                made = links(rows(left), None, radius) if len(left) > 1 else []
-            else:
-                made = links(rows(left), rows(right), radius) if left and right else []
-            both = left + right
-            return [(both[a], both[b]) for a, b in made]
-
-        out: list[tuple[bytes, bytes]] = []
         for batch in batches:
             for key, i, j, c, fp in zip(*(batch.column(n).to_pylist() for n in range(5)), strict=True):
                 if (key, i, j) != current:
-                    out += flush()
-                    current, held = (key, i, j), {"l": [], "r": []}
-                held["l" if c == i else "r"].append(fp)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out, strict=True)], names=["a", "b"])
-                out = []
-        out += flush()
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out, strict=True)], names=["a", "b"])
+                    load += close()
+                    current, left, right = (key, i, j), [], []
+                    if load >= PAIRS:
+                        if out := work():
+                            yield out
+                        load = 0
+                (left if c == i else right).append(fp)
+        close()
+        if out := work():
+            yield out
 
     return dealt.mapInArrow(compare, "a binary, b binary").distinct()
 
