@@ -1,0 +1,5 @@
+"""No streaming operators: nothing in the required behaviour is a stream.
+
+Batches that append to a result log are read back with
+:func:`quire.operators.sequence.latest`.
+"""
