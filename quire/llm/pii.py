@@ -460,7 +460,8 @@ def report(docs: DataFrame) -> DataFrame:
 
     line = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     found = with_spans(docs.select("doc_id", "text"))
-    counts = [F.size(F.filter("base_spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    is_kind = lambda k: lambda s: s["kind"] == k
+    counts = [F.size(F.filter("base_spans", is_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(line("base_spans"), 256).alias("base_sha256"), line("spans").alias("spans"))
 
 
