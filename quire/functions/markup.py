@@ -36,7 +36,7 @@ ENTITIES = {
     "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "para": "¶", "ndash": "–", "mdash": "—",
     "hellip": "…", "rsquo": "’", "lsquo": "‘", "rdquo": "”", "ldquo": "“",
 }
-_SPACE = " \t\n\r\x0b\x0c   　" + "".join(map(chr, range(0x2000, 0x200B)))
+_SPACE = " \t\n\r\x0b\x0c\u00a0\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 _TOKEN = re.compile(
     r"<(?P<tag>[^>]*)>|&(?P<entity>[^;]{1,9});|(?P<para>¶)|\\(?P<usfm>\+?[a-z]{1,8}(?![a-z])[0-9]*\*?)|(?P<space>[" + re.escape(_SPACE) + r"]+)|(?P<text>[^<&¶\\" + re.escape(_SPACE) + r"]+|[<&\\])"
 )

@@ -95,12 +95,12 @@ def parsed_rows(rows: DataFrame, raw: str = "raw") -> DataFrame:
 
 def with_variants(rows: DataFrame) -> DataFrame:
     """Verses that another division counts apart go to their host, marked as moved (unless they already were)."""
-    out, key = rows, F.col("target")
+    key, place = F.col("target"), keys.pack(F.col("book"), F.col("c"), F.col("v"))
     host = F.lit(None).cast("long")
     for k, (to, _) in MOVED.items():
-        host = F.when(key == k, F.lit(to).cast("long")).otherwise(host)
+        host = F.when(place == k, F.lit(to).cast("long")).otherwise(host)
     plain = F.col("reason").isNull() | (F.col("reason") == "fold")
-    return out.withColumns({"target": F.when(plain, F.coalesce(host, key)).otherwise(key), "reason": F.when(plain & host.isNotNull(), "moved").otherwise(F.col("reason"))})
+    return rows.withColumns({"target": F.when(plain, F.coalesce(host, key)).otherwise(key), "reason": F.when(plain & host.isNotNull(), "moved").otherwise(F.col("reason"))})
 
 
 def merge(rows: DataFrame) -> DataFrame:

@@ -42,9 +42,9 @@ def short_flags(df: DataFrame, text: str, least: int) -> DataFrame:
     return df.agg(
         F.count("*").alias("total"),
         count(F.length(F.btrim(t)) < least).alias("short"),
-        count(t.contains("�")).alias("replaced"),
+        count(t.contains("\ufffd")).alias("replaced"),
         count(t.rlike("(?s)<.*>")).alias("html"),
-        count(t.contains("¶")).alias("pilcrow"),
+        count(t.contains("\u00b6")).alias("pilcrow"),
         count(t.contains("\\")).alias("backslash"),
     )
 

@@ -102,7 +102,7 @@ def content_rules(name: str, df: DataFrame, least: int | None = None) -> list[Da
         return []
     least = least or (8 if name == "bible_verse" else 12)
     t = F.coalesce(F.col(TEXT_COLUMN[name]), F.lit(""))
-    shares = df.agg(F.count("*").alias("total"), F.count_if(F.length(F.btrim(t)) < least).alias("short"), F.count_if(t.contains("�")).alias("damaged"))
+    shares = df.agg(F.count("*").alias("total"), F.count_if(F.length(F.btrim(t)) < least).alias("short"), F.count_if(t.contains("\ufffd")).alias("damaged"))
     total = F.nullif("total", F.lit(0))
     s, d = F.col("short") / total, F.col("damaged") / total
     code = F.when((s >= 0.8) | (d >= 0.6), "content_corrupt").when((s >= 0.2) | (d >= 0.05), "content_thin")
@@ -114,7 +114,7 @@ def text_rules(verses: DataFrame) -> list[DataFrame]:
     t, wc, v = F.col("text"), F.col("word_count"), F.col("verse_id")
     rules = [
         ("bible_text_html", "error", t.rlike("(?s)<.*>"), v),
-        ("bible_text_pilcrow", "error", t.contains("¶"), v),
+        ("bible_text_pilcrow", "error", t.contains("\u00b6"), v),
         ("bible_text_backslash", "error", t.contains("\\"), v),
     ]
     if "word_count" in verses.columns:

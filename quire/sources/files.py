@@ -63,7 +63,7 @@ def settings(spark: SparkSession, path: str) -> DataFrame:
 def catalog(spark: SparkSession, path: str) -> DataFrame:
     """A catalogue with a header, a BOM tolerated; ``position`` is the row's place in the file."""
     df = spark.read.csv(path, header=True, multiLine=True, encoding="UTF-8", escape='"')
-    df = df.toDF(*[c.lstrip("﻿") for c in df.columns])
+    df = df.toDF(*[c.lstrip("\ufeff") for c in df.columns])
     return df.withColumn("position", F.monotonically_increasing_id())
 
 
