@@ -260,3 +260,19 @@ def test_sinks(spark, tmp_path):
     sinks.write_module({"verse_link": df}, f"{tmp_path}/m", force=True)
     assert spark.read.parquet(f"{tmp_path}/m/verse_link").where("context IS NULL").count() == 1
     assert sinks.formatted(df, "count") == "2" and json.loads(sinks.formatted(df, "json"))[1]["context"] == "c" and "link_id" in sinks.formatted(df, "table")
+
+
+def test_report(spark, canon):
+    from quire.operators import report
+
+    source = spark.createDataFrame([(1001000 + i, f"Verse {i} of the chapter has some words", i % 2 == 0) for i in range(1, 26)], "verse_id long, text string, red boolean")
+    same = report.bible_findings(source, source, canon, source)
+    assert {r["code"] for r in same.collect()} <= {"holes", "partial_books"} and report.module_status(same.where("code = 'holes'")).first()["status"] == "PASS"
+    bad = source.where("verse_id > 1001005").withColumns({"text": F.when(F.col("verse_id") % 2 == 0, "Something <i>else</i>").otherwise(F.col("text")), "red": F.lit(False)}).unionByName(spark.createDataFrame([(1001099, "out", False)], "verse_id long, text string, red boolean"))
+    codes = {r["code"]: r["severity"] for r in report.bible_findings(source, bad, canon, source).collect()}
+    assert codes["missing_in_db"] == "error" and codes["canon_violation"] == "error" and codes["introduced_html_tag"] == "error" and codes["red_letter_lost"] == "error" and codes["text_differs"] == "error" and codes["extra_in_db"] == "warn"
+    assert "| error | canon_violation | 1 |" in report.markdown("x", report.bible_findings(source, bad, canon).collect(), {"verses": 2})
+    w = spark.createDataFrame([(1001000 + i, f"H{i}00{k}") for i in range(1, 20) for k in range(4)], "verse_id long, strongs_number string")
+    moved = w.withColumn("verse_id", F.col("verse_id") + 1)
+    assert "strongs_misplaced" in {r["code"] for r in report.strongs_findings(moved, w.unionByName(w)).collect()}
+    assert report.strongs_findings(w, w).count() == 0
