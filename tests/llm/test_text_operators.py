@@ -253,46 +253,67 @@ def test_lm_base_by_hand_and_better_than_it(spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-def test_lm_is_a_distribution_and_windows_score_once():
+def small_network(ids=40):
     rng = np.random.default_rng(0)
-    ids = 40
     counts = rng.integers(1, 50, ids)
-    cls = np.concatenate([rng.integers(0, lm_scoring.CLASSES, ids), [lm_scoring.CLASSES - 2, lm_scoring.CLASSES - 1]]).astype(np.int32)
+    cls = np.concatenate([rng.integers(0, lm_scoring.CLASSES - 2, ids), [lm_scoring.CLASSES - 2, lm_scoring.CLASSES - 1]]).astype(np.int32)
     log_in, share = lm_scoring.within_class(np.append(counts, 9), cls)
-    net = lm_scoring.Network(np.arange(ids + 2, dtype=np.int32), cls, share)
-    pairs = np.array([[1, 1, 2], [2, 3, 1], [5, 4, 3]], np.int32)
-    after = lm_scoring.after_table(pairs, counts, cls, log_in)
-    used = np.unique(cls[: ids + 1])
-    seq = np.concatenate([[ids], rng.integers(0, ids, 150)]).astype(np.int32)
-    for n in (2, 17, 64, 65, 151):
-        each = [10 ** lm_scoring.log_probabilities([np.append(seq[:n], x).astype(np.int32)], net, log_in, after, ids + 1)[0] for x in range(ids + 1)]
-        prefix = 10 ** lm_scoring.log_probabilities([seq[:n]], net, log_in, after, ids + 1)[0]
-        # Classes without ids hold a little of the mass.
-        assert 0.9 * prefix < sum(each) <= prefix * (1 + 1e-2) and len(used)
-    whole = lm_scoring.log_probabilities([seq, seq[:40]], net, log_in, after, ids + 1)
-    assert abs(whole[1] - lm_scoring.log_probabilities([seq[:40]], net, log_in, after, ids + 1)[0]) < 1e-4
+    row = np.concatenate([np.arange(ids), [lm_scoring.END_ROW, lm_scoring.PAD_ROW]]).astype(np.int32)
+    return lm_scoring.Network(row, cls, share), counts, cls, log_in
+
+
+def test_lm_is_a_distribution_and_windows_score_once():
+    ids = 40
+    net, counts, cls, log_in = small_network(ids)
+    after = lm_scoring.after_table(np.array([[1, 1, 2], [2, 3, 1], [5, 4, 3]], np.int32), counts, cls, log_in)
+    score = lambda seqs: lm_scoring.log_probabilities(seqs, net, log_in, after, ids + 1)
+    seq = np.concatenate([[ids], np.random.default_rng(1).integers(0, ids, 150)]).astype(np.int32)
+    for n in (2, 17, 32, 33, 64, 65, 151):
+        each = 10 ** (score([np.append(seq[:n], x).astype(np.int32) for x in range(ids + 1)]) - score([seq[:n]])[0])
+        assert 0.95 < each.sum() <= 1.01  # classes without ids hold a little of the mass
+    both = score([seq, seq[:40]])
+    assert abs(both[1] - score([seq[:40]])[0]) < 1e-4 and abs(both[0] - score([seq])[0]) < 1e-4
 
 
 def test_lm_gradient_by_differences(monkeypatch):
     monkeypatch.setattr(lm_scoring, "F32", np.float64)
     rng = np.random.default_rng(0)
-    net = lm_scoring.Network(rng.integers(0, 50, 52).astype(np.int32), rng.integers(0, lm_scoring.CLASSES, 52).astype(np.int32), np.full(lm_scoring.CLASSES, 1 / lm_scoring.CLASSES))
-    x, y = rng.integers(0, 51, (2, lm_scoring.WINDOW)), rng.integers(0, 51, (2, lm_scoring.STRIDE))
-    x[0, : lm_scoring.CONTEXT] = 51
-    y[1, 20:] = 51
-    grads, _ = net.gradient(x, y, 51)
+    net, *_ = small_network()
+    for name in net.NAMES:
+        setattr(net, name, getattr(net, name).astype(np.float64))
+    rows, cls = rng.integers(0, 40, (2, lm_scoring.WINDOW)), rng.integers(0, lm_scoring.CLASSES, (2, lm_scoring.STRIDE))
+    rows[0, : lm_scoring.CONTEXT] = lm_scoring.PAD_ROW
+    valid = rng.random(cls.shape) > 0.2
+    grads, loss = net.gradient(rows, cls, valid)
+    assert abs(loss + (net.log_class(rows, cls) * valid).sum() / valid.sum()) < 1e-6
     for name in net.NAMES:
         w = getattr(net, name)
         i = np.unravel_index(np.abs(grads[name]).argmax(), w.shape)
         old, step = w[i], 1e-5
         w[i] = old + step
-        up = net.gradient(x, y, 51)[1]
+        up = net.gradient(rows, cls, valid)[1]
         w[i] = old - step
-        down = net.gradient(x, y, 51)[1]
+        down = net.gradient(rows, cls, valid)[1]
         w[i] = old
         assert abs((up - down) / (2 * step) - grads[name][i]) < 1e-4 * max(1, abs(grads[name][i]))
 
 
+def test_lm_words_to_ids():
+    subwords = lm_scoring.Subwords(lm_scoring.read_vocabulary(lm_scoring.VOCABULARY))
+    words = [b"hello", b"x" * 700, "é".encode() * 300, b"the", b"<|endoftext|>", b"\x00a", b"hello"]
+    flat, sizes = subwords.many(words)
+    assert flat.tolist() == subwords.ids(words).tolist() and len(sizes) == len(words) and subwords.many([b"hello", b"the"])[1].tolist() == [1, 1]
+    assert subwords.coder.decode(subwords.ids(words[:2]).tolist()) == " hello " + "x" * 700 and subwords.ids([]).size == 0
+
+
+def test_lm_most_frequent_is_bounded(spark):
+    df = spark.createDataFrame([(str(i), 1 + i // 10) for i in range(1000)], "word string, n long")
+    for limit in (0, 5, 100, 2000):
+        got = [r["n"] for r in lm_scoring.most_frequent(df, limit).collect()]
+        assert len(got) <= limit and (not got or min(got) > max([1 + i // 10 for i in range(1000) if 1 + i // 10 not in got], default=0))
+    assert len(got) == 1000
+
+
 def test_lm_without_training_rows(spark):
     out = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     df = spark.createDataFrame([(out, "a b")], "doc_id long, text string")
