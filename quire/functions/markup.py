@@ -324,6 +324,41 @@ def parse(raw: str | None, books: Books | None = None) -> dict:
     return r.finish()
 
 
+_PLAIN = re.compile(r"<(?P<tag>[^>]*)>|&(?P<entity>[^;]{0,8});|(?P<space>\s)|(?P<text>[^<&\s]+|[<&])")
+#: What the plain reader tells apart: tag test on the lower-cased body -> kind of range.
+_RANGES = (("red", r"font\b.*color.*red|q\b.*who=.*jesus"), ("italic", r"i(\s|$)"), ("bold", r"b(\s|$)"), ("underline", r"u(\s|$)"))
+_ENDS = {"font": "red", "q": "red", "i": "italic", "b": "bold", "u": "underline"}
+
+
+def plain_ranges(html: str) -> dict:
+    """Text with its white space kept, and word ranges of four kinds; every tag ends a word.
+
+    A range that closes before a whole word has been read is left out.
+    """
+    out: dict = {"text": "", "red": [], "italic": [], "bold": [], "underline": []}
+    words, inside, open_tags = 0, False, []
+    for m in _PLAIN.finditer(html or ""):
+        entity = {"nbsp": " ", "lt": "<", "gt": ">", "amp": "&", "quot": '"', "apos": "'"}.get((m["entity"] or "").lower())
+        if m["tag"] is not None or m["space"] or entity == " ":
+            words, inside = words + inside, False
+            out["text"] += "" if m["tag"] is not None else m["space"] or " "
+        else:
+            out["text"], inside = out["text"] + (entity or m[0]), True
+        if m["tag"] is None:
+            continue
+        body = m["tag"].lower().strip()
+        if body.startswith("/"):
+            kind = _ENDS.get(body[1:].split()[0] if body[1:].split() else "")
+            at = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == kind), None)
+            if at is not None:
+                start = open_tags.pop(at)[1]
+                if words > start:
+                    out[kind].append((start, words - 1))
+        elif kind := next((k for k, test in _RANGES if re.match(test, body)), None):
+            open_tags.append((kind, words))
+    return out
+
+
 _DEFAULT: list[Books] = []
 
 

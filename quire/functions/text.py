@@ -157,16 +157,58 @@ def strip_markup_clean(x: Column) -> Column:
     return F.btrim(F.regexp_replace(F.replace(strip_markup(x), F.lit("¶"), F.lit("")), r"\s+", " "))
 
 
+#: Replacements that clean section HTML, in their order (fixed values).
+SECTION_MARKUP = [
+    (r"<!/P>\s*<br\s*/?>\s*<!P>\s*<br\s*/?>", "</p>\n<p>"),
+    (r"<!P>\s*<br\s*/?>", ""),
+    (r"<!/P>\s*<br\s*/?>", ""),
+    (r"<!/?P>", ""),
+    (r"<a\s+href=\"passagestudy\.jsp\?[^\"]*\">", ""),
+    (r"</a>", ""),
+]
+SECTION_SPACE = [(r"\t{2,}", ""), (r" {2,}", " "), (r"\n{3,}", "\n\n")]
+
+
 def clean_section_html(x: Column) -> Column:
-    """Section HTML: links unwrapped, paragraph markers normalised, spaces collapsed, wrapped in ``<p>``."""
-    y = F.regexp_replace(x, r"(?i)<a\b[^>]*>(.*?)</a>", "$1")
-    y = F.regexp_replace(y, r"(?i)<!/?p>", "</p><p>")
-    y = F.regexp_replace(y, r"(?i)(<br\s*/?>\s*){2,}", "</p><p>")
-    y = F.regexp_replace(y, r"\s+", " ")
-    y = F.regexp_replace(y, r"(?i)<p>\s*</p>", "")
-    y = F.btrim(y)
-    y = F.when(y == "", "").otherwise(F.concat(F.when(y.rlike("(?i)^<p[ >]"), "").otherwise("<p>"), y, F.when(y.rlike("(?i)</p>$"), "").otherwise("</p>")))
-    return F.regexp_replace(y, r"(?i)<p>\s*</p>", "")
+    """Section HTML: paragraph markers become tags, study links their text; wrapped in ``<p>``, runs of space shortened."""
+    y = x
+    for pattern, put in SECTION_MARKUP:
+        y = F.regexp_replace(y, pattern, put)
+    opened = y.rlike(r"^[ \t\r\n]*<(p|h[123])")
+    y = F.concat(F.when(opened, F.lit("")).otherwise(F.lit("<p>")), y)
+    y = F.concat(y, F.when(y.rlike(r"</p>[ \t\r\n]*$"), F.lit("")).otherwise(F.lit("</p>")))
+    for pattern, put in SECTION_SPACE:
+        y = F.regexp_replace(y, pattern, put)
+    return y
+
+
+#: Kinds of dictionaries: (kind, parts of the name, of the description, of the category), first hit wins (fixed values).
+DICTIONARY_KINDS = [
+    ("glossary", (), ("glossary",), ("glossar",)),
+    ("strongs", ("strong",), ("strong",), ()),
+    ("greek_lexicon", ("greek", "thayer", "bdag", "liddell"), (), ()),
+    ("hebrew_lexicon", ("hebrew", "bdb", "halot"), (), ()),
+]
+
+
+def _any_part(x: Column, parts: tuple[str, ...]) -> Column:
+    low, out = F.lower(F.coalesce(x, F.lit(""))), F.lit(False)
+    for p in parts:
+        out = out | low.contains(p)
+    return out
+
+
+def dictionary_kind(name: Column, description: Column, category: Column) -> Column:
+    out = F.lit("bible_dictionary")
+    for kind, names, descriptions, categories in reversed(DICTIONARY_KINDS):
+        out = F.when(_any_part(name, names) | _any_part(description, descriptions) | _any_part(category, categories), kind).otherwise(out)
+    return out
+
+
+def devotional_kind(description: Column) -> Column:
+    """By the year unless the description names a fixed number of days."""
+    yearly, fixed = _any_part(description, ("365", "daily", "year")), _any_part(description, ("40 day", "90 day", "30 day"))
+    return F.when(~yearly & fixed, "fixed_length").otherwise("day_of_year")
 
 
 def has_red_font(html: Column) -> Column:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import keys, markup
 from ..functions.refs import Books
-from ..functions.text import deterministic_uuid, first_year, identity_key, is_right_to_left, licence_to_spdx, primary_language, spdx_url, strip_markup, strip_rtf
+from ..functions.text import clean_section_html, deterministic_uuid, first_year, identity_key, is_right_to_left, licence_to_spdx, primary_language, spdx_url, strip_markup, strip_rtf
+from . import trees
 from .ranges import first_rule
 
 #: Numbering systems (fixed values): taken as they are, translated by the record's own reference, by an outside map.
@@ -185,6 +186,23 @@ def devotional_table(records: DataFrame) -> DataFrame:
     return rows.select("module", F.row_number().over(Window.partitionBy("module").orderBy("i")).alias("day_number"), F.btrim("key").alias("date_label"), F.col("raw").alias("content"))
 
 
+def section_table(records: DataFrame) -> DataFrame:
+    """Records with ``parent_i`` (null for roots) -> sections: dotted numbers, cleaned HTML, words of the stripped text.
+
+    Sibling order is source order; nodes deeper than 64 levels have no number and go.
+    """
+    r = records.select("module", "i", "parent_i")
+    up = r.withColumns({"id": F.xxhash64("module", "i"), "up": F.when(F.col("parent_i").isNotNull(), F.xxhash64("module", "parent_i"))})
+    rooted = up.withColumn("up", F.coalesce("up", F.xxhash64("module")))
+    modules = r.select(F.xxhash64("module").alias("id"), F.lit(None).cast("long").alias("up"), F.lit(-1).cast("long").alias("i")).distinct()
+    numbers = trees.dotted_numbers(rooted.select("id", "up", F.col("i").cast("long").alias("i")).unionByName(modules), "id", "up", ["i"])
+    number = F.regexp_replace("number", r"^[0-9]+\.", "")  # the first step numbers the module
+    html = clean_section_html(F.coalesce("raw", F.lit("")))
+    rows = records.withColumn("node", F.xxhash64("module", "i")).join(numbers.withColumn("section_number", number), "node")
+    words = F.size(F.filter(F.split(strip_markup(F.coalesce("raw", F.lit(""))), r"\s+"), lambda w: w != ""))
+    return rows.select("module", F.col("i").alias("section_id"), F.col("parent_i").alias("parent_section_id"), "section_number", F.col("i").alias("sort_order"), F.col("key").alias("title"), html.alias("content"), words.alias("word_count"))
+
+
 def identity_block(conf: DataFrame, kind: str) -> DataFrame:
     """Module identity from (module, conf map): fallbacks in order, empty values count as missing."""
     get = lambda *names: F.coalesce(*[F.nullif(F.btrim(F.col("conf")[n]), F.lit("")) for n in names])

@@ -137,3 +137,14 @@ def stratified(df: DataFrame, stratum: str, key: str, n: int, seed: int = 1) ->
     """Round-robin over strata, in hash order inside each, until ``n`` rows are taken."""
     inside = Window.partitionBy(stratum).orderBy(F.xxhash64(F.lit(seed), F.col(key)), key)
     return df.withColumn("_turn", F.row_number().over(inside)).orderBy("_turn", F.xxhash64(F.lit(seed), F.col(stratum)), stratum).limit(n).drop("_turn")
+
+
+def module_report(verses: DataFrame, words: DataFrame | None = None) -> DataFrame:
+    """(verses, formatted, red, words, with_original, latin_original): one row about a converted module."""
+    red = F.get_json_object("formatting", "$.spans[*].type").contains("words_of_christ")
+    out = verses.agg(F.count("*").alias("verses"), F.count("formatting").alias("formatted"), F.count_if(F.coalesce(red, F.lit(False))).alias("red"))
+    if words is None:
+        return out
+    o = F.coalesce("original_word", F.lit(""))
+    w = words.agg(F.count("*").alias("words"), F.count_if(o != "").alias("with_original"), F.count_if(o.rlike("^[A-Za-z][A-Za-z ]*$") & (F.length(o) > 1)).alias("latin_original"))
+    return out.join(F.broadcast(w))

@@ -148,3 +148,17 @@ def test_snippet():
     s = fulltext.snippet_of(words, ["w50", "w55"])
     assert s.startswith("...") and s.endswith("...") and ">>>w50<<<" in s and ">>>w55<<<" in s and len(s.split()) == 40
     assert fulltext.snippet_of("Ünder the sea.", ["under"]) == ">>>Ünder<<< the sea."
+
+
+def test_section_html_and_kinds(spark):
+    raw = 'One <a href="passagestudy.jsp?x=1">Luke 1:1</a><!/P><br /><!P><br />two   three\t\tfour<!P>'
+    assert one(col(spark, raw), text.clean_section_html(F.col("x"))) == "<p>One Luke 1:1</p>\n<p>two threefour</p>"
+    assert one(col(spark, " <h2>x</h2></p>\n"), text.clean_section_html(F.col("x"))) == " <h2>x</h2></p>\n"
+    kind = lambda n, d, c: one(col(spark, n), text.dictionary_kind(F.col("x"), F.lit(d), F.lit(c)))
+    assert [kind("StrongsGreek", "", ""), kind("Thayer", "", ""), kind("BDB", "", ""), kind("x", "A Glossary", ""), kind("x", "", "Glossaries"), kind("Easton", "", "")] == ["strongs", "greek_lexicon", "hebrew_lexicon", "glossary", "glossary", "bible_dictionary"]
+    assert [one(col(spark, d), text.devotional_kind(F.col("x"))) for d in ("40 days", "Daily 40 days", "other")] == ["fixed_length", "day_of_year", "day_of_year"]
+
+
+def test_plain_ranges():
+    r = markup.plain_ranges('a <font color="red">b c</font> <i>d</i>e &amp; <u></u>f')
+    assert r["text"] == "a b c de & f" and r["red"] == [(1, 2)] and r["italic"] == [(3, 3)] and r["underline"] == []

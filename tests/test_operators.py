@@ -276,3 +276,21 @@ def test_report(spark, canon):
     moved = w.withColumn("verse_id", F.col("verse_id") + 1)
     assert "strongs_misplaced" in {r["code"] for r in report.strongs_findings(moved, w.unionByName(w)).collect()}
     assert report.strongs_findings(w, w).count() == 0
+
+
+def test_other_module_types(spark, canon):
+    r = spark.createDataFrame([("m", 0, None, "A", "<p>one two</p>"), ("m", 1, 0, "A1", "x"), ("m", 2, 0, "A2", ""), ("m", 3, None, "B", "y"), ("n", 0, None, "C", "z")], "module string, i long, parent_i long, key string, raw string")
+    got = {(x["module"], x["section_id"]): (x["section_number"], x["word_count"]) for x in convert.section_table(r).collect()}
+    assert got == {("m", 0): ("1", 2), ("m", 1): ("1.1", 1), ("m", 2): ("1.2", 0), ("m", 3): ("2", 1), ("n", 0): ("1", 1)}
+    d = spark.createDataFrame([("m", 0, "k", "first"), ("m", 1, " ", "x"), ("m", 2, "k", "second"), ("m", 3, "l", "<b>bold</b> &amp;")], "module string, i long, key string, raw string")
+    assert {x["entry_key"]: x["definition"] for x in convert.dictionary_table(d).collect()} == {"k": "first", "l": "bold &"}
+    assert [(x["day_number"], x["date_label"]) for x in convert.devotional_table(d).orderBy("day_number").collect()] == [(1, "k"), (2, ""), (3, "k"), (4, "l")]
+    t = convert.commentary_tables(records(spark, [("Gen", 1, 0, "<p>chapter note</p>"), ("Gen", 1, 3, "verse"), ("Xx", 1, 1, "out")]))
+    assert [(x["entry_level"], x["verse_id_start"], x["word_count"]) for x in t["commentary_entry"].orderBy("entry_id").collect()] == [("chapter", 1001001, 2), ("verse", 1001003, 1)]
+    assert t["verse_link"].where("verse_id_end = verse_id_start").count() == 2
+    conf = spark.createDataFrame([("X", {"Lang": "he", "DistributionLicense": "Public Domain", "Copyright": "1901", "About": "x"})], "module string, conf map<string,string>")
+    row = convert.identity_block(conf, "bible").first()
+    assert row["license_spdx"] == "PD" and row["right_to_left"] and row["year_published"] == 1901 and row["abbreviation"] == "X"
+    v = spark.createDataFrame([(1, '{"spans":[{"type":"words_of_christ"}]}'), (2, None)], "verse_id long, formatting string")
+    w = spark.createDataFrame([("logos",), (None,), ("λόγος",)], "original_word string")
+    assert tuple(stats.module_report(v, w).first()) == (2, 1, 1, 3, 2, 1)
