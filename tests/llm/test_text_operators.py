@@ -314,6 +314,18 @@ def test_lm_most_frequent_is_bounded(spark):
     assert len(got) == 1000
 
 
+def test_lm_trains_on_every_id(spark):
+    raw = lm_scoring.read_vocabulary(lm_scoring.VOCABULARY)
+    subwords = lm_scoring.Subwords(raw)
+    texts = [None, "", "one", *(" ".join(f"w{i * j % 97}" for j in range(200 + i)) for i in range(50))]
+    counts = np.bincount(np.concatenate([subwords.ids([w.encode() for w in words_of(t)]) for t in texts if t]), minlength=subwords.size)
+    row, cls = lm_scoring.clusters([], counts)
+    net = lm_scoring.Network(row, cls, lm_scoring.within_class(np.append(counts, len(texts)), cls)[1])
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    before = net.weights()
+    assert lm_scoring.average(net, docs, raw) == counts.sum() + 2 * len(texts) and (net.weights() != before).any()
+
+
 def test_lm_without_training_rows(spark):
     out = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     df = spark.createDataFrame([(out, "a b")], "doc_id long, text string")
