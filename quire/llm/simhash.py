@@ -25,6 +25,7 @@ if it has none); repeated ids are rows of their own.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import combinations, repeat
 
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import annotate, binaries, cut, field, space_words
+from .common import annotate, binaries, cut, field, scratch, short_batches, space_words
 
 CHUNK = 2048
 #: Shingle hashes whose bits are counted at a time.
@@ -320,7 +321,11 @@ def classes(prints: DataFrame, radius: int, bands: int, size: int = 1) -> DataFr
     smallest node of a component is its smallest id. Fingerprints that no row
     with an id bears get null unless a linked one has an id.
     """
-    found = pair_links(prints, radius, bands, size)
+    return joined_classes(prints, pair_links(prints, radius, bands, size))
+
+
+def joined_classes(prints: DataFrame, found: DataFrame) -> DataFrame:
+    """``classes`` by the links (a, b) of ``found``."""
     # Fingerprints without an id stand after all others, below their own negative code.
     node = F.coalesce(F.col("first_id"), F.lit(2**62) + F.shiftright(F.abs(F.xxhash64("fp")), 2))
     nodes = prints.select("fp", node.alias("node"), "first_id")
@@ -347,11 +352,110 @@ def near_duplicates(
     return prints.join(found, "fp").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-#: The pipeline's stage: shingles of five words; similarity 0.8 or more. Of 512
-#: bits two texts of similarity 0.8 differ in about 78 (sd 8), of 0.7 in 98, texts
-#: without common shingles in 256 (sd 11). Two at 0.8 share one of the 42 bands of
-#: 12 bits with probability 0.998.
-STAGE = {"width": 5, "lanes": 8, "radius": 88, "bands": 42, "size": 1}
+# The pipeline's stage -------------------------------------------------------
+
+#: Shingles of five words; texts are linked by an exact Jaccard similarity of at
+#: least 4 / 5 of their shingle sets. Candidates share all ``KEY_ROWS`` min-hashes
+#: of one of ``KEYS`` keys: two texts at 0.8, long or short, with probability
+#: 1 - (1 - 0.8 ** 4) ** 14 = 0.9994.
+SHINGLE, KEYS, KEY_ROWS = 5, 14, 4
+
+
+def min_hash_keys(shingles: np.ndarray) -> list[int]:
+    """One key for each choice of ``KEY_ROWS`` min-hashes; an empty set has none."""
+    if not len(shingles):
+        return []
+    least = np.array([_spread(shingles, lane).min() for lane in range(1, KEYS * KEY_ROWS + 1)], _U64)
+    return [xxh64_intdigest(row.tobytes(), k) - (1 << 63) for k, row in enumerate(least.reshape(KEYS, KEY_ROWS))]
+
+
+def set_links(left: list[np.ndarray], right: list[np.ndarray]) -> list[tuple[int, int]]:
+    """A spanning forest of the links of a cell: ``left`` among itself, or with ``right`` (numbered after it)."""
+    sets = left + right
+    sizes = np.array([len(x) for x in sets])
+    kinds, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    label, edges, mark = np.arange(len(sets)), [], np.zeros(len(kinds), bool)
+    for i in range(len(left)):
+        first = len(left) if right else i + 1
+        if (label[first:] == label[i]).all():
+            continue
+        own = codes[starts[i] : starts[i] + sizes[i]]
+        mark[own] = True
+        common = np.add.reduceat(mark[codes[starts[first] :]], starts[first:] - starts[first], dtype=np.int64)
+        mark[own] = False
+        near = first + np.flatnonzero(5 * common >= 4 * (sizes[i] + sizes[first:] - common))
+        if len(near):
+            _hook(label, i, near, edges)
+    return edges
+
+
+def similar_links(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b): links between distinct shingle sets, a spanning forest of each cell.
+
+    Buckets with the same members are compared once; long ones are dealt over
+    cells as in ``pair_links``. Only sets that share a bucket are moved.
+    """
+    spread = nodes.select("fp", F.posexplode("keys").alias("place", "key"))
+    member = F.xxhash64("fp")
+    buckets = spread.groupBy("place", "key").agg(F.count("*").alias("n"), F.sum(F.shiftright(member, 20)).alias("s"), F.sum(F.hash("fp").cast("long")).alias("t")).where("n > 1")
+    once = buckets.groupBy("n", "s", "t").agg(F.min(F.struct("place", "key")).alias("b"))
+    chunks = F.ceil(F.col("n") / F.lit(CHUNK)).cast("int").alias("chunks")
+    members = cut(spread.join(once.select("b.place", "b.key", chunks), ["place", "key"]))
+    needed = sets.join(members.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"])
+    placed = (
+        members.withColumn("c", F.pmod(member, F.col("chunks")).cast("int"))
+        .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .select("place", "key", F.least("c", "x").alias("i"), F.greatest("c", "x").alias("j"), "c", "fp")
+    )
+    dealt = placed.join(needed, "fp").repartition("place", "key", "i", "j").sortWithinPartitions("place", "key", "i", "j", "c", "fp")
+    short_batches(sets.sparkSession)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current: tuple | None = None
+        left: list[tuple[bytes, np.ndarray]] = []
+        right: list[tuple[bytes, np.ndarray]] = []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if current is not None and (len(left) > 1 if current[2] == current[3] else left and right):
+                names = [fp for fp, _ in left + right]
+                if made := [(names[i], names[j]) for i, j in set_links([x for _, x in left], [x for _, x in right])]:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*made, strict=True)], names=["a", "b"])
+
+        for batch in batches:
+            for place, key, i, j, c, fp, shingles in zip(*(batch.column(n).to_pylist() for n in range(7)), strict=True):
+                if (place, key, i, j) != current:
+                    yield from close()
+                    current, left, right = (place, key, i, j), [], []
+                (left if c == i else right).append((fp, np.frombuffer(shingles, _U64)))
+        yield from close()
+
+    return dealt.select("place", "key", "i", "j", "c", "fp", "shingles").mapInArrow(compare, "a binary, b binary").distinct()
+
+
+def similar(docs: DataFrame) -> DataFrame:
+    """doc_id, component_id for every row: classes linked by a similarity of at least 0.8 of the shingle sets."""
+    spark = docs.sparkSession
+
+    def start():
+        def work(batch: pa.RecordBatch) -> list[pa.Array]:
+            sets = [np.unique(shingle_hashes(space_words(x), SHINGLE)) for x in binaries(batch, "body")]
+            raw = [x.tobytes() for x in sets]
+            return [
+                pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in raw], pa.binary()),
+                pa.array([min_hash_keys(x) for x in sets], pa.list_(pa.int64())),
+                pa.array(raw, pa.binary()),
+            ]
+
+        return work
+
+    path = scratch(spark, "shingles")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("body"))
+    annotate(rows, [field("fp", "binary"), field("keys", "array<long>"), field("shingles", "binary")], start).drop("body").write.parquet(path)
+    sets = spark.read.schema("doc_id long, fp binary, keys array<long>, shingles binary").parquet(path)
+    nodes = cut(sets.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.first("keys").alias("keys")))
+    found = joined_classes(nodes.select("fp", "first_id"), similar_links(sets.select("fp", "shingles"), nodes))
+    return sets.select("doc_id", "fp").join(found, "fp").select("doc_id", "component_id")
 
 
 def remove_near_duplicates(docs: DataFrame) -> DataFrame:
@@ -360,6 +464,6 @@ def remove_near_duplicates(docs: DataFrame) -> DataFrame:
     Equal rows of that id count as one row of it each; only rows of other ids
     go. Rows without an id have nothing to compare by and stay.
     """
-    marked = near_duplicates(docs, **STAGE).select("doc_id", "component_id").where("doc_id IS NOT NULL AND doc_id <> component_id")
+    marked = similar(docs).where("doc_id IS NOT NULL AND doc_id <> component_id")
     gone = marked.select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

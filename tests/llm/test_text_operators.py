@@ -182,6 +182,26 @@ def test_stage_finds_near_copies_and_keeps_others(spark):
     assert len(copies & kept) <= 1 and {i for i, _ in rows} - copies <= kept
 
 
+def test_stage_links_by_shingle_sets(spark, monkeypatch):
+    rng = random.Random(4)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    rows, gone = [], set()
+    for k in range(30):
+        short, long, line = text(8), text(60), text(12)
+        rows += [(k, short), (1000 + k, short + " more")]  # 4 of 5 shingles
+        rows += [(2000 + k, f"{line} " * 2 + long), (3000 + k, f"{line} " * 20 + long)]  # equal sets
+        rows += [(4000 + k, f"{line} " * 20 + text(100)), (5000 + k, f"{line} " * 20 + text(100))]  # one line in common
+        gone |= {1000 + k, 3000 + k}
+    base = text(100).split()
+    rows += [(6000 + k, " ".join([*base[:-1], f"end{k}"])) for k in range(40)]
+    gone |= set(range(6001, 6040))
+    docs = spark.createDataFrame([(i, t, "l", "s", 1) for i, t in rows], DOCS)
+    for chunk in (simhash.CHUNK, 7):
+        monkeypatch.setattr(simhash, "CHUNK", chunk)
+        kept = {r["doc_id"] for r in simhash.remove_near_duplicates(docs).collect()}
+        assert kept == {i for i, _ in rows} - gone
+
+
 # Classifiers --------------------------------------------------------------------------
 
 
