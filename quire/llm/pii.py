@@ -7,7 +7,7 @@ numbers without a plus sign. Its features are the shapes of a token and of its
 neighbours and whether they touch; it is trained by maximum likelihood on a
 small labelled table (``labelled_table``, made by rule), and decoded by
 Viterbi over padded numpy batches. Tokens further than ``REACH`` chunks from a
-digit, an ``@`` or a bracketed *at* are outside by construction, so ordinary
+digit, an ``@`` or a bracketed *at* or *dot* are outside by construction, so ordinary
 prose costs one search. An added span must overlap no pattern match, must beat
 the outside reading by ``MARGIN``, and must pass its kind's exact check.
 
@@ -18,6 +18,7 @@ their own. Every search is linear in the text's length.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 import random
@@ -99,7 +100,7 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 # Tokens and shapes ----------------------------------------------------------
 
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|\S")
-_ANCHOR = re.compile(r"[0-9@]|[\[({] ?at ?[\])}]", re.IGNORECASE)
+_ANCHOR = re.compile(r"[0-9@]|[\[({] ?(?:at|dot) ?[\])}]", re.IGNORECASE)
 _CHUNK = re.compile(r"\S+")
 #: Cue words of the shape features (fixed values).
 _CUES = {"at": "AT", "dot": "DOT", "com": "TLD", "org": "TLD", "net": "TLD", "edu": "TLD", "de": "TLD", "fr": "TLD", "es": "TLD", "io": "TLD",
@@ -142,25 +143,14 @@ def windows(text: str) -> list[tuple[int, int]]:
     anchors = [m.start() for m in _ANCHOR.finditer(text)]
     if not anchors:
         return []
+    chunks = [m.span() for m in _CHUNK.finditer(text)]
+    ends = [b for _, b in chunks]
     out: list[list[int]] = []
     for at in anchors:
-        if out and at < out[-1][1]:
-            continue
-        a = at
-        for _ in range(REACH + 1):
-            a = max(text.rfind(" ", 0, a), text.rfind("\n", 0, a))
-            if a < 0:
-                break
-        b = at
-        for _ in range(REACH + 1):
-            m = _CHUNK.search(text, b)
-            if not m:
-                b = len(text)
-                break
-            b = m.end()
-        a = max(0, a)
+        k = bisect.bisect_right(ends, at)  # the chunk of the anchor, or the next
+        a, b = chunks[max(0, k - REACH)][0], ends[min(len(ends) - 1, k + REACH)]
         if out and a <= out[-1][1]:
-            out[-1][1] = b
+            out[-1][1] = max(out[-1][1], b)
         else:
             out.append([a, b])
     return [(a, b) for a, b in out]

@@ -388,6 +388,16 @@ def test_field_on_a_table_it_has_not_seen():
     assert right / sum(map(len, made)) > 0.95 and right / sum(len(s) for _, s in rows) > 0.85
 
 
+def test_windows_reach_past_every_anchor():
+    for t in (
+        "write to jane42 [at] example [dot] com", "room 12 ask jane [at] example [dot] com", "a@b.com, jane (at) example (dot) org",
+        "jane [at] example [dot] co [dot] uk", "1 a b 2 c d e [at] f g h",
+    ):
+        assert [t[a:b].strip() for a, b in pii.windows(t)] == [t]
+    assert len(pii.windows("1 " + "x " * 20 + "2")) == 2
+    pii.windows("1 " * 200_000), pii.windows("1" * 400_000)
+
+
 def test_report_and_redaction(spark):
     extra = [(20, "ann.b@x.org, 10.1.2.3 or +1 (257) 555-8854; 4061026190267370!"), (21, "mary (at) host (dot) org"), (22, "Ü 😀 a@b.de")]
     df = odd(spark, extra)
