@@ -299,8 +299,12 @@ def c9_convert(spark, d):
 
 @query()
 def c19_import_xrefs(spark, d):
-    p = table(spark, d, "pages").select((F.lit(45008000) + F.col("page_id") % 900 + 1).alias("verse_id"), F.concat(F.lit("phrase "), F.col("page_id").cast("string"), F.lit("<br/><a href='x'>35-39; 5:3,4; Gen 50:20</a><br/><a>Jude 3</a>")).alias("content"))
-    return xrefs.link_rows(xrefs.group_rows(xrefs.parse_entries(p.groupBy("verse_id").agg(F.min("content").alias("content")), "verse_id", "content"), "verse_id"))
+    # Every page is an entry of its own: page_id spread over book, chapter and verse; its html, then a list of references.
+    n = F.col("page_id")
+    key = keys.pack(F.expr("page_id div 998001 + 1"), F.expr("page_id div 999 % 999 + 1"), n % 999 + 1)
+    listed = F.concat(F.lit("<br/>phrase "), n.cast("string"), F.lit("<br/><a href='x'>35-39; 5:3,4; Gen 50:20</a><br/><a>Jude 3</a>"))
+    p = table(spark, d, "pages").select(key.alias("verse_id"), F.concat(F.coalesce("html", F.lit("")), listed).alias("content"))
+    return xrefs.link_rows(xrefs.group_rows(xrefs.parse_entries(p, "verse_id", "content"), "verse_id"))
 
 
 @query("SELECT date_part('year', o_orderdate)::BIGINT AS year, count(*) AS n, CAST(sum(date_diff('day', DATE '1970-01-01', o_orderdate::DATE)) AS BIGINT) AS days FROM orders GROUP BY 1")

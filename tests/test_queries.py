@@ -25,6 +25,14 @@ def test_entry(spark):
     assert df.count() > 0 and "chapter" in df.columns
 
 
+def test_every_page_is_an_entry(spark, tmp_path):
+    rows = [(1, "first<br/><a>Jude 3</a>"), (901, "second<br/><a>Gen 50:20</a>"), (1_000_000, None)]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = queries()["c19_import_xrefs"](spark, str(tmp_path)).collect()
+    assert {r["context"] for r in got} == {"first", "second", "phrase 1", "phrase 901", "phrase 1000000"}
+    assert len({r["group_key"].split(":")[0] for r in got}) == 3
+
+
 def test_the_rest_works_without_the_optional_part(tmp_path):
     for p in Path(ROOT).iterdir():
         if p.name in ("quire", "__spark_entry__.py"):
