@@ -92,8 +92,7 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     labels = F.split("host", r"\.", -1)
     level = F.explode(F.sequence(F.lit(1), F.size(labels)))
     probes = (
-        parsed.where("path <> ''")
-        .select("u", "path", labels.alias("labels"), level.alias("n"))
+        parsed.select("u", "path", labels.alias("labels"), level.alias("n"))
         .select("u", "path", F.array_join(F.reverse(F.slice("labels", -F.col("n"), F.col("n"))), ".").alias("zone"))
         .join(swept.select("zone").distinct(), "zone", "left_semi")
         .select(

@@ -42,6 +42,14 @@ def test_url_rules_against_every_rule(spark):
     assert got == {i: by_hand(u, rules) for i, u in enumerate(urls)}
 
 
+def test_url_rules_of_a_host_alone(spark):
+    rules = [("block", "net", ""), ("allow", "a.net", ""), ("block", "a.net", "/x/")]
+    urls = ["http://net", "http://b.net?x", "http://a.net", "http://a.net#f", "http://a.net/x/1", "http://net/", "http://org", "http://"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filters.judge(df, url_filters.rules_frame(spark, rules), salts=2).collect()}
+    assert got == dict(enumerate([("net", "block"), ("net", "block"), ("a.net", "allow"), ("a.net", "allow"), ("a.net/x/", "block"), ("net", "block"), (None, "allow"), (None, "allow")]))
+
+
 def test_url_rules_on_empty_tables(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert url_filters.judge(none, url_filters.rules_frame(spark)).count() == 0
