@@ -161,8 +161,9 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
-    """Documents without a hit, with their own columns."""
-    return contamination(docs, benchmark, n).where("n_hit = 0").select(*docs.columns)
+    """Documents without a hit, with their own columns; items without an id count."""
+    named = benchmark.withColumn("item_id", F.coalesce("item_id", F.lit(0)))
+    return contamination(docs, named, n).where("n_hit = 0").select(*docs.columns)
 
 
 ORACLE = r"""

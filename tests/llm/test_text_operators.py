@@ -59,6 +59,12 @@ def test_decontamination_against_brute_force(spark, monkeypatch):
         assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], list(r["items"])) for r in got), key=repr) == want
 
 
+def test_items_without_an_id_remove_documents(spark):
+    bench = spark.createDataFrame([(None, "a passage of five words"), (1, "lone")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "here: a passage of five words."), (2, "clean"), (3, "lone")], "doc_id long, text string")
+    assert [r["doc_id"] for r in decontamination.remove_contaminated(docs, bench).collect()] == [2]
+
+
 def test_decontamination_of_nothing(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     got = decontamination.report(odd(spark), none).collect()
