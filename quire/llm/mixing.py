@@ -7,18 +7,22 @@ with ``target = min(cap * size, weight * t)``, found from running sums over the
 sources ordered by ``cap * size / weight``.
 
 Draw. Each source's documents form one word stream, cut into blocks of
-``block`` words. A source gets as many slots as its target needs; a slot draws
-its output shard at random, so the counts of a source over the shards are
-multinomial while each source's total stays at its target. Slot ``j`` takes
-block ``perm(j mod blocks)`` of pass ``j div blocks``, where ``perm`` is a
+``block`` words. Output shards hold about ``shard`` blocks. How many blocks a
+shard takes of a source is drawn: the counts of a source over the shards are
+multinomial, given their sum, which is what the source's target needs (so even
+a small source comes within a block of its target). Running sums of the counts
+number a shard's slots in each source; slot ``j`` of a source takes block
+``perm(j mod blocks)`` of pass ``j div blocks``, where ``perm`` is a
 pseudorandom permutation of the block indexes for each source and pass
-(swap-or-not rounds, exact on any range, computed row by row). Slots and
-document pieces meet in an equi-join on (source, block). A block is drawn at
-most once a pass, so no document exceeds ``cap`` times its size.
+(swap-or-not rounds, exact on any range, computed row by row). The shards'
+slots and the document pieces meet in an equi-join on (source, block). A block
+is drawn at most once a pass, so no document exceeds ``cap`` times its size.
 
-Streams are laid out with two-level prefix sums (hash buckets, then documents
-in a bucket), so a hot source is never ordered in one task. Only ids and sizes
-are shuffled, never texts.
+Streams are laid out with two-level prefix sums (hash buckets of documents,
+then documents in a bucket), so neither a hot source nor a hot id is ordered
+in one task. Slots are drawn and made by as many tasks as their number asks
+for, whatever the number of sources. Only ids and sizes are shuffled, never
+texts; nothing that grows with the documents is broadcast.
 
 Defined results: null text has size 0 and is taken 0 times; null sources form
 one source; equal rows are rows of their own; empty tables give empty results.
@@ -34,7 +38,11 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CAP = 2
 BLOCK = 64
+#: Blocks that an output shard holds on average.
+SHARD = 16_384
 ROUNDS = 12
+#: Slots that one task draws or makes.
+TASK_SLOTS = 1 << 16
 #: Documents that one bucket of a word stream is meant to hold.
 BUCKET_ROWS = 20_000
 SEED = 20_261
@@ -110,11 +118,12 @@ def permuted(df: DataFrame, index: str, domain: str, stream: str, seed: int, rou
 
 
 def streams(sized: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(doc_id, source, size, tie) of documents with words -> start: their place in the source's stream."""
+    """(doc_id, source, size, tie, spread) of documents with words -> start: their place in the source's stream."""
     rows = sized.where("size > 0")
     total = rows.count()
     buckets = max(16, -(-total // bucket_rows))
-    rows = rows.withColumn("bucket", F.coalesce(F.pmod(F.pmod(F.col("doc_id"), F.lit(_P)) * 48_271 % _P, F.lit(buckets)), F.lit(0)))
+    mixed = (F.coalesce(F.pmod(F.col("doc_id").cast("long"), F.lit(_P)), F.lit(0)) * 48_271 + F.col("spread")) % _P
+    rows = rows.withColumn("bucket", F.pmod(mixed, F.lit(buckets)))
     sums = rows.groupBy("rank", "bucket").agg(F.sum("size").alias("bucket_size"))
     ahead = Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("base", F.coalesce(F.sum("bucket_size").over(ahead), F.lit(0))).select(
@@ -122,32 +131,50 @@ def streams(sized: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     )
     inside = Window.partitionBy("rank", "bucket").orderBy("doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    joined = placed.join(sums, (F.col("rank") == F.col("b_rank")) & (F.col("bucket") == F.col("b_bucket")))
+    joined = placed.join(sums.hint("merge"), (F.col("rank") == F.col("b_rank")) & (F.col("bucket") == F.col("b_bucket")))
     return joined.withColumn("start", F.col("base") + F.col("inner")).drop("b_rank", "b_bucket", "base", "inner", "bucket")
 
 
-def slots(goals: DataFrame, block: int = BLOCK, shards: int = 64, seed: int = SEED) -> DataFrame:
-    """(rank, pass, block, shard): the drawn slots of every source.
+def slot_plan(goals: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(rank, blocks, slots): how many blocks a source has, and how many the mix takes.
 
     Whole passes take every block; the rest of the target takes as many blocks
     of the last pass as come nearest to it.
     """
-    chunk = 1 << 16
     n = F.expr(f"(source_size + {block - 1}) div {block}")
-    plan = goals.where("source_size > 0").select("rank", "source_size", "target", n.alias("blocks"))
     whole = F.floor(F.col("target") / F.col("source_size")).cast("long")
-    plan = plan.withColumn("whole", whole).withColumn(
-        "slots",
-        F.col("whole") * F.col("blocks")
-        + F.round((F.col("target") - F.col("whole") * F.col("source_size")) * F.col("blocks") / F.col("source_size")).cast("long"),
-    )
-    # A hot source's slots are made in chunks, dealt over the tasks.
-    pieces = plan.where("slots > 0").withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(chunk).cast("long"))))
-    dealt = pieces.repartition(F.col("rank"), F.col("first"))
-    each = dealt.withColumn("j", F.explode(F.sequence(F.col("first"), F.least(F.col("first") + chunk, F.col("slots")) - 1)))
-    each = each.select(
-        "rank", F.expr("j div blocks").alias("pass"), F.expr("j % blocks").alias("block"), "blocks",
-        F.pmod(F.xxhash64("rank", "j", F.lit(seed)), F.lit(shards)).cast("int").alias("shard"),
+    rest = F.round((F.col("target") - F.col("whole") * F.col("source_size")) * F.col("blocks") / F.col("source_size")).cast("long")
+    plan = goals.where("source_size > 0").select("rank", "source_size", "target", n.alias("blocks"), whole.alias("whole"))
+    return plan.select("rank", "blocks", (F.col("whole") * F.col("blocks") + rest).alias("slots")).where("slots > 0")
+
+
+def _chunks(rows: DataFrame, first: str, last, tasks: int) -> DataFrame:
+    """``rows`` with ``j`` from ``first`` up to (not with) ``last``; long runs are cut up and dealt over ``tasks`` first."""
+    cut_up = rows.withColumn("_at", F.explode(F.sequence(F.col(first), last - 1, F.lit(TASK_SLOTS).cast("long")))).withColumn("_to", F.least(F.col("_at") + TASK_SLOTS, last) - 1)
+    return cut_up.repartition(tasks, "rank", "_at").withColumn("j", F.explode(F.sequence("_at", "_to"))).drop("_at", "_to")
+
+
+def shard_counts(plan: DataFrame, shards: int, tasks: int, seed: int = SEED) -> DataFrame:
+    """(rank, blocks, shard, n, first): the blocks that a shard takes of a source, and where its slots begin.
+
+    Every slot draws its shard, so a source's counts are multinomial. A task
+    adds up its draws before anything is shuffled.
+    """
+    drawn = _chunks(plan.withColumn("_zero", F.lit(0).cast("long")), "_zero", F.col("slots"), tasks)
+    shard = F.pmod(F.xxhash64("rank", "j", F.lit(seed)), F.lit(shards))
+    counts = drawn.groupBy("rank", "blocks", shard.alias("shard")).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long"))
+
+
+def slots(goals: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEED) -> DataFrame:
+    """(rank, pass, block, shard): the blocks of every source that each output shard takes."""
+    plan = slot_plan(goals, block)
+    total = plan.agg(F.coalesce(F.sum("slots"), F.lit(0)).alias("n")).first()["n"]
+    tasks = max(1, -(-total // TASK_SLOTS))
+    counts = shard_counts(plan, max(1, -(-total // shard)), tasks, seed)
+    each = _chunks(counts, "first", F.col("first") + F.col("n"), tasks).select(
+        "rank", F.expr("j div blocks").alias("pass"), F.expr("j % blocks").alias("block"), "blocks", "shard",
         (F.col("rank") * 2 + F.expr("j div blocks") + 1).cast("long").alias("stream"),
     )
     return permuted(each, "block", "blocks", "stream", seed).select("rank", "pass", "block", "shard")
@@ -163,12 +190,14 @@ def pieces_of(placed: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def sized_rows(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
+    """``tie`` tells texts apart; ``spread`` (31 bits of the text's MD5) deals the rows of one id over the buckets."""
+    spread = F.coalesce(F.conv(F.substring(F.md5(F.col(text).cast("binary")), 1, 7), 16, 10).cast("long"), F.lit(0))
     return docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(F.col(text)).alias("tie")
+        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(F.col(text)).alias("tie"), spread.alias("spread")
     )
 
 
-def _parts(docs: DataFrame, doc_id: str, text: str, source: str, seed: int) -> tuple[DataFrame, DataFrame]:
+def _parts(docs: DataFrame, doc_id: str, text: str, source: str) -> tuple[DataFrame, DataFrame]:
     """Sized rows with their source's goal, and the goals."""
     from .common import cut
 
@@ -178,20 +207,20 @@ def _parts(docs: DataFrame, doc_id: str, text: str, source: str, seed: int) -> t
     return sized.join(g, sized["source"].eqNullSafe(g["g_source"])).drop("g_source"), goals
 
 
-def mix_blocks(docs: DataFrame, shards: int = 64, seed: int = SEED, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+def mix_blocks(docs: DataFrame, shard: int = SHARD, seed: int = SEED, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix itself: shard, source rank, pass, block, doc_id, from_word, words."""
-    rows, goals = _parts(docs, doc_id, text, source, seed)
+    rows, goals = _parts(docs, doc_id, text, source)
     pieces = pieces_of(streams(rows)).select("rank", "block", "doc_id", "from_word", "words")
-    return slots(goals, shards=shards, seed=seed).join(pieces, ["rank", "block"])
+    return slots(goals, shard=shard, seed=seed).hint("merge").join(pieces, ["rank", "block"])
 
 
 def mix(docs: DataFrame, seed: int = SEED, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """doc_id, size, source_size, target, taken: one row for each document row."""
-    rows, goals = _parts(docs, doc_id, text, source, seed)
-    drawn = slots(goals, seed=seed).groupBy("rank", "block").agg(F.count("*").alias("draws"))
+    rows, goals = _parts(docs, doc_id, text, source)
+    drawn = slots(goals, seed=seed).groupBy("rank", "block").agg(F.count("*").alias("draws"))  # over all shards
     taken = (
         pieces_of(streams(rows))
-        .join(drawn, ["rank", "block"], "left")
+        .join(drawn.hint("merge"), ["rank", "block"], "left")
         .groupBy("rank", "start", "doc_id", "size", "source_size", "target", "tie")
         .agg(F.sum(F.col("words") * F.coalesce(F.col("draws"), F.lit(0))).alias("taken"))
     )
@@ -227,7 +256,8 @@ drawn{i} AS (SELECT rank, s, n, CASE WHEN ((((((greatest(x, pair) % {_P}) * {c}
         body = f"drawn{i}"
     weight = " ".join(f"WHEN rank % {len(WEIGHTS)} = {i} THEN {w}" for i, w in enumerate(WEIGHTS))
     return f"""
-WITH sized AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
+WITH sized AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+    coalesce(('0x' || substr(md5(text), 1, 7))::BIGINT, 0) AS spread FROM documents),
 sums AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS BIGINT) AS rank FROM sized GROUP BY source),
 weighed AS (SELECT *, CAST(CASE {weight} END AS BIGINT) AS weight FROM sums),
 levels AS (SELECT *, ({SHARE} * sum(source_size) OVER () - coalesce(sum(source_size) OVER w1, 0) * {CAP}) / (sum(weight) OVER w2) AS level FROM weighed
@@ -243,7 +273,7 @@ drawn0 AS (SELECT rank, rank * 2 + j // n + 1 AS s, n, j % n AS x FROM (SELECT r
 {", ".join(ctes)},
 draws AS (SELECT rank, x AS block, count(*) AS draws FROM {body} GROUP BY ALL),
 bucketed AS (SELECT doc_id, d.size, rank, g.source_size, g.target,
-    ((((doc_id % {_P}) + {_P}) % {_P}) * 48271 % {_P}) % greatest(16, ceil((SELECT count(*) FROM sized WHERE size > 0) / {bucket_rows}.0)::BIGINT) AS bucket
+    ((((doc_id % {_P}) + {_P}) % {_P}) * 48271 + spread) % {_P} % greatest(16, ceil((SELECT count(*) FROM sized WHERE size > 0) / {bucket_rows}.0)::BIGINT) AS bucket
     FROM sized d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source),
 placed AS (SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY rank ORDER BY bucket, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
     FROM bucketed WHERE size > 0),

@@ -1,7 +1,6 @@
 """URL rules, WARC, top-k and mixing: oracles, brute force and odd rows."""
 
 import re
-import zlib
 
 import pytest
 
@@ -156,8 +155,28 @@ def test_mix_of_nothing(spark):
     assert mixing.query(spark.createDataFrame([], DOCS)).count() == 0
 
 
-def test_mix_blocks_draw_shards(spark, sf):
-    b = mixing.mix_blocks(table(spark, sf, "documents"), shards=4)
-    assert b.select("shard").distinct().count() == 4
+def test_shards_draw_multinomial_counts_of_sources(spark, sf):
+    from pyspark.sql import functions as F
+
+    docs = table(spark, sf, "documents")
+    b = mixing.mix_blocks(docs, shard=40).cache()
     assert b.groupBy("rank", "pass", "block", "doc_id", "from_word").count().where("count > 1").count() == 0
-    assert zlib.crc32(b"x") == 0x8CDC1683
+    # What the shards take is what the query reports.
+    taken = {r["doc_id"]: r["n"] for r in b.groupBy("doc_id").agg(F.sum("words").alias("n")).collect()}
+    assert taken == {r["doc_id"]: r["taken"] for r in mixing.query(docs).collect() if r["taken"]}
+    # Chi-square of the counts of the shards against even shares: close to its degrees of freedom.
+    goals = spark.createDataFrame([(0, 640_000, 640_000.0), (1, 64_000, 96_000.0)], "rank int, source_size long, target double")
+    plan = {r["rank"]: r["slots"] for r in mixing.slot_plan(goals).collect()}
+    counts = mixing.shard_counts(mixing.slot_plan(goals), 50, 3).collect()
+    for rank, n in ((0, 10_000), (1, 1_500)):
+        mine = sorted((r["shard"], r["n"], r["first"]) for r in counts if r["rank"] == rank)
+        assert plan[rank] == n == sum(m for _, m, _ in mine) and [f for *_, f in mine] == [sum(m for _, m, _ in mine[:i]) for i in range(len(mine))]
+        assert 20 < sum((m - n / 50) ** 2 / (n / 50) for _, m, _ in mine) < 95
+
+
+def test_slots_are_made_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "TASK_SLOTS", 100)
+    goals = spark.createDataFrame([(0, 64_000, 96_000.0)], "rank int, source_size long, target double")
+    made = mixing.slots(goals, shard=70)
+    assert made.rdd.getNumPartitions() >= 10 and made.count() == 1500
+    assert made.where("pass = 0").select("block").distinct().count() == 1000 and made.groupBy("pass", "block").count().where("count > 1").count() == 0
