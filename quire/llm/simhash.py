@@ -8,19 +8,20 @@ fingerprints in a machine word; the distances of one fingerprint to a whole
 bucket grow plane by plane in carry-save bitwise counters, and a block of 64
 is abandoned once all of its distances exceed the radius.
 
-Candidates. With ``exact`` bands the fingerprint is cut into ``radius + 1``
-bands: two fingerprints within the radius agree on at least one band, so no
-link is lost. Where more rows make such buckets long, ``spare`` more bands and
-keys of ``spare + 1`` bands keep the promise with longer keys. Buckets of over
-``CHUNK`` members are dealt over cells (chunk against chunk), so no task holds
-an unbounded group, and a cell returns a spanning forest of its links, never
-all pairs. Components follow by alternating large-star and small-star rounds
-on tables in the shared folder.
+Candidates. The fingerprint is cut into ``radius + size`` bands: two
+fingerprints within the radius agree on at least ``size`` of them, so keys of
+``size`` bands lose no link. ``size`` is the least whose keys tell the distinct
+fingerprints apart (``key_size``), so buckets stay short as tables grow.
+Buckets of over ``CHUNK`` members are dealt over cells (chunk against chunk),
+so no task holds an unbounded group, and a cell returns a spanning forest of
+its links, never all pairs. Components follow by alternating large-star and
+small-star rounds on tables in the shared folder.
 
 Defined results: null and empty texts have fingerprint zero and link like any
-other; equal fingerprints are one node whatever their number; rows without an
-id get a fingerprint and, as component, the smallest id of their class (null
-if it has none); repeated ids are rows of their own.
+other; equal fingerprints are one node whatever their number, and a node is
+never anything but its fingerprint, so rows that share an id but not a text
+are judged apart; rows without an id get a fingerprint and, as component, the
+smallest id of their class (null if it has none).
 """
 
 from __future__ import annotations
@@ -290,8 +291,16 @@ def pair_links(prints: DataFrame, radius: int, bands: int, size: int = 1) -> Dat
     return dealt.mapInArrow(compare, "a binary, b binary").distinct()
 
 
+def key_size(distinct: int, bits: int, radius: int, bucket: int = CHUNK) -> int:
+    """The least number of bands in a key by which ``distinct`` random fingerprints fall into buckets of at most ``bucket``."""
+    size = 1
+    while size < 3 and distinct / 2 ** (bits * size // (radius + size)) > bucket:
+        size += 1
+    return size
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of the nodes on ``edges`` (a, b longs): root is the smallest node reachable.
+    """(node, root) of the nodes on ``edges`` (a, b): root is the smallest node reachable.
 
     Alternating large-star and small-star; every round is cut by a reliable
     checkpoint. Only the number and a digest of the edges reach the driver.
@@ -317,38 +326,32 @@ def components(edges: DataFrame) -> DataFrame:
 def classes(prints: DataFrame, radius: int, bands: int, size: int = 1) -> DataFrame:
     """(fp, component_id) from (fp, first_id): classes of fingerprints linked within ``radius``.
 
-    Nodes are numbered by the smallest id that bears the fingerprint, so the
-    smallest node of a component is its smallest id. Fingerprints that no row
-    with an id bears get null unless a linked one has an id.
+    ``component_id`` is the smallest ``first_id`` of the class, null if none has one.
     """
     return joined_classes(prints, pair_links(prints, radius, bands, size))
 
 
 def joined_classes(prints: DataFrame, found: DataFrame) -> DataFrame:
-    """``classes`` by the links (a, b) of ``found``."""
-    # Fingerprints without an id stand after all others, below their own negative code.
-    node = F.coalesce(F.col("first_id"), F.lit(2**62) + F.shiftright(F.abs(F.xxhash64("fp")), 2))
-    nodes = prints.select("fp", node.alias("node"), "first_id")
-    edges = (
-        found.join(nodes.select(F.col("fp").alias("a"), F.col("node").alias("u")), "a")
-        .join(nodes.select(F.col("fp").alias("b"), F.col("node").alias("v")), "b")
-        .select(F.col("u").alias("a"), F.col("v").alias("b"))
-    )
-    roots = components(edges)
-    joined = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    return joined.select("fp", F.when(F.col("root") < 2**62, F.col("root")).alias("component_id"))
+    """``classes`` by the links (a, b) of ``found``: most fingerprints have none and meet nothing but one narrow join."""
+    roots = components(found).withColumnRenamed("node", "fp")
+    joined = prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = joined.where("root <> fp OR first_id IS NULL").select("root").distinct()
+    linked = joined.join(least, "root", "left_semi").groupBy("root").agg(F.min("first_id").alias("least"))
+    return joined.join(linked, "root", "left").select("fp", F.coalesce("least", "first_id").alias("component_id"))
 
 
 def near_duplicates(
-    docs: DataFrame, width: int = 4, lanes: int = 1, radius: int = 4, bands: int | None = None, size: int = 1, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, width: int = 4, lanes: int = 1, radius: int = 4, size: int | None = None, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """doc_id, fingerprint (hex), component_id for every row.
 
-    ``bands`` None: ``radius + size`` bands, which loses no link.
+    ``size`` bands make a key; None: by the number of distinct fingerprints.
+    No link is lost in either case.
     """
     prints = cut(with_fingerprints(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("body")), width, lanes, "body").select("doc_id", "fp"))
-    firsts = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    found = classes(firsts, radius, bands or radius + size, size)
+    firsts = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    size = size or key_size(firsts.count(), 64 * lanes, radius)
+    found = classes(firsts, radius, radius + size, size)
     return prints.join(found, "fp").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
@@ -434,7 +437,11 @@ def similar_links(sets: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def similar(docs: DataFrame) -> DataFrame:
-    """doc_id, component_id for every row: classes linked by a similarity of at least 0.8 of the shingle sets."""
+    """doc_id, tie, fp, root for every row: classes linked by a similarity of at least 0.8 of the shingle sets.
+
+    ``tie`` is a hash of the text, ``fp`` a digest of its shingle set, ``root``
+    the smallest digest of its class.
+    """
     spark = docs.sparkSession
 
     def start():
@@ -450,20 +457,36 @@ def similar(docs: DataFrame) -> DataFrame:
         return work
 
     path = scratch(spark, "shingles")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("body"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_tie(), F.col("text").alias("body"))
     annotate(rows, [field("fp", "binary"), field("keys", "array<long>"), field("shingles", "binary")], start).drop("body").write.parquet(path)
-    sets = spark.read.schema("doc_id long, fp binary, keys array<long>, shingles binary").parquet(path)
-    nodes = cut(sets.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.first("keys").alias("keys")))
-    found = joined_classes(nodes.select("fp", "first_id"), similar_links(sets.select("fp", "shingles"), nodes))
-    return sets.select("doc_id", "fp").join(found, "fp").select("doc_id", "component_id")
+    sets = spark.read.schema("doc_id long, tie long, fp binary, keys array<long>, shingles binary").parquet(path)
+    nodes = cut(sets.groupBy("fp").agg(F.first("keys").alias("keys")))
+    roots = components(similar_links(sets.select("fp", "shingles"), nodes)).withColumnRenamed("node", "fp")
+    return sets.select("doc_id", "tie", "fp").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def text_tie():
+    return F.xxhash64("text").alias("tie")
 
 
 def remove_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each class: the row of its smallest doc_id, with its own columns.
+    """One document of each class, with its own columns: the row of the smallest doc_id, of those the one of the smallest text hash.
 
-    Equal rows of that id count as one row of it each; only rows of other ids
-    go. Rows without an id have nothing to compare by and stay.
+    Rows are judged by id and text together: a row is never taken for another
+    that bears the same id. Equal rows count as one document, of which one
+    row stays; rows without an id come after all others of their class.
     """
-    marked = similar(docs).where("doc_id IS NOT NULL AND doc_id <> component_id")
-    gone = marked.select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("tie"))
+    marked = cut(similar(docs).groupBy("doc_id", "tie", "root").agg(F.count("*").alias("n")))
+    # Only classes of several documents have rows that go, and only they are looked at.
+    several = marked.groupBy("root").agg(F.min(order).alias("first"), F.sum("n").alias("n")).where("n > 1")
+    first = several.select("root", F.col("first.doc_id").alias("f_id"), F.col("first.tie").alias("f_tie"))
+    stays = F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("tie") == F.col("f_tie"))
+    judged = cut(marked.join(first, "root").select("doc_id", "tie", stays.alias("stays"), "n"))
+    here = lambda d: docs["doc_id"].eqNullSafe(d["j_id"]) & (F.xxhash64(docs["text"]) == d["j_tie"])
+    named = judged.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("j_id"), F.col("tie").alias("j_tie"), "stays", "n")
+    # Rows that go, and rows that stand there several times, leave the table; of the latter one comes back.
+    rest = docs.join(named.where("NOT stays OR n > 1").select("j_id", "j_tie"), here(named), "left_anti")
+    twice = named.where("stays AND n > 1").select("j_id", "j_tie")
+    back = docs.join(twice, here(twice), "left_semi").withColumn("_tie", F.xxhash64("text")).dropDuplicates(["doc_id", "_tie"])
+    return rest.select(*docs.columns).unionByName(back.select(*docs.columns))

@@ -107,6 +107,8 @@ def test_simhash_against_brute_force(spark, sf):
         w[rng.randrange(len(w))] = f"new{k}"
         rows.append((1000 + k, " ".join(w)))
     rows += [(2000, None), (2001, ""), (2002, "one"), (2002, "one"), (2003, "ONE")]
+    # One id on two unrelated texts, one of them a copy of an earlier row; and an id that is smaller.
+    rows += [(3000, rows[3][1]), (3000, "a text of words that no other row has at all"), (-5, rows[4][1]), (-5, "yet another one of its own kind here")]
     got = {}
     for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect():
         got.setdefault(r["doc_id"], set()).add((r["fingerprint"], r["component_id"]))
@@ -115,7 +117,14 @@ def test_simhash_against_brute_force(spark, sf):
     least = {}
     for (i, _), r in zip(rows, roots):
         least[r] = min(i, least.get(r, i))
-    assert got == {i: {(f"{p:016x}", least[r])} for (i, _), p, r in zip(rows, prints, roots)}
+    want = {}
+    for (i, _), p, r in zip(rows, prints, roots):
+        want.setdefault(i, set()).add((f"{p:016x}", least[r]))
+    assert got == want and len(got[3000]) == 2
+
+
+def test_key_size_grows_with_the_table():
+    assert [simhash.key_size(n, 64, 4) for n in (0, 10**6, 10**8, 10**10, 10**12)] == [1, 1, 2, 3, 3]
 
 
 @pytest.mark.parametrize(("size", "radius"), [(8, 4), (32, 44)])
@@ -188,6 +197,39 @@ def test_stage_finds_near_copies_and_keeps_others(spark):
     assert len(copies & kept) <= 1 and {i for i, _ in rows} - copies <= kept
 
 
+def jaccard_by_hand(a, b):
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in (words_of(a), words_of(b))]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1]) if sets[0] | sets[1] else 0.0
+
+
+def test_recall_of_links_against_brute_force(spark):
+    """Pairs of every similarity from 0.6 to 1: at least 0.9 of those from 0.8 on are found, and none below."""
+    rng = random.Random(12)
+    rows, like = [], {}
+    for k in range(240):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice((9, 20, 60, 200)))]
+        other = list(base)
+        for _ in range(rng.randint(0, max(1, len(base) // 45 + 1))):
+            other[rng.randrange(len(other))] = f"n{rng.randrange(10**6)}"
+        rows += [(k, " ".join(base)), (1000 + k, " ".join(other))]
+        like[1000 + k] = jaccard_by_hand(rows[-2][1], rows[-1][1])
+    docs = spark.createDataFrame([(i, t, "l", "s", 1) for i, t in rows], DOCS)
+    kept = {r["doc_id"] for r in simhash.remove_near_duplicates(docs).collect()}
+    near = [i for i, s in like.items() if s >= 0.8]
+    assert len(near) > 60 and len([s for s in like.values() if 0.6 < s < 0.8]) > 20
+    assert sum(i not in kept for i in near) >= 0.9 * len(near)
+    assert all(i in kept for i, s in like.items() if s < 0.8) and all(k in kept for k in range(240))
+
+
+def test_stage_judges_rows_not_ids(spark):
+    text = lambda s: " ".join(f"{s}{i}" for i in range(40))
+    rows = [(2, text("a")), (5, text("a")), (5, text("b")), (5, text("b")), (None, text("a")), (None, text("c")), (None, text("c")), (7, None), (8, ""), (9, text("d")), (9, text("d") + " more")]
+    docs = spark.createDataFrame([(i, t, "l", "s", 1) for i, t in rows], DOCS)
+    kept = [(r["doc_id"], r["text"]) for r in simhash.remove_near_duplicates(docs).collect()]
+    nine = [t for i, t in kept if i == 9]
+    assert len(nine) == 1 and sorted((x for x in kept if x[0] != 9), key=repr) == sorted([(2, text("a")), (5, text("b")), (None, text("c")), (7, None)], key=repr)
+
+
 def test_stage_links_by_shingle_sets(spark, monkeypatch):
     rng = random.Random(4)
     text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
