@@ -6,10 +6,15 @@ theirs stays. The conditional random field adds forms that they miss, such as
 numbers without a plus sign. Its features are the shapes of a token and of its
 neighbours and whether they touch; it is trained by maximum likelihood on a
 small labelled table (``labelled_table``, made by rule), and decoded by
-Viterbi over padded numpy batches. Tokens further than ``REACH`` chunks from a
-digit, an ``@`` or a bracketed *at* or *dot* are outside by construction, so ordinary
-prose costs one search. An added span must overlap no pattern match, must beat
-the outside reading by ``MARGIN``, and must pass its kind's exact check.
+Viterbi over padded numpy batches. An added span must overlap no pattern
+match, must beat the outside reading by ``MARGIN``, and must pass its kind's
+exact check (``sound``).
+
+Every sound span holds an anchor (a digit, an ``@``, a bracketed *at* or
+*dot*), and none of its chunks is further than two from one. So the field is
+run where a span can be: within ``REACH`` chunks of an anchor, which is
+further past any sound span than the features look (four tokens). Elsewhere
+all tokens are outside, and ordinary prose costs one search.
 
 Offsets are code points, end exclusive. Defined results: null text is empty
 and has no spans; empty tables give empty results; repeated rows are rows of
@@ -31,7 +36,9 @@ from pyspark.sql import DataFrame
 from .common import annotate, field, strings
 
 KINDS = ("email", "ip", "card", "phone")
-REACH = 3
+REACH = 6
+#: Tokens whose label scores are worked out at a time.
+SLICE = 1 << 15
 MARGIN = 1.0
 _RANK = {k: i for i, k in enumerate(KINDS)}
 
@@ -164,25 +171,20 @@ def rows_of(shapes: np.ndarray, touch: np.ndarray) -> np.ndarray:
     n, wide = len(shapes), max(map(abs, OFFSETS))
     s = np.concatenate([np.zeros(wide, np.int64), shapes, np.zeros(wide, np.int64)])
     t = np.concatenate([np.zeros(wide, np.int64), touch, np.zeros(wide + 1, np.int64)])
-    columns = []
+    out = np.empty((n, len(OFFSETS) + 1), np.int16)
     for i, o in enumerate(OFFSETS):
         at = slice(wide + o, wide + o + n)
         # A neighbour's shape, told apart by whether it touches on its side of the token.
         side = t[wide + o : wide + o + n] if o > 0 else t[wide + o + 1 : wide + o + 1 + n]
-        columns.append((i * len(SHAPES) + s[at]) * 2 + side)
+        out[:, i] = (i * len(SHAPES) + s[at]) * 2 + side
     base = len(OFFSETS) * len(SHAPES) * 2
-    columns.append(base + (s[wide : wide + n] * 2 + t[wide : wide + n]) * 2 + t[wide + 1 : wide + 1 + n])
-    return np.stack(columns, axis=1)
+    out[:, -1] = base + (s[wide : wide + n] * 2 + t[wide : wide + n]) * 2 + t[wide + 1 : wide + 1 + n]
+    return out
 
 
 N_FEATURES = len(OFFSETS) * len(SHAPES) * 2 + len(SHAPES) * 4
 
 
-def _lse(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
-
-
 def allowed() -> np.ndarray:
     """0 where a transition may be, a large penalty where I- does not continue its kind."""
     out = np.zeros((len(LABELS), len(LABELS)))
@@ -196,14 +198,76 @@ def allowed() -> np.ndarray:
 
 def pad(batch: list[np.ndarray], fill: int = 0) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(x) for x in batch])
-    out = np.full((len(batch), sizes.max(), *batch[0].shape[1:]), fill, np.int64)
+    out = np.full((len(batch), sizes.max(), *batch[0].shape[1:]), fill, batch[0].dtype)
     for i, x in enumerate(batch):
         out[i, : len(x)] = x
     return out, sizes
 
 
-def fit(table: list[tuple[str, list[tuple[str, int, int]]]], steps: int = 160, rate: float = 0.25, ridge: float = 2e-4) -> tuple[np.ndarray, np.ndarray]:
-    """(feature weights, transitions) by gradient ascent with Adam on the log-likelihood."""
+def label_scores(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Sums of the weights of each token's features; no table of all features by all labels is made."""
+    out = w[x[..., 0]]
+    for c in range(1, x.shape[-1]):
+        out += w[x[..., c]]
+    return out
+
+
+_INSIDE = [i for i, s in enumerate(LABELS) if s[0] == "I"]
+
+
+class Likelihood:
+    """The log-likelihood of labelled sequences, and its gradient.
+
+    Sequences stand side by side, longest first, so that those which go on at
+    a place are the first rows; only real tokens are stored.
+    """
+
+    def __init__(self, feats: list[np.ndarray], gold: list[np.ndarray]):
+        order = sorted(range(len(feats)), key=lambda i: -len(feats[i]))
+        self.n, self.length = len(feats), max(map(len, feats))
+        self.on = [sum(len(f) > i for f in feats) for i in range(self.length)]  # sequences with a token at place i
+        self.at = np.concatenate([[0], np.cumsum(self.on)])
+        self.x = np.stack([feats[j][i] for i in range(self.length) for j in order[: self.on[i]]])
+        y = np.array([gold[j][i] for i in range(self.length) for j in order[: self.on[i]]])
+        self.hot = np.eye(len(LABELS))[y]
+        self.pairs = np.zeros((len(LABELS), len(LABELS)))
+        for i in range(1, self.length):
+            m = self.on[i]
+            np.add.at(self.pairs, (y[self.at[i - 1] : self.at[i - 1] + m], y[self.at[i] : self.at[i] + m]), 1.0)
+        # Feature numbers in order once: sums by feature are then sums of runs.
+        flat = self.x.ravel()
+        by_feature = np.argsort(flat, kind="stable")
+        self.token = by_feature // self.x.shape[1]
+        self.which, self.first = np.unique(flat[by_feature], return_index=True)
+
+    def gradient(self, w: np.ndarray, trans: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """(log-likelihood, its gradient by the weights, by the transitions), by forward and backward sums."""
+        e, t = label_scores(self.x, w), trans + allowed()
+        e[: self.on[0], _INSIDE] -= 1e4
+        top = e.max(axis=1, keepdims=True)
+        p, step = np.exp(e - top), np.exp(t)
+        # Forward and backward sums are kept in scale by each token's own total.
+        alpha, beta, total = p.copy(), np.ones_like(p), np.empty(len(p))
+        for i in range(self.length):
+            here = slice(self.at[i], self.at[i + 1])
+            if i:
+                alpha[here] *= alpha[self.at[i - 1] : self.at[i - 1] + self.on[i]] @ step
+            total[here] = alpha[here].sum(axis=1)
+            alpha[here] /= total[here, None]
+        expected = np.zeros_like(step)
+        for i in range(self.length - 1, 0, -1):
+            here, before = slice(self.at[i], self.at[i + 1]), slice(self.at[i - 1], self.at[i - 1] + self.on[i])
+            after = p[here] * beta[here] / total[here, None]
+            beta[before] = after @ step.T
+            expected += alpha[before].T @ after
+        diff = self.hot - alpha * beta
+        grad = np.zeros_like(w)
+        grad[self.which] = np.add.reduceat(diff[self.token], self.first, axis=0)
+        value = (self.hot * e).sum() + (self.pairs * t).sum() - (np.log(total) + top[:, 0]).sum()
+        return float(value), grad, self.pairs - step * expected
+
+
+def labelled_sequences(table: list[tuple[str, list[tuple[str, int, int]]]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     feats, gold = [], []
     for text, spans in table:
         where = tokens(text, 0, len(text))
@@ -214,68 +278,53 @@ def fit(table: list[tuple[str, list[tuple[str, int, int]]]], steps: int = 160, r
             tags[inside[0]] = LABELS.index(f"B-{kind}")
         feats.append(rows_of(*encode(text, where)))
         gold.append(tags)
-    x, sizes = pad(feats)
-    y, _ = pad(gold)
-    n, length, _ = x.shape
-    valid = np.arange(length)[None, :] < sizes[:, None]
+    return feats, gold
+
+
+def fit(table: list[tuple[str, list[tuple[str, int, int]]]], steps: int = 160, rate: float = 0.25, ridge: float = 2e-4) -> tuple[np.ndarray, np.ndarray]:
+    """(feature weights, transitions) by gradient ascent with Adam on the log-likelihood."""
+    goal = Likelihood(*labelled_sequences(table))
     k = len(LABELS)
-    w, trans, limit = np.zeros((N_FEATURES, k)), np.zeros((k, k)), allowed()
+    w, trans = np.zeros((N_FEATURES, k)), np.zeros((k, k))
     moments = [np.zeros_like(v) for v in (w, w, trans, trans)]
-    hot = np.zeros((n, length, k))
-    np.put_along_axis(hot, y[:, :, None], 1.0, axis=2)
-    hot *= valid[:, :, None]
-    pairs = np.zeros((k, k))
-    np.add.at(pairs, (y[:, :-1][valid[:, 1:]], y[:, 1:][valid[:, 1:]]), 1.0)
     for step in range(1, steps + 1):
-        e = w[x].sum(axis=2)
-        e[:, 0, [i for i, s in enumerate(LABELS) if s[0] == "I"]] -= 1e4
-        t = trans + limit
-        alpha = np.zeros((n, length, k))
-        beta = np.zeros((n, length, k))
-        alpha[:, 0] = e[:, 0]
-        for i in range(1, length):
-            nxt = _lse(alpha[:, i - 1, :, None] + t, 1) + e[:, i]
-            alpha[:, i] = np.where(valid[:, i, None], nxt, alpha[:, i - 1])
-        for i in range(length - 2, -1, -1):
-            nxt = _lse(t[None] + (e[:, i + 1] + beta[:, i + 1])[:, None, :], 2)
-            beta[:, i] = np.where(valid[:, i + 1, None], nxt, 0.0)
-        z = _lse(alpha[:, -1], 1)
-        marginal = np.exp(alpha + beta - z[:, None, None]) * valid[:, :, None]
-        expected = np.zeros((k, k))
-        for i in range(1, length):
-            on = valid[:, i]
-            joint = alpha[on, i - 1, :, None] + t + (e[on, i] + beta[on, i])[:, None, :] - z[on, None, None]
-            expected += np.exp(joint).sum(axis=0)
-        grad_w = np.zeros_like(w)
-        diff = (hot - marginal)[valid]
-        for c in range(x.shape[2]):
-            np.add.at(grad_w, x[:, :, c][valid], diff)
-        for j, (value, grad) in enumerate(((w, grad_w / n - ridge * w), (trans, (pairs - expected) / n - ridge * trans))):
+        _, *grads = goal.gradient(w, trans)
+        for j, (value, grad) in enumerate(((w, grads[0]), (trans, grads[1]))):
+            grad = grad / goal.n - ridge * value
             m, v = moments[2 * j], moments[2 * j + 1]
             m += 0.1 * (grad - m)
             v += 0.001 * (grad**2 - v)
             value += rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    return w, trans + limit
+    return w, trans + allowed()
+
 
+def viterbi(batch: list[np.ndarray], model: tuple[np.ndarray, np.ndarray], margin: float = MARGIN) -> list[np.ndarray]:
+    """Best labels of each sequence of feature rows; sequences are padded to the longest.
 
-def viterbi(batch: list[np.ndarray], model: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
-    """Best labels of each sequence of feature rows; sequences are padded to the longest."""
+    Scores are worked out for about ``SLICE`` tokens at a time; only one byte
+    a label and token is kept for the way back.
+    """
     w, trans = model
     x, sizes = pad(batch)
     n, length, _ = x.shape
-    e = w[x].sum(axis=2)
-    e[:, :, 0] += MARGIN / 2  # a span must beat the outside reading
-    e[:, 0, [i for i, s in enumerate(LABELS) if s[0] == "I"]] -= 1e4
-    score = e[:, 0]
     back = np.zeros((n, length, len(LABELS)), np.int8)
     stay = np.arange(len(LABELS), dtype=np.int8)
-    for i in range(1, length):
-        options = score[:, :, None] + trans
-        on = (i < sizes)[:, None]
-        back[:, i] = np.where(on, options.argmax(axis=1), stay)
-        score = np.where(on, options.max(axis=1) + e[:, i], score)
+    step = max(1, SLICE // n)
+    score = None
+    for begin in range(0, length, step):
+        e = label_scores(x[:, begin : begin + step], w)
+        e[:, :, 0] += margin / 2  # a span must beat the outside reading
+        for i in range(e.shape[1]):
+            if score is None:
+                e[:, 0, _INSIDE] -= 1e4
+                score = e[:, 0]
+                continue
+            options = score[:, :, None] + trans
+            on = (begin + i < sizes)[:, None]
+            back[:, begin + i] = np.where(on, options.argmax(axis=1), stay)
+            score = np.where(on, options.max(axis=1) + e[:, i], score)
     at = score.argmax(axis=1)
-    out = np.zeros((n, length), np.int64)
+    out = np.zeros((n, length), np.int8)
     for i in range(length - 1, -1, -1):
         out[:, i] = at
         at = back[np.arange(n), i, at]
@@ -390,14 +439,32 @@ def sound(kind: str, body: str) -> bool:
     return 10 <= len(digits) <= 15 and bool(re.fullmatch(r"\+?\(?[0-9]{1,4}\)?(?:[ .-]?\(?[0-9]{2,}\)?)+", body))
 
 
+class Covered:
+    """Stretches covered by spans, merged and in order."""
+
+    def __init__(self, spans: list[tuple[str, int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b in sorted((a, b) for _, a, b in spans):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, a: int, b: int) -> bool:
+        k = bisect.bisect_right(self.ends, a)
+        return k < len(self.starts) and self.starts[k] < b
+
+
 def added_spans(texts: list[str], base: list[list[tuple[str, int, int]]], model, batch_tokens: int = 1 << 15) -> list[list[tuple[str, int, int]]]:
     """Spans that the model adds to each text's matches."""
-    jobs = []
+    jobs, covered = [], [Covered(b) for b in base]
     for i, text in enumerate(texts):
         for a, b in windows(text):
-            where = tokens(text, a, b)
             # A window whose anchors all lie in matches has nothing to add.
-            if any(not any(s <= m.start() + a < e for _, s, e in base[i]) for m in _ANCHOR.finditer(text[a:b])):
+            if any(not covered[i].meets(m.start(), m.start() + 1) for m in _ANCHOR.finditer(text, a, b)):
+                where = tokens(text, a, b)
                 jobs.append((i, where, rows_of(*encode(text, where))))
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
     jobs.sort(key=lambda j: len(j[1]))
@@ -408,7 +475,7 @@ def added_spans(texts: list[str], base: list[list[tuple[str, int, int]]], model,
             end += 1
         for (i, where, _), tags in zip(jobs[at:end], viterbi([j[2] for j in jobs[at:end]], model), strict=True):
             for kind, a, b in spans_of(tags, where):
-                if sound(kind, texts[i][a:b]) and not any(s < b and a < e for _, s, e in base[i]):
+                if not covered[i].meets(a, b) and sound(kind, texts[i][a:b]):
                     out[i].append((kind, a, b))
         at = end
     return out

@@ -436,6 +436,72 @@ def test_field_on_a_table_it_has_not_seen():
     assert right / sum(map(len, made)) > 0.95 and right / sum(len(s) for _, s in rows) > 0.85
 
 
+def test_viterbi_and_gradient_against_all_paths(monkeypatch):
+    import itertools
+
+    rng = np.random.default_rng(3)
+    k = len(pii.LABELS)
+    w, trans = rng.normal(0, 0.5, (pii.N_FEATURES, k)), rng.normal(0, 0.5, (k, k))
+    texts = ["a@b.c", "x 1", "+1 2"]
+    feats = [pii.rows_of(*pii.encode(t, pii.tokens(t, 0, len(t)))) for t in texts]
+    gold = [np.array([pii.LABELS.index(n) for n in tags]) for tags in (["B-email", *["I-email"] * 4], ["O", "B-ip"], ["O", "B-phone", "I-phone"])]
+
+    def path_scores(x, bonus):
+        e = w[x].sum(axis=1)
+        e[:, 0] += bonus
+        limit = trans + pii.allowed()
+        return {
+            p: sum(e[i, t] for i, t in enumerate(p)) + sum(limit[a, b] for a, b in zip(p, p[1:])) - (1e4 if pii.LABELS[p[0]][0] == "I" else 0)
+            for p in itertools.product(range(k), repeat=len(x))
+        }
+
+    for size in (1 << 15, 2):  # at once, and in slices
+        monkeypatch.setattr(pii, "SLICE", size)
+        for x, tags in zip(feats, pii.viterbi(feats, (w, trans + pii.allowed()))):
+            scores = path_scores(x, pii.MARGIN / 2)
+            assert tuple(tags.tolist()) == max(scores, key=scores.get)
+    goal = pii.Likelihood(feats, gold)
+    value, grad, grad_t = goal.gradient(w, trans)
+    want = 0.0
+    for x, y in zip(feats, gold):
+        scores = path_scores(x, 0)
+        want += scores[tuple(y.tolist())] - np.logaddexp.reduce(list(scores.values()))
+    assert abs(value - want) < 1e-8
+    for g, v in ((grad, w), (grad_t, trans)):
+        for i in zip(*(rng.integers(0, n, 6) for n in v.shape)):
+            i = i if g is grad_t else (int(rng.choice(feats[0].ravel())), i[1])
+            old = v[i]
+            v[i] = old + 1e-5
+            up = goal.gradient(w, trans)[0]
+            v[i] = old - 1e-5
+            down = goal.gradient(w, trans)[0]
+            v[i] = old
+            assert abs((up - down) / 2e-5 - g[i]) < 1e-6
+
+
+def test_windows_find_what_whole_texts_hold(spark, sf):
+    """The field over whole texts adds the same spans as over windows."""
+    model = pii.default_model()
+    texts = [r["text"] for r in table(spark, sf, "documents").collect() if r["text"] and pii._ANCHOR.search(r["text"])][:150]
+    texts += ["word " * 30 + t + " word" * 30 for t, _ in pii.labelled_table(seed=5, rows=200)]
+    base = [pii.base_spans(t) for t in texts]
+    for t, b, got in zip(texts, base, pii.added_spans(texts, base, model)):
+        where, held = pii.tokens(t, 0, len(t)), pii.Covered(b)
+        tags = pii.viterbi([pii.rows_of(*pii.encode(t, where))], model)[0]
+        assert [s for s in pii.spans_of(tags, where) if pii.sound(s[0], t[s[1] : s[2]]) and not held.meets(*s[1:])] == got
+
+
+def test_field_is_linear_in_matches_and_tokens():
+    import time
+
+    model, began = pii.default_model(), time.time()
+    many = " ".join(f"ann{i}@host{i}.example.org" for i in range(16_000))
+    assert pii.added_spans([many], [pii.base_spans(many)], model) == [[]]
+    numbers = "12 7 " * 40_000
+    assert pii.added_spans([numbers], [pii.base_spans(numbers)], model) == [[]]
+    assert time.time() - began < 20
+
+
 def test_windows_reach_past_every_anchor():
     for t in (
         "write to jane42 [at] example [dot] com", "room 12 ask jane [at] example [dot] com", "a@b.com, jane (at) example (dot) org",
@@ -443,6 +509,8 @@ def test_windows_reach_past_every_anchor():
     ):
         assert [t[a:b].strip() for a, b in pii.windows(t)] == [t]
     assert len(pii.windows("1 " + "x " * 20 + "2")) == 2
+    assert not any(pii.Covered([("ip", 3, 5), ("card", 4, 9), ("ip", 20, 22)]).meets(a, b) for a, b in ((0, 3), (9, 20), (22, 30)))
+    assert all(pii.Covered([("ip", 3, 5), ("card", 4, 9), ("ip", 20, 22)]).meets(a, b) for a, b in ((0, 4), (8, 9), (1, 30), (21, 22)))
     pii.windows("1 " * 200_000), pii.windows("1" * 400_000)
 
 
