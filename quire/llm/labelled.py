@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Bytes of the longest text that a classifier learns from.
+TEXT_BYTES = 1 << 16
+
+
 def remainder(doc_id, modulus: int):
     """crc32 of the id as text modulo ``modulus``; null for a null id."""
     return F.crc32(doc_id.cast("string")) % modulus
@@ -19,7 +23,9 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, modul
     id; labels that are null or not 0 or 1 are left out, and a document with
     several labels has the largest. Ids in the held-out remainder are never
     read. The ids chosen are bounded by ``2 * per_class`` and are broadcast;
-    the texts stay where they are.
+    the texts stay where they are. Texts over ``TEXT_BYTES`` are not learned
+    from, and of rows that share an id the one of the smallest text is, so the
+    sample is bounded in bytes as well.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
     if modulus:
@@ -32,8 +38,9 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, modul
         for r in known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class).collect()
     ]
     ids = docs.sparkSession.createDataFrame(chosen, "chosen_id long, y int")
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("chosen_id"))
-    return rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y"), totals
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") <= TEXT_BYTES)
+    rows = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("chosen_id"))
+    return rows.groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("doc_id", "text", "y"), totals
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:

@@ -8,8 +8,9 @@ on a bounded sample of labelled rows (``PER_CLASS`` of either label). Margins
 become probabilities by a logistic curve fitted on cross-validated margins,
 weighed to the classes' true proportions.
 
-Scoring is a narrow pass with a table of ``2**BITS`` weights; memory for a text
-is bounded by working through it in pieces of ``PIECE`` bytes.
+Scoring is a narrow pass with a table of ``2**BITS`` weights; a text is worked
+through in pieces that overlap by as much as the longest n-gram, so its
+indicators do not depend on where a piece ends.
 
 Defined results: null and empty texts have no n-grams and get the model's
 score for that; with labels of one class or none, every score is that class's
@@ -28,7 +29,8 @@ from .labelled import balance, logistic, remainder, sample, sigmoid
 
 BITS = 17
 PER_CLASS = 2500
-PIECE = 1 << 20
+#: Bytes, and words, that are worked through at a time.
+PIECE = 1 << 18
 FOLDS = 3
 THRESHOLD = 0.3
 #: The query's held-out rows: crc32 of the id modulo 5 is 0.
@@ -62,7 +64,10 @@ def mark(text: bytes | None, seen: np.ndarray) -> None:
         if len(b) > 2:
             h = (b[:-2] << 16 | b[1:-1] << 8 | b[2:]) * np.uint32(2_654_435_761)
             seen[h >> np.uint32(32 - BITS + 1)] = True  # the lower half of the table
-        s = symbols(low[at : at + PIECE].split())
+    words = low.split()
+    for at in range(0, len(words), PIECE):
+        # The first word only tells whether the next one repeats it; five more begin the n-grams that reach into the piece.
+        s = symbols(words[max(0, at - 6) : at + PIECE])[1 if at > 6 else 0 :]
         key = np.zeros(len(s), np.int64)
         for n in range(1, 7):
             if len(s) < n:

@@ -1,20 +1,22 @@
 """Toxicity: class-conditional Kneser-Ney models.
 
-Two letter models of order four, one of toxic and one of ordinary texts. Both
-discount their own counts and back off to one continuation model shared by
-both classes, so an expression that is rare, or an unseen form of a known one,
-is judged by letter groups whose counts do not come from a single text. Counts
-are of texts, not of occurrences, and copies in the sample count once.
-
-A word's evidence is the log-likelihood ratio of its letters, normalised by
-its length; a text's evidence is that of its strongest words (the largest, and
-the largest mean over a few neighbouring words) and the mean over all of it,
-so that a short insult in a long text counts. A logistic curve fitted on
-cross-validated evidence, weighed to the classes' true proportions, turns
-these into a probability.
+Two models, one of toxic and one of ordinary texts. Either discounts its own
+counts of words and backs off to those of word beginnings (``STEM`` bytes) with
+the letters after them, and then to letters alone, four at a time; those are
+discounted again and back off to one continuation model shared by both
+classes. So an expression that is rare, or an unseen form of a known one, is
+judged by counts that do not come from a single text. Counts are of texts, not
+of occurrences, and copies in the sample count once.
+
+A text is judged by the difference of its log-likelihoods under the two
+models, normalised by length: that of the whole text, and, so that a short
+insult in a long text counts, the greatest of its runs of ``NEIGHBOURS`` words
+and of its words. A logistic curve fitted on cross-validated differences,
+weighed to the classes' true proportions, turns the three into a probability.
 
 Models are fitted on a bounded sample (``PER_CLASS`` rows of either label);
-scoring is a narrow pass over whole texts with one table of ``40**4`` ratios.
+scoring is a narrow pass over whole texts with the sample's words and
+beginnings and two tables of ``40**4`` letter groups.
 
 Defined results: null and empty texts, and texts without letters, have no
 evidence and score the curve's value at 0; with labels of one class or none,
@@ -24,6 +26,7 @@ every score is that class's (or 0.5); a null doc_id is not held out.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +37,11 @@ from .common import alnum_words, annotate, binaries, field
 from .labelled import balance, logistic, remainder, sample, sigmoid
 
 PER_CLASS = 2000
-#: Absolute discounts and powers of the word length that cross-validation chooses from.
-DISCOUNTS = (1.0, 3.0)
+#: Absolute discounts, and powers of a stretch's length that normalise it, that cross-validation chooses from.
+DISCOUNTS = (0.75, 0.95)
 POWERS = (0.5, 1.0)
 NEIGHBOURS = 4
+STEM = 5
 FOLDS = 2
 THRESHOLD = 0.7
 MODULUS, KEPT_OUT = 3, 1
@@ -63,13 +67,18 @@ def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Counts:
-    """In how many texts of each class each four-symbol group stands."""
+    """In how many texts of each class each four-symbol group, and each word, stands."""
 
     def __init__(self, texts: list[list[bytes]], y: np.ndarray):
         self.n = np.zeros((2, BASE**4), np.float32)
+        self.words: tuple[Counter[bytes], Counter[bytes]] = (Counter(), Counter())
+        self.stems: tuple[Counter[bytes], Counter[bytes]] = (Counter(), Counter())
         for words, label in zip(texts, y, strict=True):
-            for at in range(0, len(words), PIECE):
-                self.n[label, np.unique(grams(words[at : at + PIECE])[0])] += 1
+            kinds = list(set(words))
+            self.words[label].update(kinds)
+            self.stems[label].update({w[:STEM] for w in kinds})
+            if kinds:
+                self.n[label, np.unique(grams(kinds)[0])] += 1
 
 
 def shared_model(kept: np.ndarray) -> np.ndarray:
@@ -85,50 +94,93 @@ def shared_model(kept: np.ndarray) -> np.ndarray:
     return p
 
 
-def ratios(seen: Counts, discount: float) -> np.ndarray:
-    """log P_toxic / P_ordinary of a symbol after three, for all groups."""
+def letter_logs(seen: Counts, discount: float) -> list[np.ndarray]:
+    """log P(a symbol after three) of either class, for all groups."""
     back = shared_model(seen.n.sum(axis=0))
     logs = []
     for n in seen.n.reshape(2, BASE**3, BASE):
         total = np.maximum(n.sum(axis=1, keepdims=True), 1)
         left = np.maximum(n - discount, 0)
         p = left / total + (1 - left.sum(axis=1, keepdims=True) / total) * np.tile(back.reshape(BASE**2, BASE), (BASE, 1))
-        logs.append(np.log(np.maximum(p, 1e-12)))
-    table = (logs[1] - logs[0]).reshape(BASE, BASE, BASE, BASE)
-    table[:, :, 0, 0] = 0  # only the first boundary ends a word
-    return table.reshape(-1)
-
-
-def evidence(words: list[bytes], table: np.ndarray, power: float) -> tuple[float, float, float]:
-    """(strongest word, strongest neighbours, mean over all symbols)."""
-    most, near, total, length = -np.inf, -np.inf, 0.0, 0
-    for at in range(0, len(words), PIECE):
-        key, starts, sizes = grams(words[at : at + PIECE])
-        sums = np.concatenate([[0.0], np.cumsum(table[key], dtype=np.float64)])
-        each = sums[starts + sizes] - sums[starts]
-        score = each / sizes**power
-        most = max(most, float(score.max()))
-        run = np.concatenate([[0.0], np.cumsum(score)])
-        k = min(NEIGHBOURS, len(score))
-        near = max(near, float((run[k:] - run[:-k]).max()) / NEIGHBOURS)
-        total, length = total + float(each.sum()), length + int(sizes.sum())
-    return (most, near, total / length) if length else (0.0, 0.0, 0.0)
+        logs.append(np.log(np.maximum(p, 1e-12)).reshape(-1))
+    return logs
+
+
+class Discounted:
+    """Discounted shares of either class's own counts, and what is left to the level below."""
+
+    def __init__(self, counts: tuple[Counter[bytes], Counter[bytes]], discount: float):
+        kinds = sorted(set(counts[0]) | set(counts[1]))
+        self.place = Places((w, i) for i, w in enumerate(kinds))
+        self.own, self.rest = [], []
+        for mine in counts:
+            total = max(1, sum(mine.values()))
+            kept = np.array([max(mine[w] - discount, 0) / total for w in kinds] + [0.0])
+            with np.errstate(divide="ignore"):
+                self.own.append(np.log(kept))
+            self.rest.append(float(np.log(max(1e-9, 1 - kept.sum()))))
+
+    def places(self, of: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.place.__getitem__, of), np.int64, len(of))
+
+    def logs(self, label: int, at: np.ndarray, below: np.ndarray) -> np.ndarray:
+        return np.logaddexp(self.own[label][at], self.rest[label] + below)
+
+
+class Models:
+    """Both classes' log probabilities of words: of the words, over their beginnings, over letters."""
+
+    def __init__(self, seen: Counts, discount: float):
+        self.letters = letter_logs(seen, discount)
+        self.words, self.stems = Discounted(seen.words, discount), Discounted(seen.stems, discount)
+
+    def difference(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(log P_toxic / P_ordinary, length) of each word."""
+        key, starts, sizes = grams(words)
+        stems, whole = self.stems.places([w[:STEM] for w in words]), self.words.places(words)
+        middle, ends = starts + np.minimum(sizes - 1, STEM), starts + sizes
+        logs = []
+        for label in (0, 1):
+            sums = np.concatenate([[0.0], np.cumsum(self.letters[label][key], dtype=np.float64)])
+            begun = self.stems.logs(label, stems, sums[middle] - sums[starts])
+            logs.append(self.words.logs(label, whole, begun + sums[ends] - sums[middle]))
+        return logs[1] - logs[0], sizes
+
+
+class Places(dict):
+    """Places of known words; the last place for every other."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
+def evidence(words: list[bytes], models: Models, power: float) -> tuple[float, float, float]:
+    """Log-likelihood differences normalised by length: (strongest word, strongest run of words, whole text)."""
+    if not words:
+        return 0.0, 0.0, 0.0
+    # Words stand alone, so a text can be cut between any two.
+    parts = [models.difference(words[at : at + PIECE]) for at in range(0, len(words), PIECE)]
+    each, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
+    k = min(NEIGHBOURS, len(each))
+    run, length = (np.concatenate([[0.0], np.cumsum(x)]) for x in (each, sizes))
+    near = (run[k:] - run[:-k]) / (length[k:] - length[:-k]) ** power
+    return float((each / sizes**power).max()), float(near.max()), float(run[-1] / length[-1])
 
 
 def without_copies(texts: list[list[bytes]], y: np.ndarray) -> np.ndarray:
-    """Numbers of the texts of which at most half of the eight-word runs stood in an earlier one."""
+    """Numbers of the texts of which at most half of the eight-word runs stood in an earlier one of their class."""
     seen: set[int] = set()
     kept = []
     for i, words in enumerate(texts):
-        runs = {h for j in range(max(1, len(words) - 7)) if (h := zlib.crc32(b" ".join((b"%d" % y[i], *words[j : j + 8])))) % 4 == 0}
-        if not runs or 2 * len(runs & seen) <= len(runs):
+        runs = {zlib.crc32(b" ".join((b"%d" % y[i], *words[j : j + 8]))) for j in range(max(1, len(words) - 7))}
+        if 2 * len(runs & seen) <= len(runs):
             kept.append(i)
         seen |= runs
     return np.array(kept, int)
 
 
 def fit(rows: list[tuple[int, list[bytes]]], totals: dict[int, int]):
-    """(table, power, curve); discount and power are those of least cross-validated log loss."""
+    """(models, power, curve); discount and power are those of least cross-validated log loss."""
     y = np.array([r[0] for r in rows], int)
     if len(set(y)) < 2:
         return None, 0.0, float(y[0]) if len(y) else 0.5
@@ -140,9 +192,9 @@ def fit(rows: list[tuple[int, list[bytes]]], totals: dict[int, int]):
         train, test = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
         seen = Counts([texts[i] for i in train], y[train])
         for d in DISCOUNTS:
-            table = ratios(seen, d)
+            models = Models(seen, d)
             for p in POWERS:
-                out[d, p][test] = [evidence(texts[i], table, p) for i in test]
+                out[d, p][test] = [evidence(texts[i], models, p) for i in test]
     curves = {c: logistic(x, y, weight) for c, x in out.items()}
 
     def loss(c) -> float:
@@ -150,7 +202,7 @@ def fit(rows: list[tuple[int, list[bytes]]], totals: dict[int, int]):
         return -float((weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).mean())
 
     best = min(out, key=loss)
-    return ratios(Counts(texts, y), best[0]), best[1], curves[best]
+    return Models(Counts(texts, y), best[0]), best[1], curves[best]
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS, modulus: int = MODULUS, kept_out: int = KEPT_OUT):
@@ -161,14 +213,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
 
 def with_scores(docs: DataFrame, fitted, text: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with the probability of label 1."""
-    table, power, curve = fitted
+    models, power, curve = fitted
 
     def start():
-        if table is None:
+        if models is None:
             return lambda batch: [pa.array([curve] * batch.num_rows, pa.float64())]
 
         def one(x: bytes | None) -> float:
-            return float(sigmoid(float(np.dot(curve, (*evidence(alnum_words(x), table, power), 1.0)))))
+            return float(sigmoid(float(np.dot(curve, (*evidence(alnum_words(x), models, power), 1.0)))))
 
         return lambda batch: [pa.array([one(x) for x in binaries(batch, text)], pa.float64())]
 

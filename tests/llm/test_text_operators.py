@@ -284,6 +284,84 @@ def test_toxicity_learns_words_and_their_forms(spark):
     assert all(held[i] == (zlib.crc32(str(i).encode()) % 3 == 1) for i, _ in rows)
 
 
+def test_toxicity_on_real_labels(spark):
+    d, la = (table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    scored = toxicity.score(d, la)
+    assert held_out_accuracy(scored, la, "toxic") > 0.94
+    truth = {r["doc_id"]: r["toxic"] for r in la.collect()}
+    flagged = [truth[r["doc_id"]] for r in scored.where("held_out AND predicted = 1").collect() if r["doc_id"] in truth]
+    assert sum(flagged) > 0.95 * len(flagged)
+
+
+def test_kneser_ney_by_hand():
+    """P(x | a b c) of either class from the definition, with counts in dictionaries."""
+    texts, y = [[b"abca", b"abd"], [b"abcd"], [b"abcb"], [b"xabc"]], np.array([1, 1, 0, 0])
+    models = toxicity.Models(toxicity.Counts(texts, y), 0.75)
+    counts = ({}, {})
+    for words, label in zip(texts, y):
+        for key in set(toxicity.grams(words)[0].tolist()):
+            counts[label][key] = counts[label].get(key, 0) + 1
+    base = toxicity.BASE
+    places = lambda key, n: tuple(key // base**i % base for i in range(n - 1, -1, -1))
+    seen = {places(k, 4) for c in counts for k in c}
+
+    def shared(context, x):
+        """Continuation counts: before how many distinct symbols a group stands, over both classes."""
+        if context is None:
+            return 1 / base
+        n = len(context)
+        tails = {g[3 - n - 1 :] for g in seen}  # groups of n + 2 symbols
+        after = {}
+        for g in tails:
+            if g[1:-1] == context:
+                after[g[-1]] = after.get(g[-1], 0) + 1
+        total, left = sum(after.values()), sum(max(v - 0.75, 0) for v in after.values())
+        back = shared(context[1:] if n else None, x)
+        return max(after.get(x, 0) - 0.75, 0) / max(total, 1) + (1 - left / max(total, 1)) * back
+
+    def p(label, group):
+        mine = {g: n for g, n in ((places(k, 4), n) for k, n in counts[label].items()) if g[:3] == group[:3]}
+        total = max(1, sum(mine.values()))
+        left = sum(max(n - 0.75, 0) for n in mine.values())
+        return max(mine.get(group, 0) - 0.75, 0) / total + (1 - left / total) * shared(group[1:3], group[3])
+
+    def word(label, w):
+        """Its own discounted count, over that of its beginning, over the letters."""
+        keys, starts, sizes = toxicity.grams([w])
+        letters = [p(label, places(k, 4)) for k in keys[starts[0] : starts[0] + sizes[0]].tolist()]
+        cut = min(len(w), toxicity.STEM)
+
+        def over(kinds, one, below):
+            left = 1 - sum(max(kinds.count(x) - 0.75, 0) for x in set(kinds)) / len(kinds)
+            return max(kinds.count(one) - 0.75, 0) / len(kinds) + left * below
+
+        mine = [set(t) for t, c in zip(texts, y) if c == label]
+        begun = over([x for t in mine for x in {v[: toxicity.STEM] for v in t}], w[: toxicity.STEM], math.prod(letters[:cut]))
+        return over([x for t in mine for x in t], w, begun * math.prod(letters[cut:]))
+
+    words = [b"abca", b"abcd", b"abcz", b"zzzz", b"abd", b"xabc", b"abcabca"]
+    got, sizes = models.difference(words)
+    assert sizes.tolist() == [5, 5, 5, 5, 4, 5, 8]
+    for w, d in zip(words, got):
+        assert abs(d - math.log(word(1, w) / word(0, w))) < 1e-3
+
+
+def test_pieces_do_not_show(monkeypatch):
+    rng = random.Random(1)
+    words = [rng.choice([b"aa", b"b.", b"c|", b"aa", b"x%"]) for _ in range(400)]
+    seen, again = np.zeros(quality._SIZE, bool), np.zeros(quality._SIZE, bool)
+    quality.mark(b" ".join(words), seen)
+    models = toxicity.Models(toxicity.Counts([words[:40], words[50:70]], np.array([0, 1])), 0.75)
+    low = [w.rstrip(b".|%") for w in words]
+    whole = toxicity.evidence(low, models, 0.5)
+    for size in (7, 50):
+        monkeypatch.setattr(quality, "PIECE", size)
+        quality.mark(b" ".join(words), again)
+        assert (seen == again).all()
+        monkeypatch.setattr(toxicity, "PIECE", size)
+        assert np.allclose(toxicity.evidence(low, models, 0.5), whole)
+
+
 @pytest.mark.parametrize("module", [quality, toxicity])
 def test_classifiers_on_odd_rows(spark, module):
     la = spark.createDataFrame([(i, i % 2, i % 2) for i in (2, 3, 5, 6, 7, 9, 11)] + [(None, 1, 1), (3, None, None), (6, 1, 1)], "doc_id long, quality int, toxic int")
