@@ -421,6 +421,38 @@ def test_lm_is_a_distribution_and_windows_score_once():
     assert abs(both[1] - score([seq[:40]])[0]) < 1e-4 and abs(both[0] - score([seq])[0]) < 1e-4
 
 
+def test_lm_is_a_distribution_with_ids_beyond_the_table(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "TOP", 12)
+    ids = 40
+    net, counts, cls, _ = small_network(ids)
+    cls[:ids] = 5 + np.arange(ids) % 3  # every class has ids within the table and beyond
+    log_in, _ = lm_scoring.within_class(np.append(counts, 9), cls)
+    net.cls = cls
+    rank = lm_scoring.ranks(counts)
+    after = lm_scoring.after_table(np.array([[1, 1, 2, 0], [2, 3, 1, 11], [5, 4, 3, 900]], np.int32), counts, cls, log_in)
+    for last in range(ids):
+        for c in (5, 6, 7):
+            members = [i for i in range(ids) if cls[i] == c]
+            each = [after[1][rank[last], rank[i]] if rank[i] < 12 else log_in[i] + after[2][rank[last], c] for i in members]
+            assert abs(np.exp(np.array(each, np.float64)).sum() - 1) < 2e-3
+    # The share of a class's ids in what is scored is the class's own probability, whatever the last id.
+    score = lambda seqs: lm_scoring.log_probabilities(seqs, net, log_in, after, ids + 1)
+    begin = np.array([ids, *np.argsort(rank)[:3], *np.argsort(-rank)[:3]], np.int32)
+    for n in range(2, len(begin) + 1):
+        alone = 10 ** (score([np.append(begin[:n], x).astype(np.int32) for x in range(ids)]) - score([begin[:n]])[0])
+        rows = np.full(lm_scoring.CONTEXT + lm_scoring.STRIDE, lm_scoring.PAD_ROW)
+        rows[lm_scoring.CONTEXT : lm_scoring.CONTEXT + n] = net.row[begin[:n]]
+        for c in (5, 6, 7):
+            want = np.exp(net.log_class(rows[None], np.full((1, lm_scoring.STRIDE), c))[0, n - 1])
+            assert abs(alone[cls[:ids] == c].sum() / want - 1) < 3e-3
+
+
+def test_lm_keeps_every_pair(spark):
+    counts = np.array([9, 0, 7, 3])
+    pairs = spark.createDataFrame([(0, 2, 1), (2, 0, 5), (3, 3, 2)], "a long, b long, n long")
+    assert sorted(map(tuple, lm_scoring.pair_table(pairs, counts).T.tolist())) == [(0, 1, 1), (1, 0, 5), (2, 2, 2)]
+
+
 def test_lm_gradient_by_differences(monkeypatch):
     monkeypatch.setattr(lm_scoring, "F32", np.float64)
     rng = np.random.default_rng(0)
@@ -469,7 +501,7 @@ def test_lm_trains_on_every_id(spark):
     net = lm_scoring.Network(row, cls, lm_scoring.within_class(np.append(counts, len(texts)), cls)[1])
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
     before = net.weights()
-    assert lm_scoring.average(net, docs, raw) == counts.sum() + 2 * len(texts) and (net.weights() != before).any()
+    assert lm_scoring.average(net, docs, lm_scoring.Reader(raw, [b"w1", b"w96", b"unseen"])) == counts.sum() + 2 * len(texts) and (net.weights() != before).any()
 
 
 def test_lm_without_training_rows(spark):
