@@ -8,8 +8,10 @@ word stands. The word's offset bounds the position, the window's length
 bounds the document, and the window is then verified word by word.
 
 Inputs of any shape have a defined result: null or empty text has no words
-and no hits; items without words or without an id have no windows; repeated
-items and documents count as they stand, one result row for each document row.
+and no hits; items without words have no windows; the windows of items without
+an id make hits, but no entry in the list of ids; ids of any type are read as
+text; repeated items and documents count as they stand, one result row for each
+document row.
 """
 
 from __future__ import annotations
@@ -35,9 +37,9 @@ def item_windows(words: list[bytes], n: int) -> list[tuple[bytes, ...]]:
     return [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
 
 
-def build_index(items: list[tuple[int, bytes]], rarity: dict[bytes, int], n: int):
+def build_index(items: list[tuple[str | None, bytes]], rarity: dict[bytes, int], n: int):
     """``(windows, prefix)``: window -> item ids; rarest word -> (offset, length)."""
-    windows: dict[tuple[bytes, ...], set[int]] = defaultdict(set)
+    windows: dict[tuple[bytes, ...], set[str | None]] = defaultdict(set)
     for item, text in items:
         for window in item_windows(alnum_words(text), n):
             windows[window].add(item)
@@ -48,10 +50,10 @@ def build_index(items: list[tuple[int, bytes]], rarity: dict[bytes, int], n: int
     return {k: tuple(v) for k, v in windows.items()}, {k: sorted(v) for k, v in prefix.items()}
 
 
-def match(words: list[bytes], windows: dict, prefix: dict) -> tuple[list[tuple[int, int]], set[int]]:
+def match(words: list[bytes], windows: dict, prefix: dict) -> tuple[list[tuple[int, int]], set[str | None]]:
     """Merged hit spans (word indexes, end exclusive) and the ids of the items hit."""
     found: set[tuple[int, int]] = set()
-    items: set[int] = set()
+    items: set[str | None] = set()
     total = len(words)
     for at in [i for i, w in enumerate(words) if w in prefix]:
         for offset, length in prefix[words[at]]:
@@ -94,25 +96,25 @@ def word_rarity(docs: DataFrame, vocabulary: set[bytes], text: str) -> dict[byte
 def contamination(
     docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text", item_id: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
-    """``docs`` with n_words, n_hit, items (sorted ids) and spans (word intervals).
+    """``docs`` with n_words, n_hit, items (ids as text, sorted) and spans (word intervals).
 
     The benchmark is worked through in blocks of about ``BLOCK_BYTES``; each
     block is one narrow pass over the documents, so memory is bounded however
     large the benchmark is, and nothing is shuffled but word counts.
     """
-    named = benchmark.select(F.col(item_id).alias("item"), F.col(item_text).cast("binary").alias("body"))
-    named = named.where("item IS NOT NULL AND body IS NOT NULL")
+    named = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("binary").alias("body"))
+    named = named.where("body IS NOT NULL")
     size = named.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-size // BLOCK_BYTES))
     fields = [
         field("n_words", "long"),
-        field("items", "array<long>"),
+        field("items", "array<string>"),
         field("spans", "array<struct<start:int,end:int>>"),
     ]
-    out = docs.withColumns({"items": F.lit(None).cast("array<long>"), "spans": F.lit(None).cast(fields[2].dataType)})
+    out = docs.withColumns({"items": F.lit(None).cast("array<string>"), "spans": F.lit(None).cast(fields[2].dataType)})
     for block in range(blocks):
         part = named.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == block)
-        items = [(int(r["item"]), bytes(r["body"])) for r in part.toLocalIterator()]
+        items = [(r["item"], bytes(r["body"])) for r in part.toLocalIterator()]
         vocabulary = {w for _, body in items for w in alnum_words(body)}
         windows, prefix = build_index(items, word_rarity(docs, vocabulary, text), n)
 
@@ -131,11 +133,11 @@ def contamination(
                         found.update(old_ids)
                         hit = merge_spans(sorted(hit + [(s["start"], s["end"]) for s in old_spans]))
                     size.append(len(words))
-                    ids.append(sorted(found))
+                    ids.append(sorted(i for i in found if i is not None))
                     spans.append([{"start": a, "end": b} for a, b in hit])
                 return [
                     pa.array(size, pa.int64()),
-                    pa.array(ids, pa.list_(pa.int64())),
+                    pa.array(ids, pa.list_(pa.string())),
                     pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                 ]
 
@@ -149,7 +151,7 @@ def contamination(
 def report(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     """The query's digest: one row for each document row."""
     found = contamination(docs.select("doc_id", "text"), benchmark, n)
-    ids = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    ids = F.array_join("items", ",")
     return found.select(
         "doc_id",
         "n_words",
@@ -161,16 +163,15 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
-    """Documents without a hit, with their own columns; items without an id count."""
-    named = benchmark.withColumn("item_id", F.coalesce("item_id", F.lit(0)))
-    return contamination(docs, named, n).where("n_hit = 0").select(*docs.columns)
+    """Documents without a hit, with their own columns."""
+    return contamination(docs, benchmark, n).where("n_hit = 0").select(*docs.columns)
 
 
 ORACLE = r"""
 WITH low AS (SELECT doc_id, row_number() OVER () AS rid,
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 items AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-    FROM benchmark WHERE item_id IS NOT NULL),
+    FROM benchmark),
 windows AS (SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[p : p + least(len(w), 10) - 1], ' ') AS body
     FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS p FROM items WHERE len(w) > 0)),
 lengths AS (SELECT DISTINCT k FROM windows),
@@ -179,7 +180,7 @@ shingles AS (SELECT rid, k, p, array_to_string(w[p : p + k - 1], ' ') AS body FR
 hits AS (SELECT rid, s.k, p, item_id FROM shingles s JOIN windows v ON s.k = v.k AND s.body = v.body),
 words AS (SELECT rid, count(DISTINCT q) AS n FROM (SELECT rid, unnest(range(p, p + k)) AS q FROM hits) GROUP BY rid),
 found AS (SELECT rid, count(*) AS n, string_agg(i, ',' ORDER BY i) AS ids
-    FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY rid)
+    FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS i FROM hits WHERE item_id IS NOT NULL) GROUP BY rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit,
     CAST(coalesce(found.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
 FROM low LEFT JOIN words USING (rid) LEFT JOIN found USING (rid)

@@ -39,17 +39,17 @@ def hits_by_hand(text, items, n=10):
                 if words[at : at + len(window)] == window:
                     hit.update(range(at, at + len(window)))
                     found.add(item)
-    return len(words), len(hit), sorted(found)
+    return len(words), len(hit), sorted(str(i) for i in found if i is not None)
 
 
 def test_decontamination_against_brute_force(spark, monkeypatch):
     rng = random.Random(5)
     vocabulary = ["the", "of", "Zé", "x1", "word", "other", "a"]
     text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
-    items = [(i, text(rng.randint(0, 16))) for i in range(30)] + [(3, None), (40, "!!"), (41, "Lone"), (7, text(12))]
+    items = [(i, text(rng.randint(0, 16))) for i in range(30)] + [(3, None), (40, "!!"), (41, "Lone"), (7, text(12)), (None, "of no name")]
     real = [x for x in items if x[1]]
     docs = [(i, text(rng.randint(0, 120)) + " " + rng.choice(real)[1]) if i % 2 else (i, text(50)) for i in range(60)]
-    docs += [(100, "lone"), (101, None), (102, "the-of,LONE."), (5, "lone"), (None, "lone")]
+    docs += [(99, "a word of no name"), (100, "lone"), (101, None), (102, "the-of,LONE."), (5, "lone"), (None, "lone")]
     df = spark.createDataFrame([(i, t, 0) for i, t in docs], "doc_id long, text string, items int")
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = sorted(((i, *hits_by_hand(t, real)) for i, t in docs), key=repr)
@@ -63,6 +63,9 @@ def test_items_without_an_id_remove_documents(spark):
     bench = spark.createDataFrame([(None, "a passage of five words"), (1, "lone")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "here: a passage of five words."), (2, "clean"), (3, "lone")], "doc_id long, text string")
     assert [r["doc_id"] for r in decontamination.remove_contaminated(docs, bench).collect()] == [2]
+    named = spark.createDataFrame([("b/1", "lone"), ("a", "clean")], "item_id string, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in decontamination.report(docs, named).collect()}
+    assert got == {1: (0, 0), 2: (1, 1), 3: (1, 1)}
 
 
 def test_decontamination_of_nothing(spark):
