@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import annotate, binaries, cut, field, scratch, short_batches, space_words
+from .common import annotate, binaries, cut, field, short_batches, space_words
 
 CHUNK = 2048
 #: Shingle hashes whose bits are counted at a time.
@@ -362,6 +362,8 @@ def near_duplicates(
 #: of one of ``KEYS`` keys: two texts at 0.8, long or short, with probability
 #: 1 - (1 - 0.8 ** 4) ** 14 = 0.9994.
 SHINGLE, KEYS, KEY_ROWS = 5, 14, 4
+#: Rows of an id and a hash that may be broadcast: some 25 MB.
+SMALL_ROWS = 500_000
 
 
 def min_hash_keys(shingles: np.ndarray) -> list[int]:
@@ -393,11 +395,28 @@ def set_links(left: list[np.ndarray], right: list[np.ndarray]) -> list[tuple[int
     return edges
 
 
-def similar_links(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+def pack_set(shingles: np.ndarray) -> bytes:
+    """A sorted set of 40-bit hashes, five bytes each."""
+    return shingles.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes()
+
+
+def unpack_set(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 5, 8), np.uint8)
+    out[:, 3:] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
+    return out.view(">u8").ravel().astype(_U64)
+
+
+def shingle_set(text: bytes | None) -> np.ndarray:
+    return np.unique(shingle_hashes(space_words(text), SHINGLE) >> _U64(24))
+
+
+def similar_links(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     """(a, b): links between distinct shingle sets, a spanning forest of each cell.
 
-    Buckets with the same members are compared once; long ones are dealt over
-    cells as in ``pair_links``. Only sets that share a bucket are moved.
+    ``nodes`` has fp, keys, and (n_id, n_tie) of one row of ``texts`` (doc_id,
+    tie, body) that bears the set. Buckets with the same members are compared
+    once; long ones are dealt over cells as in ``pair_links``. Only texts whose
+    set shares a bucket are read again, and only their sets are moved.
     """
     spread = nodes.select("fp", F.posexplode("keys").alias("place", "key"))
     member = F.xxhash64("fp")
@@ -405,14 +424,20 @@ def similar_links(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     once = buckets.groupBy("n", "s", "t").agg(F.min(F.struct("place", "key")).alias("b"))
     chunks = F.ceil(F.col("n") / F.lit(CHUNK)).cast("int").alias("chunks")
     members = cut(spread.join(once.select("b.place", "b.key", chunks), ["place", "key"]))
-    needed = sets.join(members.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"])
+    named = nodes.select("fp", "n_id", "n_tie").join(members.select("fp").distinct(), "fp", "left_semi")
+    read = texts.join(named, texts["doc_id"].eqNullSafe(named["n_id"]) & (texts["tie"] == named["n_tie"])).select("fp", "body")
+
+    def start():
+        return lambda batch: [pa.array([pack_set(shingle_set(x)) for x in binaries(batch, "body")], pa.binary())]
+
+    needed = annotate(read, [field("shingles", "binary")], start).select("fp", "shingles").dropDuplicates(["fp"])
     placed = (
         members.withColumn("c", F.pmod(member, F.col("chunks")).cast("int"))
         .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select("place", "key", F.least("c", "x").alias("i"), F.greatest("c", "x").alias("j"), "c", "fp")
     )
     dealt = placed.join(needed, "fp").repartition("place", "key", "i", "j").sortWithinPartitions("place", "key", "i", "j", "c", "fp")
-    short_batches(sets.sparkSession)
+    short_batches(texts.sparkSession)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current: tuple | None = None
@@ -430,7 +455,7 @@ def similar_links(sets: DataFrame, nodes: DataFrame) -> DataFrame:
                 if (place, key, i, j) != current:
                     yield from close()
                     current, left, right = (place, key, i, j), [], []
-                (left if c == i else right).append((fp, np.frombuffer(shingles, _U64)))
+                (left if c == i else right).append((fp, unpack_set(shingles)))
         yield from close()
 
     return dealt.select("place", "key", "i", "j", "c", "fp", "shingles").mapInArrow(compare, "a binary, b binary").distinct()
@@ -442,26 +467,22 @@ def similar(docs: DataFrame) -> DataFrame:
     ``tie`` is a hash of the text, ``fp`` a digest of its shingle set, ``root``
     the smallest digest of its class.
     """
-    spark = docs.sparkSession
 
     def start():
         def work(batch: pa.RecordBatch) -> list[pa.Array]:
-            sets = [np.unique(shingle_hashes(space_words(x), SHINGLE)) for x in binaries(batch, "body")]
-            raw = [x.tobytes() for x in sets]
+            sets = [shingle_set(x) for x in binaries(batch, "body")]
             return [
-                pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in raw], pa.binary()),
+                pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets], pa.binary()),
                 pa.array([min_hash_keys(x) for x in sets], pa.list_(pa.int64())),
-                pa.array(raw, pa.binary()),
             ]
 
         return work
 
-    path = scratch(spark, "shingles")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_tie(), F.col("text").alias("body"))
-    annotate(rows, [field("fp", "binary"), field("keys", "array<long>"), field("shingles", "binary")], start).drop("body").write.parquet(path)
-    sets = spark.read.schema("doc_id long, tie long, fp binary, keys array<long>, shingles binary").parquet(path)
-    nodes = cut(sets.groupBy("fp").agg(F.first("keys").alias("keys")))
-    roots = components(similar_links(sets.select("fp", "shingles"), nodes)).withColumnRenamed("node", "fp")
+    sets = cut(annotate(rows, [field("fp", "binary"), field("keys", "array<long>")], start).drop("body"))
+    one = F.min(F.struct("tie", F.col("doc_id").isNull(), "doc_id")).alias("one")
+    nodes = cut(sets.groupBy("fp").agg(F.first("keys").alias("keys"), one).select("fp", "keys", F.col("one.doc_id").alias("n_id"), F.col("one.tie").alias("n_tie")))
+    roots = components(similar_links(rows, nodes)).withColumnRenamed("node", "fp")
     return sets.select("doc_id", "tie", "fp").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
@@ -486,7 +507,14 @@ def remove_near_duplicates(docs: DataFrame) -> DataFrame:
     here = lambda d: docs["doc_id"].eqNullSafe(d["j_id"]) & (F.xxhash64(docs["text"]) == d["j_tie"])
     named = judged.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("j_id"), F.col("tie").alias("j_tie"), "stays", "n")
     # Rows that go, and rows that stand there several times, leave the table; of the latter one comes back.
-    rest = docs.join(named.where("NOT stays OR n > 1").select("j_id", "j_tie"), here(named), "left_anti")
-    twice = named.where("stays AND n > 1").select("j_id", "j_tie")
-    back = docs.join(twice, here(twice), "left_semi").withColumn("_tie", F.xxhash64("text")).dropDuplicates(["doc_id", "_tie"])
-    return rest.select(*docs.columns).unionByName(back.select(*docs.columns))
+    gone, twice = named.where("NOT stays OR n > 1").select("j_id", "j_tie"), named.where("stays AND n > 1").select("j_id", "j_tie")
+    rest = docs.join(_small(gone), here(gone), "left_anti").select(*docs.columns)
+    if twice.isEmpty():
+        return rest
+    back = docs.join(_small(twice), here(twice), "left_semi").withColumn("_tie", F.xxhash64("text")).dropDuplicates(["doc_id", "_tie"])
+    return rest.unionByName(back.select(*docs.columns))
+
+
+def _small(marks: DataFrame) -> DataFrame:
+    """``marks`` (an id and a hash a row), broadcast if they have at most ``SMALL_ROWS`` rows, else for a merge join."""
+    return F.broadcast(marks) if marks.count() <= SMALL_ROWS else marks.hint("merge")
