@@ -2,9 +2,11 @@
 
 ``a.start <= b.end AND a.end >= b.start`` alone plans as a nested loop. Here a
 range goes to every bin that it touches, bins meet in an equi-join, and a pair
-is kept only in the first bin that both touch, so no DISTINCT is needed. A
-range over more than ``wide`` bins would multiply rows: such ranges join
-directly on the other side's first bin instead, as a second, disjoint branch.
+is kept only in the first bin that both touch, so no DISTINCT is needed. Bins
+come in levels, each ``wide`` times as wide as the one below; a range's own
+level is the lowest on which it touches at most ``wide + 1`` bins, and two
+ranges meet on the higher of their levels. So a row makes at most ``wide + 1``
+copies on its own level and two on each higher one that occurs.
 """
 
 from __future__ import annotations
@@ -23,34 +25,30 @@ def _bin(x: Column, width: int) -> Column:
 def overlap_join(left: DataFrame, right: DataFrame, left_range: tuple[str, str], right_range: tuple[str, str], width: int, wide: int = WIDE) -> DataFrame:
     """Pairs of inclusive ranges that share a point; null or inverted ranges match nothing.
 
-    The sides must not share column names. Long ranges (over ``wide`` bins)
-    are dealt over coarser bins of ``width * wide``, level by level, so a row
-    makes at most ``wide + 1`` copies whatever its length.
+    The sides must not share column names. The levels that occur (at most a
+    dozen numbers) are found by one small aggregate on either side.
     """
-    (a0, a1), (b0, b1) = left_range, right_range
     keep = lambda d, s, e: d.where(F.col(s).isNotNull() & F.col(e).isNotNull() & (F.col(s) <= F.col(e)))
-    left, right = keep(left, a0, a1), keep(right, b0, b1)
-    span = lambda s, e: _bin(F.col(e), width) - _bin(F.col(s), width)
-    parts = []
-    for long_a in (False, True):
-        for long_b in (False, True):
-            a = left.where((span(a0, a1) > wide) == long_a)
-            b = right.where((span(b0, b1) > wide) == long_b)
-            size = width * wide * wide if long_a or long_b else width
-            parts.append(_binned(a, b, (a0, a1), (b0, b1), size))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    left, right = keep(left, *left_range), keep(right, *right_range)
+    level = lambda r: F.coalesce(*[F.when(_bin(F.col(r[1]), w) - _bin(F.col(r[0]), w) <= wide, F.lit(i)) for i, w in enumerate(widths)], F.lit(len(widths) - 1))
+    widths = [width]
+    while widths[-1] < 1 << 56 and len(widths) < 12:
+        widths.append(widths[-1] * wide)
+    found = left.select(level(left_range).alias("_l")).union(right.select(level(right_range).alias("_l"))).distinct()
+    used = sorted(r["_l"] for r in found.collect())
+    a = _binned(left, left_range, level(left_range), used, widths, "_la", "_fa")
+    b = _binned(right, right_range, level(right_range), used, widths, "_lb", "_fb")
+    met = a.join(b, ["_level", "_bin"]).where((F.col("_level") == F.greatest("_la", "_lb")) & (F.col("_bin") == F.greatest("_fa", "_fb")))
+    met = met.where((F.col(left_range[0]) <= F.col(right_range[1])) & (F.col(left_range[1]) >= F.col(right_range[0])))
+    return met.select(*left.columns, *right.columns)
 
 
-def _binned(a: DataFrame, b: DataFrame, ra: tuple[str, str], rb: tuple[str, str], width: int) -> DataFrame:
-    first = lambda r: _bin(F.col(r[0]), width)
-    bins = lambda r: F.explode(F.sequence(first(r), _bin(F.col(r[1]), width)))
-    a = a.withColumns({"_fa": first(ra)}).withColumn("_bin", bins(ra))
-    b = b.withColumns({"_fb": first(rb)}).withColumn("_bin", bins(rb))
-    met = a.join(b, "_bin").where((F.col(ra[0]) <= F.col(rb[1])) & (F.col(ra[1]) >= F.col(rb[0])))
-    return met.where(F.col("_bin") == F.greatest("_fa", "_fb")).drop("_bin", "_fa", "_fb")
+def _binned(d: DataFrame, r: tuple[str, str], level: Column, used: list[int], widths: list[int], own: str, first: str) -> DataFrame:
+    """One row for each bin that a range touches on its own level and on each higher one in use."""
+    steps = F.array(*[F.struct(F.lit(i).alias("l"), F.lit(widths[i]).cast("long").alias("w")) for i in used]) if used else F.array().cast("array<struct<l:int,w:bigint>>")
+    d = d.withColumn(own, level).withColumn("_step", F.explode(F.filter(steps, lambda x: x["l"] >= F.col(own))))
+    low, high = (F.floor(F.col(x) / F.col("_step.w")).cast("long") for x in r)
+    return d.withColumns({"_level": F.col("_step.l"), first: low}).withColumn("_bin", F.explode(F.sequence(F.col(first), high))).drop("_step")
 
 
 def first_rule(rows: DataFrame, rules: DataFrame, group: tuple[str, ...], value: str, low: str = "low", high: str = "high", order: str = "rule_order", outputs: tuple[str, ...] = ("target",)) -> DataFrame:

@@ -19,105 +19,173 @@ def _counted(df: DataFrame, code: str, severity: Column | str, least: int = 1) -
     return df.agg(F.count("*").alias("n")).where(F.col("n") >= least).select(F.lit(code).alias("code"), level.alias("severity"), F.col("n").cast("long").alias("n"))
 
 
-def bible_findings(source: DataFrame, result: DataFrame, canon: DataFrame, reference: DataFrame | None = None, known: DataFrame | None = None, moved: DataFrame | None = None) -> DataFrame:
-    """(code, severity, n) over source (verse_id, text, red, reason), result (verse_id, text, red) and a reference edition.
+def _graded(df: DataFrame, code: str, n: Column, *levels: tuple[str, Column]) -> DataFrame:
+    """A finding of the one-row ``df`` with the first severity whose test holds; none if no test does."""
+    level = F.lit(None).cast("string")
+    for severity, test in reversed(levels):
+        level = F.when(F.coalesce(test, F.lit(False)), severity).otherwise(level)
+    return df.select(F.lit(code).alias("code"), level.alias("severity"), n.cast("long").alias("n")).where("severity IS NOT NULL")
+
+
+def count_findings(source: DataFrame, result: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Verses of the source that the result lacks, and the other way round. Source rows without text make no verse, but excuse one."""
+    c = F.col
+    mapped = source.where(c("verse_id").isNotNull())
+    compared = verify.compare_keys(mapped.where(c("text") != ""), result, "verse_id")
+    blank = mapped.where(F.coalesce("text", F.lit("")) == "").select(c("verse_id").alias("key")).distinct()
+    counts = verify.key_counts(compared.where("in_source").unionByName(compared.where("NOT in_source").join(blank, "key", "left_anti")), known)
+    expected = F.greatest(c("matched") + c("missing") + c("missing_known"), F.lit(1))
+    out = _graded(counts, "missing_in_db", c("missing"), ("error", (c("missing") >= _T["missing_least"]) | (c("missing") / expected > _T["missing_ratio"])), ("warn", c("missing") > 0))
+    out = out.unionByName(_graded(counts, "missing_known_omission", c("missing_known"), ("warn", c("missing_known") > 0)))
+    out = out.unionByName(_graded(counts, "extra_in_db", c("extra"), ("error", c("extra") > 0)))
+    return out.unionByName(_graded(source.agg(F.count("*").alias("n")), "source_empty", F.lit(1), ("error", c("n") == 0)))
+
+
+def canon_findings(source: DataFrame, result: DataFrame, canon: DataFrame, known: DataFrame | None = None, linked: DataFrame | None = None, versification: str = "KJV") -> DataFrame:
+    """Verses outside the canon, lost books, additions, folds, holes in the books that are there."""
+    from .convert import gate
 
-    ``known`` holds keys that editions often lack, ``moved`` (key, to) another
-    numbering to try. Columns that are absent skip their section.
-    """
     c = F.col
-    out = []
-    kept = source.where(c("text") != "") if "reason" not in source.columns else source.where((c("text") != "") & c("verse_id").isNotNull())
-    counts = verify.key_counts(verify.compare_keys(kept, result, "verse_id"), known)
-    matched = F.greatest(c("matched") + c("missing"), F.lit(1))
-    many = (c("missing") >= _T["missing_least"]) | (c("missing") / matched > _T["missing_ratio"])
-    out.append(
-        verify.findings(
-            counts,
-            [
-                ("missing_in_db", "error", (c("missing") > 0) & many, c("missing")),
-                ("missing_few", "warn", (c("missing") > 0) & ~many, c("missing")),
-                ("missing_known_omission", "info", c("missing_known") > 0, c("missing_known")),
-                ("extra_in_db", "warn", c("extra") > 0, c("extra")),
-            ],
-        )
-    )
-    out.append(_counted(source.where(c("text") == ""), "source_empty", "info"))
+    inside = result.join(canon, (keys.book_of(c("verse_id")) == c("book")) & (keys.chapter_of(c("verse_id")) == c("chapter")) & keys.verse_of(c("verse_id")).between(1, c("max_verse")), "left_anti")
+    out = _counted(inside, "canon_violation", "error")
+    books = lambda d: d.where("verse_id IS NOT NULL").select(keys.book_of(c("verse_id")).alias("b")).distinct()
+    out = out.unionByName(_counted(books(source).join(canon.select(c("book").alias("b")), "b", "left_semi").join(books(result), "b", "left_anti"), "canonical_book_lost", "error"))
     if "reason" in source.columns:
-        reasons = source.groupBy("reason").agg(F.count("*").alias("n")).where("reason IS NOT NULL")
-        name = F.when(c("reason") == "fold", "fold").when(c("reason") == "addition", "addition_dropped").when(c("reason") == "maps outside canon", "versification_unmapped").otherwise("skipped_source")
-        out.append(reasons.groupBy(name.alias("code")).agg(F.sum("n").alias("n")).select("code", F.when(c("code").isin("versification_unmapped"), "error").otherwise("info").alias("severity"), "n"))
-        target = source.where("reason = 'fold'").groupBy("verse_id").agg(F.count("*").alias("k")).where("k >= 2")
-        out.append(_counted(target, "canon_fold", "warn"))
-    inside = result.join(F.broadcast(canon), (keys.book_of(c("verse_id")) == c("book")) & (keys.chapter_of(c("verse_id")) == c("chapter")) & keys.verse_of(c("verse_id")).between(1, c("max_verse")), "left_anti")
-    out.append(_counted(inside, "canon_violation", "error"))
-    out.append(_counted(verify.holes(result, canon), "holes", "info"))
-    out.append(_counted(verify.presence(result, canon).where("partial"), "partial_books", "warn"))
-    lost = kept.select(keys.book_of(c("verse_id")).alias("b")).distinct().join(result.select(keys.book_of(c("verse_id")).alias("b")).distinct(), "b", "left_anti")
-    out.append(_counted(lost, "canonical_book_lost", "error"))
-    graded = verify.fidelity_summary(verify.text_fidelity(kept, result, "verse_id"))
-    delta = F.abs("word_delta")
-    out.append(
-        verify.findings(
-            graded,
-            [
-                ("text_differs", "error", c("material_ratio") > _T["differs_fail"], c("material_ratio") * c("n")),
-                ("text_differs_some", "warn", c("material_ratio").between(_T["differs_warn"], _T["differs_fail"]), c("material_ratio") * c("n")),
-                ("word_count_delta", "error", delta > _T["words_fail"], c("n")),
-                ("word_count_delta_some", "warn", delta.between(_T["words_warn"], _T["words_fail"]), c("n")),
-            ],
-        )
-    )
+        out = out.unionByName(_counted(source.where("reason = 'addition'"), "addition_dropped", "info"))
+        folds = source.where("reason = 'fold'").groupBy("verse_id").agg(F.count("*").alias("k"))
+        sums = folds.agg(F.count_if(c("k") >= 3).alias("big"), F.coalesce(F.sum("k"), F.lit(0)).alias("all"))
+        out = out.unionByName(_graded(sums, "canon_fold", c("big"), ("warn", c("big") > 0)))
+        out = out.unionByName(_graded(sums, "fold", c("all"), ("info", (c("big") == 0) & (c("all") > 0))))
+    try:
+        gate(versification)
+    except ValueError:
+        out = out.unionByName(result.sparkSession.createDataFrame([("versification_unmapped", "warn", 1)], "code string, severity string, n long"))
+    but = [d.select(c("key").cast("long").alias("key")) for d in (known, linked) if d is not None]
+    excused = but[0].unionByName(but[-1]).distinct() if but else None
+    partial = verify.presence(result, canon).agg(F.count_if("partial").alias("partial"))
+    both = verify.holes(result, canon, but=excused).agg(F.count("*").alias("n")).join(F.broadcast(partial))
+    return out.unionByName(_graded(both, "holes", c("n"), ("info", (c("n") > 0) & ((c("partial") > 0) | (c("n") > 200))), ("warn", c("n") > 0)))
+
+
+def fidelity_findings(source: DataFrame, result: DataFrame) -> DataFrame:
+    """Texts that differ from the source's, and the totals of words."""
+    c, graded = F.col, verify.fidelity_summary(verify.text_fidelity(source, result, "verse_id"))
+    share, delta = c("material_ratio"), F.abs("word_delta")
+    out = _graded(graded, "text_differs", F.round(share * c("n")), ("error", share > _T["differs_fail"]), ("warn", share > _T["differs_warn"]), ("info", share > 0))
+    return out.unionByName(_graded(graded, "word_count_delta", c("n"), ("error", delta > _T["words_fail"]), ("warn", delta > _T["words_warn"])))
+
+
+def red_letter_findings(source: DataFrame, result: DataFrame) -> DataFrame:
+    """Words of Christ that only one side marks, and marks in books that have none."""
+    c, red = F.col, verify.red_letters(source, result, "verse_id", "red")
+    some = c("both") + c("source_only") + c("result_only") > 0
+    lost = (c("both") + c("result_only") == 0) & (c("source_only") > 0)
+    out = _graded(red, "red_letter_lost", c("source_only"), ("error", lost))
+    out = out.unionByName(_graded(red, "red_letter_mismatch", c("source_only") + c("result_only"), ("error", some & ~lost & (c("agreement") < _T["red_fail"])), ("warn", some & ~lost & (c("agreement") < _T["red_warn"]))))
+    outside = result.where(c("red") & ~keys.book_of(c("verse_id")).isin(*verify.RED_LETTER_BOOKS)).select("verse_id").distinct()
+    theirs = source.where("red").select("verse_id", F.lit(True).alias("was")).distinct()
+    sums = outside.join(theirs, "verse_id", "left").agg(F.count("*").alias("n"), F.count_if(c("was").isNull()).alias("added"))
+    return out.unionByName(_graded(sums, "red_letter_unexpected_books", c("n"), ("warn", c("added") > 0), ("info", c("n") > 0)))
+
+
+def hygiene_findings(source: DataFrame, result: DataFrame, headings: DataFrame | None = None) -> DataFrame:
+    """Patterns in texts and headings: introduced ones by their own severity, inherited ones as warnings; what is only informative gives none."""
+    c, marks = F.col, verify.hygiene(result, source, "verse_id")
+    if headings is not None:
+        from ..functions.text import hygiene_codes
+
+        titled = headings.select(F.explode(hygiene_codes(c("heading"))).alias("code")).groupBy("code").agg(F.count("*").alias("titles"))
+        marks = marks.drop("severity").join(titled, "code", "full_outer").na.fill(0, ["introduced", "inherited", "titles"]).withColumn("severity", verify.pattern_severity(c("code")))
+    else:
+        marks = marks.withColumn("titles", F.lit(0))
+    ours = c("introduced") + c("titles") > 0
+    named = F.concat(F.lit("text_"), "code", F.when(ours, "").otherwise("_inherited"))
+    level = F.when(ours & (c("severity") == "error"), "error").otherwise("warn")
+    return marks.where("severity <> 'info'").select(named.alias("code"), level.alias("severity"), (c("introduced") + c("inherited") + c("titles")).cast("long").alias("n"))
+
+
+def verse_findings(result: DataFrame) -> DataFrame:
+    """Verse numbers in the text, empty verses, equal neighbours."""
+    c = F.col
+    out = _counted(verify.number_in_text(result, "verse_id"), "verse_number_in_text", "warn", 21)
+    out = out.unionByName(_counted(result.where(F.btrim("text") == ""), "empty_verse", "error"))
+    return out.unionByName(_counted(equal_neighbours(result, "verse_id", "text"), "duplicate_adjacent", F.when(c("n") >= 20, "error").otherwise("warn")))
+
+
+def alignment_findings(result: DataFrame, reference: DataFrame, moved: DataFrame | None = None) -> DataFrame:
+    """Lengths against a reference edition: correlation, shifted chapters, overlong verses, another numbering."""
+    c, aligned = F.col, verify.length_alignment(result, reference, "verse_id")
+    middle = aligned.agg(F.percentile(F.round("v1", 12), F.lit(0.5)).alias("r"))
+    out = _graded(middle, "versification_alignment", F.lit(1), ("warn", F.round("r", 3) < 0.5))
+    out = out.unionByName(_counted(aligned.where("shifted"), "versification_shift", "warn"))
+    out = out.unionByName(_counted(verify.overlong(result, reference, "verse_id"), "overlong_verses", "warn"))
+    if moved is not None:
+        out = out.unionByName(_graded(verify.remapped_alignment(result, reference, moved, "verse_id"), "versification_looks_mt", c("better"), ("warn", c("suspect"))))
+    return out
+
+
+def formatting_findings(result: DataFrame, canon: DataFrame) -> DataFrame:
+    """Formatting documents that break their rules, and word counts that are not those of the text."""
+    c = F.col
+    sums = verify.formatting_problems(result, canon).agg(F.coalesce(F.sum("problems"), F.lit(0)).alias("n"))
+    out = _graded(sums, "formatting_invalid", c("n"), ("error", c("n") > 0))
+    if "word_count" not in result.columns:
+        return out
+    return out.unionByName(_counted(result.where(c("word_count") != verify.tokens(c("text"))), "word_count_column", "error"))
+
+
+def bible_findings(source: DataFrame, result: DataFrame, canon: DataFrame, reference: DataFrame | None = None, known: DataFrame | None = None, moved: DataFrame | None = None, linked: DataFrame | None = None, versification: str = "KJV") -> DataFrame:
+    """(code, severity, n) over source (verse_id, text, red, reason), result (verse_id, text, red, formatting, word_count) and a reference edition.
+
+    ``known`` holds keys that editions often lack, ``linked`` keys that repeat
+    another entry, ``moved`` (key, to) another numbering to try. Columns that
+    are absent skip their section.
+    """
+    kept = source.where((F.col("text") != "") & F.col("verse_id").isNotNull())
+    out = [count_findings(source, result, known), canon_findings(source, result, canon, known, linked, versification), fidelity_findings(kept, result)]
+    headings = None
+    if "formatting" in result.columns:
+        out.append(formatting_findings(result, canon))
+        headings = result.select(F.get_json_object("formatting", "$.block.heading").alias("heading")).where("heading <> ''")
     if "red" in source.columns and "red" in result.columns:
-        red = verify.red_letters(kept, result, "verse_id", "red")
-        out.append(
-            verify.findings(
-                red,
-                [
-                    ("red_letter_lost", "error", (c("both") == 0) & (c("source_only") > 0), c("source_only")),
-                    ("red_letter_mismatch", "error", (c("both") > 0) & (c("agreement") < _T["red_fail"]), c("source_only") + c("result_only")),
-                    ("red_letter_differs", "warn", c("agreement").between(_T["red_fail"], _T["red_warn"]), c("source_only") + c("result_only")),
-                ],
-            )
-        )
-    marks = verify.hygiene(result, kept, "verse_id")
-    out.append(marks.where("introduced > 0").select(F.concat(F.lit("introduced_"), "code").alias("code"), "severity", c("introduced").cast("long").alias("n")))
-    out.append(marks.where("inherited > 0").select(F.concat(F.lit("inherited_"), "code").alias("code"), F.lit("info").alias("severity"), c("inherited").cast("long").alias("n")))
-    out.append(_counted(verify.number_in_text(result, "verse_id"), "verse_number_in_text", "warn", 21))
-    out.append(_counted(result.where(F.btrim("text") == ""), "empty_verse", "error"))
-    out.append(_counted(equal_neighbours(result, "verse_id", "text"), "duplicate_adjacent", F.when(c("n") >= 20, "error").otherwise("warn")))
+        out.append(red_letter_findings(kept, result))
+    out += [hygiene_findings(kept, result, headings), verse_findings(result)]
     if reference is not None:
-        aligned = verify.length_alignment(result, reference, "verse_id")
-        out.append(_counted(aligned.where("shifted"), "chapters_shifted", "error"))
-        middle = aligned.agg(F.percentile("v1", F.lit(0.5)).alias("r"))
-        out.append(verify.findings(middle, [("low_correlation", "warn", c("r") < 0.5, F.lit(1))]))
-        out.append(_counted(verify.overlong(result, reference, "verse_id"), "overlong", "warn"))
-        if moved is not None:
-            out.append(verify.findings(verify.remapped_alignment(result, reference, moved, "verse_id"), [("versification_looks_mt", "error", c("suspect"), c("better"))]))
+        out.append(alignment_findings(result, reference, moved))
     whole = out[0]
     for f in out[1:]:
         whole = whole.unionByName(f)
     return whole
 
 
-def strongs_findings(result_words: DataFrame, reference_words: DataFrame, key: str = "verse_id", number: str = "strongs_number") -> DataFrame:
-    """(code, severity, n): word numbers that agree better with a neighbouring verse of the reference than with their own."""
+def strongs_findings(result_words: DataFrame, reference_words: DataFrame, key: str = "verse_id", number: str = "strongs_number", shifted: DataFrame | None = None) -> DataFrame:
+    """(code, severity, n): word numbers that agree better with a neighbouring verse of the reference than with their own.
+
+    In chapters that the lengths find ``shifted`` (grp) the text is misplaced;
+    elsewhere only the tags are. Verses with fewer than three numbers outside
+    the reference's 40 most frequent are not judged.
+    """
+    c = F.col
+    near = strongs_overlap(result_words, reference_words, key, number)
+    judged = near.where("here IS NOT NULL")
+    moved = judged.where((c("there") - c("here") >= 0.25) & (c("here") < 0.35)).withColumn("grp", keys.chapter_key(c(key)))
+    off = moved.join(shifted.select("grp", F.lit(True).alias("bad")), "grp", "left") if shifted is not None else moved.withColumn("bad", F.lit(None).cast("boolean"))
+    sums = off.agg(F.count_if(c("bad").isNotNull()).alias("text"), F.count_if(c("bad").isNull()).alias("tags")).join(F.broadcast(judged.agg(F.count("*").alias("n"))))
+    out = _graded(sums, "strongs_misplaced", c("text"), ("error", c("text") > F.greatest(F.lit(10.0), 0.002 * c("n"))), ("warn", c("text") > 0))
+    return out.unionByName(_graded(sums, "strongs_tags_offset", c("tags"), ("warn", c("tags") > 0)))
+
+
+def strongs_overlap(result_words: DataFrame, reference_words: DataFrame, key: str = "verse_id", number: str = "strongs_number") -> DataFrame:
+    """(key, here, there): overlap with the reference's verse of that key, and the best with a neighbour of its chapter."""
     from ..functions.text import plain_strongs
     from .stats import item_sets, most_frequent, neighbour_overlap
 
     own = result_words.select(key, plain_strongs(F.col(number)).alias("item"))
     other = reference_words.select(key, plain_strongs(F.col(number)).alias("item"))
-    near = neighbour_overlap(item_sets(own, key, "item"), item_sets(other, key, "item"), key, most_frequent(other, "item", 40))
-    best = near.groupBy(key).agg(F.max(F.when(F.col("offset") == 0, F.col("overlap"))).alias("here"), F.max(F.when(F.col("offset") != 0, F.col("overlap"))).alias("there"))
-    sums = best.agg(F.count("*").alias("n"), F.count_if((F.col("there") >= 0.5) & (F.coalesce("here", F.lit(0.0)) < 0.2)).alias("moved"), F.count_if(F.coalesce("here", F.lit(0.0)) == 0).alias("none"))
-    return verify.findings(
-        sums,
-        [
-            ("strongs_misplaced", "error", F.col("moved") > 0.05 * F.col("n"), F.col("moved")),
-            ("strongs_tags_offset", "warn", F.col("moved").between(1, 0.05 * F.col("n")), F.col("moved")),
-            ("no_overlap", "error", (F.col("n") > 0) & (F.col("none") == F.col("n")), F.col("n")),
-        ],
-    )
+    sets = item_sets(other, key, "item")
+    often = most_frequent(sets.select(F.explode("items").alias("item")), "item", 40)
+    near = neighbour_overlap(item_sets(own, key, "item"), sets, key, often).where("own >= 3")
+    return near.groupBy(key).agg(F.max(F.when(F.col("offset") == 0, F.col("overlap"))).alias("here"), F.max(F.when(F.col("offset") != 0, F.col("overlap"))).alias("there"))
 
 
 def module_status(findings: DataFrame) -> DataFrame:

@@ -57,18 +57,23 @@ def pearson(x: Column, y: Column) -> Column:
     return F.when((F.count(a) >= 3) & (spread > 0), F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0)))
 
 
-def shift_correlations(left: DataFrame, right: DataFrame, key: str, value: str, group: Column, shifts: tuple[int, ...] = (-1, 0, 1)) -> DataFrame:
-    """(grp, r_minus, r_0, r_plus, best): correlation of both sides' values by group, at shifted keys.
+def shift_correlations(left: DataFrame, right: DataFrame, key: str, value: str, group: Column, shifts: tuple[int, ...] = (-1, 0, 1), least: int = 8) -> DataFrame:
+    """(grp, v0, v1, ..., best): correlation of both sides' values by group, in place and at shifted keys of the same group.
 
-    The right side is dealt out once to all shifts, so there is one equi-join
-    on the key instead of one for each shift.
+    Keys count that stand on both sides; a shifted pair needs a value above 0.
+    Groups with fewer than ``least`` such keys, or without a correlation in
+    place, are left out. The right side is dealt out once to all shifts: one
+    equi-join on the key, and its partitioning serves the aggregate by key.
     """
     names = {s: f"v{i}" for i, s in enumerate(shifts)}
     dealt = right.select(F.col(key).alias("_k"), F.col(value).alias("_v")).withColumn("_s", F.explode(F.array(*[F.lit(s) for s in shifts])))
-    dealt = dealt.select((F.col("_k") - F.col("_s")).alias("_k"), "_s", "_v")
-    met = left.join(dealt, F.col(key) == F.col("_k"), "left")
-    at = {s: pearson(F.when(F.col("_s") == s, F.col(value)), F.when(F.col("_s") == s, F.col("_v"))).alias(n) for s, n in names.items()}
-    out = met.groupBy(group.alias("grp")).agg(*at.values())
+    dealt = dealt.select((F.col("_k") - F.col("_s")).alias("_k"), F.col("_k").alias("_from"), "_s", "_v")
+    met = left.select(F.col(key), F.col(value), group.alias("grp")).join(dealt, F.col(key) == F.col("_k"))
+    near = keys.chapter_key(F.col("_from")) == keys.chapter_key(F.col(key))
+    at = [F.max(F.when((F.col("_s") == s) & ((F.col("_s") == 0) | ((F.col("_v") > 0) & near)), F.col("_v"))).alias(f"_{n}") for s, n in names.items()]
+    rows = met.groupBy(key, "grp", value).agg(*at).where(F.col(f"_{names[0]}").isNotNull())
+    out = rows.groupBy("grp").agg(F.count("*").alias("_n"), *[pearson(F.col(value), F.col(f"_{n}")).alias(n) for n in names.values()])
+    out = out.where((F.col("_n") >= least) & F.col(names[0]).isNotNull()).drop("_n")
     return out.withColumn("best", F.greatest(*[F.coalesce(F.col(n), F.lit(-2.0)) for n in names.values()]))
 
 
@@ -82,22 +87,21 @@ def item_sets(df: DataFrame, key: str, item: str) -> DataFrame:
 
 
 def jaccard(a: Column, b: Column, without: Column | None = None) -> Column:
-    """Overlap of two sets after leaving out a common stop set; null if both are empty then."""
+    """Overlap of two sets after leaving out a common stop set; null if either is empty then."""
     if without is not None:
         a, b = F.array_except(a, without), F.array_except(b, without)
-    union = F.size(F.array_union(a, b))
-    return F.when(union > 0, F.size(F.array_intersect(a, b)) / union)
+    return F.when((F.size(a) > 0) & (F.size(b) > 0), F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b)))
 
 
 def neighbour_overlap(sets: DataFrame, other: DataFrame, key: str, stop: DataFrame | None = None, item: str = "item", offsets: tuple[int, ...] = (0, -1, 1, -2, 2)) -> DataFrame:
-    """(key, offset, overlap) of each key's set with the sets at neighbouring keys of the same chapter."""
+    """(key, offset, overlap, own) of each key's set with the sets at neighbouring keys of the same chapter; ``own``: its items outside the stop set."""
     probes = sets.select(key, "items").withColumn("offset", F.explode(F.array(*[F.lit(o) for o in offsets])))
     probes = probes.withColumn("_at", F.col(key) + F.col("offset")).where(keys.chapter_key(F.col("_at")) == keys.chapter_key(F.col(key)))
     met = probes.join(other.select(F.col(key).alias("_at"), F.col("items").alias("_other")), "_at")
     if stop is None:
-        return met.select(key, "offset", jaccard(F.col("items"), F.col("_other")).alias("overlap"))
+        return met.select(key, "offset", jaccard(F.col("items"), F.col("_other")).alias("overlap"), F.size("items").alias("own"))
     words = stop.agg(F.collect_list(item).alias("_stop"))
-    return met.join(F.broadcast(words)).select(key, "offset", jaccard(F.col("items"), F.col("_other"), F.col("_stop")).alias("overlap"))
+    return met.join(F.broadcast(words)).select(key, "offset", jaccard(F.col("items"), F.col("_other"), F.col("_stop")).alias("overlap"), F.size(F.array_except("items", "_stop")).alias("own"))
 
 
 def ordered_merge(df: DataFrame, group: str, order: str, text: str, flag: str, raw: str, first: int = 3) -> DataFrame:
@@ -128,15 +132,19 @@ def status(severity: Column) -> Column:
     return F.when(rank == 2, "FAIL").when(rank == 1, "WARN").otherwise("PASS")
 
 
+def _digest(seed: int, key: str) -> Column:
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
+
+
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 1) -> DataFrame:
     """``n`` rows in the order of a seeded hash of the key: the same on every run."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    return df.orderBy(_digest(seed, key), key).limit(n)
 
 
 def stratified(df: DataFrame, stratum: str, key: str, n: int, seed: int = 1) -> DataFrame:
     """Round-robin over strata, in hash order inside each, until ``n`` rows are taken."""
-    inside = Window.partitionBy(stratum).orderBy(F.xxhash64(F.lit(seed), F.col(key)), key)
-    return df.withColumn("_turn", F.row_number().over(inside)).orderBy("_turn", F.xxhash64(F.lit(seed), F.col(stratum)), stratum).limit(n).drop("_turn")
+    inside = Window.partitionBy(stratum).orderBy(_digest(seed, key), key)
+    return df.withColumn("_turn", F.row_number().over(inside)).orderBy("_turn", _digest(seed, stratum), stratum).limit(n).drop("_turn")
 
 
 def module_report(verses: DataFrame, words: DataFrame | None = None) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 
 def _view(df: DataFrame) -> str:
+    # The walks bound themselves (depth, visited path), so a large tree must not end at the default of a million rows.
+    df.sparkSession.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     name = f"tree_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(name)
     return name

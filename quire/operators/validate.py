@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import keys
-from ..functions.text import count_by_spaces
+from ..functions.text import count_by_spaces, count_space_words
 from .stats import books, chapters
 
 #: Content tables by type, required columns, keys of the formatting document.
@@ -19,7 +19,8 @@ CONTENT = {
     "book": "book_section", "devotional": "devotional_entry", "topical": "topic", "xref": "cross_reference_group",
 }
 TEXT_COLUMN = {"bible_verse": "text", "commentary_entry": "content", "dictionary_entry": "definition", "book_section": "content", "devotional_entry": "content"}
-INFO_COLUMNS = ("info_id", "module_uuid", "module_type", "abbreviation", "full_name", "format", "format_version", "content_version", "versification", "language_code")
+INFO_COLUMNS = ("module_uuid", "abbreviation", "full_name", "format", "format_version", "content_version", "content_sha256", "versification", "license_spdx", "source_url")
+LEAST_CHARS = {"bible_verse": 8, "commentary_entry": 12, "dictionary_entry": 8, "devotional_entry": 12, "book_section": 12}
 OPTIONAL_ANCHOR = ("commentary_entry",)
 SPAN_TYPES = ("divine_name", "supplied", "words_of_christ", "emphasis", "quotation", "transliteration", "musical_direction")
 TOP_KEYS = ("v", "block", "spans", "source_verses")
@@ -100,7 +101,7 @@ def content_rules(name: str, df: DataFrame, least: int | None = None) -> list[Da
     """Corrupt or thin content by the share of very short and of damaged texts."""
     if name not in TEXT_COLUMN:
         return []
-    least = least or (8 if name == "bible_verse" else 12)
+    least = least or LEAST_CHARS[name]
     t = F.coalesce(F.col(TEXT_COLUMN[name]), F.lit(""))
     shares = df.agg(F.count("*").alias("total"), F.count_if(F.length(F.btrim(t)) < least).alias("short"), F.count_if(t.contains("\ufffd")).alias("damaged"))
     total = F.nullif("total", F.lit(0))
@@ -127,7 +128,7 @@ def formatting_rules(verses: DataFrame, span_types: tuple[str, ...] = SPAN_TYPES
     if "formatting" not in verses.columns:
         return []
     rows = verses.where("formatting IS NOT NULL").select(
-        "verse_id", "formatting", F.try_parse_json("formatting").alias("doc"), count_by_spaces(F.col("text")).alias("words"), F.json_object_keys("formatting").alias("top")
+        "verse_id", "formatting", F.try_parse_json("formatting").alias("doc"), count_space_words(F.col("text")).alias("words"), F.json_object_keys("formatting").alias("top")
     )
     block = F.json_object_keys(F.get_json_object("formatting", "$.block"))
     bad = _several(

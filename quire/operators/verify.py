@@ -32,7 +32,7 @@ def compare_keys(source: DataFrame, result: DataFrame, key: str, other: str | No
 def key_counts(compared: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(matched, missing, missing_known, extra); ``known`` has keys that editions often lack."""
     if known is not None:
-        compared = compared.join(F.broadcast(known.select("key", F.lit(True).alias("known"))), "key", "left")
+        compared = compared.join(known.select("key", F.lit(True).alias("known")), "key", "left")
     else:
         compared = compared.withColumn("known", F.lit(None).cast("boolean"))
     lost = F.col("in_source") & ~F.col("in_result")
@@ -47,17 +47,18 @@ def presence(result: DataFrame, canon: DataFrame, key: str = "verse_id") -> Data
     """(book, expected, present, partial): books with under 90 % of the canon's verses are partial."""
     expected = canon.groupBy("book").agg(F.sum("max_verse").alias("expected"))
     inside = result.select(F.col(key).alias("k")).distinct().select(keys.book_of(F.col("k")).alias("book"), keys.chapter_of(F.col("k")).alias("chapter"), keys.verse_of(F.col("k")).alias("verse"))
-    real = inside.join(F.broadcast(canon), ["book", "chapter"]).where("verse BETWEEN 1 AND max_verse")
+    real = inside.join(canon, ["book", "chapter"]).where("verse BETWEEN 1 AND max_verse")
     n = real.groupBy("book").agg(F.count("*").alias("present"))
     both = expected.join(n, "book", "left").withColumn("present", F.coalesce("present", F.lit(0)))
     return both.withColumn("partial", (F.col("present") > 0) & (F.col("present") < 0.9 * F.col("expected")))
 
 
-def holes(result: DataFrame, canon: DataFrame, key: str = "verse_id") -> DataFrame:
-    """Canon verses that the module lacks in chapters that it has."""
+def holes(result: DataFrame, canon: DataFrame, key: str = "verse_id", but: DataFrame | None = None) -> DataFrame:
+    """Canon verses that the module lacks in books that it has, but for the keys of ``but``."""
     all_keys = canon.withColumn("verse", F.explode(F.sequence(F.lit(1).cast("long"), F.col("max_verse").cast("long")))).select(keys.pack(F.col("book"), F.col("chapter"), F.col("verse")).alias(key))
-    started = result.select(keys.chapter_key(F.col(key)).alias("_c")).distinct()
-    return all_keys.join(result.select(key), key, "left_anti").join(started, keys.chapter_key(F.col(key)) == F.col("_c"), "left_semi")
+    books = result.select(keys.book_of(F.col(key)).alias("_b")).distinct()
+    out = all_keys.join(result.select(key), key, "left_anti").join(books, keys.book_of(F.col(key)) == F.col("_b"), "left_semi")
+    return out if but is None else out.join(but.select(F.col("key").alias(key)), key, "left_anti")
 
 
 def text_fidelity(source: DataFrame, result: DataFrame, key: str, text: str = "text", similar: float = THRESHOLDS["similar"]) -> DataFrame:
@@ -92,33 +93,46 @@ def red_letters(source: DataFrame, result: DataFrame, key: str, flag: str) -> Da
     return out.withColumn("agreement", F.col("both") / F.nullif(F.col("both") + F.col("source_only") + F.col("result_only"), F.lit(0)))
 
 
+def pattern_severity(code: Column) -> Column:
+    return F.create_map(*[F.lit(x) for c, s, _ in HYGIENE for x in (c, s)])[code]
+
+
 def hygiene(result: DataFrame, source: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(code, severity, introduced, inherited): texts that hold what clean text must not, by whether the source's did."""
     codes = lambda d: d.select(F.col(key).alias("k"), F.explode(hygiene_codes(F.col(text))).alias("code"))
     ours, theirs = codes(result), codes(source).withColumn("was", F.lit(True)).distinct()
-    severity = F.create_map(*[F.lit(x) for c, s, _ in HYGIENE for x in (c, s)])
     marked = ours.join(theirs, ["k", "code"], "left")
-    return marked.groupBy("code").agg(F.count_if(F.col("was").isNull()).alias("introduced"), F.count_if(F.col("was").isNotNull()).alias("inherited")).withColumn("severity", severity[F.col("code")])
+    return marked.groupBy("code").agg(F.count_if(F.col("was").isNull()).alias("introduced"), F.count_if(F.col("was").isNotNull()).alias("inherited")).withColumn("severity", pattern_severity(F.col("code")))
 
 
 def number_in_text(result: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """Rows whose text begins with their own verse number."""
-    return result.where(F.regexp_extract(F.col(text), r"^\W*(\d+)\b", 1) == keys.verse_of(F.col(key)).cast("string"))
+    """Rows whose text begins with their own verse number and a space, a full stop or a colon."""
+    return result.where(F.regexp_extract(F.col(text), r"^\(?(\d+)\)?[\s.:]", 1) == keys.verse_of(F.col(key)).cast("string"))
+
+
+def visible(text: Column) -> Column:
+    """Characters but for blanks: scripts without spaces compare as well."""
+    return F.length(F.replace(F.coalesce(text, F.lit("")), F.lit(" "), F.lit("")))
+
+
+def sizes(verses: DataFrame, key: str, text: str = "text", headings: bool = False) -> DataFrame:
+    """(key, size); with ``headings``, those of the formatting document count as text."""
+    size = visible(F.col(text))
+    if headings and "formatting" in verses.columns:
+        size = size + visible(F.get_json_object("formatting", "$.block.heading"))
+    return verses.select(key, size.alias("size"))
 
 
 def length_alignment(result: DataFrame, reference: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(grp, v0, v1, v2, best, shifted): lengths against the reference by chapter, in place and one verse off."""
-    a = result.select(key, F.length(text).alias("size"))
-    b = reference.select(key, F.length(text).alias("size"))
-    out = shift_correlations(a, b, key, "size", keys.chapter_key(F.col(key)))
+    out = shift_correlations(sizes(result, key, text), sizes(reference, key, text, headings=True), key, "size", keys.chapter_key(F.col(key)))
     t = THRESHOLDS
-    gain = F.greatest(F.coalesce("v0", F.lit(-2.0)), F.coalesce("v2", F.lit(-2.0)))
-    return out.withColumn("shifted", F.coalesce((gain - F.col("v1") > t["shift_gain"]) & (F.col("v1") < t["shift_most_r0"]) & (gain >= t["shift_least_best"]), F.lit(False)))
+    return out.withColumn("shifted", (F.col("best") - F.col("v1") > t["shift_gain"]) & (F.col("v1") < t["shift_most_r0"]) & (F.col("best") >= t["shift_least_best"]))
 
 
 def overlong(result: DataFrame, reference: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, size, expected): texts far longer than the reference's, scaled by the median ratio."""
-    both = result.select(key, F.length(text).alias("size")).join(reference.select(key, F.length(text).alias("other")), key).where("other > 0")
+    both = sizes(result, key, text).join(sizes(reference, key, text, headings=True).select(key, F.col("size").alias("other")), key).where("other > 0")
     scale = both.agg(F.percentile(F.col("size") / F.col("other"), F.lit(0.5)).alias("scale"))
     t = THRESHOLDS
     scaled = both.join(F.broadcast(scale)).withColumn("expected", F.col("other") * F.col("scale"))
@@ -126,18 +140,66 @@ def overlong(result: DataFrame, reference: DataFrame, key: str, text: str = "tex
 
 
 def remapped_alignment(result: DataFrame, reference: DataFrame, moved: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(better, worse, suspect): chapters whose correlation gains or loses 0.3 when keys are read through ``moved`` (key, to)."""
-    r = lambda d, n: d.groupBy(keys.chapter_key(F.col(key)).alias("grp")).agg(pearson(F.col("size"), F.col("other")).alias(n))
-    a = result.select(key, F.length(text).alias("size"))
-    b = reference.select(key, F.length(text).alias("other"))
-    plain = r(a.join(b, key), "r0")
-    renamed = a.join(moved.select(F.col("key").alias(key), "to"), key, "left").select(F.coalesce("to", key).alias(key), "size")
-    other = r(renamed.join(b, key), "r1")
+    """(better, worse, suspect): chapters whose correlation gains or loses 0.3 when keys are read through ``moved`` (key, to).
+
+    Only chapters that a moved key leaves or enters are looked at, over the
+    reference's keys; lengths that meet on one key add up, absent ones are 0.
+    """
+    a = sizes(result, key, text)
+    map_ = moved.select(F.col("key").alias(key), "to")
+    renamed = a.join(map_, key, "left").groupBy(F.coalesce("to", key).alias(key)).agg(F.sum("size").alias("read"))
+    crossed = a.join(map_.where(F.col("to") != F.col(key)), key).select(F.explode(F.array(keys.chapter_key(F.col(key)), keys.chapter_key(F.col("to")))).alias("grp")).distinct()
+    b = sizes(reference, key, text, headings=True).select(key, F.col("size").alias("other"), keys.chapter_key(F.col(key)).alias("grp")).join(crossed, "grp", "left_semi")
+    rows = b.join(a, key, "left").join(renamed, key, "left").na.fill(0, ["size", "read"])
+    per = rows.groupBy("grp").agg(F.count("*").alias("n"), pearson(F.col("size"), F.col("other")).alias("r0"), pearson(F.col("read"), F.col("other")).alias("r1")).where("n >= 4")
     gain = F.col("r1") - F.col("r0")
-    out = plain.join(other, "grp").agg(F.count_if(gain > 0.3).alias("better"), F.count_if(gain < -0.3).alias("worse"))
+    out = per.agg(F.count_if(gain > 0.3).alias("better"), F.count_if(gain < -0.3).alias("worse"))
     return out.withColumn("suspect", (F.col("better") >= 3) & (F.col("better") > 3 * F.col("worse")))
 
 
+#: Span types and block fields of a module's formatting document (fixed values).
+SPAN_TYPES = ("divine_name", "supplied", "words_of_christ", "emphasis", "quotation", "transliteration")
+BLOCK_KEYS = ("paragraph_start", "poetry_level", "heading", "heading_kind", "selah")
+TOP_KEYS = ("v", "block", "spans", "source_verses")
+#: Books in which words of Christ are expected (fixed values).
+RED_LETTER_BOOKS = (40, 41, 42, 43, 44, 46, 47, 66)
+
+
+def tokens(text: Column) -> Column:
+    """Pieces between single blanks; none in an empty text."""
+    t = F.coalesce(text, F.lit(""))
+    return F.when(t == "", 0).otherwise(F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit(""))) + 1)
+
+
+def formatting_problems(result: DataFrame, canon: DataFrame, key: str = "verse_id") -> DataFrame:
+    """(key, problems) of rows whose formatting document breaks its rules: keys, version, block fields, poetry level, spans."""
+    f = F.col("formatting")
+    rows = result.where(F.coalesce(f, F.lit("")) != "").select(key, f, tokens(F.col("text")).alias("tokens"))
+    names = lambda x: F.array(*map(F.lit, x))
+    top, block = F.json_object_keys(f), F.json_object_keys(F.get_json_object(f, "$.block"))
+    level = F.get_json_object(f, "$.block.poetry_level")
+    version = F.coalesce(F.get_json_object(f, "$.v"), F.lit(""))
+    one = lambda c: F.coalesce(c, F.lit(False)).cast("int")
+    of_row = F.when(F.try_parse_json(f).isNull() | top.isNull(), 1).otherwise(
+        one((F.size(F.array_except(top, names(TOP_KEYS))) > 0) | (version != "1"))
+        + F.greatest(F.coalesce(F.size(F.array_except(block, names(BLOCK_KEYS))), F.lit(0)), F.lit(0))
+        + one(level.isNotNull() & ~level.isin("1", "2", "3"))
+    )
+    spans = rows.select(key, "tokens", F.explode(F.from_json(F.get_json_object(f, "$.spans"), "array<map<string,string>>")).alias("s"))
+    s = F.col("s")
+    whole = lambda c: F.when(c.rlike(r"^-?[0-9]{1,9}$"), c.try_cast("int"))
+    a, b, ref = whole(s["start"]), whole(s["end"]), s["ref"].try_cast("long")
+    spans = spans.select(
+        key,
+        (1 - one(s["type"].isin(*SPAN_TYPES)) + 1 - one((a >= 0) & (a <= b) & (b < F.greatest("tokens", F.lit(1))))).alias("n"),
+        F.when((s["type"] == "quotation") & (F.coalesce(s["ref"], F.lit("")) != ""), F.coalesce(ref, F.lit(-1))).alias("ref"),
+    )
+    real = canon.select(F.col("book").alias("c_book"), F.col("chapter").alias("c_chapter"), F.col("max_verse").alias("c_most"))
+    held = spans.join(real, (keys.book_of(F.col("ref")) == F.col("c_book")) & (keys.chapter_of(F.col("ref")) == F.col("c_chapter")) & keys.verse_of(F.col("ref")).between(1, F.col("c_most")), "left")
+    of_spans = held.select(key, (F.col("n") + one(F.col("ref").isNotNull() & F.col("c_book").isNull())).alias("n"))
+    return rows.select(key, of_row.alias("n")).unionByName(of_spans).groupBy(key).agg(F.sum("n").alias("problems")).where("problems > 0")
+
+
 def duplicates(result: DataFrame, key: str, text: str = "text") -> DataFrame:
     return equal_neighbours(result, key, text)
 
@@ -148,18 +210,27 @@ def findings(summary: DataFrame, rules: list[tuple[str, str, Column, Column]]) -
     return summary.select(each.alias("f")).select("f.*").where("hit").drop("hit")
 
 
+#: Patterns that only clean text must be free of: in other modules they are counted, not judged (fixed values).
+MARKUP_CODES = ("html_tag", "entity", "angle_bracket", "whitespace", "backslash")
+
+
 def generic_checks(source: DataFrame, result: DataFrame, text: str) -> DataFrame:
-    """(code, severity, n) for any module type: empty, too few rows, too many, other word totals."""
-    words = lambda d, n: d.agg(F.count("*").alias(f"{n}_rows"), F.coalesce(F.sum(count_lettered_words(F.col(text))), F.lit(0)).alias(f"{n}_words"), F.count_if(F.coalesce(F.btrim(text), F.lit("")) == "").alias(f"{n}_empty"))
-    s = words(source, "s").join(F.broadcast(words(result, "r")))
+    """(code, severity, n) for any module type: no content column, empty, too few rows, too many, other word totals, bad patterns."""
+    if text not in result.columns:
+        return result.sparkSession.createDataFrame([("content_column", "error", 1)], "code string, severity string, n long")
+    words = lambda d, n: d.agg(F.count("*").alias(f"{n}_rows"), F.coalesce(F.sum(count_lettered_words(F.col(text))), F.lit(0)).alias(f"{n}_words"), F.count_if(F.coalesce(F.btrim(text), F.lit("")) != "").alias(f"{n}_full"))
+    one = words(source, "s").join(F.broadcast(words(result, "r")))
     c = F.col
-    return findings(
-        s,
+    some = (c("r_rows") > 0) & (c("s_full") > 0)
+    out = findings(
+        one,
         [
             ("empty", "error", c("r_rows") == 0, F.lit(1)),
-            ("row_count", "error", c("r_rows") < 0.8 * c("s_rows"), c("r_rows")),
-            ("entries_duplicated", "error", c("r_rows") > 1.5 * c("s_rows"), c("r_rows")),
-            ("word_count_delta", "warn", F.abs(c("r_words") - c("s_words")) > 0.1 * c("s_words"), c("r_words")),
-            ("empty_entries", "warn", c("r_empty") > 0, c("r_empty")),
+            ("row_count", "warn", some & (c("r_rows") < 0.8 * c("s_full")), c("r_rows")),
+            ("entries_duplicated", "warn", some & (c("r_rows") > 1.5 * c("s_full")), c("r_rows")),
+            ("word_count_delta", "warn", (c("r_rows") > 0) & (c("s_words") > 0) & (F.abs(c("r_words") - c("s_words")) > 0.1 * c("s_words")), c("r_words")),
         ],
     )
+    hits = result.select(F.explode(hygiene_codes(F.col(text))).alias("code")).groupBy("code").agg(F.count("*").alias("n"))
+    bad = hits.where(F.col("code").isin(*[k for k, severity, _ in HYGIENE if severity == "error"]))
+    return out.unionByName(bad.select(F.concat(F.lit("text_"), "code").alias("code"), F.when(F.col("code").isin(*MARKUP_CODES), "info").otherwise("warn").alias("severity"), F.col("n").cast("long").alias("n")))

@@ -320,16 +320,6 @@ def w8_best_copy(spark, d):
     return sequence.best_copy(table(spark, d, "customer"), F.lower("c_mktsegment"), F.col("c_nationkey"), "c_custkey").select(F.lower("c_mktsegment").alias("segment"), "c_custkey")
 
 
-@query()
-def w9_stratified_sample(spark, d):
-    return stats.stratified(table(spark, d, "documents").select("doc_id", "source"), "source", "doc_id", 40)
-
-
-@query()
-def a15_seeded_sample(spark, d):
-    return stats.seeded_sample(table(spark, d, "documents").select("doc_id"), "doc_id", 100)
-
-
 @query("SELECT conv_id, sha256(string_agg(turn || chr(9) || text || chr(10), '' ORDER BY turn)) AS content_sha256 FROM conversations GROUP BY 1")
 def k7_content_hash(spark, d):
     line = F.concat(F.concat_ws("\t", F.col("turn").cast("string"), "text"), F.lit("\n"))
