@@ -10,18 +10,75 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-#: Names, short names and codes of the 66 books in order (fixed values).
-_NAMES = (
-    "Genesis Exodus Leviticus Numbers Deuteronomy Joshua Judges Ruth 1_Samuel 2_Samuel 1_Kings 2_Kings 1_Chronicles 2_Chronicles Ezra Nehemiah Esther "
-    "Job Psalms Proverbs Ecclesiastes Song_of_Solomon Isaiah Jeremiah Lamentations Ezekiel Daniel Hosea Joel Amos Obadiah Jonah Micah Nahum Habakkuk "
-    "Zephaniah Haggai Zechariah Malachi Matthew Mark Luke John Acts Romans 1_Corinthians 2_Corinthians Galatians Ephesians Philippians Colossians "
-    "1_Thessalonians 2_Thessalonians 1_Timothy 2_Timothy Titus Philemon Hebrews James 1_Peter 2_Peter 1_John 2_John 3_John Jude Revelation"
-).replace("_", " ").split(" ")
-_SHORT = (
-    "Gen Exod Lev Num Deut Josh Judg Ruth 1Sam 2Sam 1Kgs 2Kgs 1Chr 2Chr Ezra Neh Esth Job Ps Prov Eccl Song Isa Jer Lam Ezek Dan Hos Joel Amos Obad "
-    "Jonah Mic Nah Hab Zeph Hag Zech Mal Matt Mark Luke John Acts Rom 1Cor 2Cor Gal Eph Phil Col 1Thess 2Thess 1Tim 2Tim Titus Phlm Heb Jas 1Pet 2Pet "
-    "1John 2John 3John Jude Rev"
-).split(" ")
+#: The 66 books: number, name, short name (fixed values).
+BOOK_ROWS = [
+    (1, "Genesis", "Gen"),
+    (2, "Exodus", "Exod"),
+    (3, "Leviticus", "Lev"),
+    (4, "Numbers", "Num"),
+    (5, "Deuteronomy", "Deut"),
+    (6, "Joshua", "Josh"),
+    (7, "Judges", "Judg"),
+    (8, "Ruth", "Ruth"),
+    (9, "1 Samuel", "1Sam"),
+    (10, "2 Samuel", "2Sam"),
+    (11, "1 Kings", "1Kgs"),
+    (12, "2 Kings", "2Kgs"),
+    (13, "1 Chronicles", "1Chr"),
+    (14, "2 Chronicles", "2Chr"),
+    (15, "Ezra", "Ezra"),
+    (16, "Nehemiah", "Neh"),
+    (17, "Esther", "Esth"),
+    (18, "Job", "Job"),
+    (19, "Psalms", "Ps"),
+    (20, "Proverbs", "Prov"),
+    (21, "Ecclesiastes", "Eccl"),
+    (22, "Song of Solomon", "Song"),
+    (23, "Isaiah", "Isa"),
+    (24, "Jeremiah", "Jer"),
+    (25, "Lamentations", "Lam"),
+    (26, "Ezekiel", "Ezek"),
+    (27, "Daniel", "Dan"),
+    (28, "Hosea", "Hos"),
+    (29, "Joel", "Joel"),
+    (30, "Amos", "Amos"),
+    (31, "Obadiah", "Obad"),
+    (32, "Jonah", "Jonah"),
+    (33, "Micah", "Mic"),
+    (34, "Nahum", "Nah"),
+    (35, "Habakkuk", "Hab"),
+    (36, "Zephaniah", "Zeph"),
+    (37, "Haggai", "Hag"),
+    (38, "Zechariah", "Zech"),
+    (39, "Malachi", "Mal"),
+    (40, "Matthew", "Matt"),
+    (41, "Mark", "Mark"),
+    (42, "Luke", "Luke"),
+    (43, "John", "John"),
+    (44, "Acts", "Acts"),
+    (45, "Romans", "Rom"),
+    (46, "1 Corinthians", "1Cor"),
+    (47, "2 Corinthians", "2Cor"),
+    (48, "Galatians", "Gal"),
+    (49, "Ephesians", "Eph"),
+    (50, "Philippians", "Phil"),
+    (51, "Colossians", "Col"),
+    (52, "1 Thessalonians", "1Thess"),
+    (53, "2 Thessalonians", "2Thess"),
+    (54, "1 Timothy", "1Tim"),
+    (55, "2 Timothy", "2Tim"),
+    (56, "Titus", "Titus"),
+    (57, "Philemon", "Phlm"),
+    (58, "Hebrews", "Heb"),
+    (59, "James", "Jas"),
+    (60, "1 Peter", "1Pet"),
+    (61, "2 Peter", "2Pet"),
+    (62, "1 John", "1John"),
+    (63, "2 John", "2John"),
+    (64, "3 John", "3John"),
+    (65, "Jude", "Jude"),
+    (66, "Revelation", "Rev"),
+]
 SINGLE_CHAPTER = frozenset({31, 57, 63, 64, 65})
 
 
@@ -35,7 +92,7 @@ class Book:
 
 
 def standard_books() -> list[Book]:
-    return [Book(i, n.replace(" ", " "), s, s) for i, (n, s) in enumerate(zip(_NAMES, _SHORT, strict=True), 1)]
+    return [Book(number, name, short, short) for number, name, short in BOOK_ROWS]
 
 
 def _squeezed(s: str) -> str:

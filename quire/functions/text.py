@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import difflib
 import unicodedata
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column
@@ -71,26 +72,36 @@ def deterministic_uuid(key: Column, prefix: str = "urn:bible-module:v0.1:") -> C
 # Licences, languages, years -----------------------------------------------------------
 
 
+#: Parts of a licence text and the identifier that they mean, first hit wins (fixed values).
+LICENCES = [
+    (("public domain",), "PD"),
+    (("cc0",), "CC0-1.0"),
+    (("creative commons", "cc-by", "cc by"), "CC-BY"),
+    (("gpl",), "GPL"),
+    (("free non-commercial", "free noncommercial"), "LicenseRef-SWORD-FreeNonCommercial"),
+    (("permission to distribute",), "LicenseRef-SWORD-DistributionPermitted"),
+    (("copyright",), "LicenseRef-Proprietary"),
+]
+#: Parts that add to CC-BY, its versions, and the default version (fixed values).
+CC_COMMERCE = [(("noncommercial", "non-commercial", "-nc"), "-NC")]
+CC_SHARING = [(("noderiv", "-nd"), "-ND"), (("sharealike", "share alike", "-sa"), "-SA")]
+CC_VERSIONS = [((v,), v) for v in ("4.0", "3.0", "2.5", "2.0", "1.0")]
+GPL_VERSIONS = [(("3",), "GPL-3.0-or-later")]
+
+
+def _first_part(low: Column, table: list[tuple[tuple[str, ...], str]], default: str) -> Column:
+    out = F.lit(default)
+    for parts, value in reversed(table):
+        out = F.when(_any_part(low, parts), value).otherwise(out)
+    return out
+
+
 def licence_to_spdx(text: Column) -> Column:
     """The first rule that fits, on the lower-cased and trimmed text; '' for none."""
     low = F.lower(F.btrim(F.coalesce(text, F.lit(""))))
-    has = lambda *parts: F.greatest(*[low.contains(p) for p in parts]) if len(parts) > 1 else low.contains(parts[0])
-    non_commercial = F.when(has("noncommercial", "non-commercial", "-nc"), "-NC").otherwise("")
-    share = F.when(has("noderiv", "-nd"), "-ND").when(has("sharealike", "share alike", "-sa"), "-SA").otherwise("")
-    version = F.lit("4.0")
-    for v in ("1.0", "2.0", "2.5", "3.0", "4.0"):
-        version = F.when(has(v), v).otherwise(version)
-    return (
-        F.when(low == "", "")
-        .when(has("public domain"), "PD")
-        .when(has("cc0"), "CC0-1.0")
-        .when(has("creative commons", "cc-by", "cc by"), F.concat(F.lit("CC-BY"), non_commercial, share, F.lit("-"), version))
-        .when(has("gpl"), F.when(has("3"), "GPL-3.0-or-later").otherwise("GPL-2.0-or-later"))
-        .when(has("free non-commercial", "free noncommercial"), "LicenseRef-SWORD-FreeNonCommercial")
-        .when(has("permission to distribute"), "LicenseRef-SWORD-DistributionPermitted")
-        .when(has("copyright"), "LicenseRef-Proprietary")
-        .otherwise("")
-    )
+    kind = _first_part(low, LICENCES, "")
+    creative = F.concat(F.lit("CC-BY"), _first_part(low, CC_COMMERCE, ""), _first_part(low, CC_SHARING, ""), F.lit("-"), _first_part(low, CC_VERSIONS, "4.0"))
+    return F.when(kind == "CC-BY", creative).when(kind == "GPL", _first_part(low, GPL_VERSIONS, "GPL-2.0-or-later")).otherwise(kind)
 
 
 def spdx_url(spdx: Column) -> Column:
@@ -264,16 +275,13 @@ def normal_text(x: Column) -> Column:
 
 
 def similarity_of(a: str, b: str) -> float:
-    """1 and 0 at the ends; below one half an upper bound; else the matching-blocks ratio."""
-    if a == b:
-        return 1.0
-    if not a or not b:
-        return 0.0
-    m = difflib.SequenceMatcher(None, a, b, autojunk=False)
-    for bound in (m.real_quick_ratio, m.quick_ratio):
-        if (r := bound()) < 0.5:
-            return r
-    return m.ratio()
+    """Twice the letters in matching blocks over all letters; if even the letters in common come to under a half, their share."""
+    letters = len(a) + len(b)
+    shared = sum((Counter(a) & Counter(b)).values())
+    if a == b or 4 * shared < letters:
+        return 2 * shared / letters if letters else 1.0
+    blocks = difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()
+    return 2 * sum(block.size for block in blocks) / letters
 
 
 @F.pandas_udf(T.DoubleType())
@@ -282,8 +290,9 @@ def _similarity(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def similarity(a: Column, b: Column) -> Column:
-    """Equal and empty texts are decided in the JVM; only the rest is compared letter by letter."""
-    return F.when(a == b, 1.0).when((a == "") | (b == ""), 0.0).otherwise(_similarity(a, b))
+    """Equal texts, and lengths that leave at most a half in common (an empty text has nothing), are decided in the JVM; only the rest is compared letter by letter."""
+    most = 2 * F.least(F.length(a), F.length(b)) / (F.length(a) + F.length(b))
+    return F.when(a == b, 1.0).when(most < 0.5, most).otherwise(_similarity(a, b))
 
 
 # Strong's numbers and morphology -------------------------------------------------------------
