@@ -1,4 +1,6 @@
-"""References in words: ``John 3:16``, ``1 Cor 5:19-21``, ``Josh.17.2``. Driver-side helpers.
+"""References in words: ``John 3:16``, ``1 Cor 5:19-21``, ``Josh.17.2``.
+
+Helpers for single references, and one Arrow pass for a column of them.
 
 The book table is data: number, name, short name, code and other spellings.
 ``standard_books`` has the 66 usual names; tables with more spellings are read
@@ -10,6 +12,10 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 #: The 66 books: number, name, short name (fixed values).
 BOOK_ROWS = [
     (1, "Genesis", "Gen"),
@@ -181,6 +187,29 @@ def code_reference(ref: str, books: Books) -> int:
     return pack(number, chapter, verse) if chapter and verse else 0
 
 
+def reference_columns(text: Column, books: Books | None = None) -> Column:
+    """(low, high, loose, start) of references in a column: ``parse_reference``'s range, ``parse_loose``'s and ``code_reference``'s key.
+
+    What is no reference of a kind is null there (``start``: 0); null texts give nulls.
+    """
+    table = books or Books()
+
+    def one(t: str | None) -> dict:
+        if t is None:
+            return dict.fromkeys(("low", "high", "loose", "start"))
+        try:
+            low, high = parse_reference(t, table)
+        except ValueError:
+            low = high = None
+        return {"low": low, "high": high, "loose": parse_loose(t, table), "start": code_reference(t, table)}
+
+    def run(texts: pd.Series) -> pd.DataFrame:
+        rows = [one(None if pd.isna(t) else t) for t in texts]
+        return pd.DataFrame({c: pd.array([r[c] for r in rows], "Int64") for c in ("low", "high", "loose", "start")})
+
+    return F.pandas_udf(run, "low long, high long, loose long, start long")(text)
+
+
 # Lists of references -------------------------------------------------------------
 
 

@@ -81,6 +81,26 @@ class Library:
         return df.withColumn("ref", keys.format_range(a, b, names[keys.book_of(a).cast("int")], names[keys.book_of(b).cast("int")]))
 
 
+class Held(Library):
+    """A library whose modules are given as tables: name -> table -> DataFrame."""
+
+    def __init__(self, spark: SparkSession, modules: dict[str, dict[str, DataFrame]], books: Books | None = None):
+        super().__init__(spark, None, books)
+        self.modules = modules
+
+    def names(self) -> DataFrame:
+        return self.spark.createDataFrame([(n, 0.0) for n in sorted(self.modules)], "module string, size_mb double")
+
+    def resolve(self, name: str, command: str = "") -> str:
+        found = files.resolve_module(self.names(), name, PREFER.get(command)).first()
+        if found is None:
+            raise NotFound(f"no module {name!r}")
+        return found["module"]
+
+    def tables(self, name: str, command: str = "") -> dict[str, DataFrame]:
+        return self.modules[self.resolve(name, command)]
+
+
 @dataclass(frozen=True)
 class Command:
     usage: str
