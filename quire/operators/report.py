@@ -134,6 +134,93 @@ def formatting_findings(result: DataFrame, canon: DataFrame) -> DataFrame:
     return out.unionByName(_counted(result.where(c("word_count") != verify.tokens(c("text"))), "word_count_column", "error"))
 
 
+#: Needles of licence terms (fixed values): a text that names one while the identifier does not is a conflict.
+LICENCE_TERMS = [r"\bNC\b|BY-NC|NON-?COMMERCIAL", r"\bND\b|-ND\b|NO ?DERIV"]
+METADATA_MARKUP = r"\\(par|pard|qc|u[0-9]+)|<[a-zA-Z/][^>]*>"
+#: Converter warnings that mean lost text (fixed values).
+DROPPED_TEXT = ("not in the cache", "had no host verse", "NOT imported")
+
+
+def metadata_findings(info: DataFrame, result: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
+    """(module, code, severity): modules' own rows against their verses, themselves and the catalogue's row.
+
+    ``info`` has one row a module, ``result`` (module, verse_id, text), ``catalog`` (module, app_language_code,
+    right_to_left). Nulls count as empty; the digest is that of a module's verse lines in key order.
+    """
+    from .sequence import content_hash
+
+    text = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(""))
+    line = F.concat(F.concat_ws("\t", F.col("verse_id").cast("string"), F.coalesce("text", F.lit(""))), F.lit("\n"))
+    digests = content_hash(result, "module", ["verse_id"], line).withColumnRenamed("content_sha256", "_digest")
+    rows = info.join(digests, "module", "left")
+    spdx, blurb = F.upper(text("license_spdx")), F.upper(F.concat(text("copyright"), F.lit(" "), text("description")))
+    conflict = F.lit(False)
+    for needle in LICENCE_TERMS:
+        conflict = conflict | (blurb.rlike(needle) & ~spdx.rlike(needle) & ~spdx.contains("NONCOMMERCIAL"))
+    rules = [("content_sha256", "error", text("content_sha256") != F.coalesce("_digest", F.sha2(F.lit(""), 256))), ("license_unknown", "warn", text("license_spdx") == ""), ("license_conflict", "warn", conflict)]
+    rules += [(f"metadata_{field}_markup", "warn", text(field).rlike(METADATA_MARKUP)) for field in ("full_name", "copyright", "description")]
+    if catalog is not None:
+        theirs = catalog.select("module", F.btrim(F.coalesce("app_language_code", F.lit(""))).alias("_language"), (F.btrim(F.coalesce("right_to_left", F.lit("0"))) == "1").alias("_rtl"))
+        rows = rows.join(theirs, "module", "left")
+        rules.append(("language_code", "info", (F.col("_language") != "") & (text("language_code") != "") & (F.col("_language") != text("language_code"))))
+        rules.append(("right_to_left", "warn", F.col("_rtl") != F.coalesce(F.col("right_to_left").cast("boolean"), F.lit(False))))
+    each = F.array(*[F.when(F.coalesce(test, F.lit(False)), F.struct(F.lit(code).alias("code"), F.lit(severity).alias("severity"))) for code, severity, test in rules])
+    return rows.select("module", F.explode(F.filter(each, lambda x: x.isNotNull())).alias("f")).select("module", "f.*")
+
+
+def script_findings(result: DataFrame, language: str) -> DataFrame:
+    """Texts whose most frequent script is not the language's; unknown languages and texts without letters give none."""
+    from .stats import expected_script, scripts
+
+    wanted = expected_script(language)
+    return scripts(result, "text", 1).where(F.lit(wanted).isNotNull() & (F.col("script") != wanted)).select(F.lit("script_mismatch").alias("code"), F.lit("warn").alias("severity"), "n")
+
+
+def lost_findings(source: DataFrame, result: DataFrame, words: DataFrame | None = None) -> DataFrame:
+    """Headings and word numbers that the source (raw) has often and the result (formatting) nowhere."""
+    raw, heading = F.col("raw"), F.coalesce(F.get_json_object("formatting", "$.block.heading"), F.lit(""))
+    sums = source.agg(F.count_if(raw.contains("<title")).alias("titles"), F.count_if(raw.contains("strong:")).alias("strongs"))
+    sums = sums.join(F.broadcast(result.agg(F.count_if(heading != "").alias("headings"))))
+    sums = sums.join(F.broadcast(words.agg(F.count("*").alias("words")))) if words is not None else sums.withColumn("words", F.lit(0))
+    c = F.col
+    return verify.findings(sums, [("headings_lost", "warn", (c("titles") > 50) & (c("headings") == 0), c("titles")), ("strongs_lost", "warn", (c("strongs") > 1000) & (c("words") == 0), c("strongs"))])
+
+
+def conversion_findings(log: DataFrame, validation: DataFrame | None = None, line: str = "value") -> DataFrame:
+    """One error for each warning of the converter (text lines) that means lost text, and one if the validator (code, severity) found an error."""
+    lost = F.lit(False)
+    for part in DROPPED_TEXT:
+        lost = lost | F.col(line).contains(part)
+    out = log.where(F.lower(line).contains("warn") & lost).select(F.lit("converter_dropped_text").alias("code"), F.lit("error").alias("severity"), F.lit(1).cast("long").alias("n"))
+    return out if validation is None else out.unionByName(_counted(validation.where("severity = 'error'"), "validate_module", "error"))
+
+
+#: Verses that every review looks at (fixed values).
+KEY_VERSES = [
+    "Gen 1:1", "Gen 2:4", "Gen 31:55", "Exod 20:2", "Ps 3:1", "Ps 23:1", "Ps 51:1", "Isa 9:6", "Dan 3:30", "Esth 10:3", "Joel 2:28", "Mal 4:5", "Matt 5:3", "Matt 17:21",
+    "Mark 16:9", "Luke 2:14", "John 1:1", "John 3:16", "John 8:1", "John 11:35", "Acts 8:37", "Rom 8:28", "1 Cor 11:24", "1 John 5:7", "3 John 1:14", "Rev 12:17", "Rev 13:1", "Rev 22:21",
+]
+
+
+def review_samples(source: DataFrame, result: DataFrame, worst: dict[str, tuple[DataFrame, int]] | None = None, random: int = 12, seed: int = 1) -> DataFrame:
+    """(why, verse_id, source_text, text): key verses on either side, a seeded sample of the result, and the first rows (verse_id) of each ``worst`` list.
+
+    A report of a bounded number of rows; texts are clipped to 600 characters.
+    """
+    from ..functions.refs import Books, parse_reference
+    from ..functions.text import clip
+    from .stats import seeded_sample
+
+    books = Books()
+    wanted = [parse_reference(r, books)[0] for r in KEY_VERSES]
+    ids = source.select("verse_id").unionByName(result.select("verse_id")).where(F.col("verse_id").isin(wanted)).distinct().select(F.lit("key verse").alias("why"), "verse_id")
+    ids = ids.unionByName(seeded_sample(result.select("verse_id").distinct(), "verse_id", random, seed).select(F.lit("random").alias("why"), "verse_id"))
+    for why, (rows, most) in (worst or {}).items():
+        ids = ids.unionByName(rows.limit(most).select(F.lit(why).alias("why"), "verse_id"))
+    theirs = source.select("verse_id", clip(F.col("text"), 600).alias("source_text"))
+    return ids.join(theirs, "verse_id", "left").join(result.select("verse_id", clip(F.col("text"), 600).alias("text")), "verse_id", "left").select("why", "verse_id", "source_text", "text")
+
+
 def bible_findings(source: DataFrame, result: DataFrame, canon: DataFrame, reference: DataFrame | None = None, known: DataFrame | None = None, moved: DataFrame | None = None, linked: DataFrame | None = None, versification: str = "KJV") -> DataFrame:
     """(code, severity, n) over source (verse_id, text, red, reason), result (verse_id, text, red, formatting, word_count) and a reference edition.
 
@@ -193,6 +280,13 @@ def module_status(findings: DataFrame) -> DataFrame:
     return findings.agg(status(F.col("severity")).alias("status"), F.count("*").alias("findings"))
 
 
+def totals(modules: DataFrame, findings: DataFrame) -> DataFrame:
+    """(modules, passed, failed) over (module) and (module, severity): a module with an error has failed."""
+    bad = findings.where("severity = 'error'").select("module").distinct().withColumn("_bad", F.lit(True))
+    marked = modules.select("module").distinct().join(bad, "module", "left")
+    return marked.agg(F.count("*").alias("modules"), F.count_if(F.col("_bad").isNull()).alias("passed"), F.count("_bad").alias("failed"))
+
+
 def validate_all(modules: dict[str, dict[str, DataFrame]], canon: DataFrame | None = None) -> DataFrame:
     """(module, code, severity, n, example) over many modules in the order of their names."""
     out = None

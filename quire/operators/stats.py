@@ -115,17 +115,33 @@ def ordered_merge(df: DataFrame, group: str, order: str, text: str, flag: str, r
     )
 
 
-#: Scripts that letters are counted by (fixed values).
-SCRIPTS = ("Latin", "Greek", "Cyrillic", "Hebrew", "Arabic", "Han", "Devanagari", "Thai", "Armenian", "Georgian", "Ethiopic", "Hangul")
+#: Scripts that letters are counted by, and the first word of their letters' names (fixed values).
+SCRIPTS = {
+    "Latin": "LATIN", "Greek": "GREEK", "Cyrillic": "CYRILLIC", "Armenian": "ARMENIAN", "Hebrew": "HEBREW", "Arabic": "ARABIC", "Syriac": "SYRIAC", "Devanagari": "DEVANAGARI", "Bengali": "BENGALI",
+    "Tamil": "TAMIL", "Telugu": "TELUGU", "Thai": "THAI", "Lao": "LAO", "Tibetan": "TIBETAN", "Myanmar": "MYANMAR", "Georgian": "GEORGIAN", "Ethiopic": "ETHIOPIC", "Khmer": "KHMER",
+    "Hangul": "HANGUL", "Hiragana": "HIRAGANA", "Katakana": "KATAKANA", "Han": "CJK",
+}
+#: The script that texts of a language are written in (fixed values).
+EXPECTED_SCRIPTS = {
+    "LATIN": "en de fr es it pt nl sv da no nb nn fi et lv lt pl cs sk sl hr hu ro sq tr id ms tl vi sw la eo ga cy is mt af eu ca gl",
+    "CYRILLIC": "ru uk bg be mk kk ky tg mn cu",
+    "GREEK": "el grc", "HEBREW": "he hbo", "ARABIC": "ar fa ur", "CJK": "zh ja", "HANGUL": "ko", "ARMENIAN": "hy", "GEORGIAN": "ka", "DEVANAGARI": "hi mr ne", "THAI": "th", "ETHIOPIC": "am", "SYRIAC": "syr",
+}
 
 
 def scripts(df: DataFrame, text: str, top: int = 3) -> DataFrame:
     """(script, n): letters by script over all rows, the ``top`` most frequent."""
     sums = df.agg(*[F.sum(F.regexp_count(F.col(text), F.lit(f"\\p{{Is{s}}}"))).alias(s) for s in SCRIPTS])
-    long = sums.select(F.explode(F.array(*[F.struct(F.lit(s.upper()).alias("script"), F.coalesce(F.col(s), F.lit(0)).cast("long").alias("n")) for s in SCRIPTS])).alias("x")).select("x.*")
+    long = sums.select(F.explode(F.array(*[F.struct(F.lit(name).alias("script"), F.coalesce(F.col(s), F.lit(0)).cast("long").alias("n")) for s, name in SCRIPTS.items()])).alias("x")).select("x.*")
     return long.where("n > 0").orderBy(F.desc("n"), "script").limit(top)
 
 
+def expected_script(language: str) -> str | None:
+    """The script of a language tag's first part, if it is known."""
+    primary = language.split("-")[0].lower()
+    return next((script for script, languages in EXPECTED_SCRIPTS.items() if primary in languages.split()), None)
+
+
 def status(severity: Column) -> Column:
     """FAIL if any error, WARN if any warning, else PASS; over a group of findings."""
     rank = F.max(F.when(severity == "error", 2).when(severity == "warn", 1).otherwise(0))

@@ -408,3 +408,75 @@ def j8_empty_groups(spark, d):
     groups = table(spark, d, "region").select(F.explode(F.array(F.col("r_regionkey"), F.col("r_regionkey") + 100)).alias("n_regionkey"))
     both = groups.join(table(spark, d, "nation"), "n_regionkey", "left")
     return sequence.content_hash(both, "n_regionkey", ["n_nationkey"], F.coalesce(F.concat("n_name", F.lit("\n")), F.lit("")))
+
+
+# Verifier: the modules' own rows, scripts, losses, samples ---------------------------
+
+
+@query(
+    """WITH t AS (SELECT user_id % 25 AS module, sha256(string_agg(event_id || chr(9) || event_type || chr(10), '' ORDER BY event_id)) AS h FROM events GROUP BY 1),
+    i AS (SELECT n_nationkey AS module, CASE WHEN n_nationkey % 3 = 0 THEN h ELSE 'other' END AS stored, coalesce(h, sha256('')) AS h FROM nation LEFT JOIN t ON module = n_nationkey)
+    SELECT module, 'content_sha256' AS code, 'error' AS severity FROM i WHERE coalesce(stored, '') <> h UNION ALL SELECT module, 'license_unknown', 'warn' FROM i WHERE module % 5 = 0 UNION ALL SELECT module, 'license_conflict', 'warn' FROM i WHERE module % 5 IN (0, 1)
+    UNION ALL SELECT module, 'metadata_full_name_markup', 'warn' FROM i WHERE module % 4 = 1 UNION ALL SELECT module, 'metadata_description_markup', 'warn' FROM i WHERE module % 4 = 2
+    UNION ALL SELECT module, 'language_code', 'info' FROM i WHERE module % 2 = 1 UNION ALL SELECT module, 'right_to_left', 'warn' FROM i WHERE module % 3 = 1"""
+)
+def q12_metadata(spark, d):
+    from ..operators.sequence import content_hash
+
+    k = F.col("n_nationkey")
+    result = table(spark, d, "events").select((F.col("user_id") % 25).alias("module"), F.col("event_id").alias("verse_id"), F.col("event_type").alias("text"))
+    line = F.concat(F.concat_ws("\t", F.col("verse_id").cast("string"), "text"), F.lit("\n"))
+    info = table(spark, d, "nation").join(content_hash(result, "module", ["verse_id"], line), k == F.col("module"), "left").select(
+        k.alias("module"), F.when(k % 3 == 0, F.col("content_sha256")).otherwise("other").alias("content_sha256"), F.when(k % 5 == 0, None).when(k % 5 == 1, "CC-BY-4.0").otherwise("CC-BY-NC-4.0").alias("license_spdx"),
+        F.lit("(c) Owner, non-commercial use").alias("copyright"), F.when(k % 4 == 1, "A <b>name</b>").otherwise(F.col("n_name")).alias("full_name"), F.when(k % 4 == 2, r"x\par y").otherwise("").alias("description"),
+        F.when(k % 2 == 1, "fr").otherwise("en").alias("language_code"), F.lit(0).alias("right_to_left"),
+    )
+    entry = table(spark, d, "nation").select(k.alias("module"), F.lit(" en ").alias("app_language_code"), F.when(k % 3 == 1, "1").otherwise("0").alias("right_to_left"))
+    return report.metadata_findings(info, result, entry)
+
+
+@query("SELECT 'ru-RU' AS language, 'script_mismatch' AS code, 'warn' AS severity, CAST(sum(len(regexp_extract_all(text, '\\p{Latin}'))) AS BIGINT) AS n FROM documents".replace("\\\\", "\\"))
+def q13_scripts(spark, d):
+    docs, out = table(spark, d, "documents").select("text"), None
+    for language in ("ru-RU", "en", "xx"):
+        one = report.script_findings(docs, language).select(F.lit(language).alias("language"), "code", "severity", "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("SELECT 'headings_lost' AS code, 'warn' AS severity, count(*) AS n FROM pages WHERE contains(html, '<title') HAVING count(*) > 50 UNION ALL SELECT 'strongs_lost', 'warn', count(*) FROM orders WHERE o_orderkey % 3 > 0 HAVING count(*) > 1000")
+def q5_lost(spark, d):
+    k = F.col("o_orderkey")
+    raw = table(spark, d, "pages").select(F.col("html").alias("raw")).unionByName(table(spark, d, "orders").select(F.when(k % 3 > 0, "<w lemma='strong:G1'>").otherwise("<w>").alias("raw")))
+    result = table(spark, d, "orders").select(F.when(k % 2 == 0, '{"v":1,"block":{"selah":true}}').alias("formatting"))
+    return report.lost_findings(raw, result, table(spark, d, "region").where("false"))
+
+
+@query("SELECT 'converter_dropped_text' AS code, 'error' AS severity, CAST(1 AS BIGINT) AS n FROM orders WHERE o_orderkey % 10 IN (1, 2, 3) UNION ALL SELECT 'validate_module', 'error', count(*) FROM events WHERE event_type = 'error' HAVING count(*) > 0")
+def q15_conversion(spark, d):
+    k = F.col("o_orderkey") % 10
+    log = table(spark, d, "orders").select(F.when(k == 1, "Warning: key not in the cache").when(k == 2, "WARN 3 entries NOT imported").when(k == 3, "warning: verse had no host verse").when(k == 4, "Warning: odd tag").otherwise("3 verses NOT imported").alias("value"))
+    return report.conversion_findings(log, table(spark, d, "events").select(F.col("event_type").alias("code"), F.when(F.col("event_type") == "error", "error").otherwise("warn").alias("severity")))
+
+
+CLIP = "CASE WHEN length({0}) > 600 THEN left({0}, 600) || '...' ELSE {0} END"
+
+
+@query(
+    f"""WITH r AS (SELECT CASE WHEN conv_id = 0 AND turn = 0 THEN 1001001 WHEN conv_id = 1 AND turn = 0 THEN 43003016 ELSE 70000000 + conv_id * 1000 + turn END AS verse_id, text FROM conversations), s AS (SELECT verse_id, 'S ' || text AS text FROM r WHERE verse_id % 3 <> 0),
+    i AS (SELECT DISTINCT 'key verse' AS why, verse_id FROM r WHERE verse_id IN (1001001, 43003016) UNION ALL SELECT * FROM (SELECT 'random', verse_id FROM r ORDER BY md5('1:' || verse_id), verse_id LIMIT 12)
+    UNION ALL SELECT * FROM (SELECT 'missing', verse_id FROM r WHERE verse_id % 3 = 0 ORDER BY verse_id LIMIT 3))
+    SELECT why, i.verse_id, {CLIP.format("s.text")} AS source_text, {CLIP.format("r.text")} AS text FROM i LEFT JOIN s USING (verse_id) LEFT JOIN r USING (verse_id)"""
+)
+def q14_samples(spark, d):
+    c, t = F.col("conv_id"), F.col("turn")
+    key = F.when((c == 0) & (t == 0), 1001001).when((c == 1) & (t == 0), 43003016).otherwise(c * 1000 + t + 70000000)
+    r = table(spark, d, "conversations").select(key.alias("verse_id"), "text")
+    s = r.where("verse_id % 3 <> 0").withColumn("text", F.concat(F.lit("S "), "text"))
+    return report.review_samples(s, r, {"missing": (r.where("verse_id % 3 = 0").orderBy("verse_id"), 3)})
+
+
+@query("SELECT 25 AS modules, count(*) FILTER (NOT bad) AS passed, count(*) FILTER (bad) AS failed FROM (SELECT n_nationkey AS m, EXISTS (SELECT 1 FROM events WHERE event_type = 'error' AND user_id % 40 = n_nationkey) AS bad FROM nation)")
+def a21_totals(spark, d):
+    e = table(spark, d, "events").select((F.col("user_id") % 40).alias("module"), F.when(F.col("event_type") == "error", "error").otherwise("warn").alias("severity"))
+    return report.totals(table(spark, d, "nation").select(F.col("n_nationkey").alias("module")), e)

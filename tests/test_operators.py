@@ -319,3 +319,33 @@ def test_walks_of_large_trees(spark):
 
     nodes = spark.range(1_200_000).select("id", F.when(F.col("id") > 0, F.expr("(id - 1) div 1100")).alias("up"))
     assert trees.descendants(nodes, nodes.where("up IS NULL"), "id", "up").count() == 1_200_000
+
+
+def test_rules_of_metadata_scripts_losses_and_samples(spark):
+    import hashlib
+
+    from quire.operators import report
+
+    verses = spark.createDataFrame([("a", 43003016, "For God"), ("a", 43003017, None), ("b", 1001001, "x")], "module string, verse_id long, text string")
+    good = hashlib.sha256(b"43003016\tFor God\n43003017\t\n").hexdigest()
+    info = [("a", good, "PD", "(c)", "Name", "x", "en", 0), ("b", None, None, None, "<i>N</i>", None, None, None), ("c", hashlib.sha256(b"").hexdigest(), "CC-BY-4.0", "CC BY-NC-ND", "N", "", "he", 1)]
+    rows = spark.createDataFrame(info, "module string, content_sha256 string, license_spdx string, copyright string, full_name string, description string, language_code string, right_to_left int")
+    entries = spark.createDataFrame([("a", "en", "0"), ("c", "hbo", None)], "module string, app_language_code string, right_to_left string")
+    got = {(r["module"], r["code"]) for r in report.metadata_findings(rows, verses, entries).collect()}
+    assert got == {("b", "content_sha256"), ("b", "license_unknown"), ("b", "metadata_full_name_markup"), ("c", "license_conflict"), ("c", "language_code"), ("c", "right_to_left")}
+    assert report.metadata_findings(rows.where("false"), verses).count() == 0
+    assert report.script_findings(verses, "el-GR").first()["code"] == "script_mismatch"
+    assert report.script_findings(verses, "en").count() == report.script_findings(verses, "zz").count() == report.script_findings(verses.where("false"), "el").count() == 0
+    raw = spark.range(51).selectExpr("'<title>t</title>' AS raw")
+    plain = spark.createDataFrame([(None,), ('{"block":{"heading":"H"}}',)], "formatting string")
+    assert [r["code"] for r in report.lost_findings(raw, plain.limit(1)).collect()] == ["headings_lost"] and report.lost_findings(raw, plain).count() == 0
+    samples = report.review_samples(verses.where("module = 'a'"), verses, {"worst": (verses.where("verse_id = 1001001"), 3)}, random=1).collect()
+    assert [sum(r["why"] == w for r in samples) for w in ("key verse", "random", "worst")] == [2, 1, 1]
+
+
+def test_columns_of_references(spark):
+    from quire.functions.refs import reference_columns
+
+    rows = [("1 John 5:7-8", 62005007, 62005008, None, 0), ("Josh.17.1-Josh.17.2", None, None, None, 6017001), ("43003016", None, None, 43003016, 0), ("", None, None, None, 0), (None, None, None, None, None)]
+    got = spark.createDataFrame([(r[0],) for r in rows], "t string").select("t", reference_columns(F.col("t")).alias("r")).select("t", "r.*").collect()
+    assert {tuple(r) for r in got} == set(rows)
