@@ -130,8 +130,14 @@ EXPECTED_SCRIPTS = {
 
 
 def scripts(df: DataFrame, text: str, top: int = 3) -> DataFrame:
-    """(script, n): letters by script over all rows, the ``top`` most frequent."""
-    sums = df.agg(*[F.sum(F.regexp_count(F.col(text), F.lit(f"\\p{{Is{s}}}"))).alias(s) for s in SCRIPTS])
+    """(script, n): letters by script over all rows, the ``top`` most frequent.
+
+    ASCII letters are counted at once, so the scripts' patterns run over what is left of a text.
+    """
+    rows = df.select(F.length(F.regexp_replace(text, r"[^A-Za-z]+", "")).alias("plain"), F.regexp_replace(text, r"[\x00-\x7F]+", "").alias("rest"))
+    letters = lambda s: F.length("rest") - F.length(F.regexp_replace("rest", f"\\p{{Is{s}}}+", ""))
+    counts = {s: letters(s) + (F.col("plain") if s == "Latin" else F.lit(0)) for s in SCRIPTS}
+    sums = rows.agg(*[F.sum(n).alias(s) for s, n in counts.items()])
     long = sums.select(F.explode(F.array(*[F.struct(F.lit(name).alias("script"), F.coalesce(F.col(s), F.lit(0)).cast("long").alias("n")) for s, name in SCRIPTS.items()])).alias("x")).select("x.*")
     return long.where("n > 0").orderBy(F.desc("n"), "script").limit(top)
 
