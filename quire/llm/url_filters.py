@@ -6,7 +6,9 @@ A url has one probe key for its host and for each parent domain of it, with
 the url's path. Within one reversed host the intervals nest like brackets, so
 one sweep over the sorted keys, keeping the stack of open rules, finds each
 probe's innermost (longest) rule. The sweep is a window function; hot domains
-are dealt over ``salts`` parts, each of which sees that domain's rules.
+are dealt over ``salts`` parts (at least as many as the session has shuffle
+partitions), each of which sees that domain's rules. Which rules enclose a
+rule comes from a join on its path's own prefixes, not from pairs of rules.
 
 Defined results: a url that is null or lacks ``://`` has empty host and path
 and no rule; empty tables give empty results; repeated urls are judged once
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The rules of the query: verdict, host, path.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
-#: Parts over which the probes of one domain are dealt.
+#: The least number of parts over which the probes of one domain are dealt.
 SALTS = 64
 
 
@@ -61,12 +63,13 @@ def events(rules: DataFrame) -> DataFrame:
         F.concat("rule_host", "rule_path").alias("rule"),
     )
     outer = r.select("zone", F.col("rule_path").alias("o_path"), F.struct("rule", "verdict").alias("o_top"))
+    cuts = F.when(F.length("rule_path") > 0, F.sequence(F.lit(0), F.length("rule_path") - 1))
+    prefixes = r.withColumn("cut", F.explode_outer(cuts)).withColumn("o_path", F.expr("substring(rule_path, 1, cut)"))
     depth = F.struct(F.length("o_path"), F.col("o_top.rule"), F.col("o_top.verdict"))
     nested = (
-        r.join(outer, "zone", "left")
-        .withColumn("inside", F.col("rule_path").startswith(F.col("o_path")) & (F.length("rule_path") > F.length("o_path")))
+        prefixes.join(outer, ["zone", "o_path"], "left")
         .groupBy("zone", "rule_path", "rule", "verdict")
-        .agg(F.max(F.when(F.col("inside"), depth)).alias("under"))
+        .agg(F.max(F.when(F.col("o_top").isNotNull(), depth)).alias("under"))
     )
     opening = nested.select(
         "zone", F.col("rule_path").alias("path"), F.lit(0).alias("turn"), F.length("rule_path").alias("size"),
@@ -80,11 +83,12 @@ def events(rules: DataFrame) -> DataFrame:
     return opening.unionByName(closing)
 
 
-def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", salts: int = SALTS) -> DataFrame:
+def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", salts: int | None = None) -> DataFrame:
     """``pages`` with host, path, rule (null if none fits) and verdict.
 
     Columns of ``pages`` that bear those names give way.
     """
+    salts = salts or max(SALTS, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = pages.drop("host", "path", "rule", "verdict")
     urls = rows.select(F.col(url).alias("u")).where(F.col("u").contains("://")).distinct()
     parsed = urls.select("u", host_of(F.col("u")).alias("host"), path_of(F.col("u")).alias("path"))
