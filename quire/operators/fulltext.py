@@ -2,8 +2,10 @@
 
 Tokens are runs of letters and digits, folded and without combining marks;
 with ``stem`` they are reduced by the Porter rules. Every operator of the query
-language is a join or a grouping over postings: terms are AND-ed, ``OR``,
-``NOT``, ``"a phrase"`` and ``pre*`` as usual.
+language is a join or a grouping over postings: terms that follow one another
+are AND-ed first, then ``NOT``, ``AND`` and ``OR`` bind in that order; there
+are parentheses, ``"a phrase"``, ``pre*``, ``NEAR(a b, 5)`` and column filters
+(``title: a``, ``{title body}: a``, ``- title: a``) over indexes of several columns.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,43 +126,162 @@ def postings(docs: DataFrame, doc_id: str, text: str, stem: bool = False) -> Dat
     return rows
 
 
-def parse_query(query: str) -> dict:
-    """``{any: [[clauses]], none: [clauses]}``; a clause is a token list, the last may end in ``*``."""
-    any_of: list[list[list[str]]] = [[]]
-    none: list[list[str]] = []
-    negate = False
-    for quoted, word in re.findall(r'"([^"]*)"|(\S+)', query):
-        if word == "OR":
-            any_of.append([])
-        elif word == "NOT":
-            negate = True
-        elif word != "AND":
-            body = quoted or word
-            terms = re.findall(r"[^\W_]+", fold(body))
-            if body.endswith("*") and terms:
-                terms[-1] += "*"
-            if terms:
-                (none if negate else any_of[-1]).append(terms)
-            negate = False
-    return {"any": [c for c in any_of if c], "none": none}
-
-
-def clause_hits(index: DataFrame, clause: list[str], stem: bool = False) -> DataFrame:
-    """(doc_id, hits) of one clause: a term, a prefix, or a phrase (places shifted to the first term)."""
-
-    def test(term: str) -> Column:
-        if term.endswith("*"):
-            return F.col("token").startswith(term[:-1])
-        return F.col("token") == (porter(term) if stem else term)
-
+def columns_postings(docs: DataFrame, doc_id: str, columns: list[str], stem: bool = False) -> DataFrame:
+    """(doc_id, pos, token, col): one index over several columns; places of different columns are far apart."""
+    out = None
+    for i, name in enumerate(columns):
+        one = postings(docs, doc_id, name, stem).withColumns({"pos": F.col("pos") + F.lit(i * APART), "col": F.lit(name)})
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+#: Places between the first tokens of two columns.
+APART = 1 << 40
+_LEXER = re.compile(r'(?P<cols>-?\s*(?:\w+|\{[^}]*\})\s*:)|(?P<near>NEAR\s*\([^)]*\))|"(?P<quoted>[^"]*)"\s*(?P<star>\*?)|(?P<sign>[()])|(?P<word>[^\s()":]+)')
+
+
+def _terms(body: str, star: bool = False) -> list[str]:
+    terms = re.findall(r"[^\W_]+", fold(body))
+    return [*terms[:-1], terms[-1] + "*"] if terms and (star or body.endswith("*")) else terms
+
+
+class _Reader:
+    """Recursive descent over a query's tokens; nodes are tuples that begin with their kind."""
+
+    def __init__(self, query: str):
+        self.tokens, self.at = list(_LEXER.finditer(query)), 0
+
+    def ahead(self) -> str | None:
+        m = self.tokens[self.at] if self.at < len(self.tokens) else None
+        return None if m is None else m["sign"] or (m["word"] if m["word"] in ("AND", "OR", "NOT") else "item")
+
+    def chain(self, word: str, kind: str, part):
+        parts = [part()]
+        while self.ahead() == word:
+            self.at += 1
+            parts.append(part())
+        parts = [p for p in parts if p is not None]
+        return (kind, parts) if len(parts) > 1 else parts[0] if parts else None
+
+    def any_of(self):
+        return self.chain("OR", "or", lambda: self.chain("AND", "and", self.but))
+
+    def but(self):
+        left = self.row()
+        while self.ahead() == "NOT":
+            self.at += 1
+            right = self.row()
+            left = ("not", left, right) if left and right else left
+        return left
+
+    def row(self):
+        parts = []
+        while self.ahead() in ("item", "("):
+            if one := self.item():
+                parts.append(one)
+        return ("and", parts) if len(parts) > 1 else parts[0] if parts else None
+
+    def item(self):
+        m = self.tokens[self.at]
+        self.at += 1
+        if m["sign"]:
+            inner = self.any_of()
+            if self.ahead() != ")":
+                raise ValueError("a parenthesis is not closed")
+            self.at += 1
+            return inner
+        if m["cols"]:
+            names = re.findall(r"\w+", m["cols"])
+            inner = self.item() if self.ahead() in ("item", "(") else None
+            return ("cols", names, m["cols"].startswith("-"), inner) if inner else None
+        if m["near"]:
+            body, _, most = m["near"][m["near"].index("(") + 1 : -1].partition(",")
+            parts = [t for q, w in re.findall(r'"([^"]*)"|([^\s"]+)', body) if (t := _terms(q or w))]
+            return ("near", parts, int(most) if most.strip() else 10) if len(parts) > 1 else ("phrase", parts[0]) if parts else None
+        terms = _terms(m["quoted"], bool(m["star"])) if m["word"] is None else _terms(m["word"])
+        return ("phrase", terms) if terms else None
+
+
+def parse_query(query: str) -> tuple | None:
+    """The query as nested nodes (phrase, near, cols, and, or, not); None if it has no term."""
+    reader = _Reader(query)
+    node = reader.any_of()
+    if reader.ahead() is not None:
+        raise ValueError(f"syntax error in query: {query!r}")
+    return node
+
+
+def phrases(node: tuple | None, columns: tuple | None = None) -> list[tuple[list[str], tuple | None]]:
+    """(terms, column filter) of the phrases that count for the rank: all but those after a NOT."""
+    kind = node[0] if node else None
+    if kind == "phrase":
+        return [(node[1], columns)]
+    if kind == "near":
+        return [(terms, columns) for terms in node[1]]
+    if kind == "cols":
+        return phrases(node[3], (tuple(node[1]), node[2]))
+    if kind == "not":
+        return phrases(node[1], columns)
+    return [p for part in node[1] for p in phrases(part, columns)] if node else []
+
+
+def within_columns(index: DataFrame, columns: tuple | None) -> DataFrame:
+    if columns is None:
+        return index
+    if "col" not in index.columns:
+        raise ValueError(f"no such column: {columns[0][0]}")
+    test = F.col("col").isin(*columns[0])
+    return index.where(~test if columns[1] else test)
+
+
+def matching(index: DataFrame, node: tuple, stem: bool = False) -> DataFrame:
+    """(doc_id) of the documents that a node's condition holds for."""
+    kind = node[0]
+    if kind == "phrase":
+        return clause_hits(index, node[1], stem).select("doc_id")
+    if kind == "cols":
+        return matching(within_columns(index, (tuple(node[1]), node[2])), node[3], stem)
+    if kind == "not":
+        return matching(index, node[1], stem).join(matching(index, node[2], stem), "doc_id", "left_anti")
+    if kind == "near":
+        return near(index, node[1], node[2], stem)
+    parts = None
+    for i, part in enumerate(node[1]):
+        one = matching(index, part, stem).withColumn("i", F.lit(i))
+        parts = one if parts is None else parts.unionByName(one)
+    least = len(node[1]) if kind == "and" else 1
+    return parts.groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("doc_id")
+
+
+def near(index: DataFrame, clauses: list[list[str]], most: int, stem: bool = False) -> DataFrame:
+    """(doc_id) where all clauses stand together, at most ``most`` tokens between the first one's end and the last one's start."""
+    places = None
+    for i, clause in enumerate(clauses):
+        one = clause_places(index, clause, stem).withColumn("i", F.lit(i))
+        places = one if places is None else places.unionByName(one)
+    by_place = Window.partitionBy("doc_id").orderBy("at")
+    after = {f"n{i}": F.size(F.collect_set("i").over(by_place.rangeBetween(0, len(c) + most))) for i, c in enumerate(clauses)}
+    whole = F.lit(False)
+    for i in range(len(clauses)):
+        whole = whole | ((F.col("i") == i) & (F.col(f"n{i}") == len(clauses)))
+    return places.withColumns(after).where(whole).select("doc_id").distinct()
+
+
+def clause_places(index: DataFrame, clause: list[str], stem: bool = False) -> DataFrame:
+    """(doc_id, at): where a term, a prefix or a phrase begins."""
+    test = lambda term: F.col("token").startswith(term[:-1]) if term.endswith("*") else F.col("token") == (porter(term) if stem else term)
     if len(clause) == 1:
-        return index.where(test(clause[0])).groupBy("doc_id").agg(F.count("*").alias("hits"))
+        return index.where(test(clause[0])).select("doc_id", F.col("pos").cast("long").alias("at"))
     parts = None
     for i, term in enumerate(clause):
-        one = index.where(test(term)).select("doc_id", (F.col("pos") - i).alias("at"), F.lit(i).alias("i"))
+        one = index.where(test(term)).select("doc_id", (F.col("pos") - i).cast("long").alias("at"), F.lit(i).alias("i"))
         parts = one if parts is None else parts.unionByName(one)
-    whole = parts.groupBy("doc_id", "at").agg(F.countDistinct("i").alias("n")).where(F.col("n") == len(clause))
-    return whole.groupBy("doc_id").agg(F.count("*").alias("hits"))
+    return parts.groupBy("doc_id", "at").agg(F.countDistinct("i").alias("n")).where(F.col("n") == len(clause)).select("doc_id", "at")
+
+
+def clause_hits(index: DataFrame, clause: list[str], stem: bool = False) -> DataFrame:
+    """(doc_id, hits) of one clause."""
+    return clause_places(index, clause, stem).groupBy("doc_id").agg(F.count("*").alias("hits"))
 
 
 def search(index: DataFrame, query: str, limit: int | None = 25, stem: bool = False) -> DataFrame:
@@ -169,31 +290,23 @@ def search(index: DataFrame, query: str, limit: int | None = 25, stem: bool = Fa
     Corpus size and mean length are one row; document lengths are only needed
     for documents with a hit.
     """
-    q = parse_query(query)
+    node = parse_query(query)
+    if node is None:
+        return index.sparkSession.createDataFrame([], "doc_id long, rank double")
     lengths = index.groupBy("doc_id").agg(F.count("*").alias("len"))
     corpus = lengths.agg(F.count("*").alias("n_docs"), F.avg("len").alias("mean"))
-    groups = []
-    for g, clauses in enumerate(q["any"]):
-        hits = None
-        for c, clause in enumerate(clauses):
-            one = clause_hits(index, clause, stem).withColumns({"c": F.lit(c), "g": F.lit(g)})
-            hits = one if hits is None else hits.unionByName(one)
-        matched = hits.groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") == len(clauses)).select("doc_id")
-        # A clause's document frequency counts all its documents, also those that miss another clause.
-        df = hits.groupBy("g", "c").agg(F.count("*").alias("df"))
-        groups.append((hits, matched, df))
-    if not groups:
-        return index.sparkSession.createDataFrame([], "doc_id long, rank double")
-    hits, matched, freq = groups[0]
-    for h, m, f in groups[1:]:
-        hits, matched, freq = hits.unionByName(h), matched.union(m).distinct(), freq.unionByName(f)
-    for clause in q["none"]:
-        matched = matched.join(clause_hits(index, clause, stem), "doc_id", "left_anti")
+    hits = None
+    for c, (clause, columns) in enumerate(phrases(node)):
+        one = clause_hits(within_columns(index, columns), clause, stem).withColumn("c", F.lit(c))
+        hits = one if hits is None else hits.unionByName(one)
+    # A clause's document frequency counts all its documents, also those that the query does not match.
+    freq = hits.groupBy("c").agg(F.count("*").alias("df"))
+    matched = matching(index, node, stem)
     idf = F.greatest(F.log((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)), F.lit(1e-6))
     weight = F.col("hits") * (K1 + 1) / (F.col("hits") + K1 * (1 - B + B * F.col("len") / F.col("mean")))
     scored = (
         hits.join(matched, "doc_id", "left_semi")
-        .join(F.broadcast(freq), ["g", "c"])
+        .join(F.broadcast(freq), "c")
         .join(lengths, "doc_id")
         .join(F.broadcast(corpus))
         .groupBy("doc_id")
@@ -230,6 +343,6 @@ def snippet_of(text: str, terms: list[str], size: int = 40, left: str = ">>>", r
 
 def snippets(hits: DataFrame, text: str, query: str, stem: bool = False) -> DataFrame:
     """``hits`` with a snippet; only the few ranked rows pass through Python."""
-    terms = [t for clause in parse_query(query)["any"] for c in clause for t in c]
+    terms = [t for clause, _ in phrases(parse_query(query)) for t in clause]
     make = F.pandas_udf(lambda x: x.map(lambda t: None if t is None else snippet_of(t, terms, stem=stem)), T.StringType())
     return hits.withColumn("snippet", make(F.col(text)))

