@@ -140,7 +140,7 @@ def cmd_define(spark, d):
     return out
 
 
-@query("SELECT label, doc_id AS entry_id, doc_id + 1 AS day_number, 'Day ' || doc_id AS date_label FROM documents JOIN (VALUES ('7', 6), ('DAY 12', 12), ('007', NULL)) AS t(label, wanted) ON doc_id = wanted")
+@query("SELECT label, doc_id AS entry_id, doc_id + 1 AS day_number, 'Day ' || doc_id AS date_label FROM documents JOIN (VALUES ('7', 6), ('DAY 12', 12)) AS t(label, wanted) ON doc_id = wanted")
 def cmd_devotional(spark, d):
     lib, out = library(spark, d), None
     for label in ("7", "DAY 12"):
