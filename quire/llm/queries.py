@@ -1,4 +1,4 @@
-"""The ten registered queries and the pipeline: thin digests over the operators."""
+"""The registered queries and the pipeline: thin digests over the operators."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, lm_scoring, mixing, pii, quality, simhash, topk, toxicity, url_filters, warc
+from . import audit, decontamination, lm_scoring, mixing, pii, quality, simhash, tokens, topk, toxicity, url_filters, vector_codes, warc
 from .common import table
 
 
@@ -51,6 +51,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.query(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_scoring": op1_lm_scoring,
@@ -63,6 +75,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_pii": op9_pii,
         "op10_mixing": op10_mixing,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_byte_bpe": op13_byte_bpe,
     }
 
 
@@ -73,4 +88,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_warc": warc.ORACLE,
         "op7_top_k": topk.ORACLE,
         "op10_mixing": mixing.oracle(),
+        "op11_filter_audit": audit.ORACLE,
+        "op12_vector_codes": vector_codes.oracle(),
     }
