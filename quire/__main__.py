@@ -1,16 +1,27 @@
-"""``python -m quire <command> ... [--modules=<folder>] [--format=json|pretty|table|count]``."""
+"""``python -m quire <command> ... [--modules=<folder>] [--format=json|pretty|table|count]``.
+
+``validate --all [--type=<type>]`` or ``validate <module> ...`` checks module
+files: ``[--main-db=<file>] [--canon=<file>] [--json] [--quiet]``. It ends with 0
+if all passed, 1 if one failed, and 2 if there was nothing to check or no canon.
+"""
 
 from __future__ import annotations
 
 import json
+import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .library import COMMANDS, Library, run_command
+from .operators import libcheck
 from .sources.sinks import formatted
 
 
+#: Findings of a module that are shown in full.
+MOST = 12
+
+
 def arguments(argv: list[str]) -> tuple[list[str], dict[str, str]]:
     """Positional arguments, and options ``--k=v`` (a bare ``--k`` is true)."""
     plain = [a for a in argv if not a.startswith("--")]
@@ -18,8 +29,47 @@ def arguments(argv: list[str]) -> tuple[list[str], dict[str, str]]:
     return plain, named
 
 
+def validate(spark: SparkSession, names: list[str], options: dict[str, str]) -> tuple[str, int]:
+    """(report, exit code) of the validator's command line."""
+    folder = options.get("modules") or os.environ.get("QUIRE_MODULES", "modules")
+    if not names and "all" not in options:
+        return "usage: validate --all [--type=<type>] | validate <module> ...", 2
+    try:
+        canon, source = libcheck.load_canon(spark, options.get("main-db") or os.environ.get("QUIRE_MAIN_DB"), options.get("canon") or os.environ.get("QUIRE_CANON"))
+        paths = None if "all" in options else [Library(spark, folder).resolve(n, validator=True) for n in names]
+        found, checked = libcheck.check_folder(spark, folder, canon, options.get("type"), paths)
+    except LookupError as e:
+        return str(e), 2
+    rows = {r["module"]: r.asDict() | {"errors": [], "warnings": []} for r in checked.orderBy("module").collect()}
+    for f in found.orderBy("module", "severity", "code").collect():
+        rows[f["module"]]["errors" if f["severity"] == "error" else "warnings"].append({"code": f["code"], "n": f["n"], "example": f["example"]})
+    failed = [m for m, r in rows.items() if not r["ok"]]
+    code = 1 if failed else 0
+    if "json" in options:
+        return json.dumps({"canon_source": source, "total": len(rows), "passed": len(rows) - len(failed), "failed": len(failed), "results": list(rows.values())}, ensure_ascii=False, indent=2), code
+    lines = [f"Canon source: {source}", f"Validating {len(rows)} module(s)", ""]
+    for m, r in rows.items():
+        if "quiet" in options and r["ok"]:
+            continue
+        lines.append(f"{'PASS' if r['ok'] else 'FAIL'} {m} ({r['module_type'] or 'unknown'})")
+        shown = [("ERROR", e) for e in r["errors"]] + ([] if "quiet" in options else [("WARN", w) for w in r["warnings"]])
+        lines += [f"    {level} {e['code']}: {e['n']}" + (f" (e.g. {e['example']})" if e["example"] else "") for level, e in shown[:MOST]]
+        lines += [f"    ... and {len(shown) - MOST} more"] if len(shown) > MOST else []
+    lines += ["", f"All {len(rows)} module(s) passed." if not failed else f"{len(failed)} of {len(rows)} module(s) FAILED: {', '.join(failed)}"]
+    return "\n".join(lines), code
+
+
 def main(argv: list[str]) -> int:
     plain, options = arguments(argv)
+    if plain[:1] == ["validate"]:
+        spark = SparkSession.builder.config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+        try:
+            text, code = validate(spark, plain[1:], options)
+            print(text, file=sys.stderr if code == 2 else sys.stdout)
+            return code
+        finally:
+            spark.stop()
     if not plain or plain[0] not in COMMANDS:
         print("\n".join(f"{c.usage}\n    {c.description}" for c in COMMANDS.values()))
         return 0 if not plain else 1

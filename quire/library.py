@@ -18,17 +18,29 @@ from pyspark.sql import functions as F
 
 from .functions import keys
 from .functions.refs import Books, parse_reference
-from .operators import fulltext, lookup, stats, trees, validate, xrefs
+from .operators import fulltext, lookup, stats, textindex, trees, validate, xrefs
 from .sources import files, sqlite
 
-#: Text column, key and title of each searchable content table, by module type.
+
+
+@dataclass(frozen=True)
+class Searched:
+    """How a module type is searched: its table, key and indexed columns, those a snippet is cut from (the first that is there), and what a hit shows."""
+
+    table: str
+    key: str
+    indexed: tuple[str, ...]
+    snippet: tuple[str, ...]
+    shown: tuple[str, ...]
+
+
 SEARCH = {
-    "bible": ("bible_verse", "verse_id", "text"),
-    "commentary": ("commentary_entry", "entry_id", "content"),
-    "dictionary": ("dictionary_entry", "entry_id", "definition"),
-    "book": ("book_section", "section_id", "content"),
-    "devotional": ("devotional_entry", "entry_id", "content"),
-    "topical": ("topic", "topic_id", "name"),
+    "bible": Searched("bible_verse", "verse_id", ("text",), (), ("text",)),
+    "commentary": Searched("commentary_entry", "entry_id", ("content",), ("content",), ("ref_start", "ref_end", "entry_level")),
+    "dictionary": Searched("dictionary_entry", "entry_id", ("word", "definition", "usage_notes"), ("definition", "word"), ("entry_key", "word")),
+    "book": Searched("book_section", "section_id", ("title", "content"), ("content",), ("title", "parent_section_id")),
+    "devotional": Searched("devotional_entry", "entry_id", ("title", "content"), ("content",), ("day_number", "date_label", "title")),
+    "topical": Searched("topic", "topic_id", ("name",), (), ("name", "parent_topic_id", "parent_name")),
 }
 PREFER = {"verse": "bible", "chapters": "bible", "verse-lookup": "bible", "commentary": "commentary", "define": "dictionary", "xref": "cross_reference", "sections": "book", "section": "book", "devotional": "devotional"}
 PREFER |= dict.fromkeys(("topics", "topic", "topic-tree", "topic-verses", "verse-topics"), "topical")
@@ -46,17 +58,18 @@ class Library:
 
     def names(self) -> DataFrame:
         rows = []
-        for p in sorted(self.folder.iterdir()) if self.folder.is_dir() else []:
+        for p in sorted(self.folder.glob("[!_.]*")) if self.folder.is_dir() else []:
             if p.suffix == ".db":
                 rows.append((p.stem, round(p.stat().st_size / 1_048_576, 1)))
             elif p.is_dir() and any(p.glob("*/*.parquet")):
                 rows.append((p.name, round(sum(f.stat().st_size for f in p.rglob("*")) / 1_048_576, 1)))
         return self.spark.createDataFrame(rows, "module string, size_mb double")
 
-    def resolve(self, name: str, command: str = "") -> str:
+    def resolve(self, name: str, command: str = "", validator: bool = False) -> str:
+        """The path of a module; the validator knows more type prefixes."""
         if Path(name).exists():
             return name
-        found = files.resolve_module(self.names(), name, PREFER.get(command)).first()
+        found = files.resolve_module(self.names(), name.removesuffix(".db"), PREFER.get(command), files.VALIDATOR_PREFIXES if validator else files.PREFIXES).first()
         if found is None:
             raise NotFound(f"no module {name!r}")
         file = self.folder / f"{found['module']}.db"
@@ -68,6 +81,10 @@ class Library:
             return sqlite.read_module(self.spark, path)
         return {p.name: self.spark.read.parquet(str(p)) for p in sorted(Path(path).iterdir()) if p.is_dir()}
 
+    def index_path(self, module: str) -> str:
+        """Where a module's text index is stored: beside the modules."""
+        return str(self.folder / "_index" / Path(self.resolve(module)).stem)
+
     def table(self, module: str, table: str, command: str = "") -> DataFrame:
         found = self.tables(module, command)
         if table not in found:
@@ -82,11 +99,17 @@ class Library:
 
 
 class Held(Library):
-    """A library whose modules are given as tables: name -> table -> DataFrame."""
+    """A library whose modules are given as tables: name -> table -> DataFrame; ``indexes`` is a folder for stored text indexes."""
 
-    def __init__(self, spark: SparkSession, modules: dict[str, dict[str, DataFrame]], books: Books | None = None):
+    def __init__(self, spark: SparkSession, modules: dict[str, dict[str, DataFrame]], books: Books | None = None, indexes: str | None = None):
         super().__init__(spark, None, books)
         self.modules = modules
+        self.indexes = indexes
+
+    def index_path(self, module: str) -> str:
+        if self.indexes is None:
+            raise LookupError("no folder for indexes was given")
+        return f"{self.indexes}/{self.resolve(module)}"
 
     def names(self) -> DataFrame:
         return self.spark.createDataFrame([(n, 0.0) for n in sorted(self.modules)], "module string, size_mb double")
@@ -173,7 +196,7 @@ def stats_of(lib: Library, module: str):
     elif kind == "commentary":
         out |= {"entries": n(t["commentary_entry"]), "levels": {r["entry_level"]: r["n"] for r in t["commentary_entry"].groupBy("entry_level").agg(F.count("*").alias("n")).collect()}}
     elif kind in SEARCH:
-        out["entries"] = n(t[SEARCH[kind][0]])
+        out["entries"] = n(t[SEARCH[kind].table])
     return out
 
 
@@ -204,21 +227,53 @@ def chapters(lib: Library, module: str, book: str):
     return lib.refs(stats.chapters(df, "verse_id"), "first_key", "last_key").orderBy("chapter")
 
 
-@command("search", "<module> <query> [--limit=N]", "Full-text search", 2)
-def search(lib: Library, module: str, query: str, limit: str | int = 25):
+def _searched(lib: Library, module: str) -> tuple[str, Searched, dict[str, DataFrame], list[str]]:
     t = lib.tables(module)
     kind = next((k for name, k in validate.TYPE_ORDER["query"] if name in t), "unknown")
     if kind not in SEARCH:
         raise ValueError(f"search is not supported for modules of type {kind}")
-    name, key, text = SEARCH[kind]
-    if kind == "dictionary" and text not in t[name].columns:
-        text = "word"
-    hits = fulltext.search(fulltext.postings(t[name], key, text, stem=True), query, int(limit), stem=True)
-    rows = hits.join(t[name], hits["doc_id"] == t[name][key])
+    columns = [c for c in SEARCH[kind].indexed if c in t[SEARCH[kind].table].columns]
+    return kind, SEARCH[kind], t, columns
+
+
+@command("index", "<module> [--compact]", "Store a module's text index, or bring a stored one up to date")
+def index(lib: Library, module: str, compact: str | bool = False):
+    _, how, t, columns = _searched(lib, module)
+    path = lib.index_path(module)
+    try:
+        found = textindex.TextIndex(lib.spark, path)
+    except LookupError:
+        found = None
+    if found is None or found.shape["columns"] != columns:
+        found = textindex.build(t[how.table], how.key, columns, path, force=found is not None)
+    else:
+        found = found.refresh(t[how.table], how.key)
+    if compact and len(found.segments) > 1:
+        found = found.compact()
+    return {"module": lib.resolve(module), "version": found.version, "segments": len(found.segments), "documents": found.shape["n"], "tokens": found.shape["total"]}
+
+
+@command("search", "<module> <query> [--limit=N]", "Full-text search; a stored index is used where there is one", 2)
+def search(lib: Library, module: str, query: str, limit: str | int = 25):
+    kind, how, t, columns = _searched(lib, module)
+    rows = t[how.table]
+    try:
+        hits = textindex.search(textindex.TextIndex(lib.spark, lib.index_path(module)), query, int(limit))
+    except LookupError:
+        hits = fulltext.search(fulltext.columns_postings(rows, how.key, columns, stem=True), query, int(limit), stem=True, n_docs=rows.count())
+    found = hits.join(rows, hits["doc_id"] == rows[how.key])
     if kind == "topical":
-        up = t[name].select(F.col("topic_id").alias("_up"), F.col("name").alias("parent"))
-        return rows.join(up, F.col("parent_topic_id") == F.col("_up"), "left").select("topic_id", "name", "parent", "rank").orderBy("rank", "topic_id")
-    return fulltext.snippets(rows, text, query, stem=True).select(key, "snippet", "rank").orderBy("rank", key)
+        up = rows.select(F.col("topic_id").alias("_up"), F.col("name").alias("parent_name"))
+        found = found.join(up, F.col("parent_topic_id") == F.col("_up"), "left")
+    if kind == "commentary":
+        found = lib.refs(lib.refs(found, "verse_id_start", "verse_id_start").withColumnRenamed("ref", "ref_start"), "verse_id_end", "verse_id_end").withColumnRenamed("ref", "ref_end")
+    if kind == "bible":
+        found = lib.refs(found, "verse_id", "verse_id")
+    cut = next((c for c in how.snippet if c in found.columns), None)
+    if how.snippet:
+        found = fulltext.snippets(found, cut or columns[0], query, stem=True)
+    shown = [c for c in ((how.key,) + (("ref",) if kind == "bible" else ()) + how.shown + (("snippet",) if how.snippet else ()) + ("rank",)) if c in found.columns]
+    return found.select(*shown).orderBy("rank", how.key)
 
 
 @command("commentary", "<module> <reference>", "Entries that overlap a reference", 2)

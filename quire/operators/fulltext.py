@@ -225,16 +225,19 @@ def phrases(node: tuple | None, columns: tuple | None = None) -> list[tuple[list
     return [p for part in node[1] for p in phrases(part, columns)] if node else []
 
 
-def within_columns(index: DataFrame, columns: tuple | None) -> DataFrame:
+def within_columns(index, columns: tuple | None):
+    """The index over the named columns (or all others); an index is a table of places, or a stored one."""
     if columns is None:
         return index
+    if not isinstance(index, DataFrame):
+        return index.restricted(columns[0], columns[1])
     if "col" not in index.columns:
         raise ValueError(f"no such column: {columns[0][0]}")
     test = F.col("col").isin(*columns[0])
     return index.where(~test if columns[1] else test)
 
 
-def matching(index: DataFrame, node: tuple, stem: bool = False) -> DataFrame:
+def matching(index, node: tuple, stem: bool = False) -> DataFrame:
     """(doc_id) of the documents that a node's condition holds for."""
     kind = node[0]
     if kind == "phrase":
@@ -253,11 +256,11 @@ def matching(index: DataFrame, node: tuple, stem: bool = False) -> DataFrame:
     return parts.groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("doc_id")
 
 
-def near(index: DataFrame, clauses: list[list[str]], most: int, stem: bool = False) -> DataFrame:
+def near(index, clauses: list[list[str]], most: int, stem: bool = False) -> DataFrame:
     """(doc_id) where all clauses stand together, at most ``most`` tokens between the first one's end and the last one's start."""
     places = None
     for i, clause in enumerate(clauses):
-        one = clause_places(index, clause, stem).withColumn("i", F.lit(i))
+        one = clause_places(index, clause, stem).select("doc_id", "at", F.lit(i).alias("i"))
         places = one if places is None else places.unionByName(one)
     by_place = Window.partitionBy("doc_id").orderBy("at")
     after = {f"n{i}": F.size(F.collect_set("i").over(by_place.rangeBetween(0, len(c) + most))) for i, c in enumerate(clauses)}
@@ -267,34 +270,44 @@ def near(index: DataFrame, clauses: list[list[str]], most: int, stem: bool = Fal
     return places.withColumns(after).where(whole).select("doc_id").distinct()
 
 
-def clause_places(index: DataFrame, clause: list[str], stem: bool = False) -> DataFrame:
-    """(doc_id, at): where a term, a prefix or a phrase begins."""
-    test = lambda term: F.col("token").startswith(term[:-1]) if term.endswith("*") else F.col("token") == (porter(term) if stem else term)
-    if len(clause) == 1:
-        return index.where(test(clause[0])).select("doc_id", F.col("pos").cast("long").alias("at"))
-    parts = None
+def term_rows(index, term: str, stem: bool = False) -> DataFrame:
+    """Places of a term or a ``prefix*``; a stored index knows where they are, and whether it is stemmed."""
+    if not isinstance(index, DataFrame):
+        return index.term(term)
+    return index.where(F.col("token").startswith(term[:-1]) if term.endswith("*") else F.col("token") == (porter(term) if stem else term))
+
+
+def clause_places(index, clause: list[str], stem: bool = False) -> DataFrame:
+    """(doc_id, at): where a term, a prefix or a phrase begins; with the document's ``len`` if the index has it."""
+    parts, more = None, []
     for i, term in enumerate(clause):
-        one = index.where(test(term)).select("doc_id", (F.col("pos") - i).cast("long").alias("at"), F.lit(i).alias("i"))
+        rows = term_rows(index, term, stem)
+        more = [c for c in ("len",) if c in rows.columns]
+        one = rows.select("doc_id", (F.col("pos") - i).cast("long").alias("at"), F.lit(i).alias("i"), *more)
         parts = one if parts is None else parts.unionByName(one)
-    return parts.groupBy("doc_id", "at").agg(F.countDistinct("i").alias("n")).where(F.col("n") == len(clause)).select("doc_id", "at")
+    if len(clause) == 1:
+        return parts.drop("i")
+    met = parts.groupBy("doc_id", "at").agg(F.countDistinct("i").alias("n"), *[F.max(c).alias(c) for c in more])
+    return met.where(F.col("n") == len(clause)).drop("n")
 
 
-def clause_hits(index: DataFrame, clause: list[str], stem: bool = False) -> DataFrame:
+def clause_hits(index, clause: list[str], stem: bool = False) -> DataFrame:
     """(doc_id, hits) of one clause."""
     return clause_places(index, clause, stem).groupBy("doc_id").agg(F.count("*").alias("hits"))
 
 
-def search(index: DataFrame, query: str, limit: int | None = 25, stem: bool = False) -> DataFrame:
+def search(index: DataFrame, query: str, limit: int | None = 25, stem: bool = False, n_docs: int | None = None) -> DataFrame:
     """(doc_id, rank): minus BM25, so smaller is better; ties by doc_id.
 
     Corpus size and mean length are one row; document lengths are only needed
-    for documents with a hit.
+    for documents with a hit. ``n_docs`` counts documents without tokens too,
+    which a table of tokens does not know of.
     """
     node = parse_query(query)
     if node is None:
         return index.sparkSession.createDataFrame([], "doc_id long, rank double")
     lengths = index.groupBy("doc_id").agg(F.count("*").alias("len"))
-    corpus = lengths.agg(F.count("*").alias("n_docs"), F.avg("len").alias("mean"))
+    corpus = lengths.agg((F.count("*") if n_docs is None else F.lit(n_docs)).alias("n_docs"), (F.avg("len") if n_docs is None else F.sum("len") / n_docs).alias("mean"))
     hits = None
     for c, (clause, columns) in enumerate(phrases(node)):
         one = clause_hits(within_columns(index, columns), clause, stem).withColumn("c", F.lit(c))

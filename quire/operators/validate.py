@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import keys
-from ..functions.text import count_by_spaces, count_space_words
+from ..functions.text import count_by_spaces, count_web_words
 from .stats import books, chapters
 
 #: Content tables by type, required columns, keys of the formatting document.
@@ -21,7 +21,7 @@ CONTENT = {
 TEXT_COLUMN = {"bible_verse": "text", "commentary_entry": "content", "dictionary_entry": "definition", "book_section": "content", "devotional_entry": "content"}
 INFO_COLUMNS = ("module_uuid", "abbreviation", "full_name", "format", "format_version", "content_version", "content_sha256", "versification", "license_spdx", "source_url")
 LEAST_CHARS = {"bible_verse": 8, "commentary_entry": 12, "dictionary_entry": 8, "devotional_entry": 12, "book_section": 12}
-OPTIONAL_ANCHOR = ("commentary_entry",)
+OPTIONAL_ANCHOR = ("commentary_entry", "user_note", "pinned_item")
 SPAN_TYPES = ("divine_name", "supplied", "words_of_christ", "emphasis", "quotation", "transliteration", "musical_direction")
 TOP_KEYS = ("v", "block", "spans", "source_verses")
 BLOCK_KEYS = ("paragraph_start", "lines", "heading", "heading_kind")
@@ -29,7 +29,7 @@ UUID = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 #: Table names that decide the type, first hit wins: query order and validator order.
 TYPE_ORDER = {
     "query": (("topic", "topical"), ("bible_verse", "bible"), ("commentary_entry", "commentary"), ("dictionary_entry", "dictionary"), ("cross_reference_group", "xref"), ("book_section", "book"), ("devotional_entry", "devotional")),
-    "validator": (("bible_verse", "bible"), ("commentary_entry", "commentary"), ("dictionary_entry", "dictionary"), ("devotional_entry", "devotional"), ("book_section", "book"), ("topic", "topical"), ("cross_reference_group", "xref"), ("tag", "tag_graph")),
+    "validator": (("bible_verse", "bible"), ("commentary_entry", "commentary"), ("dictionary_entry", "dictionary"), ("book_section", "book"), ("devotional_entry", "devotional"), ("topic", "topical"), ("cross_reference_group", "xref"), ("tag_association", "tag_graph"), ("entity_verse_link", "tag_graph")),
 }
 
 
@@ -128,7 +128,7 @@ def formatting_rules(verses: DataFrame, span_types: tuple[str, ...] = SPAN_TYPES
     if "formatting" not in verses.columns:
         return []
     rows = verses.where("formatting IS NOT NULL").select(
-        "verse_id", "formatting", F.try_parse_json("formatting").alias("doc"), count_space_words(F.col("text")).alias("words"), F.json_object_keys("formatting").alias("top")
+        "verse_id", "formatting", F.try_parse_json("formatting").alias("doc"), count_web_words(F.col("text")).alias("words"), F.json_object_keys("formatting").alias("top")
     )
     block = F.json_object_keys(F.get_json_object("formatting", "$.block"))
     bad = _several(
@@ -157,9 +157,9 @@ def formatting_rules(verses: DataFrame, span_types: tuple[str, ...] = SPAN_TYPES
 
 
 def positions_out_of_bounds(words: DataFrame, verses: DataFrame, key: str = "verse_id", start: str = "word_position_start", end: str = "word_position_end", size: str = "word_count") -> DataFrame:
-    """Rows whose position lies outside of their text's words."""
+    """Rows whose position lies outside of their text's words, by the stored number of words; a null on either side is no finding."""
     bounds = verses.select(F.col(key).alias("_k"), F.col(size).alias("_n"))
-    return words.join(bounds, F.col(key) == F.col("_k")).where((F.col(start) < 0) | (F.col(end) < F.col(start)) | (F.col(end) >= F.col("_n"))).drop("_k", "_n")
+    return words.join(bounds, F.col(key) == F.col("_k")).where((F.col(start) < 0) | (F.col(end) >= F.col("_n"))).drop("_k", "_n")
 
 
 def canon_rules(verses: DataFrame, canon: DataFrame, key: str = "verse_id") -> list[DataFrame]:
@@ -204,9 +204,8 @@ def report(module: dict[str, DataFrame], canon: DataFrame | None = None, file: s
     if "bible_verse" in module:
         verses = module["bible_verse"]
         out += text_rules(verses) + formatting_rules(verses)
-        if "interlinear_word" in module:
-            sized = verses.withColumn("_wc", count_by_spaces(F.col("text")))
-            bad = positions_out_of_bounds(module["interlinear_word"], sized, size="_wc")
+        if "interlinear_word" in module and "word_count" in verses.columns:
+            bad = positions_out_of_bounds(module["interlinear_word"], verses)
             out.append(_finding(bad, "interlinear_position_range", "error", F.count("*"), F.min("verse_id")))
         if canon is not None:
             out += canon_rules(verses, canon)

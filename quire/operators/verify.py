@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import keys
-from ..functions.text import HYGIENE, count_lettered_words, hygiene_codes, normal_text, similarity
+from ..functions.text import HYGIENE, count_lettered_words, hygiene_codes, normal_text, similarity, untagged
 from .sequence import equal_neighbours
 from .stats import pearson, shift_correlations
 
@@ -97,10 +97,15 @@ def pattern_severity(code: Column) -> Column:
     return F.create_map(*[F.lit(x) for c, s, _ in HYGIENE for x in (c, s)])[code]
 
 
-def hygiene(result: DataFrame, source: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(code, severity, introduced, inherited): texts that hold what clean text must not, by whether the source's did."""
-    codes = lambda d: d.select(F.col(key).alias("k"), F.explode(hygiene_codes(F.col(text))).alias("code"))
-    ours, theirs = codes(result), codes(source).withColumn("was", F.lit(True)).distinct()
+def hygiene(result: DataFrame, source: DataFrame, key: str, text: str = "text", raw: str = "raw") -> DataFrame:
+    """(code, severity, introduced, inherited): texts that hold what clean text must not, by whether the source's did.
+
+    The source's text counts, and, where it has a column of that name, its raw
+    markup without tags and entities: what is escaped shows in the raw only.
+    """
+    codes = lambda d, x: d.select(F.col(key).alias("k"), F.explode(hygiene_codes(x)).alias("code"))
+    was = F.concat(F.coalesce(text, F.lit("")), F.lit(" \u2063 "), F.coalesce(untagged(F.col(raw)), F.lit(""))) if raw in source.columns else F.col(text)
+    ours, theirs = codes(result, F.col(text)), codes(source, was).withColumn("was", F.lit(True)).distinct()
     marked = ours.join(theirs, ["k", "code"], "left")
     return marked.groupBy("code").agg(F.count_if(F.col("was").isNull()).alias("introduced"), F.count_if(F.col("was").isNotNull()).alias("inherited")).withColumn("severity", pattern_severity(F.col("code")))
 

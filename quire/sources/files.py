@@ -92,7 +92,9 @@ def modules(spark: SparkSession, folder: str, kind: str | None = None) -> DataFr
     return out.orderBy("module")
 
 
+#: Type prefixes of module names in the order they are tried (fixed values): of the commands, and of the validator.
 PREFIXES = ("bible", "commentary", "dictionary", "topical", "cross_reference", "book", "devotional")
+VALIDATOR_PREFIXES = ("bible", "commentary", "dictionary", "lexicon", "topical", "book", "devotional", "xref", "tag_graph")
 
 
 def resolve_module(found: DataFrame, name: str, prefer: str | None = None, prefixes: tuple[str, ...] = PREFIXES) -> DataFrame:

@@ -54,7 +54,7 @@ def test_bible_and_reference_commands(lib):
     assert [(r["ref"], r["text"]) for r in run_command(lib, "verse", ["x", "John 3:16"]).collect()] == [("John 3:16", "For God so loved the world")]
     assert names(run_command(lib, "verse-lookup", ["x", "43003017", "no"]), "verse_id") == [43003017]
     assert [(r["chapter"], r["n"], r["ref"]) for r in run_command(lib, "chapters", ["x", "John"]).collect()] == [(3, 2, "John 3:16-John 3:17")]
-    assert names(run_command(lib, "search", ["bible_x", "loving"]), "snippet") == ["For God so >>>loved<<< the world"]
+    assert [(r["ref"], r["text"]) for r in run_command(lib, "search", ["bible_x", "loving"]).collect()] == [("John 3:16", "For God so loved the world")]
     assert run_command(lib, "info", ["bible_x"])["metadata"] == '{"a":1}' and "error" in run_command(lib, "info", ["book_x"])
     assert names(run_command(lib, "xref", ["x", "John 3:16"]), "ref") == ["Rom 5:8", "2Cor 5:19-2Cor 5:21"]
     assert run_command(lib, "stats", ["cross_reference_x"]) == {"type": "xref", "groups": 1, "references": 2}
@@ -73,9 +73,73 @@ def test_section_commands(lib):
 
 
 def test_the_registry(lib):
-    assert len(COMMANDS) == 21
+    assert len(COMMANDS) == 22
     with pytest.raises(ValueError):
         run_command(lib, "verse", ["x"])
     with pytest.raises(NotFound):
         run_command(lib, "nothing", [])
     assert arguments(["topics", "x", "--limit=3", "--recursive"]) == (["topics", "x"], {"limit": "3", "recursive": "true"})
+
+
+FTS = {
+    "commentary_entry": ("entry_id INTEGER PRIMARY KEY, verse_id_start INTEGER, verse_id_end INTEGER, entry_level TEXT, content TEXT", "entry_id UNINDEXED, content", "entry_id"),
+    "dictionary_entry": ("entry_id INTEGER PRIMARY KEY, entry_key TEXT, word TEXT, definition TEXT, usage_notes TEXT", "entry_id UNINDEXED, entry_key UNINDEXED, word, definition, usage_notes", "entry_id"),
+    "book_section": ("section_id INTEGER PRIMARY KEY, parent_section_id INTEGER, title TEXT, content TEXT", "section_id UNINDEXED, title, content", "section_id"),
+    "devotional_entry": ("entry_id INTEGER PRIMARY KEY, day_number INTEGER, date_label TEXT, title TEXT, content TEXT", "entry_id UNINDEXED, title, content", "entry_id"),
+    "topic": ("topic_id INTEGER PRIMARY KEY, parent_topic_id INTEGER, name TEXT", "name", "topic_id"),
+}
+
+
+def test_search_of_every_type_against_a_real_text_index(spark, tmp_path):
+    import random
+
+    rng = random.Random(4)
+    words = ["run", "running", "runs", "faith", "faithful", "house", "Ärger", "the", "of", "1611", "stone"]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(rng.randint(0, n)))
+    kinds = {"commentary_entry": "commentary", "dictionary_entry": "dictionary", "book_section": "book", "devotional_entry": "devotional", "topic": "topical"}
+    for table, (columns, indexed, key) in FTS.items():
+        con = sqlite3.connect(tmp_path / f"{kinds[table]}_y.db")
+        con.execute(f"CREATE TABLE {table} ({columns})")
+        con.execute(f"CREATE VIRTUAL TABLE {table}_fts USING fts5({indexed}, content='{table}', content_rowid='{key}', tokenize='porter unicode61')")
+        names_ = [c.split()[0] for c in columns.split(", ")]
+        for i in range(1, 80):
+            row = [i if c == key else (i // 3 or None) if c.startswith("parent") else 1001000 + i if c.startswith("verse_id") else i if c == "day_number" else text(60) if c in ("content", "definition") else text(4) for c in names_]
+            con.execute(f"INSERT INTO {table} VALUES ({', '.join('?' * len(row))})", row)
+        con.execute(f"INSERT INTO {table}_fts({table}_fts) VALUES ('rebuild')")
+        con.commit()
+        con.close()
+    library = Library(spark, str(tmp_path))
+    for stored in (False, True):
+        for table, kind in kinds.items():
+            if stored:
+                made = run_command(library, "index", [f"{kind}_y"])
+                assert made["documents"] == 79 and run_command(library, "index", [f"{kind}_y"]) == made
+            for query in ("running", '"faithful house"', "run NOT stone", "faith* AND (house OR argers)"):
+                con, key = sqlite3.connect(tmp_path / f"{kind}_y.db"), FTS[table][2]
+                want = con.execute(f"SELECT rowid, rank FROM {table}_fts WHERE {table}_fts MATCH ? ORDER BY rank, rowid", (query,)).fetchall()
+                got = [(r[key], r["rank"]) for r in run_command(library, "search", [f"{kind}_y", query], {"limit": "200"}).collect()]
+                assert dict(got) == pytest.approx(dict(want)), (kind, query, stored)
+    assert {"snippet", "word", "rank"} <= set(run_command(library, "search", ["dictionary_y", "run"]).columns)
+    assert {"name", "parent_name"} <= set(run_command(library, "search", ["topical_y", "run"]).columns)
+    with pytest.raises(ValueError):
+        run_command(Library(spark, str(tmp_path)), "search", ["topical_y", "(run"])
+
+
+def test_an_index_follows_its_module(spark, tmp_path):
+    path = tmp_path / "bible_z.db"
+    build(path, [("CREATE TABLE bible_verse (verse_id INTEGER PRIMARY KEY, text TEXT)",), ("INSERT INTO bible_verse VALUES (?, ?)", [(i, f"word{i % 7} stone house") for i in range(1, 40)])])
+    library = Library(spark, str(tmp_path))
+    assert run_command(library, "index", ["z"])["segments"] == 1
+    build(path, [("UPDATE bible_verse SET text = 'all other' WHERE verse_id % 7 = 3",), ("DELETE FROM bible_verse WHERE verse_id % 7 = 4",), ("INSERT INTO bible_verse VALUES (?, ?)", [(100, "word3 once more"), (101, "")])])
+    found = lambda q: [(r["verse_id"], round(r["rank"], 9)) for r in run_command(library, "search", ["z", q], {"limit": "99"}).collect()]
+    assert run_command(library, "index", ["z"])["segments"] == 2
+    after = {q: found(q) for q in ("word3", "stone NOT word1", "other", "wo*", "word4")}
+    assert [i for i, _ in after["word3"]] == [100] and after["word4"] == []
+    assert run_command(library, "index", ["z"], {"compact": "true"})["segments"] == 1
+    assert {q: found(q) for q in after} == after
+    import shutil
+
+    shutil.rmtree(tmp_path / "_index")
+    assert {q: found(q) for q in after} == after  # without an index
+    run_command(library, "index", ["z"])
+    assert {q: found(q) for q in after} == after  # a new one
