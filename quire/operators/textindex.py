@@ -44,7 +44,7 @@ def postings(docs: DataFrame, ident: str, columns: list[str], stem: bool = True)
     """(doc_id, token, col, places, len): one row for each token of a document's column; a narrow pass."""
     lists = F.array(*[F.coalesce(F.regexp_extract_all(fulltext.folded(F.col(c)), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)), F.array().cast("array<string>")) for c in columns])
     rows = docs.where(F.col(ident).isNotNull()).select(F.col(ident).alias("doc_id"), lists.alias("tokens"))
-    schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType)]).add("token", "string").add("col", "int").add("places", "array<int>").add("len", "long")
+    schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType)]).add("token", T.StringType()).add("col", T.IntegerType()).add("places", T.ArrayType(T.IntegerType())).add("len", T.LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, str] = {}
@@ -162,7 +162,7 @@ class TextIndex:
         if self.allowed is not None:
             test = test & F.col("col").isin(*self.allowed)
         rows = self._live("postings", test)
-        return rows.select("doc_id", (F.col("col") * F.lit(fulltext.APART) + F.explode("places")).cast("long").alias("pos"), "token", "len")
+        return rows.select("doc_id", F.explode(F.transform("places", lambda p: F.col("col") * F.lit(fulltext.APART) + p)).alias("pos"), "token", "len")
 
     def update(self, changed: DataFrame | None = None, removed: DataFrame | None = None, ident: str = "doc_id") -> TextIndex:
         """A new segment: ``changed`` documents (new ones too) and ids of ``removed`` ones; the index after it."""

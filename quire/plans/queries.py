@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import checks, commands, keyed, texts  # noqa: F401  (they register themselves)
+from . import checks, commands, keyed, stored, texts  # noqa: F401  (they register themselves)
 from .registry import QUERIES, SQL
 
 
