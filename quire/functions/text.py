@@ -267,12 +267,23 @@ def repair_text(raw: pd.Series) -> pd.Series:
     return raw.map(one)
 
 
+#: UTF-8 by its structure alone: lead bytes and the number of bytes that follow. Surrogates and overlong forms of three and four bytes pass.
+STRUCTURE = r"(?:[\x00-\x7f]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3})*+"
+
+
+def is_structural_utf8(raw: Column) -> Column:
+    """Whether bytes are UTF-8 in structure: an automaton over the bytes, read as one character each; linear, and in the JVM."""
+    return F.decode(raw, "ISO-8859-1").rlike(rf"\A{STRUCTURE}\z")
+
+
 def repaired(raw: Column, declared_utf8: bool = True) -> Column:
-    """Only rows that are not valid UTF-8 leave the JVM."""
-    if not declared_utf8:
-        return latin1_to_text(raw)
-    text = raw.cast("string")
-    return F.when(F.is_valid_utf8(text), text).otherwise(repair_text(raw))
+    """Text of a source's bytes: as they are if they are UTF-8 in structure, else by what the source declares.
+
+    Forms that pass as structure and are no characters become U+FFFD. Only
+    declared UTF-8 that is none leaves the JVM.
+    """
+    other = repair_text(raw) if declared_utf8 else latin1_to_text(raw)
+    return F.when(is_structural_utf8(raw), F.make_valid_utf8(raw.cast("string"))).otherwise(other)
 
 
 @F.pandas_udf(T.StringType())

@@ -1,7 +1,7 @@
 """A folder of modules and the commands over it.
 
-A module is a SQLite file ``<name>.db`` or a folder ``<name>`` with one Parquet
-table for each of its tables. ``COMMANDS`` is the registry: a command takes the
+A module is a SQLite file ``<name>.db`` or a folder ``<name>`` with Parquet
+tables: published ones (``sources.shared``), or one for each of its tables. ``COMMANDS`` is the registry: a command takes the
 library, positional arguments and options, and returns a DataFrame or a dict
 (small, already collected). ``run_command`` checks the arguments.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .functions import keys
 from .functions.refs import Books, parse_reference
 from .operators import fulltext, lookup, stats, textindex, trees, validate, xrefs
-from .sources import files, sqlite
+from .sources import files, shared, sqlite
 
 
 
@@ -79,6 +79,8 @@ class Library:
         path = self.resolve(name, command)
         if path.endswith(".db"):
             return sqlite.read_module(self.spark, path)
+        if (Path(path) / "manifest").is_dir():
+            return shared.published(self.spark, path)
         return {p.name: self.spark.read.parquet(str(p)) for p in sorted(Path(path).iterdir()) if p.is_dir()}
 
     def index_path(self, module: str) -> str:
@@ -218,6 +220,16 @@ def verse_lookup(lib: Library, module: str, *ids: str):
     return lib.refs(df, "verse_id", "verse_id").select("verse_id", "ref", "text")
 
 
+@command("verse-detail", "<module> <verse-id>", "A verse with its formatting and its interlinear words", 2)
+def verse_detail(lib: Library, module: str, ident: str):
+    t = lib.tables(module, "verse")
+    wanted = lib.spark.createDataFrame([(int(ident),)], "verse_id long")
+    row = lookup.verse_details(t["bible_verse"], t.get("interlinear_word"), wanted).withColumn("formatting", lookup.parse_or_keep(F.col("formatting")) if "formatting" in t["bible_verse"].columns else F.lit(None)).first()
+    if row is None:
+        raise NotFound(f"no verse {ident}")
+    return row.asDict(recursive=True)
+
+
 @command("chapters", "<module> <book>", "Chapters of a book with their verse counts", 2)
 def chapters(lib: Library, module: str, book: str):
     number = int(book) if book.isdigit() else lib.books.number(book)

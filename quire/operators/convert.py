@@ -17,6 +17,7 @@ from ..functions.refs import Books
 from ..functions.text import clean_section_html, deterministic_uuid, first_year, identity_key, is_right_to_left, licence_to_spdx, primary_language, spdx_url, strip_markup, strip_rtf
 from . import trees
 from .ranges import first_rule
+from .scan import segmented
 
 #: Numbering systems (fixed values): taken as they are, translated by the record's own reference, by an outside map.
 PLAIN = ("", "kjv", "kjva")
@@ -70,7 +71,7 @@ def targets(records: DataFrame, canon: DataFrame, rules: DataFrame | None = None
     else:
         chapter, verse = F.col("c"), F.col("v")
     rows = rows.withColumns({"_c": chapter.cast("long"), "_v": F.greatest(verse.cast("long"), F.lit(1).cast("long"))})
-    rows = rows.join(F.broadcast(canon.select("book", F.col("chapter").alias("_c"), "max_verse")), ["book", "_c"], "left")
+    rows = rows.join(canon.select("book", F.col("chapter").alias("_c"), "max_verse"), ["book", "_c"], "left")
     moved = (F.col("_c") != F.col("c")) | (F.col("_v") != F.greatest(F.col("v"), F.lit(1)))
     past = F.col("_v") > F.col("max_verse")
     addition = past & ~moved & F.lit(rules is None) & (F.col("source_max") - F.col("max_verse") >= 3)
@@ -111,8 +112,7 @@ def merge(rows: DataFrame) -> DataFrame:
     entry before), poetry is the highest level, the heading the first that is
     not empty, selah from any, and moved parts leave a provenance record.
     """
-    in_order = Window.partitionBy("module").orderBy("i")
-    rows = rows.withColumn("_carry", F.coalesce(F.lag("trailing_paragraph").over(in_order), F.lit(False)))
+    rows = segmented(rows, ["module"], ["i"], lags={"_carry": F.col("trailing_paragraph")}).withColumn("_carry", F.coalesce("_carry", F.lit(False)))
     before = Window.partitionBy("module", "target").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_at", F.coalesce(F.sum("word_count").over(before), F.lit(0)).cast("int"))
     moved = F.transform("spans", lambda s: F.struct(s["type"].alias("type"), (s["start"] + F.col("_at")).alias("start"), (s["end"] + F.col("_at")).alias("end"), s["ref"].alias("ref")))
@@ -163,11 +163,11 @@ def commentary_tables(records: DataFrame) -> dict[str, DataFrame]:
     """Entries by level (book, chapter, verse), with the words of the stripped text, and their links."""
     rows = with_book(records).where("book IS NOT NULL AND coalesce(raw, '') <> ''")
     level = F.when(F.col("c") == 0, "book").when(F.col("v") == 0, "chapter").otherwise("verse")
-    order = Window.partitionBy("module").orderBy("i")
+    rows = segmented(rows, ["module"], ["i"], number="entry_id")
     words = F.size(F.filter(F.split(strip_markup(F.col("raw")), r"\s+"), lambda w: w != ""))
     key = keys.pack(F.col("book"), F.greatest("c", F.lit(1)), F.greatest("v", F.lit(1)))
     entries = rows.select(
-        "module", F.row_number().over(order).alias("entry_id"), key.alias("verse_id_start"), key.alias("verse_id_end"), level.alias("entry_level"), F.col("raw").alias("content"), words.alias("word_count")
+        "module", "entry_id", key.alias("verse_id_start"), key.alias("verse_id_end"), level.alias("entry_level"), F.col("raw").alias("content"), words.alias("word_count")
     )
     links = entries.select("module", F.lit("commentary").alias("source_type"), F.col("entry_id").alias("source_id"), "verse_id_start", keys.range_end(F.col("verse_id_start"), F.col("verse_id_end")).alias("verse_id_end"), F.lit("primary_passage").alias("link_type"))
     return {"commentary_entry": entries, "verse_link": links}
@@ -183,7 +183,7 @@ def dictionary_table(records: DataFrame) -> DataFrame:
 def devotional_table(records: DataFrame) -> DataFrame:
     """(module, day_number, date_label, content): days count the entries that have text."""
     rows = records.where("coalesce(trim(raw), '') <> ''")
-    return rows.select("module", F.row_number().over(Window.partitionBy("module").orderBy("i")).alias("day_number"), F.btrim("key").alias("date_label"), F.col("raw").alias("content"))
+    return segmented(rows, ["module"], ["i"], number="day_number").select("module", "day_number", F.btrim("key").alias("date_label"), F.col("raw").alias("content"))
 
 
 def section_table(records: DataFrame) -> DataFrame:
@@ -218,6 +218,33 @@ def identity_block(conf: DataFrame, kind: str) -> DataFrame:
     )
 
 
+def module_metadata(records: DataFrame, conf: DataFrame, versification: Column | None = None, override: Column | None = None) -> DataFrame:
+    """(module, metadata): a module's JSON record of where it comes from.
+
+    ``records`` have (module, osis, book, stored, merged, linked, transcoded):
+    what became of each source entry. Books stand by their code, with the
+    entries stored of each (``source_books``), and those outside of the canon
+    with all their entries (``skipped_books``).
+    """
+    flag = lambda c: F.coalesce(F.col(c), F.lit(False))
+    per = records.groupBy("module", "osis").agg(
+        F.count_if(F.col("book").isNull()).alias("out"), F.count_if(F.col("book").isNotNull() & flag("stored")).alias("in"), *[F.count_if(flag(c)).alias(c) for c in ("merged", "linked", "transcoded")]
+    )
+    named = lambda n: F.transform(F.array_sort(F.filter(F.collect_list(F.struct("osis", F.col(n).alias("verses"))), lambda b: b["verses"] > 0)), lambda b: b)
+    sums = per.groupBy("module").agg(*[F.sum(c).alias(c) for c in ("merged", "linked", "transcoded")], named("in").alias("source_books"), named("out").alias("skipped_books"))
+    get = lambda n: F.coalesce(F.col("conf")[n], F.lit(""))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    books = lambda c: F.coalesce(F.col(c), F.array().cast(sums.schema[c].dataType))
+    declared = get("Versification")
+    doc = F.struct(
+        F.col("module").alias("sword_module"), get("Lang").alias("sword_lang"), get("SourceType").alias("sword_source_type"), (declared if versification is None else versification).alias("sword_versification"),
+        get("DistributionLicense").alias("sword_distribution_license"), get("TextSource").alias("sword_text_source"), zero("merged").alias("variant_verse_merges"), zero("linked").alias("linked_verses_skipped"),
+        zero("transcoded").alias("latin1_entries_transcoded"), declared.alias("sword_declared_versification"), (F.lit("") if override is None else override).alias("versification_override"),
+        books("source_books").alias("source_books"), books("skipped_books").alias("skipped_books"),
+    )
+    return conf.join(sums, "module", "left").select("module", F.to_json(doc).alias("metadata"))
+
+
 def content_line(kind: str) -> Column:
     """The line that the content digest takes for one row, by module type."""
     tab = lambda *c: F.concat_ws("\t", *[F.coalesce(F.col(x).cast("string"), F.lit("")) for x in c])

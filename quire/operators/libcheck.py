@@ -117,6 +117,11 @@ def _of(rules: list[Rule]) -> list[Column]:
     return [_found(code, severity, F.col(f"r{i}.n") > 0, F.col(f"r{i}.n"), F.col(f"r{i}.example")) for i, (code, severity, _, _) in enumerate(rules)]
 
 
+def first_bad(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """(module, code, severity, n, example): how often each rule is broken in each module, with the least example."""
+    return _listed(_counted(df, rules), _of(rules))
+
+
 def info_findings(info: DataFrame, declared: DataFrame) -> DataFrame:
     """Rules on the identity row; without a row of id 1 nothing else is asked of a module."""
     own = F.col("info_id") == 1
@@ -192,7 +197,7 @@ def span_findings(verses: DataFrame) -> DataFrame:
         ("unknown_span_type", "error", ~F.coalesce(F.col("s")["type"].isin(*validate.SPAN_TYPES), F.lit(False)), F.col("verse_id")),
         ("span_out_of_range", "error", ~F.coalesce((a >= 0) & (a <= b) & (b < F.col("words")), F.lit(False)), F.col("verse_id")),
     ]
-    return _listed(_counted(spans, rules), _of(rules))
+    return first_bad(spans, rules)
 
 
 def canon_findings(verses: DataFrame, canon: DataFrame) -> DataFrame:
@@ -211,7 +216,7 @@ def canon_findings(verses: DataFrame, canon: DataFrame) -> DataFrame:
         ("invalid_verse", "error", inside & (F.col("low") < 1), place),
         ("verse_out_of_canon", "error", inside & (F.col("high") > F.col("max_verse")), place),
     ]
-    return _listed(_counted(books, book_rules), _of(book_rules)).unionByName(_listed(_counted(rows, rules), _of(rules)))
+    return first_bad(books, book_rules).unionByName(first_bad(rows, rules))
 
 
 def _declares(table: str, *columns: str) -> Column:
@@ -281,7 +286,7 @@ def findings(catalog: DataFrame, tables: dict[str, DataFrame], canon: DataFrame
             sizes = verses.select(F.col("module").alias("_m"), F.col("verse_id").alias("_k"), F.col("word_count").alias("_n"))
             met = words.join(sizes, (F.col("module") == F.col("_m")) & (F.col("verse_id") == F.col("_k")))
             rule: list[Rule] = [("interlinear_position_range", "error", (F.col("word_position_start") < 0) | (F.col("word_position_end") >= F.col("_n")), F.col("verse_id"))]
-            out = out.unionByName(_listed(_counted(met, rule), _of(rule)).join(known, "module", "left_semi"))
+            out = out.unionByName(first_bad(met, rule).join(known, "module", "left_semi"))
         if canon is not None:
             bibles = kinds.where("kind = 'bible'").select("module")
             out = out.unionByName(canon_findings(verses.join(bibles, "module", "left_semi"), canon))

@@ -143,3 +143,15 @@ def read_only_sql(spark, query: str, views: dict[str, DataFrame]) -> DataFrame:
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return spark.sql(text)
+
+
+def verse_details(verses: DataFrame, words: DataFrame | None, keys: DataFrame, key: str = "verse_id") -> DataFrame:
+    """Rows of the wanted keys with ``words``: their interlinear words by position; an empty list without any."""
+    wanted = keys.select(F.col(key).alias("_k")).distinct()
+    rows = verses.join(wanted, F.col(key) == F.col("_k"), "left_semi")
+    fields = ("strongs_number", "original_word", "gloss", "lemma")
+    if words is None:
+        return rows.withColumn("words", F.array().cast("array<struct<position:bigint,strongs_number:string,original_word:string,gloss:string,lemma:string>>"))
+    word = F.struct(F.col("word_position_start").cast("long").alias("position"), *[F.col(f).cast("string").alias(f) if f in words.columns else F.lit(None).cast("string").alias(f) for f in fields])
+    listed = words.join(wanted, F.col(key) == F.col("_k"), "left_semi").groupBy(F.col(key).alias("_k")).agg(F.array_sort(F.collect_list(word)).alias("words"))
+    return rows.join(listed, F.col(key) == F.col("_k"), "left").drop("_k").withColumn("words", F.coalesce("words", F.array().cast(listed.schema["words"].dataType)))

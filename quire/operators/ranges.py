@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 #: Bins up to which a range is dealt out.
 WIDE = 64
@@ -51,17 +52,68 @@ def _binned(d: DataFrame, r: tuple[str, str], level: Column, used: list[int], wi
     return d.withColumns({"_level": F.col("_step.l"), first: low}).withColumn("_bin", F.explode(F.sequence(F.col(first), high))).drop("_step")
 
 
+#: A node of the cover is split into this many of the level below.
+FAN = 4
+
+
+def _node(level: int):
+    return lambda n: F.struct(F.lit(level).alias("level"), n.alias("node"))
+
+
+def cover(low: Column, high: Column, top: int) -> Column:
+    """The fewest nodes that make up an inclusive range: ``array<struct<level, node>>``.
+
+    A node of level ``l`` is a range of ``FAN ** l`` numbers that begins at a
+    multiple of that; levels go up to ``top``. Below the top a level has at most
+    ``2 * (FAN - 1)`` of them.
+    """
+    end = high + 1  # the first number past the range
+    floor = lambda x, w: F.call_function("div", x - F.pmod(x, F.lit(w)), F.lit(w)) if w > 1 else x
+    ceil = lambda x, w: -floor(-x, w)
+    parts = []
+    for level in range(top + 1):
+        a, b = ceil(low, FAN**level), floor(end, FAN**level)
+        if level == top:
+            spans = [(a, b)]
+        else:  # what the level above does not hold
+            up, down = ceil(low, FAN ** (level + 1)) * FAN, floor(end, FAN ** (level + 1)) * FAN
+            spans = [(a, F.when(up < down, up).otherwise(b)), (F.when(up < down, down).otherwise(b), b)]
+        nodes = F.concat(*[F.when(x < y, F.sequence(x, y - 1)).otherwise(F.array().cast("array<bigint>")) for x, y in spans])
+        parts.append(F.transform(nodes, _node(level)))
+    return F.flatten(F.array(*parts))
+
+
+def compiled_rules(rules: DataFrame, group: tuple[str, ...], low: str = "low", high: str = "high", order: str = "rule_order", outputs: tuple[str, ...] = ("target",), scale: int = 1) -> tuple[DataFrame, int]:
+    """((group, level, node, rule), top level): the first rule of every node that some rule's cover has.
+
+    However the rules overlap, a group has at most a few dozen nodes for each of
+    its rules, and a number lies in one node of each level; so a look-up is an
+    equi-join, also in a group of a million rules. Bounds are whole numbers.
+    """
+    a, b = F.col(low).cast("long") * scale, F.col(high).cast("long") * scale
+    real = rules.where(F.col(low) <= F.col(high))
+    widest = real.agg(F.max(b - a)).first()[0]
+    top = 0
+    while widest is not None and FAN ** (top + 1) <= widest + 1 and top < 30:
+        top += 1
+    nodes = real.select(*group, F.explode(cover(a, b, top)).alias("n"), F.struct(order, *outputs).alias("_rule"))
+    return nodes.groupBy(*group, F.col("n.level").alias("_level"), F.col("n.node").alias("_node")).agg(F.min("_rule").alias("_rule")), top
+
+
 def first_rule(rows: DataFrame, rules: DataFrame, group: tuple[str, ...], value: str, low: str = "low", high: str = "high", order: str = "rule_order", outputs: tuple[str, ...] = ("target",)) -> DataFrame:
     """``rows`` with ``outputs`` of the first rule (by ``order``) of its group whose range holds ``value``; null if none.
 
     Rows sharing (group, value) are resolved once: the aggregate runs over the
-    distinct keys, not over the rows.
+    distinct keys, not over the rows. No rule is tested against a value: both
+    meet on the nodes of ``compiled_rules``. A value between two whole numbers
+    has a place of its own between theirs.
     """
-    named = rules.select(*[F.col(g).alias(f"_r_{g}") for g in group], F.col(low).alias("_low"), F.col(high).alias("_high"), F.struct(order, *outputs).alias("_rule"))
-    probes = rows.select(*group, value).distinct()
-    same = [F.col(g) == F.col(f"_r_{g}") for g in group]
-    test = F.col(value).between(F.col("_low"), F.col("_high"))
-    for s in same:
-        test = test & s
-    found = probes.join(named, test).groupBy(*group, value).agg(F.min("_rule").alias("_rule"))
+    whole = isinstance(rows.schema[value].dataType, IntegralType)
+    compiled, top = compiled_rules(rules, group, low, high, order, outputs, 1 if whole else 2)
+    v = F.col(value)
+    place = v.cast("long") if whole else F.floor(v).cast("long") * 2 + (v > F.floor(v)).cast("long")
+    at = F.col("_place")
+    levels = F.explode(F.array(*[F.struct(F.lit(i).alias("l"), F.call_function("div", at - F.pmod(at, F.lit(FAN**i)), F.lit(FAN**i)).alias("n")) for i in range(top + 1)]))
+    probes = rows.select(*group, value).distinct().withColumn("_place", place).where("_place IS NOT NULL").withColumn("_at", levels)
+    found = probes.select(*group, value, F.col("_at.l").alias("_level"), F.col("_at.n").alias("_node")).join(compiled, [*group, "_level", "_node"]).groupBy(*group, value).agg(F.min("_rule").alias("_rule"))
     return rows.join(found, [*group, value], "left").withColumns({o: F.col(f"_rule.{o}") for o in outputs}).drop("_rule")

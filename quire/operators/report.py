@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import keys
 from . import validate, verify
 from .sequence import equal_neighbours
-from .stats import status
+from .stats import quantile, status
 
 _T = verify.THRESHOLDS
 
@@ -115,7 +115,7 @@ def verse_findings(result: DataFrame) -> DataFrame:
 def alignment_findings(result: DataFrame, reference: DataFrame, moved: DataFrame | None = None) -> DataFrame:
     """Lengths against a reference edition: correlation, shifted chapters, overlong verses, another numbering."""
     c, aligned = F.col, verify.length_alignment(result, reference, "verse_id")
-    middle = aligned.agg(F.percentile(F.round("v1", 12), F.lit(0.5)).alias("r"))
+    middle = quantile(aligned, [], F.round("v1", 12), 0.5, "r")
     out = _graded(middle, "versification_alignment", F.lit(1), ("warn", F.round("r", 3) < 0.5))
     out = out.unionByName(_counted(aligned.where("shifted"), "versification_shift", "warn"))
     out = out.unionByName(_counted(verify.overlong(result, reference, "verse_id"), "overlong_verses", "warn"))

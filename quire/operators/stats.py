@@ -178,3 +178,61 @@ def module_report(verses: DataFrame, words: DataFrame | None = None) -> DataFram
     o = F.coalesce("original_word", F.lit(""))
     w = words.agg(F.count("*").alias("words"), F.count_if(o != "").alias("with_original"), F.count_if(o.rlike("^[A-Za-z][A-Za-z ]*$") & (F.length(o) > 1)).alias("latin_original"))
     return out.join(F.broadcast(w))
+
+
+#: Buckets of a histogram pass, and rows of a group that are sorted in the end.
+BUCKETS, FINAL_ROWS = 1024, 10_000
+#: Groups up to this number are broadcast to the rows.
+FEW_GROUPS = 100_000
+
+
+def quantile(df: DataFrame, group: list[str], value: Column, q: float, name: str = "quantile") -> DataFrame:
+    """(group, name): the exact quantile of each group, interpolated between neighbours; null and NaN values do not count.
+
+    Each pass counts the values between a group's bounds in ``BUCKETS`` buckets
+    and narrows the bounds to the bucket that holds the rank, until few enough
+    are left to be sorted. State is a few numbers a bucket, whatever the number
+    of different values; a pass removes at least the bounds themselves.
+    """
+    from ..sources import shared
+
+    spark = df.sparkSession
+    x = F.col("_x")
+    named = [F.col(g).alias(f"_g{i}") for i, g in enumerate(group)] or [F.lit(0).alias("_g0")]
+    rows = df.select(*named, value.cast("double").alias("_x")).where(x.isNotNull() & ~F.isnan(x))
+    path = shared.scratch(spark, "quantile")
+    rows.write.parquet(path)
+    rows = spark.read.parquet(path)
+    keys = [f"_g{i}" for i in range(len(named))]
+
+    def met(bounds: DataFrame, few: bool) -> DataFrame:
+        other = bounds.select(*[F.col(k).alias(f"_b{k}") for k in keys], *[c for c in bounds.columns if c not in keys])
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_b{k}"))
+        return rows.join(F.broadcast(other) if few else other, same).drop(*[f"_b{k}" for k in keys])
+
+    def stored(df: DataFrame) -> DataFrame:
+        at = shared.scratch(spark, "quantile-bounds")
+        df.write.parquet(at)
+        return spark.read.parquet(at)
+
+    rank = F.floor((F.col("n") - 1) * F.lit(q)).cast("long")
+    bounds = stored(rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("_x").alias("low"), F.max("_x").alias("high")).where("n > 0").select(*keys, "n", "low", "high", rank.alias("rank"), F.lit(0).cast("long").alias("below"), F.col("n").alias("within")))
+    few = bounds.count() <= FEW_GROUPS
+    while (row := bounds.where("low < high").agg(F.max("within").alias("m")).first()) and (row["m"] or 0) > FINAL_ROWS:
+        inside = met(bounds, few).where(x.between(F.col("low"), F.col("high")))
+        share = (x / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2)
+        bucket = F.when(F.col("low") < F.col("high"), F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1))).otherwise(0).cast("int")
+        counted = inside.groupBy(*keys, "n", "rank", "below", bucket.alias("bucket")).agg(F.count("*").alias("within"), F.min("_x").alias("low"), F.max("_x").alias("high"))
+        w = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        ahead = counted.withColumn("below", F.col("below") + F.coalesce(F.sum("within").over(w), F.lit(0)))
+        bounds = stored(ahead.where((F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("within"))).select(*keys, "n", "low", "high", "rank", "below", "within"))
+    left = met(bounds.where("low < high"), few).where(x.between(F.col("low"), F.col("high")))
+    placed = left.withColumn("_at", F.col("below") + F.row_number().over(Window.partitionBy(*keys).orderBy("_x")) - 1)
+    exact = placed.where("_at = rank").select(*keys, "n", "rank", x.alias("here"))
+    exact = stored(exact.unionByName(bounds.where("low = high").select(*keys, "n", "rank", F.col("low").alias("here"))))
+    after = met(exact, few).groupBy(*keys, "n", "rank", "here").agg(F.count_if(x <= F.col("here")).alias("upto"), F.min(F.when(x > F.col("here"), x)).alias("next"))
+    there = F.when((F.col("rank") + 1 < F.col("upto")) | F.col("next").isNull(), F.col("here")).otherwise(F.col("next"))
+    part = (F.col("n") - 1) * F.lit(q) - F.col("rank")
+    return after.select(*[F.col(k).alias(g) for k, g in zip(keys, group, strict=False)], (F.col("here") + (there - F.col("here")) * part).alias(name))

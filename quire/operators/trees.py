@@ -1,64 +1,77 @@
 """Trees by parent pointer: closure, ancestors, bounded trees, ordinals.
 
-The recursive CTE carries the visited path, which is both the cycle guard and
-the sort key; ``max_depth`` bounds the recursion.
+Pointer doubling: every node first knows its parent; in each round it takes over
+what its farthest known ancestor knows, so after ``k`` rounds it knows ``2**k``
+ancestors, and a tree of 64 levels takes six joins of all nodes with themselves,
+whatever its shape. A round is written to the shared folder; rounds end when all
+chains have come to a root. What goes round in a cycle is cut where it meets
+itself. Ids are unique; parents that are not there end a chain.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources import shared
+
+#: Roots up to this number are broadcast to the chains.
+FEW_ROOTS = 100_000
 
-def _view(df: DataFrame) -> str:
-    # The walks bound themselves (depth, visited path), so a large tree must not end at the default of a million rows.
-    df.sparkSession.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    name = f"tree_{uuid.uuid4().hex}"
-    df.createOrReplaceTempView(name)
-    return name
+
+def ancestry(nodes: DataFrame, ident: str, parent: str, label: Column | None = None, max_depth: int = 64) -> DataFrame:
+    """(node, line): each node and its ancestors, nearest first, at most ``max_depth`` of them: ``array<struct<id, label, root>>``.
+
+    ``root`` tells whether a node has no parent at all; the line of a node under
+    a missing parent, in a cycle or too deep does not end in one.
+    """
+    spark = nodes.sparkSession
+    own = nodes.where(F.col(ident).isNotNull()).select(
+        F.col(ident).cast("long").alias("node"), F.col(parent).cast("long").alias("up"), F.struct(F.col(ident).cast("long").alias("id"), (F.lit(None).cast("string") if label is None else label).alias("label"), F.col(parent).isNull().alias("root")).alias("self")
+    )
+    above = own.select(F.col("node").alias("_node"), F.array("self").alias("chain"))
+    state = own.join(above, F.col("up") == F.col("_node"), "left").select("node", "self", F.col("_node").alias("far"), F.coalesce("chain", F.array().cast(own.select(F.array("self").alias("c")).schema["c"].dataType)).alias("chain"))
+    known = 1
+    while True:
+        path = shared.scratch(spark, "ancestry")
+        state.write.parquet(path)
+        state = spark.read.parquet(path)
+        if known >= max_depth or not state.where("far IS NOT NULL").head(1):
+            break
+        other = state.select(F.col("node").alias("_node"), F.col("far").alias("_far"), F.col("chain").alias("_chain")).where(F.size("_chain") > 0)
+        state = state.join(other, F.col("far") == F.col("_node"), "left").select("node", "self", F.col("_far").alias("far"), F.when(F.col("_node").isNull(), F.col("chain")).otherwise(F.concat("chain", "_chain")).alias("chain"))
+        known *= 2
+    line = F.concat(F.array("self"), F.col("chain"))
+    # A chain that meets itself goes round from there on, so its different nodes come first.
+    apart = F.size(F.array_distinct(F.transform(line, lambda n: n["id"])))
+    return state.select("node", F.slice(line, F.lit(1), F.least(apart, F.lit(max_depth + 1))).alias("line"))
+
+
+def _of(pairs: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """Pairs whose ``column`` is one of the wanted ids."""
+    ids = wanted.select(F.col(wanted.columns[0]).cast("long").alias("_wanted")).distinct()
+    few = ids.limit(FEW_ROOTS + 1).count() <= FEW_ROOTS
+    return pairs.join(F.broadcast(ids) if few else ids, F.col(column) == F.col("_wanted"), "left_semi")
 
 
 def descendants(nodes: DataFrame, roots: DataFrame, ident: str, parent: str, max_depth: int = 64) -> DataFrame:
     """(root, node, depth, path): every node under each root, the root itself at depth 0."""
-    n = _view(nodes.select(F.col(ident).cast("long").alias("id"), F.col(parent).cast("long").alias("up")))
-    r = _view(roots.select(F.col(ident).cast("long").alias("id")))
-    return nodes.sparkSession.sql(
-        f"""
-        WITH RECURSIVE walk(root, node, depth, path) MAX RECURSION LEVEL {max_depth + 2} AS (
-            SELECT id, id, 0, array(id) FROM {r}
-            UNION ALL
-            SELECT w.root, c.id, w.depth + 1, concat(w.path, array(c.id))
-            FROM walk w JOIN {n} c ON c.up = w.node
-            WHERE w.depth < {max_depth} AND NOT array_contains(w.path, c.id))
-        SELECT root, node, depth, path FROM walk
-        """
-    )
+    lines = ancestry(nodes, ident, parent, max_depth=max(1, max_depth))
+    ids = F.transform("line", lambda n: n["id"])
+    pairs = lines.select("node", ids.alias("ids")).select("node", "ids", F.posexplode(F.slice("ids", F.lit(1), F.lit(max_depth + 1))).alias("depth", "root"))
+    return _of(pairs, roots.select(ident), "root").select("root", "node", "depth", F.reverse(F.slice("ids", F.lit(1), F.col("depth") + 1)).alias("path"))
 
 
 def ancestors(nodes: DataFrame, start: DataFrame, ident: str, parent: str, max_depth: int = 64) -> DataFrame:
     """(start, node, distance): the way up from each start, itself excluded; missing parents end it."""
-    n = _view(nodes.select(F.col(ident).cast("long").alias("id"), F.col(parent).cast("long").alias("up")))
-    s = _view(start.select(F.col(ident).cast("long").alias("id")))
-    return nodes.sparkSession.sql(
-        f"""
-        WITH RECURSIVE climb(start, node, up, distance, path) MAX RECURSION LEVEL {max_depth + 2} AS (
-            SELECT s.id, n.id, n.up, 0, array(n.id) FROM {s} s JOIN {n} n ON n.id = s.id
-            UNION ALL
-            SELECT c.start, p.id, p.up, c.distance + 1, concat(c.path, array(p.id))
-            FROM climb c JOIN {n} p ON p.id = c.up
-            WHERE c.distance < {max_depth} AND NOT array_contains(c.path, p.id))
-        SELECT start, node, distance FROM climb WHERE distance > 0
-        """
-    )
+    lines = _of(ancestry(nodes, ident, parent, max_depth=max_depth), start.select(ident), "node")
+    return lines.select(F.col("node").alias("start"), F.posexplode(F.transform("line", lambda n: n["id"])).alias("distance", "node")).select("start", "node", "distance").where("distance > 0")
 
 
 def breadcrumb(nodes: DataFrame, start: DataFrame, ident: str, parent: str, label: str) -> DataFrame:
-    """(start, crumb): ancestors' labels from the root down, in one array."""
-    up = ancestors(nodes, start, ident, parent).join(nodes.select(F.col(ident).cast("long").alias("node"), F.col(label).alias("label")), "node")
-    ordered = F.array_sort(F.collect_list(F.struct((-F.col("distance")).alias("d"), F.col("label"))))
-    return up.groupBy("start").agg(F.transform(ordered, lambda x: x["label"]).alias("crumb"))
+    """(start, crumb): ancestors' labels from the root down, in one array; none for a root."""
+    lines = _of(ancestry(nodes, ident, parent, F.col(label)), start.select(ident), "node")
+    return lines.where(F.size("line") > 1).select(F.col("node").alias("start"), F.reverse(F.transform(F.slice("line", F.lit(2), F.size("line")), lambda n: n["label"])).alias("crumb"))
 
 
 def ordinals(nodes: DataFrame, ident: str, parent: str, order: list[str]) -> DataFrame:
@@ -67,13 +80,9 @@ def ordinals(nodes: DataFrame, ident: str, parent: str, order: list[str]) -> Dat
 
 
 def dotted_numbers(nodes: DataFrame, ident: str, parent: str, order: list[str], max_depth: int = 64) -> DataFrame:
-    """(id, number): ``2.1.3`` from sibling ordinals down from the roots; nodes in cycles have none."""
-    ordered = ordinals(nodes, ident, parent, order)
-    walked = descendants(nodes, nodes.where(F.col(parent).isNull()), ident, parent, max_depth)
-    steps = walked.select("node", F.posexplode("path").alias("place", "step"))
-    named = steps.join(ordered.select(F.col(ident).cast("long").alias("step"), F.col("ordinal").cast("string").alias("o")), "step")
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "o"))), lambda x: x["o"]), ".")
-    return named.groupBy("node").agg(joined.alias("number"))
+    """(node, number): ``2.1.3`` from sibling ordinals down from the roots; nodes in cycles or under missing parents have none."""
+    lines = ancestry(ordinals(nodes, ident, parent, order), ident, parent, F.col("ordinal").cast("string"), max_depth)
+    return lines.where(F.element_at("line", -1)["root"]).select("node", F.array_join(F.reverse(F.transform("line", lambda n: n["label"])), ".").alias("number"))
 
 
 def render(rows: list[dict], root: int, ident: str = "topic_id", parent: str = "parent_topic_id", label: str = "name", counts: str | None = None) -> str:

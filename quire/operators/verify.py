@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import keys
 from ..functions.text import HYGIENE, count_lettered_words, hygiene_codes, normal_text, similarity, untagged
 from .sequence import equal_neighbours
-from .stats import pearson, shift_correlations
+from .stats import pearson, quantile, shift_correlations
 
 #: Judgement thresholds (fixed values).
 THRESHOLDS = {
@@ -138,7 +138,7 @@ def length_alignment(result: DataFrame, reference: DataFrame, key: str, text: st
 def overlong(result: DataFrame, reference: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, size, expected): texts far longer than the reference's, scaled by the median ratio."""
     both = sizes(result, key, text).join(sizes(reference, key, text, headings=True).select(key, F.col("size").alias("other")), key).where("other > 0")
-    scale = both.agg(F.percentile(F.col("size") / F.col("other"), F.lit(0.5)).alias("scale"))
+    scale = quantile(both, [], F.col("size") / F.col("other"), 0.5, "scale")
     t = THRESHOLDS
     scaled = both.join(F.broadcast(scale)).withColumn("expected", F.col("other") * F.col("scale"))
     return scaled.where((F.col("size") > t["overlong_factor"] * F.col("expected")) & (F.col("size") - F.col("expected") > t["overlong_least"])).select(key, "size", "expected")

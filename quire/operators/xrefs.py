@@ -10,6 +10,7 @@ from ..functions import keys
 from ..functions.refs import Books, parse_reference_list, phrase_groups
 
 GROUPS = "array<struct<phrase:string,refs:array<struct<start:bigint,end:bigint>>>>"
+from .sequence import content_hash
 
 
 def parse_entries(entries: DataFrame, verse_id: str, content: str, books: Books | None = None) -> DataFrame:
@@ -61,3 +62,11 @@ def linked_passages(groups: DataFrame, links: DataFrame, low: int, high: int, li
     hit = groups.where(keys.overlaps(F.col("verse_id_start"), F.col("verse_id_end"), low, high)).select("group_id", "phrase", F.col("sort_order").alias("g_order"))
     own = links.where("source_type = 'cross_reference'").select("link_id", F.col("source_id").alias("group_id"), "verse_id_start", "verse_id_end", F.col("sort_order").alias("l_order"))
     return own.join(hit, "group_id").orderBy("g_order", "l_order", "link_id").limit(limit)
+
+
+def content_digest(groups: DataFrame, links: DataFrame, module: str = "module") -> DataFrame:
+    """(module, content_sha256): a line for each link of a group, and one for a group without links; lines are parted, not ended, by a line feed."""
+    own = links.select(F.col(module).alias("_m"), F.col("source_id").alias("_g"), F.col("verse_id_start").alias("_a"), F.col("verse_id_end").alias("_b"), F.col("sort_order").alias("_o"))
+    both = groups.join(own, (F.col(module) == F.col("_m")) & (F.col("group_id") == F.col("_g")), "left")
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("verse_id_start", "verse_id_end", "phrase", "_a", "_b")])
+    return content_hash(both, module, ["group_id", "_o"], line, "\n")

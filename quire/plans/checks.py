@@ -107,18 +107,45 @@ def q6_red_letters(spark, d):
     return report.red_letter_findings(o.withColumn("red", F.col("o_totalprice") > 50000), o.withColumn("red", (F.col("o_totalprice") > 90000) | (F.col("verse_id") % 100 == 5)))
 
 
+#: White space of all scripts, and the hygiene patterns, as the other engine spells them.
+SPACES_SQL = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+HYGIENE_SQL = "p AS (SELECT unnest([" + ", ".join(f"('{c}', '{s}', '{p}')" for c, s, p in [
+    ("html_tag", "error", rf"<[{SPACES_SQL}]*/?[{SPACES_SQL}]*[A-Za-z!][^<>]{{0,200}}>"), ("angle_bracket", "warn", "[<>]"), ("entity", "error", r"&(?:[A-Za-z]{2,8}|#\p{Nd}{2,7}|#[xX][0-9A-Fa-f]{2,6});"), ("pilcrow", "error", "\u00b6"), ("backslash", "error", r"\\"),
+    ("usfm_attribute", "error", rf"\|[{SPACES_SQL}]*[a-z-]+[{SPACES_SQL}]*=[{SPACES_SQL}]*\""), ("strongs_tag", "error", rf"(?:^|[^\p{{L}}\p{{N}}_])(?:strong|lemma|morph|robinson|strongMorph):[^{SPACES_SQL}]"), ("strongs_number", "warn", r"(?:^|[^A-Za-z0-9])[GH]\p{Nd}{3,5}(?:[^0-9]|$)"),
+    ("braces", "warn", "[{}]"), ("control_char", "error", r"[\x{0}-\x{8}\x{b}\x{c}\x{e}-\x{1f}\x{7f}\x{80}-\x{9f}]"), ("replacement_char", "error", r"\x{fffd}"), ("mojibake", "error", r"\x{c3}[\x{80}-\x{bf}]|\x{e2}\x{20ac}|\x{c2}[\x{a0}-\x{bf}]|\x{d0}[\x{80}-\x{bf}]"),
+    ("whitespace", "error", rf"^[{SPACES_SQL}]|[{SPACES_SQL}]$|[{SPACES_SQL}]{{2}}|[\t\n\r]"), ("odd_space", "warn", r"[\x{a0}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]"), ("zero_width", "info", r"[\x{200b}\x{2060}\x{feff}]"), ("private_use", "warn", r"[\x{e000}-\x{f8ff}]"), ("note_marker", "info", r"[*\x{2020}\x{2021}]"), ("double_bracket", "info", r"\[\[|\]\]"),
+]) + "]) AS p)"
+#: What is put after a document's text, by its number: something for every pattern.
+MARKS = [" \\", "\u00b6", "{", '|lemma="x"', "\u2003\u2003x", "\u00a0", " <b>", " 5 < 6", " &amp; so", " strong:G12", " (G1234)", "\x7f", "\ufffd", "\u00c3\u00a9", "\u200b", "\ue000", " *", " [[x]]", "\u0085", ""]
+MARKED = "text || CASE doc_id % 20 " + " ".join("WHEN %d THEN '%s'" % (i, m) for i, m in enumerate(MARKS)) + " END"
+
+
 @query(
-    r"""WITH d AS (SELECT doc_id, text || CASE doc_id % 8 WHEN 0 THEN ' \' WHEN 1 THEN '¶' WHEN 2 THEN '{' WHEN 3 THEN '|lemma="x"' ELSE '' END AS text FROM documents), t AS (SELECT doc_id AS k, text AS b, CASE WHEN doc_id % 2 = 0 THEN text ELSE 'x' END AS a FROM d),
-    p AS (SELECT unnest([('backslash', 'error', '\\'), ('pilcrow', 'error', '¶'), ('braces', 'warn', '[{}]'), ('usfm_attribute', 'error', '\|\s*[a-z-]+\s*=\s*"'), ('replacement_char', 'error', chr(65533))]) AS p),
-    h AS (SELECT p[1] AS code, p[2] AS level, regexp_matches(a, p[3]) AS was FROM t, p WHERE regexp_matches(b, p[3])), g AS (SELECT code, level, count(*) AS n, count(*) FILTER (NOT was) AS new FROM h GROUP BY 1, 2)
+    f"""WITH {HYGIENE_SQL}, d AS (SELECT doc_id AS k, {MARKED} AS b FROM documents), s AS (SELECT k, b, CASE k % 3 WHEN 0 THEN b WHEN 1 THEN 'x' ELSE 'x' || ' ' || chr(8291) || ' ' || b END AS a FROM d),
+    h AS (SELECT p[1] AS code, p[2] AS level, k, regexp_matches(a, p[3]) AND NOT (p[1] = 'angle_bracket' AND regexp_matches(a, (SELECT p[3] FROM p WHERE p[1] = 'html_tag'))) AS was FROM s, p WHERE regexp_matches(b, p[3]) AND NOT (p[1] = 'angle_bracket' AND regexp_matches(b, (SELECT p[3] FROM p WHERE p[1] = 'html_tag')))),
+    g AS (SELECT code, level, count(*) AS n, count(*) FILTER (NOT was) AS new FROM h WHERE level <> 'info' GROUP BY 1, 2)
     SELECT 'text_' || code || CASE WHEN new > 0 THEN '' ELSE '_inherited' END AS code, CASE WHEN new > 0 AND level = 'error' THEN 'error' ELSE 'warn' END AS severity, n FROM g"""
 )
 def q7_findings(spark, d):
-    m = F.col("doc_id") % 8
-    mark = F.when(m == 0, " \\").when(m == 1, "¶").when(m == 2, "{").when(m == 3, '|lemma="x"').otherwise("")
-    t = table(spark, d, "documents").select(F.col("doc_id").alias("verse_id"), F.concat("text", mark).alias("text"))
-    source = t.withColumn("text", F.when(F.col("verse_id") % 2 == 0, F.col("text")).otherwise("x"))
-    return report.hygiene_findings(source, t).where(F.regexp_replace("code", "^text_|_inherited$", "").isin("backslash", "pilcrow", "braces", "usfm_attribute", "replacement_char"))
+    """Every third text has its marks in the source's text, every third in its raw markup only."""
+    t = marked_documents(spark, d)
+    k = F.col("verse_id")
+    source = t.select("verse_id", F.when(k % 3 == 0, F.col("text")).otherwise("x").alias("text"), F.when(k % 3 == 2, F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))).alias("raw"))
+    plain = source.where(k % 3 != 2).select("verse_id", "text")
+    both = report.hygiene_findings(source.where(k % 3 == 2), t.where(k % 3 == 2))
+    rest = report.hygiene_findings(plain, t.where(k % 3 != 2))
+    name = F.regexp_replace("code", "_inherited$", "")
+    new = F.max((~F.col("code").endswith("_inherited")).cast("int")) == 1
+    level = F.when(new, F.min("severity")).otherwise("warn")
+    return both.unionByName(rest).groupBy(name.alias("name")).agg(F.concat(F.first(name), F.when(new, "").otherwise("_inherited")).alias("code"), level.alias("severity"), F.sum("n").alias("n")).drop("name")
+
+
+def marked_documents(spark, d):
+    k = F.col("doc_id")
+    mark = F.lit("")
+    for i, m in enumerate(MARKS):
+        mark = F.when(k % 20 == i, m).otherwise(mark)
+    return table(spark, d, "documents").select(k.alias("verse_id"), F.concat("text", mark).alias("text"))
 
 
 @query(
@@ -235,10 +262,12 @@ def q5_formatting(spark, d):
 # Validator -----------------------------------------------------------------------
 
 
-@query("SELECT 'missing_info_columns' AS code, CAST(3 AS BIGINT) AS n, 'content_sha256, license_spdx, source_url' AS example FROM region LIMIT 1")
+@query("SELECT 'bible_' || c_custkey AS module, CAST(1 AS BIGINT) AS n, 'source_url' AS example FROM customer WHERE c_custkey % 10 <= 5 AND c_custkey % 6 = 3")
 def v6_info_columns(spark, d):
-    r = table(spark, d, "region").select((F.col("r_regionkey") + 1).alias("info_id"), *[F.col("r_name").alias(c) for c in validate.INFO_COLUMNS if c not in ("content_sha256", "license_spdx", "source_url")])
-    return validate.info_rules(r)[0].select("code", "n", "example")
+    from ..operators import libcheck
+    from .stored import customer_library
+
+    return libcheck.findings(*customer_library(spark, d)).where("code = 'missing_info_columns'").select("module", "n", "example")
 
 
 @query(
@@ -309,10 +338,16 @@ def v10_anchors(spark, d):
     return out.select("code", "n")
 
 
-@query("SELECT 'bible' AS module, 'bible' AS module_type FROM region WHERE r_regionkey = 0 UNION ALL SELECT 'mixed', 'commentary' FROM region WHERE r_regionkey = 0 UNION ALL SELECT 'other', 'unknown' FROM region WHERE r_regionkey = 0")
+@query(
+    """WITH t AS (SELECT user_id AS module, CASE event_type WHEN 'view' THEN 'topic' WHEN 'click' THEN 'bible_verse' WHEN 'error' THEN 'book_section' WHEN 'purchase' THEN 'devotional_entry' ELSE 'note' END AS name FROM events WHERE event_id % 9 = 0)
+    SELECT module, CASE WHEN bool_or(name = 'bible_verse') THEN 'bible' WHEN bool_or(name = 'book_section') THEN 'book' WHEN bool_or(name = 'devotional_entry') THEN 'devotional' WHEN bool_or(name = 'topic') THEN 'topical' ELSE 'unknown' END AS validator,
+    CASE WHEN bool_or(name = 'topic') THEN 'topical' WHEN bool_or(name = 'bible_verse') THEN 'bible' WHEN bool_or(name = 'book_section') THEN 'book' WHEN bool_or(name = 'devotional_entry') THEN 'devotional' ELSE 'unknown' END AS query FROM t GROUP BY 1"""
+)
 def s5_module_type(spark, d):
-    rows = [("bible", "topic"), ("bible", "bible_verse"), ("mixed", "dictionary_entry"), ("mixed", "commentary_entry"), ("other", "nation")]
-    return validate.detect_type(spark.createDataFrame(rows, "module string, table_name string"))
+    kind = F.col("event_type")
+    name = F.when(kind == "view", "topic").when(kind == "click", "bible_verse").when(kind == "error", "book_section").when(kind == "purchase", "devotional_entry").otherwise("note")
+    t = table(spark, d, "events").where("event_id % 9 = 0").select(F.col("user_id").alias("module"), name.alias("table_name"))
+    return validate.detect_type(t).withColumnRenamed("module_type", "validator").join(validate.detect_type(t, "query").withColumnRenamed("module_type", "query"), "module")
 
 
 # Functions ------------------------------------------------------------------------
@@ -383,10 +418,16 @@ def f29_strongs(spark, d):
     return o.select("o_orderkey", text.plain_strongs(F.element_at(text.strongs_numbers(lemma), 1)).alias("number"), text.original_word(lemma).alias("word"), text.plain_morphology(morph).alias("morph"))
 
 
-@query(f"SELECT k // 1000000 AS book, count(*) AS n, min(k) FILTER (k % 1000 > 6) AS first_bad FROM (SELECT {LINE_KEY} AS k FROM lineitem) GROUP BY 1")
+@query(
+    f"""WITH t AS (SELECT {LINE_KEY} AS k, l_quantity AS q FROM lineitem) SELECT k // 1000000 AS module, 'late' AS code, count(*) AS n, CAST(min(k) AS VARCHAR) AS example FROM t WHERE k % 1000 > 6 GROUP BY 1
+    UNION ALL SELECT k // 1000000, 'many', count(*), CAST(min(k) AS VARCHAR) FROM t WHERE q > 45 GROUP BY 1"""
+)
 def w11_first_bad(spark, d):
+    from ..operators import libcheck
+
     k = F.col("key")
-    return lines(spark, d).groupBy(keys.book_of(k).alias("book")).agg(F.count("*").alias("n"), F.min(F.when(keys.verse_of(k) > 6, k)).alias("first_bad"))
+    rows = lines(spark, d).withColumn("module", keys.book_of(k))
+    return libcheck.first_bad(rows, [("late", "error", keys.verse_of(k) > 6, k), ("many", "warn", F.col("l_quantity") > 45, k), ("none", "error", k < 0, k)]).select("module", "code", "n", "example")
 
 
 @query("SELECT doc_id FROM (SELECT doc_id FROM documents ORDER BY md5('1:' || doc_id), doc_id LIMIT 100)")
@@ -401,13 +442,19 @@ def w9_stratified_sample(spark, d):
     return stats.stratified(table(spark, d, "documents").select("doc_id", "source"), "source", "doc_id", 40)
 
 
-@query("SELECT n_regionkey, sha256(coalesce(string_agg(n_name || chr(10), '' ORDER BY n_nationkey), '')) AS content_sha256 FROM (SELECT r_regionkey + d AS n_regionkey FROM region, (VALUES (0), (100)) AS t(d)) r LEFT JOIN nation USING (n_regionkey) GROUP BY 1")
+@query(
+    """WITH g AS (SELECT c_nationkey AS module, c_custkey AS group_id, c_custkey AS a, c_custkey + 2 AS b, CASE WHEN c_custkey % 5 > 0 THEN c_name END AS phrase FROM customer), l AS (SELECT c_nationkey AS module, o_custkey AS source_id, o_orderkey AS a, o_orderkey + 1 AS b FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 3 = 0)
+    SELECT g.module, sha256(string_agg(g.a || chr(9) || g.b || chr(9) || coalesce(phrase, '') || chr(9) || coalesce(CAST(l.a AS VARCHAR), '') || chr(9) || coalesce(CAST(l.b AS VARCHAR), ''), chr(10) ORDER BY group_id, l.a)) AS content_sha256
+    FROM g LEFT JOIN l ON l.module = g.module AND source_id = group_id GROUP BY 1"""
+)
 def j8_empty_groups(spark, d):
-    from ..operators import sequence
+    from ..operators import xrefs
 
-    groups = table(spark, d, "region").select(F.explode(F.array(F.col("r_regionkey"), F.col("r_regionkey") + 100)).alias("n_regionkey"))
-    both = groups.join(table(spark, d, "nation"), "n_regionkey", "left")
-    return sequence.content_hash(both, "n_regionkey", ["n_nationkey"], F.coalesce(F.concat("n_name", F.lit("\n")), F.lit("")))
+    c, k = table(spark, d, "customer"), F.col("c_custkey")
+    groups = c.select(F.col("c_nationkey").alias("module"), k.alias("group_id"), k.alias("verse_id_start"), (k + 2).alias("verse_id_end"), F.when(k % 5 > 0, F.col("c_name")).alias("phrase"))
+    o = table(spark, d, "orders").where("o_orderkey % 3 = 0").join(c, F.col("o_custkey") == k)
+    links = o.select(F.col("c_nationkey").alias("module"), F.col("o_custkey").alias("source_id"), F.col("o_orderkey").alias("verse_id_start"), (F.col("o_orderkey") + 1).alias("verse_id_end"), F.col("o_orderkey").alias("sort_order"))
+    return xrefs.content_digest(groups, links)
 
 
 # Verifier: the modules' own rows, scripts, losses, samples ---------------------------

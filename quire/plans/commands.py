@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import keys, refs, text
-from ..library import Held, run_command
-from ..operators import convert
+from ..library import Held, Library, run_command
+from ..operators import convert, lookup
 from .keyed import TREE, TURN_KEY, geography, turns
 from .registry import query, table
 
@@ -64,9 +64,13 @@ def one_row(spark, values: dict) -> DataFrame:
 # Commands -------------------------------------------------------------------------
 
 
-@query("SELECT name AS module, CAST(0 AS DOUBLE) AS size_mb FROM (VALUES ('cross_reference_orders')) AS t(name)")
+@query("SELECT 'bible_n' || n_nationkey AS module, true AS sized FROM nation WHERE n_nationkey % 4 <> 0 AND n_nationkey IN (SELECT c_nationkey FROM customer)")
 def cmd_modules(spark, d):
-    return run_command(library(spark, d), "modules", [], {"type": "xref"})
+    """The folder of module files that are made of customers and orders."""
+    from .stored import customer_modules
+
+    found = run_command(Library(spark, customer_modules(spark, d)[0]), "modules", [], {"type": "bible"})
+    return found.select("module", (F.col("size_mb") >= 0).alias("sized"))
 
 
 @query("SELECT '1' AS info_id, r_name AS abbreviation, '{\"a\":1}' AS metadata, 'bible_turns' AS _file FROM region WHERE r_regionkey = 1")
@@ -74,10 +78,16 @@ def cmd_info(spark, d):
     return one_row(spark, run_command(library(spark, d), "info", ["bible_turns"]))
 
 
-@query("SELECT * FROM (VALUES ('bible_verse', 'verse_id, text'), ('module_info', 'info_id, abbreviation, metadata')) AS t(table_name, names)")
+@query(
+    """SELECT * FROM (VALUES ('customer', 'id INTEGER key, name TEXT required, balance REAL, paid INTEGER'), ('orders', 'id INTEGER key, text TEXT, customer INTEGER')) AS t(table_name, names) WHERE EXISTS (SELECT 1 FROM customer WHERE c_nationkey = 5)"""
+)
 def cmd_schema(spark, d):
-    found = run_command(library(spark, d), "schema", ["turns"])
-    return spark.createDataFrame([(n, ", ".join(c["name"] for c in t["columns"])) for n, t in found.items()], "table_name string, names string")
+    """Tables of one of the files that are made of customers and orders, as the file declares them."""
+    from .stored import customer_modules
+
+    found = run_command(Library(spark, customer_modules(spark, d)[0]), "schema", ["n5"])
+    shown = lambda c: f"{c['name']} {c['type']}" + (" key" if c["pk"] else "") + (" required" if c["notnull"] else "")
+    return spark.createDataFrame([(n, ", ".join(map(shown, t["columns"]))) for n, t in found.items()], "table_name string, names string")
 
 
 @query("SELECT 'topic' AS table_name, (SELECT count(*) FROM region) + (SELECT count(*) FROM nation) + (SELECT count(*) FROM customer) AS n UNION ALL SELECT 'verse_link', count(*) FROM orders")
@@ -211,6 +221,34 @@ def cmd_section(spark, d):
     return one_row(spark, {"section_id": s["section_id"], "section_number": s["section_number"], "title": s["title"], "scripture_references": ", ".join(s["scripture_references"])})
 
 
+@query(
+    """WITH t AS (SELECT conv_id * 1000 + turn AS verse_id, text, '{"turn":' || turn || ',"v":1}' AS formatting FROM conversations), w AS (SELECT l_orderkey % 100 * 1000 + l_linenumber % 8 AS verse_id, l_orderkey AS p, 'H' || l_partkey AS s, l_returnflag AS g FROM lineitem)
+    SELECT t.verse_id, text, formatting, coalesce((SELECT string_agg(p || ' ' || s || ' ' || coalesce(g, ''), '; ' ORDER BY p, s, g) FROM w WHERE w.verse_id = t.verse_id), '') AS words FROM t WHERE t.verse_id % 3 = 0"""
+)
+def p19_verse_details(spark, d):
+    v = table(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("verse_id"), "text", F.concat(F.lit('{"v": 1, "turn": '), F.col("turn").cast("string"), F.lit("}")).alias("formatting"))
+    w = table(spark, d, "lineitem").select((F.col("l_orderkey") % 100 * 1000 + F.col("l_linenumber") % 8).alias("verse_id"), F.col("l_orderkey").alias("word_position_start"), F.concat(F.lit("H"), F.col("l_partkey").cast("string")).alias("strongs_number"), F.col("l_returnflag").alias("gloss"))
+    found = lookup.verse_details(v, w, v.where("verse_id % 3 = 0"))
+    shown = F.array_join(F.transform("words", lambda x: F.concat_ws(" ", x["position"].cast("string"), x["strongs_number"], F.coalesce(x["gloss"], F.lit("")))), "; ")
+    return found.select("verse_id", "text", lookup.parse_or_keep(F.col("formatting")).alias("formatting"), shown.alias("words"))
+
+
+@query(
+    """WITH r AS (SELECT n_name AS module, CASE c_custkey % 4 WHEN 0 THEN 'Gen' WHEN 1 THEN 'Exod' WHEN 2 THEN 'Tob' ELSE 'Sir' END AS osis, c_custkey % 4 < 2 AS known, c_custkey % 7 > 0 AS stored, c_custkey % 5 = 0 AS merged, c_custkey % 6 = 0 AS linked, c_custkey % 9 = 0 AS coded FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_nationkey <> 3),
+    b AS (SELECT module, osis, count(*) FILTER (known AND stored) AS i, count(*) FILTER (NOT known) AS o, count(*) FILTER (merged) AS m, count(*) FILTER (linked) AS l, count(*) FILTER (coded) AS c FROM r GROUP BY 1, 2),
+    s AS (SELECT module, sum(m) AS m, sum(l) AS l, sum(c) AS c, string_agg('{"osis":"' || osis || '","verses":' || i || '}', ',' ORDER BY osis) FILTER (i > 0) AS i, string_agg('{"osis":"' || osis || '","verses":' || o || '}', ',' ORDER BY osis) FILTER (o > 0) AS o FROM b GROUP BY 1)
+    SELECT n_name AS module, '{"sword_module":"' || n_name || '","sword_lang":"en","sword_source_type":"","sword_versification":"KJV","sword_distribution_license":"Public \\"Domain\\"","sword_text_source":"","variant_verse_merges":' || coalesce(m, 0) || ',"linked_verses_skipped":' || coalesce(l, 0) ||
+    ',"latin1_entries_transcoded":' || coalesce(c, 0) || ',"sword_declared_versification":"KJV","versification_override":"","source_books":[' || coalesce(i, '') || '],"skipped_books":[' || coalesce(o, '') || ']}' AS metadata FROM nation LEFT JOIN s ON module = n_name""".replace("\\\\", "\\")
+)
+def c18_metadata(spark, d):
+    k, n = F.col("c_custkey"), table(spark, d, "nation")
+    osis = F.when(k % 4 == 0, "Gen").when(k % 4 == 1, "Exod").when(k % 4 == 2, "Tob").otherwise("Sir")
+    r = table(spark, d, "customer").where("c_nationkey <> 3").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    r = convert.with_book(r.select(F.col("n_name").alias("module"), osis.alias("osis"), (k % 7 > 0).alias("stored"), (k % 5 == 0).alias("merged"), (k % 6 == 0).alias("linked"), (k % 9 == 0).alias("transcoded")))
+    conf = n.select(F.col("n_name").alias("module"), F.create_map(F.lit("Lang"), F.lit("en"), F.lit("Versification"), F.lit("KJV"), F.lit("DistributionLicense"), F.lit('Public "Domain"')).alias("conf"))
+    return convert.module_metadata(r, conf)
+
+
 # References -----------------------------------------------------------------------
 
 
@@ -376,6 +414,18 @@ def c17_identity(spark, d):
 # Text -----------------------------------------------------------------------------
 
 
+#: Bytes put after a name, and whether they are UTF-8 in structure: surrogates and long overlong forms are, stray bytes and short ones are not.
+BYTE_CASES = [("C3A9", True), ("EDA080", True), ("E08080", True), ("F0808080", True), ("F4BFBFBF", True), ("F5808080", False), ("C080", False), ("C3", False), ("E282", False), ("80", False), ("E9", False), ("", True)]
+
+
+@query("SELECT p_partkey, CASE p_partkey % 12 " + " ".join(f"WHEN {i} THEN {str(ok).lower()}" for i, (_, ok) in enumerate(BYTE_CASES)) + " END AS structural FROM part")
+def f19_structure(spark, d):
+    more = F.lit("")
+    for i, (hexes, _) in enumerate(BYTE_CASES):
+        more = F.when(F.col("p_partkey") % 12 == i, hexes).otherwise(more)
+    return table(spark, d, "part").select("p_partkey", text.is_structural_utf8(F.concat(F.encode("p_name", "UTF-8"), F.unhex(more))).alias("structural"))
+
+
 @query("SELECT p_partkey, p_name || ' {a} & ' || p_brand || ' \"q\"' AS plain FROM part")
 def f14_strip_rtf(spark, d):
     raw = F.concat(F.lit(r"\b "), "p_name", F.lit(r"\par \{a\} &amp; {\i0 "), "p_brand", F.lit(r"}<br/>&quot;q&quot;\line "))

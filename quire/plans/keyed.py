@@ -219,13 +219,17 @@ def j4_counts(spark, d):
     return lookup.with_counts(table(spark, d, "supplier").select("s_suppkey", "s_name"), "s_suppkey", table(spark, d, "lineitem"), "l_suppkey", "links")
 
 
-@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem JOIN (SELECT l_orderkey AS k, count(*) AS m FROM lineitem GROUP BY 1) ON l_orderkey = k WHERE l_linenumber > m GROUP BY 1, 2")
+@query(
+    """WITH s AS (SELECT l_orderkey AS k, CASE WHEN l_orderkey % 5 > 0 THEN count(*) END AS m FROM lineitem GROUP BY 1), w AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 4 = 3 THEN -1 ELSE l_linenumber END AS a, l_linenumber - l_orderkey % 2 AS b FROM lineitem)
+    SELECT l_orderkey, l_linenumber, count(*) AS n FROM w JOIN s ON l_orderkey = k WHERE a < 0 OR b >= m GROUP BY 1, 2"""
+)
 def j6_out_of_bounds(spark, d):
     from ..operators.validate import positions_out_of_bounds
 
     li = table(spark, d, "lineitem")
-    sizes = li.groupBy("l_orderkey").agg(F.count("*").alias("m")).withColumn("m", F.col("m") + 1)
-    bad = positions_out_of_bounds(li.withColumn("p", F.col("l_linenumber")), sizes, "l_orderkey", "p", "p", "m")
+    sizes = li.groupBy("l_orderkey").agg(F.count("*").alias("m")).withColumn("m", F.when(F.col("l_orderkey") % 5 > 0, F.col("m")))
+    placed = li.withColumns({"a": F.when(F.col("l_linenumber") % 4 == 3, -1).otherwise(F.col("l_linenumber")), "b": F.col("l_linenumber") - F.col("l_orderkey") % 2})
+    bad = positions_out_of_bounds(placed, sizes, "l_orderkey", "a", "b", "m")
     return bad.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"))
 
 
@@ -235,12 +239,14 @@ def j7_equal_neighbours(spark, d):
 
 
 @query(
-    """WITH r AS (SELECT row_number() OVER () AS n, * FROM (VALUES (0, 0, 9999, 100), (1, 10000, 50000, 200), (2, 0, 400000, 300)) AS t(rule_order, low, high, target))
-    SELECT o_orderkey, (SELECT target FROM r WHERE o_totalprice BETWEEN low AND high ORDER BY rule_order LIMIT 1) AS target FROM orders"""
+    """WITH r AS (SELECT p_partkey AS rule_order, p_partkey % 5 AS g, p_partkey * 7919 % 400000 AS low, p_partkey * 7919 % 400000 + CASE p_partkey % 3 WHEN 0 THEN 100 WHEN 1 THEN 5000 ELSE 90000 END AS high FROM part),
+    j AS (SELECT o_orderkey, o_custkey % 6 AS g, o_totalprice AS v FROM orders) SELECT o_orderkey, min(rule_order) AS target FROM j LEFT JOIN r ON j.g = r.g AND v BETWEEN low AND high GROUP BY 1"""
 )
 def j13_first_rule(spark, d):
-    rules = spark.createDataFrame([(0, 0, 9999, 100, 1), (1, 10000, 50000, 200, 1), (2, 0, 400000, 300, 1)], "rule_order long, low long, high long, target int, g int")
-    rows = table(spark, d, "orders").select("o_orderkey", "o_totalprice", F.lit(1).alias("g"))
+    """Parts as rules in five groups, of three widths; a sixth group has none."""
+    k = F.col("p_partkey")
+    rules = table(spark, d, "part").select(k.alias("rule_order"), (k % 5).alias("g"), (k * 7919 % 400000).alias("low"), (k * 7919 % 400000 + F.when(k % 3 == 0, 100).when(k % 3 == 1, 5000).otherwise(90000)).alias("high"), k.alias("target"))
+    rows = table(spark, d, "orders").select("o_orderkey", "o_totalprice", (F.col("o_custkey") % 6).alias("g"))
     return ranges.first_rule(rows, rules, ("g",), "o_totalprice").select("o_orderkey", "target")
 
 

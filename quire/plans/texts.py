@@ -35,12 +35,13 @@ def a5_flags(spark, d):
 
 
 @query(
-    """SELECT source, round(median(n_chars), 6) AS mid, round(avg(n_chars), 6) AS mean, round(min(n_chars) / max(n_chars), 9) AS ratio FROM documents GROUP BY 1"""
+    """SELECT source, round(median(n_chars), 6) AS mid, round(quantile_cont(n_chars, 0.9), 6) AS high, round(avg(n_chars), 6) AS mean, round(min(n_chars) / max(n_chars), 9) AS ratio FROM documents GROUP BY 1"""
 )
 def a9_medians(spark, d):
-    return table(spark, d, "documents").groupBy("source").agg(
-        F.round(F.percentile("n_chars", F.lit(0.5)), 6).alias("mid"), F.round(F.avg("n_chars"), 6).alias("mean"), F.round(F.min("n_chars") / F.max("n_chars"), 9).alias("ratio")
-    )
+    docs, n = table(spark, d, "documents"), F.col("n_chars")
+    means = docs.groupBy("source").agg(F.round(F.avg(n), 6).alias("mean"), F.round(F.min(n) / F.max(n), 9).alias("ratio"))
+    mid, high = (stats.quantile(docs, ["source"], n, q, name).withColumn(name, F.round(name, 6)) for q, name in ((0.5, "mid"), (0.9, "high")))
+    return means.join(mid, "source").join(high, "source")
 
 
 @query(
@@ -147,14 +148,21 @@ def f22_strip_markup(spark, d):
     return table(spark, d, "pages").select("page_id", text.strip_markup_clean(F.col("html")).alias("plain"))
 
 
+ODD_SPACES = "text || CASE doc_id % 6 WHEN 0 THEN chr(8195) || 'w' || chr(8195) || '*' WHEN 1 THEN chr(160) || '5' WHEN 2 THEN chr(65279) || 'x' WHEN 3 THEN chr(133) || 'y' || chr(28) || 'z' WHEN 4 THEN ' *' || chr(12288) || '*' ELSE '' END"
+SPACED = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+WEB_SPACED = r"\t-\r\x{20}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
+
+
 @query(
-    r"""SELECT doc_id, CAST(len(regexp_extract_all(text, '[^ \t\n\v\f\r]+')) AS BIGINT) AS space_words, CAST(length(trim(text, ' ')) - length(replace(trim(text, ' '), ' ', '')) + 1 AS BIGINT) AS by_spaces,
-    CAST(len(list_filter(string_split(text, ' '), lambda w: w <> '')) AS BIGINT) AS split_words, CAST(len(list_filter(regexp_extract_all(text, '[^ \t\n\v\f\r]+'), lambda w: regexp_matches(w, '[\p{L}\p{N}]'))) AS BIGINT) AS lettered FROM documents"""
+    rf"""WITH d AS (SELECT doc_id, {ODD_SPACES} AS text FROM documents) SELECT doc_id, CAST(len(regexp_extract_all(text, '[^ \t\n\v\f\r]+')) AS BIGINT) AS space_words, CAST(length(trim(text, ' ')) - length(replace(trim(text, ' '), ' ', '')) + 1 AS BIGINT) AS by_spaces,
+    CAST(len(list_filter(string_split(text, ' '), lambda w: w <> '')) AS BIGINT) AS split_words, CAST(len(list_filter(regexp_extract_all(text, '[^{SPACED}]+'), lambda w: regexp_matches(w, '[\p{{L}}\p{{N}}]'))) AS BIGINT) AS lettered,
+    CAST(len(regexp_extract_all(text, '[^{WEB_SPACED}]+')) AS BIGINT) AS web_words FROM d"""
 )
 def f23_word_counts(spark, d):
-    t = F.col("text")
-    return table(spark, d, "documents").select(
-        "doc_id", text.count_space_words(t).alias("space_words"), text.count_by_spaces(t).alias("by_spaces"), text.count_split_words(t).alias("split_words"), text.count_lettered_words(t).alias("lettered")
+    m, t = F.col("doc_id") % 6, F.col("text")
+    odd = F.when(m == 0, "\u2003w\u2003*").when(m == 1, "\u00a05").when(m == 2, "\ufeffx").when(m == 3, "\u0085y\x1cz").when(m == 4, " *\u3000*").otherwise("")
+    return table(spark, d, "documents").withColumn("text", F.concat("text", odd)).select(
+        "doc_id", text.count_space_words(t).alias("space_words"), text.count_by_spaces(t).alias("by_spaces"), text.count_split_words(t).alias("split_words"), text.count_lettered_words(t).alias("lettered"), text.count_web_words(t).alias("web_words")
     )
 
 
@@ -217,11 +225,23 @@ def x1_nested(spark, d):
     return fulltext.search(idx, "(NEAR(the of, 3) NOT text: is) OR (lang: de {text}: (und OR mit))", limit=None).select("doc_id")
 
 
-@query()
+SNIPPET_SQL = r"""h AS (SELECT doc_id, text, regexp_extract_all(text, '[\p{L}\p{N}]+') AS t, string_split_regex(text, '[\p{L}\p{N}]+') AS s FROM documents WHERE regexp_matches(lower(text), 'stupid') AND regexp_matches(lower(text), 'loser')),
+    k AS (SELECT *, list_transform(t, lambda w: CASE WHEN regexp_matches(lower(strip_accents(w)), '^stupid(s|ed|ing)?$') THEN 1 WHEN regexp_matches(lower(strip_accents(w)), '^losers?$') THEN 2 ELSE 0 END) AS c FROM h),
+    w AS (SELECT doc_id, unnest(range(0, greatest(1, len(t) - 39))) AS i FROM k), best AS (SELECT doc_id, arg_max(w.i, (len(list_distinct(list_filter(c[w.i + 1 : w.i + 40], lambda x: x > 0))), len(list_filter(c[w.i + 1 : w.i + 40], lambda x: x > 0)), -w.i)) AS i FROM w JOIN k USING (doc_id) WHERE list_contains(c, 1) AND list_contains(c, 2) GROUP BY 1),
+    cut AS (SELECT doc_id, CASE WHEN i > 0 THEN '...' ELSE '' END || list_aggregate(list_transform(range(i, least(len(t), i + 40)), lambda j: CASE WHEN j = i AND i > 0 THEN '' ELSE s[j + 1] END || CASE WHEN c[j + 1] > 0 THEN '>>>' || t[j + 1] || '<<<' ELSE t[j + 1] END), 'string_agg', '')
+        || CASE WHEN i + 40 >= len(t) THEN s[len(t) + 1] ELSE '...' END AS snippet FROM best JOIN k USING (doc_id)),
+    idx AS (SELECT doc_id, unnest(regexp_extract_all(lower(strip_accents(text)), '[\p{L}\p{N}]+')) AS token FROM documents), len AS (SELECT doc_id, count(*) AS l FROM idx GROUP BY 1), corpus AS (SELECT count(*) AS n, avg(l) AS m FROM len),
+    hit AS (SELECT doc_id, CASE WHEN regexp_matches(token, '^stupid(s|ed|ing)?$') THEN 1 ELSE 2 END AS c, count(*) AS f FROM idx WHERE regexp_matches(token, '^stupid(s|ed|ing)?$|^losers?$') GROUP BY 1, 2), df AS (SELECT c, count(*) AS df FROM hit GROUP BY 1)"""
+
+
+@query(
+    f"""WITH {SNIPPET_SQL} SELECT * FROM (SELECT doc_id, round(-sum(greatest(ln((n - df + 0.5) / (df + 0.5)), 1e-6) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * l / m))), 9) AS rank FROM hit JOIN df USING (c) JOIN len USING (doc_id) CROSS JOIN corpus
+    GROUP BY 1 HAVING count(*) = 2 ORDER BY rank, doc_id LIMIT 25) JOIN cut USING (doc_id)"""
+)
 def x3_snippets(spark, d):
     docs = table(spark, d, "documents")
     hits = fulltext.search(fulltext.postings(docs, "doc_id", "text", stem=True), "stupid losers", stem=True)
-    return fulltext.snippets(hits.join(docs.select("doc_id", "text"), "doc_id"), "text", "stupid losers", stem=True).select("doc_id", "rank", "snippet")
+    return fulltext.snippets(hits.join(docs.select("doc_id", "text"), "doc_id"), "text", "stupid losers", stem=True).select("doc_id", F.round("rank", 9).alias("rank"), "snippet")
 
 
 @query(
@@ -278,7 +298,12 @@ def c5_parse_markup(spark, d):
     return p.select("page_id", "p.text", "p.word_count", markup.formatting(F.col("p.block"), F.col("p.spans")).alias("formatting"))
 
 
-@query()
+@query(
+    r"""WITH r AS (SELECT conv_id * 8 + turn AS i, conv_id % 50 + 1 AS c, turn AS v, trim(regexp_replace(text, '[ \t\n]+', ' ', 'g')) AS t FROM conversations), w AS (SELECT *, len(string_split(t, ' ')) AS n, 1000000 + c * 1000 + least(greatest(v, 1), 6) AS verse_id FROM r WHERE t <> ''),
+    o AS (SELECT *, CAST(coalesce(sum(n) OVER (PARTITION BY verse_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS a FROM w)
+    SELECT 'm' AS module, verse_id, string_agg(t, ' ' ORDER BY i) AS text, '{"v":1,"spans":[' || string_agg('{"type":"words_of_christ","start":' || a || ',"end":' || (a + n - 1) || '}', ',' ORDER BY i) || ']' ||
+    coalesce(',"source_verses":[' || string_agg('{"chapter":' || c || ',"verse":' || v || ',"start":' || a || ',"end":' || (a + n - 1) || '}', ',' ORDER BY i) FILTER (v > 6) || ']', '') || '}' AS formatting, CAST(sum(n) AS BIGINT) AS word_count FROM o GROUP BY verse_id"""
+)
 def c9_convert(spark, d):
     c = table(spark, d, "conversations")
     records = c.select(F.lit("m").alias("module"), F.expr("conv_id * 8 + turn").alias("i"), F.lit("Gen").alias("osis"), (F.col("conv_id") % 50 + 1).cast("int").alias("c"), F.col("turn").cast("int").alias("v"), F.concat(F.lit("<q who='Jesus'>"), "text", F.lit("</q>")).alias("raw"))
@@ -286,7 +311,11 @@ def c9_convert(spark, d):
     return convert.bible_tables(records, canon)["bible_verse"]
 
 
-@query()
+@query(
+    """WITH p AS (SELECT page_id AS n, (page_id // 998001 + 1) * 1000000 + (page_id // 999 % 999 + 1) * 1000 AS chapter, page_id % 999 + 1 AS v FROM pages),
+    l AS (SELECT n, chapter, v, unnest([(1, chapter + 35, chapter + 39), (2, chapter // 1000000 * 1000000 + 5003, chapter // 1000000 * 1000000 + 5003), (3, chapter // 1000000 * 1000000 + 5004, chapter // 1000000 * 1000000 + 5004), (4, 1050020, 1050020), (5, 65001003, 65001003)]) AS x FROM p)
+    SELECT (chapter + v) || ':0' AS group_key, x[1] AS sort_order, x[2] AS verse_id_start, x[3] AS verse_id_end, 'phrase ' || n AS context FROM l"""
+)
 def c19_import_xrefs(spark, d):
     # Every page is an entry of its own: page_id spread over book, chapter and verse; its html, then a list of references.
     n = F.col("page_id")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import keys
+from . import shared
 
 
 def links(df: DataFrame) -> DataFrame:
@@ -15,11 +16,13 @@ def links(df: DataFrame) -> DataFrame:
     return df.withColumn("verse_id_end", keys.range_end(F.col("verse_id_start"), F.col("verse_id_end"))).withColumn("context", F.nullif("context", F.lit("")))
 
 
-def write_module(tables: dict[str, DataFrame], path: str, force: bool = False) -> None:
-    """One Parquet table for each of a module's; an existing one is only replaced with ``force``."""
+def write_module(tables: dict[str, DataFrame], path: str, force: bool = False) -> int:
+    """A module's tables as one published version (all of them or none); one that is there is only replaced with ``force``."""
+    stored = {}
     for name, df in tables.items():
         text = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
-        df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in text}).write.mode("overwrite" if force else "errorifexists").parquet(f"{path}/{name}")
+        stored[name] = df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in text})
+    return shared.publish(next(iter(tables.values())).sparkSession, stored, path, force)
 
 
 def append_results(df: DataFrame, path: str) -> None:

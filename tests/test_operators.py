@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quire.functions.refs import Books
 from quire.operators import catalog, convert, lookup, ranges, sequence, stats, trees, validate, verify, xrefs
 from quire.sources import files, sinks, sqlite
+from quire.sources.shared import published
 
 TOPICS = [(1, None, "Israel", 1), (2, 1, "Manasseh", 1), (3, None, "Manasseh", 2), (4, 3, "Son of Joseph and Asenath", 1), (5, 3, "Tribe of", 2), (6, 5, "Inheritance of", 1), (7, 3, "King of Judah", 3)]
 LINKS = [(1, "topic", 4, 1041050, 1041050, 1), (2, "topic", 6, 6017001, 6017002, 1)]
@@ -255,10 +256,10 @@ def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "", 5, 0), (2, "c", 7, 9)], "link_id long, context string, verse_id_start long, verse_id_end long")
     assert [tuple(r) for r in sinks.links(df).collect()] == [(1, None, 5, 5), (2, "c", 7, 9)]
     sinks.write_module({"verse_link": df}, f"{tmp_path}/m")
-    with pytest.raises(Exception, match="exist"):
+    with pytest.raises(Exception, match="force is needed"):
         sinks.write_module({"verse_link": df}, f"{tmp_path}/m")
-    sinks.write_module({"verse_link": df}, f"{tmp_path}/m", force=True)
-    assert spark.read.parquet(f"{tmp_path}/m/verse_link").where("context IS NULL").count() == 1
+    assert sinks.write_module({"verse_link": df}, f"{tmp_path}/m", force=True) == 2
+    assert published(spark, f"{tmp_path}/m")["verse_link"].where("context IS NULL").count() == 1
     assert sinks.formatted(df, "count") == "2" and json.loads(sinks.formatted(df, "json"))[1]["context"] == "c" and "link_id" in sinks.formatted(df, "table")
 
 
