@@ -4,9 +4,9 @@ A segment has ``postings`` (a row for each token of a document's column: its
 places, and the length of the document) and ``docs`` (a row for each document:
 its length, and a digest of its text by which ``refresh`` finds what changed).
 Postings are partitioned by a hash of the term's first two letters and sorted by
-term inside, in ranges of (term, document), so a frequent term is many files and
-not one task, and a query reads the partitions of its terms only; so does a
-prefix of two letters or more. As every posting carries its document's length,
+term inside; a partition is dealt over ``SALTS`` files by document, so a frequent
+term is no single task, and a query reads the partitions of its terms only; so
+does a prefix of two letters or more. As every posting carries its document's length,
 and the manifest the number of documents and tokens, a query's rank needs no
 other table.
 
@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from ..sources import shared
 from . import fulltext
 
-BUCKETS = 64
+BUCKETS, SALTS = 64, 16
 #: Postings that a task hands over at a time.
 CHUNK = 20_000
 
@@ -50,9 +50,8 @@ def postings(docs: DataFrame, ident: str, columns: list[str], stem: bool = True)
         known: dict[str, str] = {}
         out: list[tuple] = []
         for batch in batches:
-            for i, tokens in zip(batch.column(0), batch.column(1), strict=True):
+            for i, lists in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found: dict[tuple[int, str], list[int]] = {}
-                lists = tokens.as_py()
                 for c, words in enumerate(lists):
                     for at, word in enumerate(words):
                         if stem:
@@ -74,7 +73,7 @@ def postings(docs: DataFrame, ident: str, columns: list[str], stem: bool = True)
 
 def _batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     i, token, col, places, total = zip(*rows, strict=True)
-    arrays = [pa.array([x.as_py() for x in i], kind), pa.array(token, pa.string()), pa.array(col, pa.int32()), pa.array(places, pa.list_(pa.int32())), pa.array(total, pa.int64())]
+    arrays = [pa.array(i, kind), pa.array(token, pa.string()), pa.array(col, pa.int32()), pa.array(places, pa.list_(pa.int32())), pa.array(total, pa.int64())]
     return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "token", "col", "places", "len"])
 
 
@@ -91,8 +90,8 @@ def _digest(columns: list[str]) -> Column:
 
 
 def _laid_out(rows: DataFrame, buckets: int) -> DataFrame:
-    order = ["bucket", "token", "doc_id", "col"]
-    return rows.withColumn("bucket", bucket_of(F.col("token"), buckets)).repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = rows.withColumn("bucket", bucket_of(F.col("token"), buckets))
+    return placed.repartition("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).sortWithinPartitions("bucket", "token", "doc_id", "col")
 
 
 def _totals(docs: DataFrame) -> tuple[int, int]:
@@ -105,8 +104,8 @@ def build(docs: DataFrame, ident: str, columns: list[str], path: str, stem: bool
     spark = docs.sparkSession
     shape = {"columns": columns, "stem": stem, "buckets": buckets, "base": True}
     parts = _segment(docs, ident, columns, stem, buckets)
-    n, total = _totals(parts["docs"])
-    shared.publish(spark, parts, path, force, shape | {"n": n, "total": total}, partition_by={"postings": "bucket"})
+    note = lambda written: shape | dict(zip(("n", "total"), _totals(written["docs"]), strict=True))
+    shared.publish(spark, parts, path, force, note, partition_by={"postings": "bucket"})
     return TextIndex(spark, path)
 
 
@@ -177,9 +176,12 @@ class TextIndex:
         if removed is not None:
             gone = gone.union(removed.where(F.col(ident).isNotNull()).select(ident))
         parts["gone"] = gone.distinct()
-        lost, lost_total = _totals(self._live("docs").join(parts["gone"], "doc_id", "left_semi"))
-        n, total = _totals(parts["docs"])
-        note = s | {"base": False, "n": s["n"] - lost + n, "total": s["total"] - lost_total + total}
+
+        def note(written: dict[str, DataFrame]) -> dict:
+            lost, lost_total = _totals(self._live("docs").join(written["gone"], "doc_id", "left_semi"))
+            n, total = _totals(written["docs"])
+            return s | {"base": False, "n": s["n"] - lost + n, "total": s["total"] - lost_total + total}
+
         shared.publish(spark, parts, self.path, True, note, expect=self.version, partition_by={"postings": "bucket"})
         return TextIndex(spark, self.path)
 

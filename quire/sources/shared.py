@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -59,13 +60,14 @@ def history(spark: SparkSession, path: str) -> list:
     return sorted(rows, key=lambda r: (r["version"], r["folder"]))
 
 
-def publish(spark: SparkSession, tables: dict[str, DataFrame], path: str, force: bool = False, note: dict | None = None, expect: int | None = None, partition_by: dict[str, str] | None = None) -> int:
+def publish(spark: SparkSession, tables: dict[str, DataFrame], path: str, force: bool = False, note: dict | Callable[[dict[str, DataFrame]], dict] | None = None, expect: int | None = None, partition_by: dict[str, str] | None = None) -> int:
     """Write the tables as a new version and make it the current one; the version's number.
 
     Without ``force`` a path that has a version is refused before anything is
     written. ``expect`` is the version that the writer has read: if another one
     has come meanwhile, the new one is not published. Counts and an
-    order-independent digest of each table are read back from what was written.
+    order-independent digest of each table are read back from what was written,
+    and so is a ``note`` that is a function of the tables.
     """
     path = path.rstrip("/")
     before = history(spark, path)
@@ -75,17 +77,18 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], path: str, force:
     if expect is not None and expect != current:
         raise Conflict(f"{path} has version {current}, not {expect}")
     folder = f"{path}/versions/{uuid.uuid4().hex}"
-    counts, digests = {}, []
+    counts, digests, written = {}, [], {}
     for name, df in tables.items():
         writer = df.write.partitionBy(partition_by[name]) if partition_by and name in partition_by else df.write
         writer.parquet(f"{folder}/{name}")
-        row = digest_of(spark.read.schema(df.schema).parquet(f"{folder}/{name}")).first()
+        written[name] = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+        row = digest_of(written[name]).first()
         counts[name] = row["n"]
         digests.append(f"{name}:{row['n']}:{row['digest']}")
     latest = history(spark, path)
     if (latest[-1]["version"] if latest else 0) != current:
         raise Conflict(f"{path} was published by another writer")
-    entry = [(current + 1, folder, counts, ",".join(sorted(digests)), json.dumps(note or {}, sort_keys=True))]
+    entry = [(current + 1, folder, counts, ",".join(sorted(digests)), json.dumps((note(written) if callable(note) else note) or {}, sort_keys=True))]
     spark.createDataFrame(entry, MANIFEST).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
     return current + 1
 
