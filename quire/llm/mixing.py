@@ -39,7 +39,7 @@ SHARE = 1.5
 CAP = 2
 BLOCK = 64
 #: Blocks that an output shard holds on average.
-SHARD = 16_384
+SHARD = 4_096
 ROUNDS = 12
 #: Slots that one task draws or makes.
 TASK_SLOTS = 1 << 16
@@ -154,14 +154,22 @@ def _chunks(rows: DataFrame, first: str, last, tasks: int) -> DataFrame:
     return cut_up.repartition(tasks, "rank", "_at").withColumn("j", F.explode(F.sequence("_at", "_to"))).drop("_at", "_to")
 
 
+def shard_of(rank: Column, j: Column, shards: int, seed: int = SEED) -> Column:
+    """The shard that a slot draws: two squarings modulo a prime, below 2**62 throughout."""
+    a, b, c, d = (F.lit(v).cast("long") for v in constants(seed + 1, 1)[0])
+    x = ((j % _P) * a + (rank + 1) * b) % _P
+    y = (x * x % _P + d) % _P
+    return (F.shiftright((y * y % _P * c + x) % _P, 5) % shards).cast("long")
+
+
 def shard_counts(plan: DataFrame, shards: int, tasks: int, seed: int = SEED) -> DataFrame:
     """(rank, blocks, shard, n, first): the blocks that a shard takes of a source, and where its slots begin.
 
-    Every slot draws its shard, so a source's counts are multinomial. A task
-    adds up its draws before anything is shuffled.
+    Every slot draws its shard (see ``shard_of``), so a source's counts are
+    multinomial. A task adds up its draws before anything is shuffled.
     """
     drawn = _chunks(plan.withColumn("_zero", F.lit(0).cast("long")), "_zero", F.col("slots"), tasks)
-    shard = F.pmod(F.xxhash64("rank", "j", F.lit(seed)), F.lit(shards))
+    shard = shard_of(F.col("rank"), F.col("j"), shards, seed)
     counts = drawn.groupBy("rank", "blocks", shard.alias("shard")).agg(F.count("*").alias("n"))
     before = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long"))
@@ -214,18 +222,22 @@ def mix_blocks(docs: DataFrame, shard: int = SHARD, seed: int = SEED, doc_id: st
     return slots(goals, shard=shard, seed=seed).hint("merge").join(pieces, ["rank", "block"])
 
 
-def mix(docs: DataFrame, seed: int = SEED, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target, taken: one row for each document row."""
+def mix(docs: DataFrame, shard: int = SHARD, seed: int = SEED, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """doc_id, size, source_size, target, taken, first_shard, last_shard: one row for each document row.
+
+    The shards are those that hold some of a document's words; null if none does.
+    """
     rows, goals = _parts(docs, doc_id, text, source)
-    drawn = slots(goals, seed=seed).groupBy("rank", "block").agg(F.count("*").alias("draws"))  # over all shards
+    drawn = slots(goals, shard=shard, seed=seed).groupBy("rank", "block").agg(F.count("*").alias("draws"), F.min("shard").alias("first_shard"), F.max("shard").alias("last_shard"))
     taken = (
         pieces_of(streams(rows))
         .join(drawn.hint("merge"), ["rank", "block"], "left")
         .groupBy("rank", "start", "doc_id", "size", "source_size", "target", "tie")
-        .agg(F.sum(F.col("words") * F.coalesce(F.col("draws"), F.lit(0))).alias("taken"))
+        .agg(F.sum(F.col("words") * F.coalesce(F.col("draws"), F.lit(0))).alias("taken"), F.min("first_shard").alias("first_shard"), F.max("last_shard").alias("last_shard"))
     )
-    columns = ["doc_id", "size", "source_size", "target", "taken", "tie"]
-    empty = rows.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
+    columns = ["doc_id", "size", "source_size", "target", "taken", "first_shard", "last_shard", "tie"]
+    none = F.lit(None).cast("long")
+    empty = rows.where("size = 0").withColumns({"taken": F.lit(0).cast("long"), "first_shard": none, "last_shard": none})
     return taken.select(*columns).unionByName(empty.select(*columns))
 
 
@@ -238,20 +250,26 @@ def take(docs: DataFrame) -> DataFrame:
 
     Rows that agree in id and text are drawn alike: each gets its group's mean.
     """
-    drawn = mix(docs).groupBy(F.col("doc_id").alias("m_id"), F.col("tie").alias("m_tie"), "size", "target").agg(F.avg("taken").alias("taken"))
-    rows = docs.drop("size", "target", "taken")
+    from .common import aside
+
+    rows, back = aside(docs.drop("size", "target", "taken"), "doc_id", "text", "source")
+    drawn = mix(rows).groupBy(F.col("doc_id").alias("m_id"), F.col("tie").alias("m_tie"), "size", "target").agg(F.avg("taken").alias("taken"))
     hit = rows["doc_id"].eqNullSafe(drawn["m_id"]) & F.xxhash64(rows["text"]).eqNullSafe(drawn["m_tie"])
-    return rows.join(drawn.where("taken > 0"), hit).drop("m_id", "m_tie")
+    met = rows.join(drawn.where("taken > 0"), hit)
+    own = back(met).columns
+    named = {c: p for c, p in zip(own, [c for c in met.columns if c not in ("m_id", "m_tie", "size", "target", "taken")], strict=True)}
+    return met.select(*[F.col(p).alias(c) for c, p in named.items()], "size", "target", "taken")
 
 
-def oracle(seed: int = SEED, block: int = BLOCK, bucket_rows: int = BUCKET_ROWS) -> str:
+def oracle(seed: int = SEED, block: int = BLOCK, bucket_rows: int = BUCKET_ROWS, shard: int = SHARD) -> str:
     """DuckDB SQL for ``query``: the same rule, for tables whose doc_id is unique."""
+    a, b, c, d = constants(seed + 1, 1)[0]
     body = "drawn0"
     ctes = []
-    for i, (a, b, c, d) in enumerate(constants(seed), 1):
+    for i, (e, f, g, h) in enumerate(constants(seed), 1):
         ctes.append(
-            f"""pair{i} AS (SELECT *, ((((s % {_P}) * {a} + {b}) % {_P}) * (s % 65521 + 1) % n - x + n) % n AS pair FROM {body}),
-drawn{i} AS (SELECT rank, s, n, CASE WHEN ((((((greatest(x, pair) % {_P}) * {c} + s % {_P}) % {_P}) * {d} + {b}) % {_P}) >> 13) & 1 = 1 THEN pair ELSE x END AS x FROM pair{i})"""
+            f"""pair{i} AS (SELECT *, ((((s % {_P}) * {e} + {f}) % {_P}) * (s % 65521 + 1) % n - x + n) % n AS pair FROM {body}),
+drawn{i} AS (SELECT rank, shard, s, n, CASE WHEN ((((((greatest(x, pair) % {_P}) * {g} + s % {_P}) % {_P}) * {h} + {f}) % {_P}) >> 13) & 1 = 1 THEN pair ELSE x END AS x FROM pair{i})"""
         )
         body = f"drawn{i}"
     weight = " ".join(f"WHEN rank % {len(WEIGHTS)} = {i} THEN {w}" for i, w in enumerate(WEIGHTS))
@@ -269,16 +287,19 @@ goals AS (SELECT source, source_size, rank, CASE WHEN fits THEN weight * (SELECT
     (source_size + {block - 1}) // {block} AS n FROM opened),
 plan AS (SELECT *, CAST(floor(target / source_size) AS BIGINT) AS whole FROM goals WHERE source_size > 0),
 slotted AS (SELECT *, whole * n + CAST(round((target - whole * source_size) * n / source_size) AS BIGINT) AS slots FROM plan),
-drawn0 AS (SELECT rank, rank * 2 + j // n + 1 AS s, n, j % n AS x FROM (SELECT rank, n, unnest(range(slots)) AS j FROM slotted)),
+cast_ AS (SELECT rank, n, unnest(range(slots)) AS j FROM slotted), mixed AS (SELECT *, ((j % {_P}) * {a} + (rank + 1) * {b}) % {_P} AS q FROM cast_), again AS (SELECT *, (q * q % {_P} + {d}) % {_P} AS y FROM mixed),
+sharded AS (SELECT rank, n, ((y * y % {_P} * {c} + q) % {_P} >> 5) % greatest(1, CAST(ceil((SELECT sum(slots) FROM slotted) / {shard}.0) AS BIGINT)) AS shard FROM again),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY rank ORDER BY shard) - 1 AS j FROM sharded),
+drawn0 AS (SELECT rank, shard, rank * 2 + j // n + 1 AS s, n, j % n AS x FROM numbered),
 {", ".join(ctes)},
-draws AS (SELECT rank, x AS block, count(*) AS draws FROM {body} GROUP BY ALL),
+draws AS (SELECT rank, x AS block, count(*) AS draws, min(shard) AS low, max(shard) AS high FROM {body} GROUP BY rank, x),
 bucketed AS (SELECT doc_id, d.size, rank, g.source_size, g.target,
     ((((doc_id % {_P}) + {_P}) % {_P}) * 48271 + spread) % {_P} % greatest(16, ceil((SELECT count(*) FROM sized WHERE size > 0) / {bucket_rows}.0)::BIGINT) AS bucket
     FROM sized d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source),
 placed AS (SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY rank ORDER BY bucket, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
     FROM bucketed WHERE size > 0),
 pieces AS (SELECT doc_id, rank, start, size, unnest(range(start // {block}, (start + size - 1) // {block} + 1)) AS block FROM placed),
-taken AS (SELECT p.doc_id, sum((least(start + size, (p.block + 1) * {block}) - greatest(start, p.block * {block})) * coalesce(draws, 0)) AS taken
+taken AS (SELECT p.doc_id, sum((least(start + size, (p.block + 1) * {block}) - greatest(start, p.block * {block})) * coalesce(draws, 0)) AS taken, min(low) AS first_shard, max(high) AS last_shard
     FROM pieces p LEFT JOIN draws USING (rank, block) GROUP BY p.doc_id)
-SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken FROM bucketed LEFT JOIN taken USING (doc_id)
+SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken, first_shard, last_shard FROM bucketed LEFT JOIN taken USING (doc_id)
 """

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from quire.llm import mixing, topk, url_filters, warc
 from quire.llm.common import table
@@ -180,3 +181,13 @@ def test_slots_are_made_by_many_tasks(spark, monkeypatch):
     made = mixing.slots(goals, shard=70)
     assert made.rdd.getNumPartitions() >= 10 and made.count() == 1500
     assert made.where("pass = 0").select("block").distinct().count() == 1000 and made.groupBy("pass", "block").count().where("count > 1").count() == 0
+
+
+def test_the_draw_reaches_the_result(spark, sf, duck):
+    docs = table(spark, sf, "documents")
+    one, other = ({r["doc_id"]: (r["first_shard"], r["last_shard"], r["taken"]) for r in mixing.mix(docs, shard=20, seed=s).collect()} for s in (1, 2))
+    assert {i: v[:2] for i, v in one.items()} != {i: v[:2] for i, v in other.items()} and len({v[0] for v in one.values()}) > 3
+    pieces = mixing.mix_blocks(docs, shard=20, seed=1).groupBy("doc_id").agg(F.min("shard").alias("a"), F.max("shard").alias("b")).collect()
+    assert {r["doc_id"]: (r["a"], r["b"]) for r in pieces} == {i: v[:2] for i, v in one.items() if v[2]}
+    assert all(v[:2] == (None, None) for v in one.values() if not v[2])
+    same_rows(mixing.mix(docs.select("doc_id", "text", "source"), shard=20).drop("tie"), duck, mixing.oracle(shard=20))
