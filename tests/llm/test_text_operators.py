@@ -639,3 +639,17 @@ def test_report_and_redaction(spark):
     assert clean[20]["text"] == "[EMAIL], [IP] or [PHONE]; [CARD]!" and clean[20]["n_chars"] == len(clean[20]["text"])
     assert clean[1]["text"] is None and clean[7]["text"] == ODD[8][1]
     assert pii.report(df.limit(0)).count() == 0
+
+
+def test_many_bracketed_forms_in_one_run_are_linear():
+    import time
+
+    model = pii.default_model()
+    for piece in ("a[at]a", "a [at] b [dot] c ", "(at)(dot)", "x[at]y[dot]com", "a@", "1.", "+1 "):
+        text = piece * 60_000
+        began = time.process_time()
+        base = pii.base_spans(text)
+        added = pii.added_spans([text], [base], model)[0]
+        assert time.process_time() - began < 30, piece
+        assert all(b - a <= pii.LONGEST[k] for k, a, b in added)
+    assert not pii.sound("email", "a[at]" + "b" * 500 + "[dot]org") and pii.sound("email", "name [at] host [dot] org")
