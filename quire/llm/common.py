@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Rows in one Arrow batch. Texts reach hundreds of KB, so batches are kept
@@ -108,5 +109,16 @@ def annotate(
     return df.mapInArrow(run, schema)
 
 
+def aside(docs: DataFrame, *kept: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """(``docs`` with private names for all but the kept columns, what gives them their own names back).
+
+    A stage's own columns can then bear any name: none of the user's is in its way.
+    """
+    shown = docs.columns
+    plain = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    private = {c: c if c in kept else f"__aside_{i}" for i, c in enumerate(shown)}
+    return docs.select(*[plain(c).alias(private[c]) for c in shown]), lambda df: df.select(*[plain(private[c]).alias(c) for c in shown])
+
+
 def field(name: str, kind: str) -> T.StructField:
     return T.StructField(name, T._parse_datatype_string(kind))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, annotate, binaries, field, short_batches
+from .common import alnum_words, annotate, aside, binaries, field, short_batches
 
 #: UTF-8 bytes of benchmark text that are held in memory at a time. A larger
 #: benchmark is worked through in several blocks of at most about this size.
@@ -164,7 +164,8 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     """Documents without a hit, with their own columns."""
-    return contamination(docs, benchmark, n).where("n_hit = 0").select(*docs.columns)
+    rows, back = aside(docs, "text")
+    return back(contamination(rows, benchmark, n).where("n_hit = 0"))
 
 
 ORACLE = r"""

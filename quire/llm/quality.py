@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import annotate, binaries, field
+from .common import annotate, aside, binaries, field
 from .labelled import balance, logistic, remainder, sample, sigmoid
 
 BITS = 17
@@ -189,5 +189,5 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Documents that score at least ``threshold``, with their own columns."""
-    scored = with_scores(docs, train(docs, labels), name="__quality")
-    return scored.where(F.col("__quality") >= threshold).select(*docs.columns)
+    rows, back = aside(docs, "doc_id", "text")
+    return back(with_scores(rows, train(rows, labels)).where(F.col("score") >= threshold))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import annotate, binaries, cut, field, short_batches, space_words
+from .common import annotate, aside, binaries, cut, field, short_batches, space_words
 
 CHUNK = 2048
 #: Shingle hashes whose bits are counted at a time.
@@ -497,6 +497,7 @@ def remove_near_duplicates(docs: DataFrame) -> DataFrame:
     that bears the same id. Equal rows count as one document, of which one
     row stays; rows without an id come after all others of their class.
     """
+    docs, restored = aside(docs, "doc_id", "text")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("tie"))
     marked = cut(similar(docs).groupBy("doc_id", "tie", "root").agg(F.count("*").alias("n")))
     # Only classes of several documents have rows that go, and only they are looked at.
@@ -510,9 +511,9 @@ def remove_near_duplicates(docs: DataFrame) -> DataFrame:
     gone, twice = named.where("NOT stays OR n > 1").select("j_id", "j_tie"), named.where("stays AND n > 1").select("j_id", "j_tie")
     rest = docs.join(_small(gone), here(gone), "left_anti").select(*docs.columns)
     if twice.isEmpty():
-        return rest
+        return restored(rest)
     back = docs.join(_small(twice), here(twice), "left_semi").withColumn("_tie", F.xxhash64("text")).dropDuplicates(["doc_id", "_tie"])
-    return rest.unionByName(back.select(*docs.columns))
+    return restored(rest.unionByName(back.select(*docs.columns)))
 
 
 def _small(marks: DataFrame) -> DataFrame:
