@@ -53,8 +53,9 @@ def test_decontamination_against_brute_force(spark, monkeypatch):
     df = spark.createDataFrame([(i, t, 0) for i, t in docs], "doc_id long, text string, items int")
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = sorted(((i, *hits_by_hand(t, real)) for i, t in docs), key=repr)
-    for size in (8 << 20, 200):  # one block, and many
-        monkeypatch.setattr(decontamination, "BLOCK_BYTES", size)
+    for few, bits in ((100_000, 1 << 27), (0, 1 << 27), (100_000, 1 << 6)):  # windows broadcast, or merged; a filter that spares nothing
+        for name, value in (("FEW_WINDOWS", few), ("FEW_DOCS", few), ("MOST_BITS", bits), ("LEAST_BITS", min(bits, 1 << 16)), ("COUNTED", 3)):
+            monkeypatch.setattr(decontamination, name, value)
         got = decontamination.contamination(df, bench).collect()
         assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], list(r["items"])) for r in got), key=repr) == want
 
@@ -68,6 +69,25 @@ def test_items_without_an_id_remove_documents(spark):
     assert got == {1: (0, 0), 2: (1, 1), 3: (1, 1)}
 
 
+def test_windows_meet_on_their_rarest_shingle(spark):
+    common, rare = "the of and a to in that is was he", "for it with as his on be at zebra quince"
+    docs = spark.createDataFrame([(i, f"{common} {common}") for i in range(20)] + [(99, f"x {common} {rare} y"), (100, rare), (100, "zebra quince"), (None, rare)], "doc_id long, text string")
+    bench = spark.createDataFrame([("one", f"{common} {rare}"), ("two", rare)], "item_id string, text string")
+    owned = decontamination.windows(bench, 10, "item_id", "text")
+    assert owned.select("body").distinct().count() == 11 and owned.count() == 12
+    each = decontamination.window_shingles(owned.select("body").distinct())
+    sent = spark.sparkContext.broadcast(decontamination.bit_filter(each.select("shingle").distinct()))
+    counts = {r["shingle"]: r["n"] for r in decontamination.shingle_counts(docs, [3], sent, "text").collect()}
+    own = {r["shingle"] for r in each.collect()}
+    by_hand = lambda words: decontamination.shingles(decontamination.WordHashes().of([w.encode() for w in words.split()]), 3).tolist()
+    first, last = by_hand(common)[0], by_hand(rare)[-1]
+    assert own <= set(counts) and counts[first] == 41 and counts[last] == 3
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in decontamination.report(docs.where("doc_id <> 100"), bench).collect()}
+    assert got[99] == (20, 2) and got[0] == (20, 1)
+    again = sorted((r["n_words"], r["n_hit"]) for r in decontamination.report(docs.where("doc_id = 100 OR doc_id IS NULL"), bench).collect())
+    assert again == [(2, 0), (10, 10), (10, 10)]
+
+
 def test_decontamination_of_nothing(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     got = decontamination.report(odd(spark), none).collect()
