@@ -3,6 +3,11 @@
 ``validate --all [--type=<type>]`` or ``validate <module> ...`` checks module
 files: ``[--main-db=<file>] [--canon=<file>] [--json] [--quiet]``. It ends with 0
 if all passed, 1 if one failed, and 2 if there was nothing to check or no canon.
+
+``select --catalog=<file> [--types=bible,...] [--license=<tier>] [--repos=a,b]
+[--modules=a,b] [--sample=N] [--seed=N] [--limit=N] [--verbose]`` tells which rows
+of a catalogue a batch would take, and why not the others. ``summary
+--work=<folder>`` counts the latest results of ``results.jsonl``.
 """
 
 from __future__ import annotations
@@ -12,9 +17,11 @@ import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .library import COMMANDS, Library, run_command
-from .operators import libcheck
+from .operators import catalog, libcheck, sequence
+from .sources import files, sinks
 from .sources.sinks import formatted
 
 
@@ -59,13 +66,51 @@ def validate(spark: SparkSession, names: list[str], options: dict[str, str]) ->
     return "\n".join(lines), code
 
 
+def select(spark: SparkSession, names: list[str], options: dict[str, str]) -> tuple[str, int]:
+    """(report, exit code): the dry run of a batch."""
+    if "catalog" not in options:
+        return "usage: select --catalog=<file>", 2
+    listed = lambda k: options[k].split(",") if options.get(k) else None
+    number = lambda k: int(options[k]) if options.get(k) else None
+    rows = files.catalog(spark, options["catalog"])
+    chosen, excluded = catalog.select_rows(rows, options.get("license", "open"), tuple(listed("types") or ["bible"]), listed("repos"), listed("modules"), number("sample"), number("limit"), number("seed") or 1)
+    lines = [f"{chosen.count()} module(s) selected"] + [f"  excluded {r['n']:5d}  {r['reason']}" for r in excluded.orderBy(F.desc("n"), "reason").collect()]
+    if "verbose" in options:
+        lines += [f"  {r['repository'][:14]:14} {r['module_id']:24} {r['app_module_type']:10} {r['versification_sword'] or '':14} {r['conversion_license_verdict']}" for r in chosen.orderBy("repository", F.lower("module_id")).collect()]
+    return "\n".join(lines), 0
+
+
+def summary(spark: SparkSession, names: list[str], options: dict[str, str]) -> tuple[str, int]:
+    """(report, exit code): counts over the latest result of each module; ``summary.csv`` has a row for each."""
+    path = os.path.join(options.get("work", ""), "results.jsonl")
+    if not os.path.exists(path):
+        return f"no results: {path}", 2
+    # The place of a line decides which result is the latest: one file, read in order.
+    rows = spark.read.json(path).withColumn("line_no", F.monotonically_increasing_id())
+    parts = catalog.summary(rows)
+    last = sequence.latest(rows, ["module_id", "repository"], "line_no").drop("line_no")
+    sinks.write_summary(last.orderBy("repository", F.lower("module_id")), os.path.join(options["work"], "summary.csv"))
+    lines = ["# Summary", ""]
+    for name, key in (("status", "status"), ("codes", "code"), ("reasons", "reason")):
+        found = parts[name].orderBy(F.desc("n"), key).collect()
+        lines += [f"## {name}", "", "| " + key + " | n |", "| --- | --- |", *[f"| {r[key]} | {r['n']} |" for r in found], ""]
+    text = "\n".join(lines)
+    with open(os.path.join(options["work"], "summary.md"), "w", encoding="utf-8") as f:
+        f.write(text)
+    return text, 0
+
+
+#: Subcommands with an exit code of their own.
+RUNS = {"validate": validate, "select": select, "summary": summary}
+
+
 def main(argv: list[str]) -> int:
     plain, options = arguments(argv)
-    if plain[:1] == ["validate"]:
+    if plain and plain[0] in RUNS:
         spark = SparkSession.builder.config("spark.ui.enabled", "false").getOrCreate()
         spark.sparkContext.setLogLevel("ERROR")
         try:
-            text, code = validate(spark, plain[1:], options)
+            text, code = RUNS[plain[0]](spark, plain[1:], options)
             print(text, file=sys.stderr if code == 2 else sys.stdout)
             return code
         finally:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import difflib
 import html
 import unicodedata
 from collections import Counter
@@ -12,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .blocks import matched_letters
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -302,8 +303,7 @@ def similarity_of(a: str, b: str) -> float:
     shared = sum((Counter(a) & Counter(b)).values())
     if a == b or 4 * shared < letters:
         return 2 * shared / letters if letters else 1.0
-    blocks = difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()
-    return 2 * sum(block.size for block in blocks) / letters
+    return 2 * matched_letters(a, b) / letters
 
 
 @F.pandas_udf(T.DoubleType())

@@ -17,34 +17,57 @@ def first_reason(reasons: list[tuple[str, Column]]) -> Column:
     return out
 
 
-def verdicts_up_to(tier: str, order: tuple[str, ...] = ("clean", "likely", "unclear", "restricted")) -> list[str]:
-    """Licence verdicts are cumulative: a tier admits itself and all stricter ones."""
-    return list(order[: order.index(tier) + 1])
+#: Licence verdicts by tier (each tier admits those before it), verdicts that no tier admits, and the rank of a repository's state (fixed values).
+TIERS = {
+    "open": ("OK", "OK (attribution)", "OK (attribution; share-alike)", "OK (copyleft)"),
+    "verbatim": ("OK (verbatim; attribution)", "LIKELY OK (verbatim; verify)"),
+    "noncommercial": ("OK IF NON-COMMERCIAL", "OK IF NON-COMMERCIAL (verbatim)", "OK IF NON-COMMERCIAL (verify terms)"),
+}
+NEVER = ("NEEDS PERMISSION", "MANUAL REVIEW", "")
+STATES = ("main", "main (Wycliffe partner)", "publisher", "third-party", "third-party (FTP only)", "beta (unreviewed)", "attic (retired/superseded)")
+
+
+def verdicts_up_to(tier: str) -> list[str]:
+    """Licence verdicts are cumulative: a tier admits its own and those of all before it."""
+    if tier not in TIERS:
+        raise ValueError(f"no licence tier {tier!r}: {', '.join(TIERS)}")
+    names = list(TIERS)
+    return [v for t in names[: names.index(tier) + 1] for v in TIERS[t]]
 
 
 def select_rows(
-    catalog: DataFrame, tier: str = "likely", types: list[str] | None = None, encrypted: bool = False, repositories: list[str] | None = None, ids: list[str] | None = None, n: int | None = None
+    catalog: DataFrame, tier: str = "open", types: tuple[str, ...] = ("bible",), repositories: list[str] | None = None, ids: list[str] | None = None, sample: int | None = None, limit: int | None = None, seed: int = 1
 ) -> tuple[DataFrame, DataFrame]:
-    """(chosen rows, (reason, n) of the others): filters, the best copy of each id, a stratified sample."""
-    reasons: list[tuple[str, Column]] = [("no id", F.col("module_id").isNull() | (F.col("module_id") == "")), ("general repository", F.col("repository").startswith("GENERAL"))]
+    """(chosen rows, (reason, n) of the others).
+
+    Rows without an id or a type, of a general repository, or not asked for by
+    id do not count at all. Of several copies of an id the one whose
+    repository's state ranks first stays, of equals the first in the catalogue
+    (``position``). ``sample`` deals rows over repository, versification and
+    markup in turn, in hash order.
+    """
+    text = lambda c: F.btrim(F.coalesce(F.col(c), F.lit("")))
+    rows = catalog.where((F.coalesce("module_id", F.lit("")) != "") & (F.coalesce("sword_module_type", F.lit("")) != "") & ~F.coalesce("repository", F.lit("")).startswith("GENERAL"))
     if ids:
-        reasons.append(("not asked for", ~F.lower("module_id").isin([i.lower() for i in ids])))
-    reasons.append(("licence", ~F.col("conversion_license_verdict").isin(verdicts_up_to(tier))))
-    if types:
-        reasons.append(("type", ~F.col("sword_module_type").isin(types)))
-    if not encrypted:
-        reasons.append(("encrypted", F.lower(F.col("encrypted").cast("string")).isin("true", "yes", "1")))
-    if repositories:
-        reasons.append(("repository", ~F.col("repository").isin(repositories)))
-    reasons.append(("no url", F.coalesce(F.col("zip_download_url"), F.lit("")) == ""))
-    marked = catalog.withColumn("reason", first_reason(reasons))
-    rank = F.lit(0)
+        rows = rows.where(F.lower("module_id").isin([i.lower() for i in ids]))
+    verdict, kind = text("conversion_license_verdict"), F.coalesce("app_module_type", F.lit(""))
+    named = lambda head, c: F.concat(F.lit(head), c)
+    reason = F.when(verdict.isin(*NEVER), named("licence: ", F.when(verdict == "", "(none)").otherwise(verdict))).when(~verdict.isin(verdicts_up_to(tier)), named("licence tier: ", verdict))
+    reason = reason.when(~kind.isin(*types), named("type: ", F.coalesce("app_module_type", F.lit("None")))).when(text("encrypted") != "", "encrypted")
     if repositories:
-        rank = F.coalesce(F.array_position(F.array(*[F.lit(r) for r in repositories]), F.col("repository")).cast("int"), F.lit(0))
-    chosen = best_copy(marked.where("reason IS NULL").drop("reason"), F.lower("module_id"), rank, "position")
-    if n is not None:
-        chosen = stratified(chosen.withColumn("_s", F.concat_ws("|", "sword_module_type", "app_language_code", "versification_sword")), "_s", "module_id", n).drop("_s")
-    return chosen, marked.where("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("n"))
+        reason = reason.when(~F.col("repository").isin(repositories), "repository filter")
+    marked = rows.withColumn("_reason", reason.when(text("zip_download_url") == "", "no zip url"))
+    picked = marked.where("_reason IS NULL").drop("_reason")
+    rank = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, STATES)), F.coalesce("repository_status", F.lit(""))), F.lit(0)), F.lit(10))
+    chosen = best_copy(picked, F.lower("module_id"), rank, "position")
+    excluded = marked.where("_reason IS NOT NULL").groupBy(F.col("_reason").alias("reason")).agg(F.count("*").alias("n"))
+    twice = picked.agg((F.count("*") - F.countDistinct(F.lower("module_id"))).alias("n")).where("n > 0")
+    excluded = excluded.unionByName(twice.select(F.lit("duplicate id (other repository preferred)").alias("reason"), "n"))
+    order = ["repository", F.lower("module_id")]
+    if sample is not None:
+        stratum = F.to_json(F.struct("repository", F.lower(F.coalesce("versification_sword", F.lit(""))).alias("v"), "source_markup"))
+        chosen = stratified(chosen.withColumn("_stratum", stratum), "_stratum", "module_id", sample, seed).drop("_stratum")
+    return (chosen.orderBy(*order).limit(limit) if limit else chosen), excluded
 
 
 def masked_reason(x: Column) -> Column:

@@ -96,13 +96,15 @@ def parsed_rows(rows: DataFrame, raw: str = "raw") -> DataFrame:
 
 
 def with_variants(rows: DataFrame) -> DataFrame:
-    """Verses that another division counts apart go to their host, marked as moved (unless they already were)."""
+    """Verses that another division counts apart go to their host, marked as moved (unless they already were), and as ``held`` if they come before it."""
     key, place = F.col("target"), keys.pack(F.col("book"), F.col("c"), F.col("v"))
     host = F.lit(None).cast("long")
     for k, (to, _) in MOVED.items():
         host = F.when(place == k, F.lit(to).cast("long")).otherwise(host)
     plain = F.col("reason").isNull() | (F.col("reason") == "fold")
-    return rows.withColumns({"target": F.when(plain, F.coalesce(host, key)).otherwise(key), "reason": F.when(plain & host.isNotNull(), "moved").otherwise(F.col("reason"))})
+    before = place.isin(*[k for k, (_, first) in MOVED.items() if first])
+    moved = {"target": F.when(plain, F.coalesce(host, key)).otherwise(key), "reason": F.when(plain & host.isNotNull(), "moved").otherwise(F.col("reason"))}
+    return rows.withColumns(moved | {"held": F.coalesce(plain & before, F.lit(False))})
 
 
 def merge(rows: DataFrame) -> DataFrame:
@@ -110,16 +112,20 @@ def merge(rows: DataFrame) -> DataFrame:
 
     paragraph_start comes from the first part (or a marker that trailed the
     entry before), poetry is the highest level, the heading the first that is
-    not empty, selah from any, and moved parts leave a provenance record.
+    not empty, selah from any, and moved parts leave a provenance record; so
+    does the host of a part that was held for it.
     """
+    if "held" not in rows.columns:
+        rows = rows.withColumn("held", F.lit(False))
     rows = segmented(rows, ["module"], ["i"], lags={"_carry": F.col("trailing_paragraph")}).withColumn("_carry", F.coalesce("_carry", F.lit(False)))
     before = Window.partitionBy("module", "target").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_at", F.coalesce(F.sum("word_count").over(before), F.lit(0)).cast("int"))
     moved = F.transform("spans", lambda s: F.struct(s["type"].alias("type"), (s["start"] + F.col("_at")).alias("start"), (s["end"] + F.col("_at")).alias("end"), s["ref"].alias("ref")))
     tokens = F.transform("words", lambda w: w.withField("start", w["start"] + F.col("_at")).withField("end", w["end"] + F.col("_at")))
-    origin = F.when(F.col("reason").isin("moved", "fold"), F.struct(F.col("c").cast("int").alias("chapter"), F.col("v").cast("int").alias("verse"), F.col("_at").alias("start"), (F.col("_at") + F.col("word_count") - 1).alias("end")))
+    origin = F.struct(F.col("c").cast("int").alias("chapter"), F.col("v").cast("int").alias("verse"), F.col("_at").alias("start"), (F.col("_at") + F.col("word_count") - 1).alias("end"))
+    from_elsewhere = F.coalesce(F.col("reason").isin("moved", "fold"), F.lit(False))
     part = F.struct(
-        "i", F.col("text").alias("t"), "word_count", moved.alias("s"), tokens.alias("w"), F.col("block").alias("b"), F.col("_carry").alias("carry"), origin.alias("o"),
+        "i", F.col("text").alias("t"), "word_count", moved.alias("s"), tokens.alias("w"), F.col("block").alias("b"), F.col("_carry").alias("carry"), origin.alias("o"), from_elsewhere.alias("moved"), F.col("held").alias("held"),
     )
     grouped = rows.where("target IS NOT NULL").groupBy("module", "target").agg(F.array_sort(F.collect_list(part)).alias("p"))
     p = F.col("p")
@@ -137,7 +143,7 @@ def merge(rows: DataFrame) -> DataFrame:
         block.alias("block"),
         F.flatten(pick(lambda x: x["s"])).alias("spans"),
         F.flatten(pick(lambda x: x["w"])).alias("words"),
-        F.filter(pick(lambda x: x["o"]), lambda o: o.isNotNull()).alias("source_verses"),
+        F.transform(F.filter(p, lambda x: x["moved"] | F.exists(p, lambda y: y["held"] & (y["i"] < x["i"]))), lambda x: x["o"]).alias("source_verses"),
     )
 
 
@@ -207,14 +213,17 @@ def identity_block(conf: DataFrame, kind: str) -> DataFrame:
     """Module identity from (module, conf map): fallbacks in order, empty values count as missing."""
     get = lambda *names: F.coalesce(*[F.nullif(F.btrim(F.col("conf")[n]), F.lit("")) for n in names])
     licence = licence_to_spdx(get("DistributionLicense"))
+    copyright = strip_rtf(get("ShortCopyright", "Copyright", "CopyrightNotes", "DistributionLicense"))
+    year = first_year(F.coalesce(get("CopyrightDate"), F.lit("")))
     language = F.coalesce(primary_language(get("Lang")), F.lit("en"))
     abbreviation = F.coalesce(get("Abbreviation"), F.col("module"))
     return conf.select(
         "module", deterministic_uuid(identity_key(F.lit(kind), abbreviation, language)).alias("module_uuid"), F.lit(kind).alias("module_type"), abbreviation.alias("abbreviation"),
         F.coalesce(get("Description"), F.col("module")).alias("full_name"), F.coalesce(get("Version"), F.lit("1.0")).alias("content_version"),
-        strip_rtf(get("About")).alias("description"), get("CopyrightHolder", "Copyright", "ShortCopyright").alias("copyright"), get("DistributionSource", "Publisher", "TextSource").alias("publisher"),
-        first_year(F.coalesce(get("CopyrightDate", "Copyright", "About"), F.lit(""))).alias("year_published"), licence.alias("license_spdx"), spdx_url(licence).alias("license_url"),
+        strip_rtf(get("About")).alias("description"), copyright.alias("copyright"), get("CopyrightHolder", "Publisher").alias("publisher"), get("Author").alias("author"), F.when(get("TextSource").rlike("^https?://"), get("TextSource")).alias("source_url"),
+        F.when(year > 0, year).otherwise(first_year(F.coalesce(copyright, F.lit("")))).alias("year_published"), licence.alias("license_spdx"), spdx_url(licence).alias("license_url"),
         language.alias("language_code"), is_right_to_left(F.coalesce(get("Lang"), F.lit("")), get("Direction")).alias("right_to_left"),
+        language.isin("he", "grc", "hbo").alias("is_original_language"),
     )
 
 

@@ -249,6 +249,29 @@ def c18_metadata(spark, d):
     return convert.module_metadata(r, conf)
 
 
+@query(
+    """WITH c AS (SELECT o_orderkey AS position, CASE o_orderkey % 4 WHEN 0 THEN 'Alpha' WHEN 1 THEN 'Beta' WHEN 2 THEN 'GENERAL x' ELSE 'Gamma' END AS repository, CASE o_orderkey % 4 WHEN 0 THEN 'publisher' WHEN 1 THEN 'main' ELSE 'odd' END AS state, CASE WHEN o_orderkey % 29 = 0 THEN '' ELSE 'M' || (o_custkey % 300) END AS id,
+        CASE o_orderkey % 7 WHEN 0 THEN 'MANUAL REVIEW' WHEN 1 THEN '' WHEN 2 THEN 'OK IF NON-COMMERCIAL' WHEN 3 THEN ' OK (verbatim; attribution) ' ELSE 'OK' END AS verdict, CASE WHEN o_orderkey % 11 = 0 THEN 'book' WHEN o_orderkey % 11 <> 1 THEN 'bible' END AS kind, CASE WHEN o_orderkey % 13 = 0 THEN 'yes' ELSE ' ' END AS secret,
+        CASE WHEN o_orderkey % 17 > 0 THEN 'http' END AS url FROM orders), r AS (SELECT *, trim(verdict) AS v FROM c WHERE id <> '' AND repository NOT LIKE 'GENERAL%'),
+    m AS (SELECT *, CASE WHEN v IN ('MANUAL REVIEW', '') THEN 'licence: ' || CASE WHEN v = '' THEN '(none)' ELSE v END WHEN v = 'OK IF NON-COMMERCIAL' THEN 'licence tier: ' || v WHEN kind = 'book' THEN 'type: book' WHEN kind IS NULL THEN 'type: None' WHEN secret = 'yes' THEN 'encrypted'
+        WHEN repository = 'Gamma' AND position % 3 = 0 THEN NULL WHEN url IS NULL THEN 'no zip url' END AS reason FROM r), p AS (SELECT *, row_number() OVER (PARTITION BY lower(id) ORDER BY CASE state WHEN 'main' THEN 1 WHEN 'publisher' THEN 3 ELSE 10 END, position) AS n FROM m WHERE reason IS NULL)
+    SELECT 'chosen' AS what, id || ' ' || repository AS name, position AS n FROM p WHERE n = 1 UNION ALL SELECT 'excluded', reason, count(*) FROM m WHERE reason IS NOT NULL GROUP BY 2 UNION ALL SELECT 'excluded', 'duplicate id (other repository preferred)', count(*) FROM p WHERE n > 1 HAVING count(*) > 0""".replace("WHEN repository = 'Gamma' AND position % 3 = 0 THEN NULL ", "")
+)
+def q17_select(spark, d):
+    from ..operators import catalog
+
+    k = F.col("o_orderkey")
+    pick = lambda n, *v: F.element_at(F.array(*[F.lit(x) for x in v]), (k % n + 1).cast("int"))
+    rows = table(spark, d, "orders").select(
+        k.alias("position"), pick(4, "Alpha", "Beta", "GENERAL x", "Gamma").alias("repository"), pick(4, "publisher", "main", "odd", "odd").alias("repository_status"), F.when(k % 29 == 0, "").otherwise(F.concat(F.lit("M"), (F.col("o_custkey") % 300).cast("string"))).alias("module_id"),
+        pick(7, "MANUAL REVIEW", "", "OK IF NON-COMMERCIAL", " OK (verbatim; attribution) ", "OK", "OK", "OK").alias("conversion_license_verdict"), F.when(k % 11 == 0, "book").when(k % 11 != 1, "bible").alias("app_module_type"), F.lit("Biblical Texts").alias("sword_module_type"),
+        F.when(k % 13 == 0, "yes").otherwise(" ").alias("encrypted"), F.when(k % 17 > 0, "http").alias("zip_download_url"), F.lit("KJV").alias("versification_sword"), F.lit("OSIS").alias("source_markup"),
+    )
+    chosen, excluded = catalog.select_rows(rows, "verbatim")
+    one = chosen.select(F.lit("chosen").alias("what"), F.concat_ws(" ", "module_id", "repository").alias("name"), F.col("position").alias("n"))
+    return one.unionByName(excluded.select(F.lit("excluded").alias("what"), F.col("reason").alias("name"), "n"))
+
+
 # References -----------------------------------------------------------------------
 
 
@@ -398,17 +421,20 @@ def c16_sections(spark, d):
 
 
 @query(
-    """SELECT n_name AS module, CASE WHEN n_nationkey % 2 = 0 THEN 'A' || n_nationkey ELSE n_name END AS abbreviation, 'Full ' || n_name AS full_name, '1.0' AS content_version, 'Owner' AS copyright, 'Press' AS publisher, 1990 + n_nationkey AS year_published,
-    CASE WHEN n_nationkey % 3 = 0 THEN 'PD' ELSE 'LicenseRef-Proprietary' END AS license_spdx, CASE n_nationkey % 3 WHEN 0 THEN 'he' WHEN 1 THEN 'pt' ELSE 'en' END AS language_code, n_nationkey % 3 = 0 AS right_to_left FROM nation"""
+    """SELECT n_name AS module, CASE WHEN n_nationkey % 2 = 0 THEN 'A' || n_nationkey ELSE n_name END AS abbreviation, 'Full ' || n_name AS full_name, '1.0' AS content_version, CASE n_nationkey % 4 WHEN 0 THEN 'Short 2001' WHEN 1 THEN 'Long 1999' WHEN 2 THEN 'Note' ELSE CASE WHEN n_nationkey % 3 = 0 THEN 'Public Domain' ELSE 'Copyrighted' END END AS copyright,
+    CASE WHEN n_nationkey % 5 = 0 THEN 'Press' ELSE 'Owner' END AS publisher, CASE WHEN n_nationkey % 6 > 0 THEN 1990 + n_nationkey WHEN n_nationkey % 4 = 0 THEN 2001 WHEN n_nationkey % 4 = 1 THEN 1999 ELSE 0 END AS year_published, CASE WHEN n_nationkey % 7 = 0 THEN 'https://x/' || n_nationkey END AS source_url,
+    CASE WHEN n_nationkey % 3 = 0 THEN 'PD' ELSE 'LicenseRef-Proprietary' END AS license_spdx, CASE n_nationkey % 3 WHEN 0 THEN 'he' WHEN 1 THEN 'pt' ELSE 'en' END AS language_code, n_nationkey % 3 = 0 AS right_to_left, n_nationkey % 3 = 0 AS is_original_language FROM nation"""
 )
 def c17_identity(spark, d):
     k = F.col("n_nationkey")
     pairs = {
-        "Abbreviation": F.when(k % 2 == 0, F.concat(F.lit("A"), k.cast("string"))).otherwise(" "), "Description": F.concat(F.lit("Full "), "n_name"), "CopyrightHolder": F.lit(" Owner "), "Publisher": F.lit("Press"),
-        "CopyrightDate": F.concat(F.lit("c 12345, "), (1990 + k).cast("string")), "DistributionLicense": F.when(k % 3 == 0, "Public Domain").otherwise("Copyrighted"), "Lang": F.when(k % 3 == 0, "he").when(k % 3 == 1, "pt-BR").otherwise(""),
+        "Abbreviation": F.when(k % 2 == 0, F.concat(F.lit("A"), k.cast("string"))).otherwise(" "), "Description": F.concat(F.lit("Full "), "n_name"), "CopyrightHolder": F.when(k % 5 > 0, " Owner "), "Publisher": F.lit("Press"),
+        "ShortCopyright": F.when(k % 4 == 0, r"Short\par 2001"), "Copyright": F.when(k % 4 <= 1, "Long 1999"), "CopyrightNotes": F.when(k % 4 <= 2, "Note"), "TextSource": F.when(k % 7 == 0, F.concat(F.lit("https://x/"), k.cast("string"))).otherwise("A library"),
+        "CopyrightDate": F.when(k % 6 > 0, F.concat(F.lit("c 12345, "), (1990 + k).cast("string"))).otherwise("long ago"), "DistributionLicense": F.when(k % 3 == 0, "Public Domain").otherwise("Copyrighted"), "Lang": F.when(k % 3 == 0, "he").when(k % 3 == 1, "pt-BR").otherwise(""),
     }
     conf = table(spark, d, "nation").select(F.col("n_name").alias("module"), F.create_map(*[x for name, v in pairs.items() for x in (F.lit(name), v)]).alias("conf"))
-    return convert.identity_block(conf, "bible").select("module", "abbreviation", "full_name", "content_version", "copyright", "publisher", "year_published", "license_spdx", "language_code", "right_to_left")
+    shown = ("module", "abbreviation", "full_name", "content_version", "copyright", "publisher", "year_published", "source_url", "license_spdx", "language_code", "right_to_left", "is_original_language")
+    return convert.identity_block(conf, "bible").select(*shown)
 
 
 # Text -----------------------------------------------------------------------------

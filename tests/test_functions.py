@@ -177,3 +177,27 @@ def test_query_language(spark):
     for bad in ("(one", "one )", "nothing: one"):
         with pytest.raises(ValueError):
             fulltext.search(index if "(" in bad or ")" in bad else index.drop("col"), bad).collect()
+
+
+def test_matching_blocks_against_the_plain_rule(monkeypatch):
+    import difflib
+    import random
+    import time
+
+    from quire.functions import blocks
+
+    rng = random.Random(1)
+    plain = lambda a, b: sum(m.size for m in difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks())
+    monkeypatch.setattr(blocks, "SMALL", 30)
+    for t in range(2000):
+        letters = rng.choice(["ab", "abc", "abcdefgh", "aé漢\U0001f600"])
+        a = "".join(rng.choice(letters) for _ in range(rng.randint(0, 60)))
+        b = "".join(c if rng.random() < 0.9 else rng.choice(letters) for c in a) if t % 2 else "".join(rng.choice(letters) for _ in range(rng.randint(0, 60)))
+        assert blocks.matched_letters(a, b) == plain(a, b), (a, b)
+    monkeypatch.undo()
+    a = " ".join(rng.choice(["the", "of", "light", "darkness", "was", "upon", "waters"]) for _ in range(4500))[:20_000]
+    b = "".join(c if rng.random() > 0.05 else rng.choice("abcdefg ") for c in a)
+    began = time.process_time()
+    assert 0.9 * len(a) < blocks.matched_letters(a, b) <= len(a)
+    assert time.process_time() - began < 3
+    assert text.similarity_of(a, b) > 0.9

@@ -150,7 +150,8 @@ def test_conversion_merges_in_order(spark, canon):
     assert out[66013001]["text"] == "stood on sand and saw"
     f = json.loads(out[66013001]["formatting"])
     assert [(s["type"], s["start"], s["end"]) for s in f["spans"]] == [("emphasis", 1, 1), ("supplied", 4, 4)]
-    assert f["block"] == {"paragraph_start": True} and f["source_verses"] == [{"chapter": 12, "verse": 18, "start": 0, "end": 2}]
+    assert f["block"] == {"paragraph_start": True} and f["source_verses"] == [{"chapter": 12, "verse": 18, "start": 0, "end": 2}, {"chapter": 13, "verse": 1, "start": 3, "end": 4}]
+    assert json.loads(out[64001014]["formatting"])["source_verses"] == [{"chapter": 1, "verse": 15, "start": 1, "end": 2}]  # a host that came first leaves no record
     assert out[64001014]["text"] == "peace friends greet" and out[1001031]["text"] == "good folded" and 1002001 not in out and out[66013001]["word_count"] == 5
 
 
@@ -203,12 +204,43 @@ def test_verification(spark, canon):
     assert verify.remapped_alignment(shifted, reference, moved, "verse_id").first()["better"] == 1
 
 
-def test_catalogue(spark):
-    rows = [("A", "m1", "Biblical Texts", "clean", "false", "u"), ("B", "M1", "Biblical Texts", "clean", "false", "u"), ("A", "m2", "Biblical Texts", "restricted", "false", "u"), ("A", "m3", "Glosses", "clean", "false", "u"), ("A", "m4", "Biblical Texts", "likely", "true", "u"), ("A", "m5", "Biblical Texts", "likely", "false", "")]
-    df = spark.createDataFrame([(*r, "en", "KJV", i) for i, r in enumerate(rows)], "repository string, module_id string, sword_module_type string, conversion_license_verdict string, encrypted string, zip_download_url string, app_language_code string, versification_sword string, position long")
-    chosen, left = catalog.select_rows(df, types=["Biblical Texts"], repositories=["B", "A"])
+CATALOGUE = "repository string, repository_status string, module_id string, sword_module_type string, app_module_type string, conversion_license_verdict string, encrypted string, zip_download_url string, versification_sword string, source_markup string, position long"
+
+
+def test_catalogue(spark, tmp_path):
+    row = lambda repo, state, i, kind="bible", verdict="OK", secret="", url="u": (repo, state, i, "Biblical Texts", kind, verdict, secret, url, "KJV", "OSIS")
+    rows = [
+        row("Attic", "attic (retired/superseded)", "m1"), row("B", "main", "M1"), row("C", "main", "m1"), row("A", "other", "m2", verdict="NEEDS PERMISSION"), row("A", "other", "m3", kind=None), row("A", "other", "m4", secret="yes"), row("A", "other", "m5", url=" "),
+        row("A", "other", "m6", verdict=None), row("A", "other", "m7", verdict="OK IF NON-COMMERCIAL"), row("GENERAL x", "main", "m8"), row("A", "main", ""), row("A", "other", "m9", kind="book"),
+    ]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], CATALOGUE)
+    chosen, left = catalog.select_rows(df)
     assert [(r["repository"], r["module_id"]) for r in chosen.collect()] == [("B", "M1")]
-    assert {r["reason"]: r["n"] for r in left.collect()} == {"licence": 1, "type": 1, "encrypted": 1, "no url": 1}
+    assert {r["reason"]: r["n"] for r in left.collect()} == {
+        "licence: NEEDS PERMISSION": 1, "licence: (none)": 1, "licence tier: OK IF NON-COMMERCIAL": 1, "type: None": 1, "type: book": 1, "encrypted": 1, "no zip url": 1, "duplicate id (other repository preferred)": 2,
+    }
+    assert [r["repository"] for r in catalog.select_rows(df, repositories=["C", "A"])[0].collect()] == ["C"]
+    assert {r["module_id"] for r in catalog.select_rows(df, "noncommercial", ("bible", "book"), ids=["M7", "m9"])[0].collect()} == {"m7", "m9"}
+    with pytest.raises(ValueError):
+        catalog.select_rows(df, "any")
+    many = spark.range(60).select(F.concat(F.lit("R"), (F.col("id") % 3).cast("string")).alias("repository"), F.lit("main").alias("repository_status"), F.concat(F.lit("x"), F.col("id").cast("string")).alias("module_id"), F.lit("t").alias("sword_module_type"), F.lit("bible").alias("app_module_type"), F.lit("OK").alias("conversion_license_verdict"), F.lit("").alias("encrypted"), F.lit("u").alias("zip_download_url"), F.lit(None).cast("string").alias("versification_sword"), F.lit("TEI").alias("source_markup"), F.col("id").alias("position"))
+    picked = [r["repository"] for r in catalog.select_rows(many, sample=9)[0].collect()]
+    assert sorted(picked) == ["R0"] * 3 + ["R1"] * 3 + ["R2"] * 3 and len(catalog.select_rows(many, sample=9, limit=4)[0].collect()) == 4
+
+    from quire.__main__ import select, summary
+
+    names = [f.split()[0] for f in CATALOGUE.split(", ")[:-1]]
+    (tmp_path / "c.csv").write_text("\ufeff" + ",".join(names) + "\n" + "\n".join(",".join("" if x is None else x for x in r) for r in rows) + "\n", encoding="utf-8")
+    report, code = select(spark, [], {"catalog": f"{tmp_path}/c.csv", "verbose": "true"})
+    assert code == 0 and report.startswith("1 module(s) selected\n  excluded     2  duplicate id") and "B " in report.splitlines()[-1]
+    assert select(spark, [], {})[1] == 2 and summary(spark, [], {"work": str(tmp_path)})[1] == 2
+    lines = [{"module_id": "a", "repository": "r", "status": s, "codes": c, "stage": "done"} for s, c in (("FAIL", "x y"), ("WARN", "y"))] + [{"module_id": "b", "repository": "r", "status": "NOT CONVERTED", "codes": "", "stage": "cannot open 'foo'"}]
+    (tmp_path / "results.jsonl").write_text("\n".join(map(json.dumps, lines)) + "\n")
+    report, code = summary(spark, [], {"work": str(tmp_path)})
+    assert code == 0 and "| WARN | 1 |" in report and "| y | 1 |" in report and "| x | 1 |" not in report and (tmp_path / "summary.md").read_text() == report and (tmp_path / "summary.csv").exists()
+
+
+def test_summary_of_results(spark):
     log = spark.createDataFrame([("a", "r", 1, "FAIL", "x y", ""), ("a", "r", 2, "PASS", "x", ""), ("b", "r", 3, "WARN", "y", ""), ("c", "r", 4, "NOT CONVERTED", "", "cannot open 'foo'"), ("d", "r", 5, "NOT CONVERTED", "", "cannot open 'bar'")], "module_id string, repository string, line_no long, status string, codes string, stage string")
     s = catalog.summary(log)
     assert {r["status"]: r["n"] for r in s["status"].collect()} == {"PASS": 1, "WARN": 1, "NOT CONVERTED": 2}
