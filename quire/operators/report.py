@@ -262,6 +262,29 @@ def strongs_findings(result_words: DataFrame, reference_words: DataFrame, key: s
     return out.unionByName(_graded(sums, "strongs_tags_offset", c("tags"), ("warn", c("tags") > 0)))
 
 
+def strongs_verdicts(near: DataFrame) -> DataFrame:
+    """The judged verses of ``strongs_overlap`` with ``verdict``: misplaced (a neighbour fits better), disjoint (nothing in common), or null."""
+    here, there = F.col("here"), F.coalesce("there", F.lit(0.0))
+    moved = (there - here >= 0.25) & (here < 0.35)
+    return near.where("here IS NOT NULL").withColumn("verdict", F.when(moved, "misplaced").when(here == 0, "disjoint"))
+
+
+def strongs_counts(near: DataFrame) -> DataFrame:
+    """(compared, median_overlap, misplaced, no_overlap): one row about all judged verses, for the report beside the findings."""
+    judged = strongs_verdicts(near)
+    counts = judged.agg(F.count("*").alias("compared"), F.count_if(F.col("verdict") == "misplaced").alias("misplaced"), F.count_if(F.col("verdict") == "disjoint").alias("no_overlap"))
+    return counts.join(F.broadcast(quantile(judged, [], F.col("here"), 0.5, "median_overlap")), F.lit(True), "left")
+
+
+def alignment_counts(result: DataFrame, reference: DataFrame) -> DataFrame:
+    """(chapters, median_correlation, low_correlation, shifted, overlong): one row about lengths against the reference."""
+    aligned = verify.length_alignment(result, reference, "verse_id")
+    counts = aligned.agg(F.count("v1").alias("chapters"), F.count_if(F.col("v1") < 0.3).alias("low_correlation"), F.count_if("shifted").alias("shifted"))
+    middle = quantile(aligned, [], F.round("v1", 12), 0.5, "median_correlation")
+    long = verify.overlong(result, reference, "verse_id").agg(F.count("*").alias("overlong"))
+    return counts.join(F.broadcast(middle), F.lit(True), "left").join(F.broadcast(long), F.lit(True))
+
+
 def strongs_overlap(result_words: DataFrame, reference_words: DataFrame, key: str = "verse_id", number: str = "strongs_number") -> DataFrame:
     """(key, here, there): overlap with the reference's verse of that key, and the best with a neighbour of its chapter."""
     from ..functions.text import plain_strongs

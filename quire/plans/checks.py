@@ -199,6 +199,15 @@ def q9_alignment(spark, d):
     return report.alignment_findings(*shifted_sizes(spark, d))
 
 
+@query(
+    f"""{ALIGN_SQL}, pair AS (SELECT l.k, l.s, r.s AS o FROM l JOIN r USING (k)), scale AS (SELECT quantile_cont(s / o, 0.5) AS f FROM pair)
+    SELECT (SELECT count(*) FROM z) AS chapters, (SELECT round(quantile_cont(round(v1, 12), 0.5), 6) FROM z) AS median_correlation, (SELECT count(*) FROM z WHERE v1 < 0.3) AS low_correlation,
+    (SELECT count(*) FROM z WHERE best - v1 > 0.3 AND v1 < 0.6 AND best >= 0.7) AS shifted, (SELECT count(*) FROM pair, scale WHERE s > 3 * f * o AND s - f * o > 80) AS overlong"""
+)
+def q9_counts(spark, d):
+    return report.alignment_counts(*shifted_sizes(spark, d)).withColumn("median_correlation", F.round("median_correlation", 6))
+
+
 @query(
     f"""WITH {SHIFT_SQL}, m AS (SELECT k, k + 1 AS t FROM l WHERE k // 1000 % 3 <> 0 AND k % 1000 < 10), hyp AS (SELECT coalesce(t, k) AS k, sum(s) AS h FROM l LEFT JOIN m USING (k) GROUP BY 1),
     crossed AS (SELECT k // 1000 AS grp FROM m UNION SELECT t // 1000 FROM m), w AS (SELECT r.k // 1000 AS grp, CAST(coalesce(l.s, 0) AS DOUBLE) AS x, CAST(coalesce(h, 0) AS DOUBLE) AS z, CAST(r.s AS DOUBLE) AS y FROM r LEFT JOIN l USING (k) LEFT JOIN hyp USING (k) WHERE r.k // 1000 IN (SELECT grp FROM crossed)),
@@ -212,23 +221,42 @@ def q10_remapped(spark, d):
     return verify.remapped_alignment(left, right, moved, "verse_id")
 
 
-@query(
-    """WITH w AS (SELECT l_orderkey AS k, 'H' || (l_partkey % 400) AS i FROM lineitem), s AS (SELECT k, list_distinct(list(i)) AS x FROM w GROUP BY 1), r AS (SELECT k + 1 AS k, x FROM s WHERE k // 1000 % 2 = 0 UNION ALL SELECT k, x FROM s WHERE k // 1000 % 2 = 1),
+STRONGS_SQL = """WITH w AS (SELECT l_orderkey AS k, 'H' || (l_partkey % 400) AS i FROM lineitem), s AS (SELECT k, list_distinct(list(i)) AS x FROM w GROUP BY 1), r AS (SELECT k + 1 AS k, x FROM s WHERE k // 1000 % 2 = 0 UNION ALL SELECT k, x FROM s WHERE k // 1000 % 2 = 1),
     r2 AS (SELECT k, list_distinct(flatten(list(x))) AS x FROM r GROUP BY 1), stop AS (SELECT list(i) AS z FROM (SELECT i, count(*) AS n FROM (SELECT k, unnest(x) AS i FROM r2) GROUP BY 1 ORDER BY n DESC, i LIMIT 40)),
     p AS (SELECT s.k, o, list_filter(s.x, lambda v: NOT list_contains(z, v)) AS x, list_filter(r2.x, lambda v: NOT list_contains(z, v)) AS y FROM s CROSS JOIN (VALUES (0), (-1), (1), (-2), (2)) AS q(o) JOIN r2 ON r2.k = s.k + o AND r2.k // 1000 = s.k // 1000 CROSS JOIN stop),
     j AS (SELECT k, o, CASE WHEN len(x) > 0 AND len(y) > 0 THEN len(list_intersect(x, y)) / len(list_distinct(list_concat(x, y))) END AS j FROM p WHERE len(x) >= 3),
-    g AS (SELECT k, max(j) FILTER (o = 0) AS here, max(j) FILTER (o <> 0) AS there FROM j GROUP BY 1 HAVING max(j) FILTER (o = 0) IS NOT NULL),
-    c AS (SELECT count(*) AS n, count(*) FILTER (there - here >= 0.25 AND here < 0.35 AND k // 1000 % 4 = 0) AS t, count(*) FILTER (there - here >= 0.25 AND here < 0.35 AND k // 1000 % 4 <> 0) AS g FROM g) """
+    g AS (SELECT k, max(j) FILTER (o = 0) AS here, max(j) FILTER (o <> 0) AS there FROM j GROUP BY 1 HAVING max(j) FILTER (o = 0) IS NOT NULL)"""
+
+
+@query(
+    STRONGS_SQL
+    + """, c AS (SELECT count(*) AS n, count(*) FILTER (there - here >= 0.25 AND here < 0.35 AND k // 1000 % 4 = 0) AS t, count(*) FILTER (there - here >= 0.25 AND here < 0.35 AND k // 1000 % 4 <> 0) AS g FROM g) """
     + _rows(("strongs_misplaced", _level(("error", "t > greatest(10.0, 0.002 * n)"), ("warn", "t > 0")), "t"), ("strongs_tags_offset", _level(("warn", "g > 0")), "g"))
 )
 def q11_strongs(spark, d):
-    w = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("verse_id"), F.concat(F.lit("H"), (F.col("l_partkey") % 400).cast("string")).alias("strongs_number"))
+    w, other = shifted_numbers(spark, d)
     chapter = keys.chapter_key(F.col("verse_id"))
-    other = w.withColumn("verse_id", F.when(chapter % 2 == 0, F.col("verse_id") + 1).otherwise(F.col("verse_id")))
     shifted = w.select(chapter.alias("grp")).distinct().where("grp % 4 = 0")
     return report.strongs_findings(w, other, shifted=shifted)
 
 
+@query(
+    f"""{STRONGS_SQL}, v AS (SELECT *, coalesce(there, 0) - here >= 0.25 AND here < 0.35 AS bad FROM g)
+    SELECT count(*) AS compared, round(quantile_cont(here, 0.5), 9) AS median_overlap, count(*) FILTER (bad) AS misplaced, count(*) FILTER (NOT bad AND here = 0) AS no_overlap FROM v"""
+)
+def q11_counts(spark, d):
+    found = report.strongs_counts(report.strongs_overlap(*shifted_numbers(spark, d)))
+    return found.withColumn("median_overlap", F.round("median_overlap", 9))
+
+
+def shifted_numbers(spark, d):
+    """Word numbers of a reference, and the same one verse off in every second chapter."""
+    w = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("verse_id"), F.concat(F.lit("H"), (F.col("l_partkey") % 400).cast("string")).alias("strongs_number"))
+    chapter = keys.chapter_key(F.col("verse_id"))
+    other = w.withColumn("verse_id", F.when(chapter % 2 == 0, F.col("verse_id") + 1).otherwise(F.col("verse_id")))
+    return w, other
+
+
 @query(
     rf"""WITH s AS (SELECT text FROM conversations WHERE turn < 2), r AS (SELECT text FROM conversations),
     c AS (SELECT (SELECT count(*) FROM s WHERE trim(text, ' ') <> '') AS s, (SELECT count(*) FROM r) AS r, (SELECT sum({WORDS.format("text")}) FROM s) AS sw, (SELECT sum({WORDS.format("text")}) FROM r) AS rw, (SELECT count(*) FROM r WHERE contains(text, '\')) AS b) """
