@@ -38,7 +38,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, aside, binaries, scratch, short_batches
+from .common import alnum_words, annotate, aside, binaries, field, scratch, short_batches
 
 #: Words of a shingle; a shorter window is one shingle.
 SHINGLE = 3
@@ -288,8 +288,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str =
     return both.select("doc_id", "tie", F.coalesce("items", F.array().cast("array<string>")).alias("items"), "spans")
 
 
-def word_count(text: str = "text") -> Column:
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0)).cast("long")
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(doc_id, tie, n_words) of rows (doc_id, tie, text)."""
+    kind = docs.schema["doc_id"].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(alnum_words(x)) for x in binaries(batch, "text")], pa.int64())], names=["doc_id", "tie", "n_words"])
+
+    return docs.select("doc_id", "tie", "text").mapInArrow(run, f"doc_id {kind.simpleString()}, tie binary, n_words long")
 
 
 def _small(found: DataFrame) -> DataFrame:
@@ -308,7 +315,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str
     rows = docs.drop("n_words", "n_hit", "items", "spans")
     met = rows.join(_small(found), rows[doc_id].eqNullSafe(found["f_id"]) & (tie_of(text) == found["f_tie"]), "left")
     kind = found.schema["spans"].dataType
-    out = met.select(*rows.columns, word_count(text).alias("n_words"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("spans", F.array().cast(kind)).alias("spans"))
+    out = met.select(*rows.columns, F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("spans", F.array().cast(kind)).alias("spans"))
+    out = annotate(out, [field("n_words", "long")], lambda: lambda batch: [pa.array([len(alnum_words(x)) for x in binaries(batch, text)], pa.int64())])
     return out.withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + (s["end"] - s["start"])))
 
 
@@ -317,7 +325,7 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     found = _stored(contaminated(docs, benchmark, n))
     n_hit = F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + (s["end"] - s["start"])), F.lit(0))
     ids = F.coalesce("items", F.array().cast("array<string>"))
-    rows = docs.select("doc_id", word_count().alias("n_words"), tie_of().alias("tie"))
+    rows = word_counts(docs.select("doc_id", tie_of().alias("tie"), "text"))
     met = rows.join(_small(found), rows["doc_id"].eqNullSafe(found["f_id"]) & (F.col("tie") == found["f_tie"]), "left")
     return met.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), F.sha2(F.array_join(ids, ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated")

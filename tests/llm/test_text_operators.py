@@ -666,10 +666,10 @@ def test_many_bracketed_forms_in_one_run_are_linear():
 
     model = pii.default_model()
     for piece in ("a[at]a", "a [at] b [dot] c ", "(at)(dot)", "x[at]y[dot]com", "a@", "1.", "+1 "):
-        text = piece * 60_000
+        text = piece * 25_000
         began = time.process_time()
         base = pii.base_spans(text)
         added = pii.added_spans([text], [base], model)[0]
-        assert time.process_time() - began < 30, piece
+        assert time.process_time() - began < 12, piece
         assert all(b - a <= pii.LONGEST[k] for k, a, b in added)
     assert not pii.sound("email", "a[at]" + "b" * 500 + "[dot]org") and pii.sound("email", "name [at] host [dot] org")
