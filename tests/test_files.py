@@ -200,21 +200,19 @@ def test_the_validator_s_command_line(spark, tmp_path):
     run = lambda names, **o: validate_command(spark, names, {"modules": str(d), "canon": str(canon)} | o)
     text, code = run([], all="true")
     assert code == 0 and "All 2 module(s) passed." in text and "data file" in text
-    assert run([])[1] == 2 and run(["nobody"])[1] == 2 and run([], all="true", type="book")[1] == 2 and run([], all="true", canon=str(tmp_path / "none"))[1] == 2 and run([], all="true", modules=str(tmp_path / "none"))[1] == 2
+    assert run([])[1] == 2 and run(["nobody"])[1] == 2 and run([], all="true", type="book")[1] == 2 and run([], all="true", canon=str(tmp_path / "none"))[1] == 2
     build(d / "bible_0001.db", [("DELETE FROM module_info",)])
     text, code = run([], all="true", quiet="true")
     assert code == 1 and "FAIL bible_0001" in text and "bible_0000" not in text and "missing_module_info_row" in text
-    assert run(["0000"])[1] == 0
     doc = json.loads(run(["0001"], json="true")[0])
     assert (doc["total"], doc["failed"], doc["results"][0]["errors"][0]["code"]) == (1, 1, "missing_module_info_row")
     main = tmp_path / "main.db"
     build(main, [("CREATE TABLE bible_book (book_id INTEGER, book_number INTEGER, book_name TEXT)",), ("INSERT INTO bible_book VALUES (7, 1, 'One')",), ("CREATE TABLE chapter_info (book_id INTEGER, chapter INTEGER, verse_count INTEGER)",), ("INSERT INTO chapter_info VALUES (7, 1, 10)",)])
     text, code = run(["0000"], **{"main-db": str(main)})
     assert code == 1 and "main.db" in text and "verse_out_of_canon" in text
-    build(main, [("DELETE FROM chapter_info",)])
-    assert "data file" in run(["0000"], **{"main-db": str(main)})[0]
-    build(main, [("DROP TABLE chapter_info",)])
-    assert "data file" in run(["0000"], **{"main-db": str(main)})[0]
+    for change in ("DELETE FROM chapter_info", "DROP TABLE chapter_info"):
+        build(main, [(change,)])
+        assert libcheck.load_canon(spark, str(main), str(canon))[1].startswith("data file")
 
 
 def test_files_that_are_not_there(spark, tmp_path):

@@ -111,10 +111,12 @@ def test_search_of_every_type_against_a_real_text_index(spark, tmp_path):
     library = Library(spark, str(tmp_path))
     for stored in (False, True):
         for table, kind in kinds.items():
+            if stored == (kind in ("commentary", "topical")):
+                continue
             if stored:
                 made = run_command(library, "index", [f"{kind}_y"])
                 assert made["documents"] == 79 and run_command(library, "index", [f"{kind}_y"]) == made
-            for query in ("running", '"faithful house"', "run NOT stone", "faith* AND (house OR argers)") if stored else ("faith* AND (house OR argers)",):
+            for query in ("running", '"faithful house"', "run NOT stone", "faith* AND (house OR argers)") if kind == "dictionary" else ("faith* AND (house OR argers)",):
                 con, key = sqlite3.connect(tmp_path / f"{kind}_y.db"), FTS[table][2]
                 want = con.execute(f"SELECT rowid, rank FROM {table}_fts WHERE {table}_fts MATCH ? ORDER BY rank, rowid", (query,)).fetchall()
                 got = [(r[key], r["rank"]) for r in run_command(library, "search", [f"{kind}_y", query], {"limit": "200"}).collect()]

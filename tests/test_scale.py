@@ -78,7 +78,7 @@ def test_first_rule_of_many(spark):
     assert none.where("target IS NULL").count() == 3
 
 
-@pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.9, 1.0])
+@pytest.mark.parametrize("q", [0.0, 0.3, 1.0])
 def test_quantiles_against_sorted_values(spark, monkeypatch, q):
     monkeypatch.setattr(stats, "FINAL_ROWS", 5)
     monkeypatch.setattr(stats, "BUCKETS", 4)
@@ -120,8 +120,9 @@ def test_structure_of_bytes(spark):
 
 def test_spaces_of_all_scripts(spark):
     spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()] + ["﻿", "​"]
-    for s in spaces:
-        assert one(spark, f"one{s}two {s} *", "string", text.count_lettered_words) == sum(any(ch.isalnum() for ch in t) for t in f"one{s}two {s} *".split()), hex(ord(s))
+    rows = [(s, f"one{s}two {s} *") for s in spaces]
+    for r in spark.createDataFrame(rows, "s string, x string").withColumn("n", text.count_lettered_words(F.col("x"))).collect():
+        assert r["n"] == sum(any(ch.isalnum() for ch in t) for t in r["x"].split()), hex(ord(r["s"]))
     assert one(spark, "a b﻿c\x85d\x1ce", "string", text.count_web_words) == 3
     codes = lambda x: set(one(spark, x, "string", text.hygiene_codes))
     for x in (" a", "a\u0085", "a  b", "a\x1c"):
