@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.shared import scratch, shared_dir  # noqa: F401  (operators take them from here)
+
 #: Rows in one Arrow batch. Texts reach hundreds of KB, so batches are kept
 #: short to bound a worker's memory.
 BATCH_ROWS = 256
@@ -47,28 +48,6 @@ def short_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that ``spark.checkpoint.dir`` names.
-
-    All executors share that folder. Only where it is unset (tests, a local
-    session) a folder of our own is set.
-    """
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    context = spark.sparkContext
-    found = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    if not found:
-        found = "file:///tmp/checkpoints/quire"
-        spark.conf.set("spark.checkpoint.dir", found)
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(found)
-    return found
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
