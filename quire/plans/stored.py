@@ -40,7 +40,7 @@ def x7_updated_index(spark, d):
 
 
 @query(
-    f"""WITH {SEARCHED}, p AS (SELECT doc_id, {TOKENS.format("text")} AS w, unnest(range(1, len({TOKENS.format("text")}))) AS i FROM docs), hit AS (SELECT doc_id, 'phrase' AS c, count(*) AS f FROM p WHERE w[i] = 'of' AND w[i + 1] = 'the' GROUP BY 1
+    f"""WITH {SEARCHED}, w AS (SELECT doc_id, {TOKENS.format("text")} AS w FROM docs), p AS (SELECT doc_id, len(list_filter(range(1, len(w)), lambda i: w[i] = 'of' AND w[i + 1] = 'the')) AS f FROM w), hit AS (SELECT doc_id, 'phrase' AS c, f FROM p WHERE f > 0
     UNION ALL SELECT doc_id, 'prefix', count(*) FROM idx WHERE col = 'lang' AND starts_with(token, 'e') GROUP BY 1), {BM25}, whole AS (SELECT doc_id FROM hit GROUP BY 1 HAVING count(*) = 2 AND doc_id NOT IN (SELECT doc_id FROM idx WHERE token = 'stupid'))
     SELECT doc_id, round({RANK}, 9) AS rank FROM hit JOIN whole USING (doc_id) JOIN df USING (c) JOIN len USING (doc_id) CROSS JOIN corpus GROUP BY 1"""
 )
