@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.shared import scratch
+
 K1, B = 1.2, 0.75
 _FROM = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
 _TO = "".join(unicodedata.normalize("NFD", c)[0].lower() for c in _FROM)
@@ -111,7 +113,7 @@ def _stems(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for x in batches:
         if len(known) > 200_000:
             known.clear()
-        yield x.map(lambda t: known.setdefault(t, porter(t)))
+        yield pd.Series([known[t] if t in known else known.setdefault(t, porter(t)) for t in x], dtype=object)
 
 
 # Index and ranking -----------------------------------------------------------------
@@ -272,9 +274,11 @@ def near(index, clauses: list[list[str]], most: int, stem: bool = False) -> Data
 
 def term_rows(index, term: str, stem: bool = False) -> DataFrame:
     """Places of a term or a ``prefix*``; a stored index knows where they are, and whether it is stemmed."""
-    if not isinstance(index, DataFrame):
-        return index.term(term)
-    return index.where(F.col("token").startswith(term[:-1]) if term.endswith("*") else F.col("token") == (porter(term) if stem else term))
+    return index.where(_is_term(term, stem)) if isinstance(index, DataFrame) else index.term(term)
+
+
+def _is_term(term: str, stem: bool) -> Column:
+    return F.col("token").startswith(term[:-1]) if term.endswith("*") else F.col("token") == (porter(term) if stem else term)
 
 
 def clause_places(index, clause: list[str], stem: bool = False) -> DataFrame:
@@ -296,17 +300,39 @@ def clause_hits(index, clause: list[str], stem: bool = False) -> DataFrame:
     return clause_places(index, clause, stem).groupBy("doc_id").agg(F.count("*").alias("hits"))
 
 
+def _all_terms(node: tuple) -> set[str]:
+    """Every term that a query asks for, those after a NOT too."""
+    kind = node[0]
+    if kind == "phrase":
+        return set(node[1])
+    parts = {"near": [("phrase", p) for p in node[1]], "cols": [node[-1]], "not": node[1:]}.get(kind) or node[1]
+    return set().union(*map(_all_terms, parts))
+
+
+def _asked(index: DataFrame, node: tuple, stem: bool) -> tuple[DataFrame, DataFrame]:
+    """(places of the query's terms, (doc_id, len) of all documents) as tables: the texts are read once for either, whatever the query joins."""
+    spark, test = index.sparkSession, F.lit(False)
+    for term in sorted(_all_terms(node)):
+        test = test | _is_term(term, stem)
+    out = []
+    for name, rows in (("places", index.where(test)), ("lengths", index.groupBy("doc_id").agg(F.count("*").alias("len")))):
+        path = scratch(spark, name)
+        rows.write.parquet(path)
+        out.append(spark.read.schema(rows.schema).parquet(path))
+    return out[0], out[1]
+
+
 def search(index: DataFrame, query: str, limit: int | None = 25, stem: bool = False, n_docs: int | None = None) -> DataFrame:
     """(doc_id, rank): minus BM25, so smaller is better; ties by doc_id.
 
-    Corpus size and mean length are one row; document lengths are only needed
-    for documents with a hit. ``n_docs`` counts documents without tokens too,
-    which a table of tokens does not know of.
+    Places of the query's terms and document lengths are written to the shared
+    folder; corpus size and mean length are one row. ``n_docs`` counts documents
+    without tokens too, which a table of tokens does not know of.
     """
     node = parse_query(query)
     if node is None:
         return index.sparkSession.createDataFrame([], "doc_id long, rank double")
-    lengths = index.groupBy("doc_id").agg(F.count("*").alias("len"))
+    index, lengths = _asked(index, node, stem)
     corpus = lengths.agg((F.count("*") if n_docs is None else F.lit(n_docs)).alias("n_docs"), (F.avg("len") if n_docs is None else F.sum("len") / n_docs).alias("mean"))
     hits = None
     for c, (clause, columns) in enumerate(phrases(node)):

@@ -3,11 +3,12 @@
 import json
 import sqlite3
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from quire.functions.refs import Books
-from quire.operators import catalog, convert, lookup, ranges, sequence, stats, trees, validate, verify, xrefs
+from quire.operators import catalog, convert, fulltext, lookup, ranges, sequence, stats, trees, validate, verify, xrefs
 from quire.sources import files, sinks, sqlite
 from quire.sources.shared import published
 
@@ -382,3 +383,19 @@ def test_columns_of_references(spark):
     rows = [("1 John 5:7-8", 62005007, 62005008, None, 0), ("Josh.17.1-Josh.17.2", None, None, None, 6017001), ("43003016", None, None, 43003016, 0), ("", None, None, None, 0), (None, None, None, None, None)]
     got = spark.createDataFrame([(r[0],) for r in rows], "t string").select("t", reference_columns(F.col("t")).alias("r")).select("t", "r.*").collect()
     assert {tuple(r) for r in got} == set(rows)
+
+
+def test_search_reads_the_texts_once_for_places_and_once_for_lengths(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "the wine of the east"), (2, "of wine"), (3, "stupid losers lose")], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/docs")
+    found = fulltext.search(fulltext.postings(spark.read.parquet(f"{tmp_path}/docs"), "doc_id", "text", stem=True), "(NEAR(the of, 3) NOT losers) OR (stupid loser)", limit=None, stem=True)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "_stems" not in plan
+    assert {r["doc_id"] for r in found.collect()} == {1, 3}
+
+
+def test_a_word_is_stemmed_once_a_task(monkeypatch):
+    calls = []
+    monkeypatch.setattr(fulltext, "porter", lambda w: calls.append(w) or w)
+    assert [list(x) for x in fulltext._stems(iter([pd.Series(["a", "b", "a"]), pd.Series(["b", "a"])]))] == [["a", "b", "a"], ["b", "a"]]
+    assert calls == ["a", "b"]
