@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
+from . import scan
+
 #: Bins up to which a range is dealt out.
 WIDE = 64
 
@@ -52,6 +54,35 @@ def _binned(d: DataFrame, r: tuple[str, str], level: Column, used: list[int], wi
     return d.withColumns({"_level": F.col("_step.l"), first: low}).withColumn("_bin", F.explode(F.sequence(F.col(first), high))).drop("_step")
 
 
+def overlap_sums(left: DataFrame, right: DataFrame, left_range: tuple[str, str], right_range: tuple[str, str], sums: dict[str, Column]) -> DataFrame:
+    """``right`` with ``sums`` over the rows of ``left`` whose inclusive range shares a point with its own; those that meet none are left out.
+
+    No pair is made: of all ranges, those that begin by the end of a range and have
+    not ended before its start meet it. So a sum is the difference of two
+    running sums over the distinct bounds. Null or inverted ranges match nothing.
+    """
+    keep = lambda d, s, e: d.where(F.col(s).isNotNull() & F.col(e).isNotNull() & (F.col(s) <= F.col(e)))
+    left, right = keep(left, *left_range), keep(right, *right_range)
+    own = {f"_{i}": c for i, c in enumerate([F.lit(1).cast("long"), *sums.values()])}
+    none = {n: F.lit(None) for n in own}
+
+    def points(d: DataFrame, bound: str, tie: int, opened: dict[str, Column], closed: dict[str, Column]) -> DataFrame:
+        return d.select(F.col(bound).alias("_bound"), F.lit(tie).alias("_tie"), *[c.alias(f"_open{n}") for n, c in opened.items()], *[c.alias(f"_shut{n}") for n, c in closed.items()])
+
+    # At one place the starts come first, then the bounds that ask, then the ends.
+    bounds = points(left, left_range[0], 0, own, none).unionByName(points(left, left_range[1], 2, none, own))
+    for bound in right_range:
+        bounds = bounds.unionByName(points(right, bound, 1, none, none))
+    names = [f"_{side}{n}" for side in ("open", "shut") for n in own]
+    merged = bounds.groupBy("_bound", "_tie").agg(*[F.sum(n).alias(n) for n in names])
+    asked = scan.segmented(merged, [], ["_bound", "_tie"], {n: F.col(n) for n in names}).where("_tie = 1")
+    begun = asked.select(F.col("_bound").alias(right_range[1]), *[f"_open{n}" for n in own])
+    over = asked.select(F.col("_bound").alias(right_range[0]), *[f"_shut{n}" for n in own])
+    met = right.join(begun, right_range[1]).join(over, right_range[0])
+    total = lambda i: F.col(f"_open_{i}") - F.col(f"_shut_{i}")
+    return met.where(total(0) > 0).select(*right.columns, *[total(i).alias(n) for i, n in enumerate(sums, 1)])
+
+
 #: A node of the cover is split into this many of the level below.
 FAN = 4
 

@@ -399,3 +399,19 @@ def test_a_word_is_stemmed_once_a_task(monkeypatch):
     monkeypatch.setattr(fulltext, "porter", lambda w: calls.append(w) or w)
     assert [list(x) for x in fulltext._stems(iter([pd.Series(["a", "b", "a"]), pd.Series(["b", "a"])]))] == [["a", "b", "a"], ["b", "a"]]
     assert calls == ["a", "b"]
+
+
+def test_overlap_sums_without_pairs(spark):
+    import random
+
+    rng = random.Random(4)
+    span = lambda: (a := rng.choice([None, *range(-200_000, 200_000, 9_000)]), None if a is None or rng.random() < 0.1 else a + rng.choice([-1, 0, 9_000, 70_000, 300_000]))
+    a, b = [(i, *span()) for i in range(60)], [(i, *span()) for i in range(60)]
+    left, right = spark.createDataFrame(a, "k long, c0 long, c1 long"), spark.createDataFrame(b, "id long, s0 long, s1 long")
+    found = ranges.overlap_sums(left, right, ("c0", "c1"), ("s0", "s1"), {"n": F.lit(1), "keys": F.col("k")})
+    real = lambda rows: [r for r in rows if None not in r and r[1] <= r[2]]
+    met = {i: [k for k, x, y in real(a) if x <= t and y >= s] for i, s, t in real(b)}
+    assert {r["id"]: (r["n"], r["keys"]) for r in found.collect()} == {i: (len(k), sum(k)) for i, k in met.items() if k}
+    # What the join hands on grows with the bounds, never with the pairs.
+    same = ranges.overlap_sums(spark.range(3000).selectExpr("id AS k", "0L AS c0", "9L AS c1"), spark.range(3000).selectExpr("id", "5L AS s0", "6L AS s1"), ("c0", "c1"), ("s0", "s1"), {"n": F.lit(1)})
+    assert same.agg(F.count("*"), F.sum("n")).first() == (3000, 9_000_000)
