@@ -294,7 +294,7 @@ def strongs_overlap(result_words: DataFrame, reference_words: DataFrame, key: st
     other = reference_words.select(key, plain_strongs(F.col(number)).alias("item"))
     sets = item_sets(other, key, "item")
     often = most_frequent(sets.select(F.explode("items").alias("item")), "item", 40)
-    near = neighbour_overlap(item_sets(own, key, "item"), sets, key, often).where("own >= 3")
+    near = neighbour_overlap(item_sets(own, key, "item"), sets, key, often, least=3)
     return near.groupBy(key).agg(F.max(F.when(F.col("offset") == 0, F.col("overlap"))).alias("here"), F.max(F.when(F.col("offset") != 0, F.col("overlap"))).alias("there"))
 
 

@@ -87,21 +87,25 @@ def item_sets(df: DataFrame, key: str, item: str) -> DataFrame:
 
 
 def jaccard(a: Column, b: Column, without: Column | None = None) -> Column:
-    """Overlap of two sets after leaving out a common stop set; null if either is empty then."""
+    """Overlap of two sets (arrays without repeats) after leaving out a common stop set; null if either is empty then."""
     if without is not None:
         a, b = F.array_except(a, without), F.array_except(b, without)
-    return F.when((F.size(a) > 0) & (F.size(b) > 0), F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b)))
+    both = F.size(F.array_intersect(a, b))
+    return F.when((F.size(a) > 0) & (F.size(b) > 0), both / (F.size(a) + F.size(b) - both))
 
 
-def neighbour_overlap(sets: DataFrame, other: DataFrame, key: str, stop: DataFrame | None = None, item: str = "item", offsets: tuple[int, ...] = (0, -1, 1, -2, 2)) -> DataFrame:
-    """(key, offset, overlap, own) of each key's set with the sets at neighbouring keys of the same chapter; ``own``: its items outside the stop set."""
-    probes = sets.select(key, "items").withColumn("offset", F.explode(F.array(*[F.lit(o) for o in offsets])))
+def neighbour_overlap(sets: DataFrame, other: DataFrame, key: str, stop: DataFrame | None = None, item: str = "item", offsets: tuple[int, ...] = (0, -1, 1, -2, 2), least: int = 0) -> DataFrame:
+    """(key, offset, overlap, own) of each key's set with the sets at neighbouring keys of the same chapter; ``own``: its items outside the stop set.
+
+    The stop set leaves a set once, before it is compared; sets with fewer than ``least`` items of their own are not compared.
+    """
+    if stop is not None:
+        words = F.broadcast(stop.agg(F.collect_list(item).alias("_stop")))
+        sets, other = (d.join(words).select(key, F.array_except("items", "_stop").alias("items")) for d in (sets, other))
+    probes = sets.where(F.size("items") >= least).select(key, "items").withColumn("offset", F.explode(F.array(*[F.lit(o) for o in offsets])))
     probes = probes.withColumn("_at", F.col(key) + F.col("offset")).where(keys.chapter_key(F.col("_at")) == keys.chapter_key(F.col(key)))
     met = probes.join(other.select(F.col(key).alias("_at"), F.col("items").alias("_other")), "_at")
-    if stop is None:
-        return met.select(key, "offset", jaccard(F.col("items"), F.col("_other")).alias("overlap"), F.size("items").alias("own"))
-    words = stop.agg(F.collect_list(item).alias("_stop"))
-    return met.join(F.broadcast(words)).select(key, "offset", jaccard(F.col("items"), F.col("_other"), F.col("_stop")).alias("overlap"), F.size(F.array_except("items", "_stop")).alias("own"))
+    return met.select(key, "offset", jaccard(F.col("items"), F.col("_other")).alias("overlap"), F.size("items").alias("own"))
 
 
 def ordered_merge(df: DataFrame, group: str, order: str, text: str, flag: str, raw: str, first: int = 3) -> DataFrame:

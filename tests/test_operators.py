@@ -415,3 +415,23 @@ def test_overlap_sums_without_pairs(spark):
     # What the join hands on grows with the bounds, never with the pairs.
     same = ranges.overlap_sums(spark.range(3000).selectExpr("id AS k", "0L AS c0", "9L AS c1"), spark.range(3000).selectExpr("id", "5L AS s0", "6L AS s1"), ("c0", "c1"), ("s0", "s1"), {"n": F.lit(1)})
     assert same.agg(F.count("*"), F.sum("n")).first() == (3000, 9_000_000)
+
+
+def test_the_stop_set_leaves_a_set_before_it_is_compared(spark):
+    sets = spark.createDataFrame([(1001001, ["a", "b", "c", "x"]), (1001002, ["a", "x"]), (1001003, ["a", "b", "c", "d"])], "k long, items array<string>")
+    near = stats.neighbour_overlap(sets, sets, "k", spark.createDataFrame([("x",)], "item string"), least=3)
+    above, join, below = near._jdf.queryExecution().optimizedPlan().toString().partition("Join Inner")
+    assert join and "array_except" not in above and "array_except" in below
+    got = {(r["k"], r["offset"]): (r["overlap"], r["own"]) for r in near.collect()}
+    assert got == {(1001001, 0): (1.0, 3), (1001001, 1): (1 / 3, 3), (1001001, 2): (0.75, 3), (1001003, 0): (1.0, 4), (1001003, -1): (0.25, 4), (1001003, -2): (0.75, 4)}
+
+
+def test_covers_of_many_rules_are_laid_out_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(ranges, "TASK_RULES", 100)
+    rules = spark.range(0, 1000, 1, 1).selectExpr("id AS rule_order", "id % 2 AS g", "id * 10 AS low", "id * 10 + 500 AS high", "id AS target")
+    nodes, _ = ranges.compiled_rules(rules, ("g",))
+    plan = nodes._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and plan.rstrip().count(", 10\n") == 1
+    rows = spark.range(0, 9000, 37).selectExpr("id AS v", "id % 2 AS g")
+    want = {v: min((i for i in range(1000) if i % 2 == v % 2 and i * 10 <= v <= i * 10 + 500), default=None) for v in range(0, 9000, 37)}
+    assert {r["v"]: r["target"] for r in ranges.first_rule(rows, rules, ("g",), "v").collect()} == want
