@@ -85,6 +85,8 @@ def overlap_sums(left: DataFrame, right: DataFrame, left_range: tuple[str, str],
 
 #: A node of the cover is split into this many of the level below.
 FAN = 4
+#: Rules whose covers one task lays out.
+TASK_RULES = 20_000
 
 
 def _node(level: int):
@@ -123,10 +125,12 @@ def compiled_rules(rules: DataFrame, group: tuple[str, ...], low: str = "low", h
     """
     a, b = F.col(low).cast("long") * scale, F.col(high).cast("long") * scale
     real = rules.where(F.col(low) <= F.col(high))
-    widest = real.agg(F.max(b - a)).first()[0]
+    widest, n = real.agg(F.max(b - a), F.count("*")).first()
     top = 0
     while widest is not None and FAN ** (top + 1) <= widest + 1 and top < 30:
         top += 1
+    if n > TASK_RULES:  # a small file is one task, and a rule makes dozens of nodes
+        real = real.repartition(-(-n // TASK_RULES), *group, order)
     nodes = real.select(*group, F.explode(cover(a, b, top)).alias("n"), F.struct(order, *outputs).alias("_rule"))
     return nodes.groupBy(*group, F.col("n.level").alias("_level"), F.col("n.node").alias("_node")).agg(F.min("_rule").alias("_rule")), top
 
