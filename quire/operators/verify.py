@@ -20,6 +20,8 @@ THRESHOLDS = {
     "missing_ratio": 0.002, "missing_least": 3, "differs_warn": 0.01, "differs_fail": 0.05, "similar": 0.90, "words_warn": 0.01, "words_fail": 0.03,
     "red_warn": 0.97, "red_fail": 0.85, "overlong_factor": 3.0, "overlong_least": 80, "shift_gain": 0.30, "shift_most_r0": 0.60, "shift_least_best": 0.70,
 }
+#: Bytes of texts that an Arrow function holds at a time.
+BATCH_BYTES = 4 << 20
 
 
 def compare_keys(source: DataFrame, result: DataFrame, key: str, other: str | None = None) -> DataFrame:
@@ -61,11 +63,17 @@ def holes(result: DataFrame, canon: DataFrame, key: str = "verse_id", but: DataF
     return out if but is None else out.join(but.select(F.col("key").alias(key)), key, "left_anti")
 
 
+def _short_batches(df: DataFrame) -> None:
+    """Bound what an Arrow function of texts holds at a time by bytes, whatever the rows' length."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def text_fidelity(source: DataFrame, result: DataFrame, key: str, text: str = "text", similar: float = THRESHOLDS["similar"]) -> DataFrame:
     """(key, grade, similarity, source_words, result_words); grades: exact, minor, material.
 
     Only rows whose normalised texts differ are compared letter by letter.
     """
+    _short_batches(source)
     a = source.select(key, F.col(text).alias("a"))
     b = result.select(key, F.col(text).alias("b"))
     both = a.join(b, key).withColumns({"na": normal_text(F.col("a")), "nb": normal_text(F.col("b"))})
@@ -103,6 +111,7 @@ def hygiene(result: DataFrame, source: DataFrame, key: str, text: str = "text",
     The source's text counts, and, where it has a column of that name, its raw
     markup without tags and entities: what is escaped shows in the raw only.
     """
+    _short_batches(source)
     codes = lambda d, x: d.select(F.col(key).alias("k"), F.explode(hygiene_codes(x)).alias("code"))
     was = F.concat(F.coalesce(text, F.lit("")), F.lit(" \u2063 "), F.coalesce(untagged(F.col(raw)), F.lit(""))) if raw in source.columns else F.col(text)
     ours, theirs = codes(result, F.col(text)), codes(source, was).withColumn("was", F.lit(True)).distinct()

@@ -435,3 +435,13 @@ def test_covers_of_many_rules_are_laid_out_by_many_tasks(spark, monkeypatch):
     rows = spark.range(0, 9000, 37).selectExpr("id AS v", "id % 2 AS g")
     want = {v: min((i for i in range(1000) if i % 2 == v % 2 and i * 10 <= v <= i * 10 + 500), default=None) for v in range(0, 9000, 37)}
     assert {r["v"]: r["target"] for r in ranges.first_rule(rows, rules, ("g",), "v").collect()} == want
+
+
+def test_texts_reach_python_in_batches_of_bounded_bytes(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    rows = spark.range(0, 600, 1, 1).select("id", F.repeat(F.lit("x"), F.lit(20_000)).alias("text"))
+    batch = F.pandas_udf(lambda x: pd.Series([len(x)] * len(x)), "long")
+    for plan in (verify.text_fidelity, verify.hygiene):
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        plan(rows, rows, "id")
+        assert rows.select(batch("text").alias("n")).agg(F.max("n")).first()[0] <= 2 * verify.BATCH_BYTES // 20_000
