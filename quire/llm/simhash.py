@@ -358,9 +358,12 @@ def near_duplicates(
 # The pipeline's stage -------------------------------------------------------
 
 #: Shingles of five words; texts are linked by an exact Jaccard similarity of at
-#: least 4 / 5 of their shingle sets. Candidates share all ``KEY_ROWS`` min-hashes
-#: of one of ``KEYS`` keys: two texts at 0.8, long or short, with probability
-#: 1 - (1 - 0.8 ** 4) ** 14 = 0.9994.
+#: least 4 / 5 of their shingle sets. Candidates are all texts of a class of
+#: fingerprints within ``RADIUS`` bits, found by the bit-sliced comparison, and,
+#: as texts at 0.8 differ in some ten bits, those that share all ``KEY_ROWS``
+#: min-hashes of one of ``KEYS`` keys: two texts at 0.8, long or short, with
+#: probability 1 - (1 - 0.8 ** 4) ** 14 = 0.9994.
+RADIUS = 4
 SHINGLE, KEYS, KEY_ROWS = 5, 14, 4
 #: Rows of an id and a hash that may be broadcast: some 25 MB.
 SMALL_ROWS = 500_000
@@ -410,15 +413,15 @@ def shingle_set(text: bytes | None) -> np.ndarray:
     return np.unique(shingle_hashes(space_words(text), SHINGLE) >> _U64(24))
 
 
-def similar_links(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+def similar_links(texts: DataFrame, nodes: DataFrame, more: DataFrame) -> DataFrame:
     """(a, b): links between distinct shingle sets, a spanning forest of each cell.
 
     ``nodes`` has fp, keys, and (n_id, n_tie) of one row of ``texts`` (doc_id,
-    tie, body) that bears the set. Buckets with the same members are compared
+    tie, body) that bears the set; ``more`` has further keys. Buckets with the same members are compared
     once; long ones are dealt over cells as in ``pair_links``. Only texts whose
     set shares a bucket are read again, and only their sets are moved.
     """
-    spread = nodes.select("fp", F.posexplode("keys").alias("place", "key"))
+    spread = nodes.select("fp", F.posexplode("keys").alias("place", "key")).unionByName(more)
     member = F.xxhash64("fp")
     buckets = spread.groupBy("place", "key").agg(F.count("*").alias("n"), F.sum(F.shiftright(member, 20)).alias("s"), F.sum(F.hash("fp").cast("long")).alias("t")).where("n > 1")
     once = buckets.groupBy("n", "s", "t").agg(F.min(F.struct("place", "key")).alias("b"))
@@ -461,6 +464,18 @@ def similar_links(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     return dealt.select("place", "key", "i", "j", "c", "fp", "shingles").mapInArrow(compare, "a binary, b binary").distinct()
 
 
+def class_keys(sets: DataFrame) -> DataFrame:
+    """(fp, place, key): for each shingle set (fp, keys, print) the classes of its texts' fingerprints, as one more place of keys.
+
+    Texts of one set may differ in what they repeat, and so in their fingerprints. Sets of no shingle have no key.
+    """
+    borne = cut(sets.where(F.size("keys") > 0).select("fp", "print").distinct())
+    prints = cut(borne.select(F.col("print").alias("fp")).distinct())
+    size = key_size(prints.count(), 64, RADIUS)
+    roots = components(pair_links(prints, RADIUS, RADIUS + size, size)).withColumnRenamed("node", "print")
+    return borne.join(roots, "print", "left").select("fp", F.lit(KEYS).alias("place"), F.xxhash64(F.coalesce("root", "print")).alias("key")).distinct()
+
+
 def similar(docs: DataFrame) -> DataFrame:
     """doc_id, tie, fp, root for every row: classes linked by a similarity of at least 0.8 of the shingle sets.
 
@@ -470,19 +485,21 @@ def similar(docs: DataFrame) -> DataFrame:
 
     def start():
         def work(batch: pa.RecordBatch) -> list[pa.Array]:
-            sets = [shingle_set(x) for x in binaries(batch, "body")]
+            texts = binaries(batch, "body")
+            sets = [shingle_set(x) for x in texts]
             return [
                 pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets], pa.binary()),
                 pa.array([min_hash_keys(x) for x in sets], pa.list_(pa.int64())),
+                pa.array([fingerprint(space_words(x), 4) for x in texts], pa.binary()),
             ]
 
         return work
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_tie(), F.col("text").alias("body"))
-    sets = cut(annotate(rows, [field("fp", "binary"), field("keys", "array<long>")], start).drop("body"))
+    sets = cut(annotate(rows, [field("fp", "binary"), field("keys", "array<long>"), field("print", "binary")], start).drop("body"))
     one = F.min(F.struct("tie", F.col("doc_id").isNull(), "doc_id")).alias("one")
     nodes = cut(sets.groupBy("fp").agg(F.first("keys").alias("keys"), one).select("fp", "keys", F.col("one.doc_id").alias("n_id"), F.col("one.tie").alias("n_tie")))
-    roots = components(similar_links(rows, nodes)).withColumnRenamed("node", "fp")
+    roots = components(similar_links(rows, nodes, class_keys(sets))).withColumnRenamed("node", "fp")
     return sets.select("doc_id", "tie", "fp").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
