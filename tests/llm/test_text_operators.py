@@ -553,6 +553,19 @@ def test_lm_trains_on_every_id(spark):
     assert lm_scoring.average(net, docs, lm_scoring.Reader(raw, [b"w1", b"w96", b"unseen"])) == counts.sum() + 2 * len(texts) and (net.weights() != before).any()
 
 
+def test_lm_clusters_come_from_all_texts(spark):
+    raw = lm_scoring.read_vocabulary(lm_scoring.VOCABULARY)
+    subwords = lm_scoring.Subwords(raw)
+    texts = [None, "", *(" ".join(f"w{i * j % 97} the" for j in range(20 + i % 7)) for i in range(2_000))]  # more than a start of 1,500
+    seqs = [subwords.ids([w.encode() for w in words_of(t)]) for t in texts if t]
+    counts = np.bincount(np.concatenate(seqs), minlength=subwords.size)
+    want = lm_scoring.neighbours(seqs, counts)
+    rank = lm_scoring.ranks(counts)
+    assert want.sum() == sum(int((np.abs(np.arange(len(s)) - i) <= lm_scoring.NEAR).sum()) - 1 for s in seqs for i in np.flatnonzero(rank[s] < lm_scoring.SINGLES))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    assert (lm_scoring.all_neighbours(docs, lm_scoring.Reader(raw, [b"the", b"w1"]), counts) == want).all()
+
+
 def test_lm_without_training_rows(spark):
     out = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     df = spark.createDataFrame([(out, "a b")], "doc_id long, text string")
