@@ -31,8 +31,15 @@ def folded(x: Column) -> Column:
     return F.lower(F.translate(x, _FROM, _TO))
 
 
+_UNMARK = str.maketrans(_FROM, _TO)
+
+
+def unmarked(s: str) -> str:
+    return s.translate(_UNMARK)
+
+
 def fold(s: str) -> str:
-    return s.translate(str.maketrans(_FROM, _TO)).lower()
+    return unmarked(s).lower()
 
 
 # Porter's rules --------------------------------------------------------------

@@ -23,6 +23,7 @@ import json
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +33,8 @@ from ..sources import shared
 from . import fulltext
 
 BUCKETS, SALTS = 64, 16
-#: Postings that a task hands over at a time.
-CHUNK = 20_000
+#: Postings that a task hands over at a time, and documents that it takes apart at a time.
+CHUNK, SLICE = 20_000, 64
 
 
 def bucket_of(token: Column, buckets: int) -> Column:
@@ -41,45 +42,57 @@ def bucket_of(token: Column, buckets: int) -> Column:
 
 
 def postings(docs: DataFrame, ident: str, columns: list[str], stem: bool = True) -> DataFrame:
-    """(doc_id, token, col, places, len): one row for each token of a document's column; a narrow pass."""
-    lists = F.array(*[F.coalesce(F.regexp_extract_all(fulltext.folded(F.col(c)), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)), F.array().cast("array<string>")) for c in columns])
+    """(doc_id, token, col, places, len): one row for each token of a document's column; a narrow pass.
+
+    Marks are taken off the distinct words, not the texts: that maps letters to letters, so the tokens' bounds are the same.
+    """
+    lists = F.array(*[F.coalesce(F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)), F.array().cast("array<string>")) for c in columns])
     rows = docs.where(F.col(ident).isNotNull()).select(F.col(ident).alias("doc_id"), lists.alias("tokens"))
     schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType)]).add("token", T.StringType()).add("col", T.IntegerType()).add("places", T.ArrayType(T.IntegerType())).add("len", T.LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, str] = {}
-        out: list[tuple] = []
         for batch in batches:
-            for i, lists in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found: dict[tuple[int, str], list[int]] = {}
-                for c, words in enumerate(lists):
-                    for at, word in enumerate(words):
-                        if stem:
-                            word = known[word] if word in known else known.setdefault(word, fulltext.porter(word))
-                        found.setdefault((c, word), []).append(at)
-                total = sum(map(len, lists))
-                out += [(i, word, c, places, total) for (c, word), places in found.items()]
+            for at in range(0, len(batch), SLICE):
+                out = _postings_of(batch.column(0).slice(at, SLICE), batch.column(1).slice(at, SLICE), known if stem else None)
+                for i in range(0, len(out), CHUNK):
+                    yield out.slice(i, CHUNK)
                 if len(known) > 200_000:
                     known.clear()
-                while len(out) >= CHUNK:
-                    yield _batch(out[:CHUNK], batch.schema.field(0).type)
-                    out = out[CHUNK:]
-            if out:
-                yield _batch(out, batch.schema.field(0).type)
-                out = []
 
     return rows.mapInArrow(run, schema)
 
 
-def _batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
-    i, token, col, places, total = zip(*rows, strict=True)
-    arrays = [pa.array(i, kind), pa.array(token, pa.string()), pa.array(col, pa.int32()), pa.array(places, pa.list_(pa.int32())), pa.array(total, pa.int64())]
+def _postings_of(ids: pa.Array, lists: pa.Array, known: dict[str, str] | None) -> pa.RecordBatch:
+    """Rows of the postings from the token lists of each document's columns; with ``known`` words are stemmed, each distinct one once."""
+    each = lists.flatten()  # a document's columns follow one another
+    columns = len(each) // max(1, len(ids))
+    sizes = each.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = each.flatten().dictionary_encode()
+    names, code = coded.dictionary.cast(pa.string()), coded.indices.to_numpy().astype(np.int64)
+    words = [w if w.isascii() else fulltext.unmarked(w) for w in names.to_pylist()]
+    if known is not None:
+        words = [known[w] if w in known else known.setdefault(w, fulltext.porter(w)) for w in words]
+    merged = pa.array(words, pa.string()).dictionary_encode()
+    names, code = merged.dictionary, merged.indices.to_numpy().astype(np.int64)[code]
+    place = np.arange(len(code)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    key = np.repeat(np.arange(len(each)), sizes) * max(1, len(names)) + code
+    order = np.argsort(key, kind="stable")  # leaves a word's places in order
+    key = key[order]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    where, code = np.divmod(key[first], max(1, len(names)))
+    row, col = np.divmod(where, max(1, columns))
+    arrays = [
+        ids.take(pa.array(row)), names.take(pa.array(code)), pa.array(col, pa.int32()),
+        pa.ListArray.from_arrays(pa.array(np.append(first, len(key)), pa.int32()), pa.array(place[order], pa.int32())),
+        pa.array(sizes.reshape(len(ids), columns).sum(axis=1)[row], pa.int64()),
+    ]
     return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "token", "col", "places", "len"])
 
 
 def _segment(docs: DataFrame, ident: str, columns: list[str], stem: bool, buckets: int) -> dict[str, DataFrame]:
     rows = postings(docs, ident, columns, stem)
-    size = sum((F.regexp_count(F.coalesce(fulltext.folded(F.col(c)), F.lit("")), F.lit(r"[\p{L}\p{N}]+")) for c in columns), F.lit(0))
+    size = sum((F.regexp_count(F.coalesce(F.lower(c), F.lit("")), F.lit(r"[\p{L}\p{N}]+")) for c in columns), F.lit(0))
     named = docs.where(F.col(ident).isNotNull()).select(F.col(ident).alias("doc_id"), size.cast("long").alias("len"), _digest(columns).alias("digest"))
     return {"postings": _laid_out(rows, buckets), "docs": named}
 

@@ -4,11 +4,12 @@ import json
 import sqlite3
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from quire.functions.refs import Books
-from quire.operators import catalog, convert, fulltext, lookup, ranges, sequence, stats, trees, validate, verify, xrefs
+from quire.operators import catalog, convert, fulltext, lookup, ranges, sequence, stats, textindex, trees, validate, verify, xrefs
 from quire.sources import files, sinks, sqlite
 from quire.sources.shared import published
 
@@ -445,3 +446,20 @@ def test_texts_reach_python_in_batches_of_bounded_bytes(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
         plan(rows, rows, "id")
         assert rows.select(batch("text").alias("n")).agg(F.max("n")).first()[0] <= 2 * verify.BATCH_BYTES // 20_000
+
+
+def test_stored_postings_by_hand(spark):
+    """Marks are taken off and stems made once a distinct word; batches are taken apart as arrays."""
+    texts = ["Élan élan ELAN runs", None, "", "Σας İstanbul ÀB àb", *(f"running w{i % 7} runs ñ{i}" for i in range(150))]
+    docs = spark.createDataFrame([(i, t, "Run" if i % 2 else None) for i, t in enumerate(texts)], "id int, text string, lang string")
+    for stem in (False, True):
+        found = [r.asDict() for r in textindex.postings(docs, "id", ["text", "lang"], stem).collect()]
+        want = {}
+        rows = docs.select("id", *[F.regexp_extract_all(fulltext.folded(F.col(c)), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)).alias(c) for c in ("text", "lang")]).collect()
+        for r in rows:
+            words = [r["text"] or [], r["lang"] or []]
+            for c, column in enumerate(words):
+                for at, w in enumerate(column):
+                    want.setdefault((r["id"], fulltext.porter(w) if stem else w, c, len(words[0]) + len(words[1])), []).append(at)
+        assert {(r["doc_id"], r["token"], r["col"], r["len"]): r["places"] for r in found} == want and len(found) == len(want)
+    assert not len(textindex._postings_of(pa.array([1, 2]), pa.array([[[], []], [[], []]], pa.list_(pa.list_(pa.string()))), None))
