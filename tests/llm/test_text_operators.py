@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import resource
 import zlib
 
 import numpy as np
@@ -566,6 +567,50 @@ def test_lm_clusters_come_from_all_texts(spark):
     assert (lm_scoring.all_neighbours(docs, lm_scoring.Reader(raw, [b"the", b"w1"]), counts) == want).all()
 
 
+def test_lm_stores_ids_once(spark, monkeypatch):
+    raw = lm_scoring.read_vocabulary(lm_scoring.VOCABULARY)
+    subwords = lm_scoring.Subwords(raw)
+    texts = [None, "", "The same", "The same", "y" * 700, *(" ".join(f"w{i * j % 97} é" for j in range(20 + i % 7)) for i in range(600))]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    reader = lm_scoring.Reader(raw, [b"the", b"w1"])
+    stored = lm_scoring.stored_ids(docs, reader)
+    got = sorted(np.frombuffer(r["ids"], subwords.kind).tolist() for r in stored.collect())
+    assert got == sorted([subwords.end, *subwords.ids([w.encode() for w in words_of(t)] if t else []).tolist(), subwords.end] for t in texts)
+    assert {r["share"] for r in stored.collect()} == set(range(lm_scoring.ROUNDS))
+    # Training and the clusters read these alone: no text is encoded again.
+    monkeypatch.setattr(lm_scoring.Reader, "read", None)
+    counts = np.bincount(np.concatenate(got), minlength=subwords.size + 2)[: subwords.size]
+    row, cls = lm_scoring.clusters([], counts)
+    net = lm_scoring.Network(row, cls, lm_scoring.within_class(np.append(counts, len(texts)), cls)[1])
+    assert lm_scoring.stored_average(net, stored, subwords) == sum(map(len, got))
+    assert lm_scoring.stored_neighbours(stored, subwords.kind, counts).sum() > 0
+
+
+def test_lm_steps_keep_their_memory():
+    net, _, cls, _ = small_network()
+    seqs = [np.random.default_rng(i).integers(0, 40, 400).astype(np.int32) for i in range(150)]
+    lm_scoring.keep_memory()
+    adam = lm_scoring.Adam(net)
+    lm_scoring.train_on(net, seqs, 41, 0.01, 1, adam)
+    before, steps = resource.getrusage(resource.RUSAGE_SELF).ru_minflt, adam.done
+    lm_scoring.train_on(net, seqs, 41, 0.01, 2, adam)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before < 100 * (adam.done - steps)
+
+
+def test_lm_adam_by_hand():
+    net, *_ = small_network()
+    adam, rng = lm_scoring.Adam(net), np.random.default_rng(0)
+    w = net.weights().astype(np.float64)
+    m, v = np.zeros_like(w), np.zeros_like(w)
+    for t in range(1, 5):
+        grads = {n: rng.standard_normal(getattr(net, n).shape).astype(np.float32) for n in net.NAMES}
+        g = np.concatenate([grads[n].ravel() for n in net.NAMES]).astype(np.float64)
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        w -= 0.02 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+        adam.step(net, grads, 0.02)
+        assert np.abs(net.weights() - w).max() < 1e-5
+
+
 def test_lm_without_training_rows(spark):
     out = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     df = spark.createDataFrame([(out, "a b")], "doc_id long, text string")
